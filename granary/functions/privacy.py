@@ -83,7 +83,7 @@ MASKS: dict[str, Callable[[Column], Column]] = {
 
 def _replace_matches(text: Column, pattern: str, mask: Callable[[Column], Column]) -> Column:
     def rebuilt(t: Column) -> Column:
-        found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), mask)
+        found = F.transform(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)), lambda m: mask(m))
         parts = F.zip_with(F.split(t, pattern, -1), found, lambda p, m: F.concat(p, F.coalesce(m, F.lit(""))))
         return F.when(t.rlike(pattern), F.array_join(parts, "")).otherwise(t)
 

@@ -203,7 +203,7 @@ def calls_from(events: DataFrame) -> DataFrame:
         (k % 50).alias("output_tokens"),
         (k + k % 50).alias("total_tokens"),
         (money("value") * 10).cast("decimal(14,2)").alias("latency_ms"),
-        F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 101).cast("decimal(6,4)") * F.lit("0.01").cast("decimal(3,2)"))
+        F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 101).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)"))
         .cast("decimal(6,4)")
         .alias("confidence_score"),
         F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 10 > 0).alias("human_approved"),

@@ -344,7 +344,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           (['gpt-4','gpt-4-turbo','gpt-3.5-turbo','mock','other'])[user_id % 5 + 1] as model,
           k as input_tokens, k % 50 as output_tokens, k + k % 50 as total_tokens,
           cast(cast(value as decimal(12,2)) * 10 as decimal(14,2)) as latency_ms,
-          case when event_id % 7 <> 0 then cast(cast(event_id % 101 as decimal(6,4)) * cast(0.01 as decimal(3,2)) as decimal(6,4))
+          case when event_id % 7 <> 0 then cast(cast(event_id % 101 as decimal(3,0)) * cast(0.01 as decimal(3,2)) as decimal(6,4))
             end as confidence_score,
           case when event_id % 3 <> 0 then event_id % 10 > 0 end as human_approved,
           cast(event_id % 6 as integer) as rag_chunks_used, event_type <> 'error' as success,
