@@ -115,7 +115,7 @@ class LakeTable:
             for name in level:
                 fs, path = self._fs_path(name)
                 below += [f"{name}/{s.getPath().getName()}" for s in fs.listStatus(path) if s.isDirectory()]
-            level = [n for n in below if not n.rsplit("/", 1)[-1].startswith("_")]
+            level = [n for n in below if "=" in n.rsplit("/", 1)[-1]]
         return level
 
     def _next(self) -> tuple[int, dict | None]:
@@ -224,7 +224,7 @@ class LakeTable:
         self, commit: dict, target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool
     ) -> list[str]:
         """Live folders that hold a key of the batch. Only key and partition columns are read."""
-        if not self.partition_by:
+        if not self.partition_by or not commit["folders"]:
             return commit["folders"]
         slim = target.select(*dict.fromkeys([*keys, *self.partition_by]), F.col("_metadata.file_path").alias("_file"))
         hits = slim.join(*_matching(slim, source, keys, null_safe), "left_semi")

@@ -169,7 +169,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines; the item id repeats and has to be reduced to its latest row."""
-    line = table(spark, folder, "lineitem")
+    return items_from(table(spark, folder, "lineitem"))
+
+
+def items_from(line: DataFrame) -> DataFrame:
     cents = F.floor(F.round(F.col("l_extendedprice") * 100) / F.col("l_quantity")).cast("decimal(12,0)")
     rate = F.col("l_discount").cast("decimal(5,2)")
     total = F.round(money("l_extendedprice") * (F.lit(1).cast("decimal(5,2)") - rate), 2)
