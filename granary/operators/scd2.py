@@ -47,14 +47,14 @@ def _close(df: DataFrame, key: str) -> DataFrame:
     return closed.drop("_next", "_has_following")
 
 
-def close_versions(df: DataFrame, key: str, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def close_versions(df: DataFrame, key: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Recompute ``valid_to`` and ``is_current`` from the next version of the same key."""
     base = df.drop("valid_to", "is_current")
     return per_part(base, [key], "valid_from", lambda part: _close(part, key), split_rows)
 
 
 def build_history(
-    df: DataFrame, key: str, tracked: list[str], updated_at: str, split_rows: int = SPLIT_ROWS
+    df: DataFrame, key: str, tracked: list[str], updated_at: str, split_rows: int | None = SPLIT_ROWS
 ) -> DataFrame:
     """Versions of every key from a feed of dated rows.
 
@@ -82,7 +82,7 @@ def scd2_apply(
     key: str,
     tracked: list[str],
     updated_at: str = "source_updated_at",
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """New versions of the keys in ``incoming`` plus the untouched rest of ``history``.
 
@@ -115,12 +115,14 @@ def join_as_of(
     at: str,
     columns: list[str],
     prefix: str = "asof_",
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of every fact to the version valid at its time.
 
     Facts and version starts are merged into one ordered sequence per key and the last version is
     carried forward, so a key with many facts and many versions costs their sum, not their product.
+    ``sizes`` is a cheaper frame holding ``key`` with about as many rows per key, to find hot keys in.
     """
     version = F.struct(F.col("valid_to"), *[F.col(c) for c in columns])
     payload = F.struct(*[F.col(c) for c in facts.columns])
@@ -137,9 +139,12 @@ def join_as_of(
         payload.alias("_fact"),
     )
     merged = starts.unionByName(events, allowMissingColumns=True)
-    filled = per_part(
-        merged, ["_key"], "_at", lambda part: carry_forward(part, ["_key"], ["_at", "_side"], "_version"), split_rows
-    )
+
+    def fill(part: DataFrame) -> DataFrame:
+        return carry_forward(part, ["_key"], ["_at", "_side"], "_version")
+
+    slim = None if sizes is None else sizes.select(F.col(key).alias("_key"))
+    filled = per_part(merged, ["_key"], "_at", fill, split_rows, slim)
     live = F.col("_at") < F.col("_version.valid_to")
     picked = [F.when(live, F.col(f"_version.{c}")).alias(f"{prefix}{c}") for c in columns]
     return filled.filter(F.col("_side") == 1).select("_fact.*", *picked)

@@ -11,6 +11,7 @@ edges, which is the size bound for broadcasting both lists.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,27 +34,34 @@ def _both(conditions: list[Column]) -> Column:
 
 
 def split_hot(
-    df: DataFrame, keys: list[str], order: str, split_rows: int = SPLIT_ROWS
+    df: DataFrame, keys: list[str], order: str, split_rows: int = SPLIT_ROWS, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary keys, rows of hot keys with their time slice or None if there are no hot keys).
 
-    ``order`` is a date or timestamp column. The hot part is written to the shared folder once, as
-    it is read several times.
+    ``order`` is a date or timestamp column. Keys are counted in ``sizes`` if given: a cheaper frame
+    with the same key columns and at least as many rows per key. The hot part is written to the
+    shared folder once, as it is read several times.
     """
+    counted = df if sizes is None else sizes
     hot = (
-        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(_micros(order)).alias("_lo"), F.max(_micros(order)).alias("_hi"))
+        counted.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > split_rows)
     )
     if hot.isEmpty():
         return df, None
     hot = materialize(hot, "hot-keys")
     on = _both([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+    rows = materialize(df.join(F.broadcast(hot), on).drop(*[f"_hot_{k}" for k in keys], "_n"), "hot-rows")
+    span = rows.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_n"), F.min(_micros(order)).alias("_lo"), F.max(_micros(order)).alias("_hi")
+    )
     slices = F.ceil(F.col("_n") * _SLICES_PER_QUOTA / F.lit(split_rows))
-    span = F.greatest(F.col("_hi") - F.col("_lo") + 1, F.lit(1))
-    position = F.floor((_micros(order) - F.col("_lo")).cast("double") / span.cast("double") * slices)
-    sliced = df.join(F.broadcast(hot), on).select(*df.columns, F.coalesce(position, F.lit(0)).cast("int").alias(SLICE))
-    return df.join(F.broadcast(hot), on, "left_anti"), materialize(sliced, "hot-rows")
+    width = F.greatest(F.col("_hi") - F.col("_lo") + 1, F.lit(1))
+    position = F.floor((_micros(order) - F.col("_lo")).cast("double") / width.cast("double") * slices)
+    number = F.coalesce(position, F.lit(0)).cast("int").alias(SLICE)
+    sliced = rows.join(F.broadcast(span), on).select(*df.columns, number)
+    return df.join(F.broadcast(hot), on, "left_anti"), sliced
 
 
 def _joined_to_edges(local: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -133,9 +141,22 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str)
     return out.select(*[F.col("_carried").alias(c) if c == value else F.col(c) for c in df.columns])
 
 
-def per_part(df: DataFrame, keys: list[str], order: str, build, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """Apply ``build`` to the ordinary and to the sliced hot rows and put both together."""
-    cold, hot = split_hot(df, keys, order, split_rows)
+def per_part(
+    df: DataFrame,
+    keys: list[str],
+    order: str,
+    build: Callable[[DataFrame], DataFrame],
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Apply ``build`` to the ordinary and to the sliced hot rows and put both together.
+
+    ``split_rows=None`` skips the count, for input whose rows per key are bounded by its grain, such
+    as one row per key and month.
+    """
+    if split_rows is None:
+        return build(df)
+    cold, hot = split_hot(df, keys, order, split_rows, sizes)
     out = build(cold)
     return out if hot is None else out.unionByName(build(hot).drop(SLICE))
 
@@ -146,6 +167,6 @@ def with_neighbours(
     order: list[str],
     previous: dict[str, str] | None = None,
     following: dict[str, str] | None = None,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     return per_part(df, keys, order[0], lambda part: neighbours(part, keys, order, previous, following), split_rows)

@@ -153,7 +153,7 @@ def period_compare(fact: DataFrame, dimensions: list[str] | None = None) -> Data
     return out.withColumn("change_pct", ratio(F.col("revenue") - F.col("previous_revenue"), "previous_revenue", 100))
 
 
-def price_history(products: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def price_history(products: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Price and margin change of every product version against the one before."""
     base = products.select("product_id", "valid_from", "unit_price", "unit_cost", "margin_percentage")
     out = with_neighbours(
@@ -172,7 +172,7 @@ def price_history(products: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFram
     )
 
 
-def segment_migration(customers: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def segment_migration(customers: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """How often customers moved from one segment to another."""
     base = customers.select("customer_id", "valid_from", "customer_segment")
     out = with_neighbours(

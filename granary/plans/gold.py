@@ -166,12 +166,17 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     return line.join(head, "order_id", "inner")
 
 
-def with_product(lines: DataFrame, products: DataFrame, cost: str = "current") -> DataFrame:
-    """Product attributes per line; the unit cost is today's, or the one valid at the order date."""
+def with_product(
+    lines: DataFrame, products: DataFrame, cost: str = "current", sizes: DataFrame | None = None
+) -> DataFrame:
+    """Product attributes per line; the unit cost is today's, or the one valid at the order date.
+
+    ``sizes`` as in ``join_as_of``, such as the raw items.
+    """
     now = current_only(products).select("product_id", "unit_cost", "category_name", "subcategory_name", "brand")
     if cost == "current":
         return lines.join(now, "product_id", "left").withColumnRenamed("unit_cost", "product_unit_cost")
-    dated = join_as_of(lines, products, "product_id", "order_date", ["unit_cost"])
+    dated = join_as_of(lines, products, "product_id", "order_date", ["unit_cost"], sizes=sizes)
     return dated.join(now.drop("unit_cost"), "product_id", "left").withColumnRenamed(
         "asof_unit_cost", "product_unit_cost"
     )
@@ -196,7 +201,7 @@ def enrich_fact(df: DataFrame) -> DataFrame:
 
 
 def fact_sales(items: DataFrame, orders: DataFrame, products: DataFrame, cost: str = "current") -> DataFrame:
-    out = enrich_fact(with_product(order_lines(items, orders), products, cost))
+    out = enrich_fact(with_product(order_lines(items, orders), products, cost, sizes=items))
     return out.select(
         surrogate_key("order_item_id").alias("fact_sales_key"),
         "order_id",

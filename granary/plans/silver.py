@@ -27,10 +27,10 @@ def stg_orders(raw: DataFrame, strict: bool = False) -> DataFrame:
     return out.drop("calculated_total", "is_total_valid", "is_status_valid", "is_payment_valid")
 
 
-def stg_customers(raw: DataFrame, history: DataFrame | None = None, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def stg_customers(raw: DataFrame, history: DataFrame | None = None, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     return scd2_apply(history, clean_customers(raw), "customer_id", CUSTOMER_TRACKED, split_rows=split_rows)
 
 
-def stg_products(raw: DataFrame, history: DataFrame | None = None, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def stg_products(raw: DataFrame, history: DataFrame | None = None, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     enriched = enrich_products(clean_products(raw))
     return scd2_apply(history, enriched, "product_id", PRODUCT_TRACKED, split_rows=split_rows)

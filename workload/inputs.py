@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.session import spread
+
 RETAIL_TODAY = "2001-12-31"
 EVENTS_NOW = "2024-01-31 00:00:00"
 STATES = [
@@ -13,8 +15,12 @@ STATES = [
 ]
 
 
+HEAVY = ("lineitem", "documents")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
 
 
 def pad(c: Column, width: int) -> Column:

@@ -17,12 +17,15 @@ from workload.sql import CUSTOMER_HASH, dbl, key, query, ratio, share, ts
 TODAY = i.RETAIL_TODAY
 
 
+# the feeds have one row per customer and year, or product and month, so no key can be hot
+
+
 def _customers(s, d):
-    return silver.stg_customers(i.customers(s, d))
+    return silver.stg_customers(i.customers(s, d), split_rows=None)
 
 
 def _products(s, d):
-    return silver.stg_products(i.products(s, d))
+    return silver.stg_products(i.products(s, d), split_rows=None)
 
 
 def _orders(s, d):
@@ -415,7 +418,9 @@ def join_star(s, d):
 )
 def join_scd2_point_in_time(s, d):
     lines = gold.order_lines(_items(s, d), _orders(s, d)).select("order_item_id", "product_id", "order_date")
-    out = scd2.join_as_of(lines, _products(s, d), "product_id", "order_date", ["unit_price", "price_tier"])
+    out = scd2.join_as_of(
+        lines, _products(s, d), "product_id", "order_date", ["unit_price", "price_tier"], sizes=i.items(s, d)
+    )
     return out.drop("order_date")
 
 
@@ -468,6 +473,33 @@ def scd2_products(s, d):
     return _products(s, d).drop("_ingestion_timestamp")
 
 
+@register(
+    "scd2_hot_keys",
+    query(f"select {PRODUCT_SQL}, {HISTORY_SQL} from stg_products", "stg_products"),
+)
+def scd2_hot_keys(s, d):
+    """The same history with a low limit, so that most products take the time-sliced path."""
+    return silver.stg_products(i.products(s, d), split_rows=20).drop("_ingestion_timestamp")
+
+
+@register(
+    "asof_hot_keys",
+    query(
+        """select l.order_item_id, cast(p.unit_price as double) as asof_unit_price
+        from lines l left join stg_products p on p.product_id = l.product_id and l.order_date >= p.valid_from
+          and l.order_date < p.valid_to""",
+        "lines",
+        "stg_products",
+    ),
+)
+def asof_hot_keys(s, d):
+    lines = gold.order_lines(_items(s, d), _orders(s, d)).select("order_item_id", "product_id", "order_date")
+    out = scd2.join_as_of(
+        lines, _products(s, d), "product_id", "order_date", ["unit_price"], split_rows=25, sizes=i.items(s, d)
+    )
+    return out.drop("order_date", "product_id")
+
+
 @register(
     "scd2_incremental",
     query(f"select {PRODUCT_SQL}, {HISTORY_SQL} from stg_products", "stg_products"),
@@ -806,7 +838,7 @@ def win_scd2_close(s, d):
     ),
 )
 def win_price_history(s, d):
-    return analytics.price_history(_products(s, d))
+    return analytics.price_history(_products(s, d), split_rows=None)
 
 
 @register(
@@ -819,7 +851,7 @@ def win_price_history(s, d):
     ),
 )
 def win_segment_migration(s, d):
-    return analytics.segment_migration(_customers(s, d))
+    return analytics.segment_migration(_customers(s, d), split_rows=None)
 
 
 @register(

@@ -194,7 +194,7 @@ def sink_model_incremental(s, d):
 def sink_fact_incremental(s, d):
     """Sales fact built in two runs; the second rebuilds orders that changed or got late items."""
     raw, items = i.orders(s, d), i.items(s, d)
-    products = silver.stg_products(i.products(s, d))
+    products = silver.stg_products(i.products(s, d), split_rows=None)
 
     def fact(orders, lines):
         single = dedup_latest(lines, ["order_item_id"], ["_ingestion_timestamp"])
