@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions.text import first_match, word_set
+from granary.session import materialize
 
 # Key words per query type (first match wins), chunk types per query type in search order.
 QUERY_RULES = [
@@ -34,6 +35,7 @@ NO_CONTEXT = "No relevant context found."
 
 BROADCAST_ROWS = 1_000_000
 QUERY_BLOCK = 4096
+PIECE_ROWS = 4_000_000
 
 
 def classify(text: str | Column) -> Column:
@@ -66,27 +68,26 @@ def candidates(queries: DataFrame, chunks: DataFrame) -> DataFrame:
     return routed.join(F.broadcast(per_type), "chunk_type")
 
 
-def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS) -> DataFrame:
+def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, block: int = QUERY_BLOCK) -> DataFrame:
     """Best ``k`` chunks per query by shared words / query words, ties in search order.
 
-    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Words are matched by an
-    equi-join, counted on the map side per (query, chunk), and each task passes on at most ``k``
-    rows per query. Chunks without a shared word only fill up short lists: as fewer than ``k``
-    chunks matched, the first ``2k`` of a type always hold enough of them.
+    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Up to ``block`` queries are
+    broadcast as an index of their words; each task scores its chunks and passes on at most ``k`` rows
+    per query. More queries are matched by an equi-join on words. Chunks without a shared word only
+    fill up short lists: as fewer than ``k`` chunks matched, the first ``2k`` of a type hold enough.
     """
     routed = route_queries(queries).withColumn("_words", word_set("query"))
-    sized = routed.withColumn("query_words", F.size("_words"))
-    asked = sized.select(
-        "query_id", "query_type", "chunk_type", "position", "query_words", F.explode("_words").alias("word")
-    )
-    offered = chunks.select("chunk_id", "chunk_type", F.explode(word_set("content")).alias("word"))
-    shared = (
-        offered.join(small_side(asked), ["chunk_type", "word"])
-        .groupBy("query_id", "chunk_id", "query_type", "position", "query_words")
-        .agg(F.count(F.lit(1)).alias("overlap"))
-    )
+    asked = routed.select("query_id", "chunk_type", "position", F.size("_words").alias("query_words"), "_words")
+    offered = chunks.select("chunk_id", "chunk_type", word_set("content").alias("_words"))
+    widest = max(len(types) for types in ROUTES.values())
+    head = asked.limit(block * widest + 1).collect()  # bounded by the block size
+    if len(head) <= block * widest:
+        local = _match_in_tasks(head, offered, k)
+    else:
+        local = _match_by_join(asked, offered)
     order = Window.partitionBy("query_id").orderBy(F.desc("overlap"), "position", "chunk_id")
-    best = shared.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
+    best = materialize(best, "matched-chunks")  # at most k rows per query; the texts are read once
 
     first = Window.partitionBy("chunk_type").orderBy("chunk_id")
     fill = (
@@ -96,21 +97,100 @@ def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS) ->
         .drop("_n")
     )
     found = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("_found"))
-    short = sized.join(found, "query_id", "left").filter(F.coalesce("_found", F.lit(0)) < k)
+    short = asked.join(found, "query_id", "left").filter(F.coalesce("_found", F.lit(0)) < k)
     zero = (
-        short.select("query_id", "query_type", "chunk_type", "position", "query_words")
+        short.select("query_id", "chunk_type", "position")
         .join(F.broadcast(fill), "chunk_type")
         .join(best.select("query_id", "chunk_id"), ["query_id", "chunk_id"], "left_anti")
-        .select(*shared.columns[:-1], F.lit(0).cast("long").alias("overlap"))
-    )
-    ranked = (
-        best.drop("rank")
-        .unionByName(zero)
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
+        .select("query_id", "chunk_id", "position", F.lit(0).cast("long").alias("overlap"))
     )
+    ranked = best.unionByName(zero).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    words = routed.select("query_id", "query_type", "position", F.size("_words").alias("query_words"))
     score = F.least(F.col("overlap") / F.greatest("query_words", F.lit(1)), F.lit(1.0))
-    return ranked.select("query_id", "query_type", "chunk_id", "rank", "overlap", score.alias("score"))
+    return ranked.join(words, ["query_id", "position"]).select(
+        "query_id", "query_type", "chunk_id", "rank", "overlap", score.alias("score")
+    )
+
+
+def _match_by_join(asked: DataFrame, offered: DataFrame) -> DataFrame:
+    """Shared-word counts of all pairs with a common word, counted on the map side first."""
+    words = asked.select("query_id", "chunk_type", "position", F.explode("_words").alias("word"))
+    pairs = offered.select("chunk_id", "chunk_type", F.explode("_words").alias("word"))
+    return (
+        pairs.join(small_side(words), ["chunk_type", "word"])
+        .groupBy("query_id", "chunk_id", "position")
+        .agg(F.count(F.lit(1)).alias("overlap"))
+    )
+
+
+class _WordIndex:
+    """Words of the broadcast queries with the queries that hold them, for one chunk type."""
+
+    def __init__(self, words: pd.Series, asked: pd.Series):
+        order = np.argsort(words.to_numpy(), kind="stable")
+        unique, self.starts, self.counts = np.unique(
+            words.to_numpy()[order].astype(str), return_index=True, return_counts=True
+        )
+        self.words, self.asked = pd.Index(unique), asked.to_numpy()[order]
+
+    def overlaps(self, word_lists: pd.Series, n_asked: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(chunk row, query row, shared words) in pieces of bounded size."""
+        lengths = word_lists.str.len().to_numpy().astype("int64")
+        if not lengths.sum():
+            return
+        code = self.words.get_indexer(np.concatenate(word_lists.to_numpy()).astype(str))
+        row = np.repeat(np.arange(len(lengths)), lengths)[code >= 0]
+        code = code[code >= 0]
+        hits = np.bincount(row, weights=self.counts[code], minlength=len(lengths))
+        piece = (np.cumsum(hits) // PIECE_ROWS)[row]  # a chunk is never split, pieces follow row order
+        for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(piece)) + 1):
+            if not len(part):
+                continue
+            n, starts = self.counts[code[part]], self.starts[code[part]]
+            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            asked = self.asked[np.repeat(starts, n) + offset]
+            pair, overlap = np.unique(np.repeat(row[part], n) * n_asked + asked, return_counts=True)
+            yield pair // n_asked, pair % n_asked, overlap
+
+
+def _match_in_tasks(asked: list[Row], offered: DataFrame, k: int) -> DataFrame:
+    """Shared-word counts, reduced to the best ``k`` per query inside each task."""
+    schema = "query_id bigint, chunk_id bigint, position int, overlap bigint"
+    spark = offered.sparkSession
+    postings = pd.DataFrame(
+        [(r["chunk_type"], w, j) for j, r in enumerate(asked) for w in r["_words"]], columns=["type", "word", "asked"]
+    )
+    if not len(postings):
+        return spark.createDataFrame([], schema)
+    index = {t: _WordIndex(g["word"], g["asked"]) for t, g in postings.groupby("type")}
+    ids = np.array([r["query_id"] for r in asked])
+    position = np.array([r["position"] for r in asked])
+    shared = spark.sparkContext.broadcast((index, ids, position))
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        by_type, query_ids, positions = shared.value
+        best = []
+        for batch in batches:
+            for kind, same in batch.groupby("chunk_type"):
+                if kind not in by_type:
+                    continue
+                chunk_ids = same["chunk_id"].to_numpy()
+                for chunk, query, overlap in by_type[kind].overlaps(same["_words"], len(query_ids)):
+                    rows = pd.DataFrame(
+                        {
+                            "query_id": query_ids[query],
+                            "chunk_id": chunk_ids[chunk],
+                            "position": positions[query],
+                            "overlap": overlap,
+                        }
+                    )
+                    ranked = pd.concat([*best, rows]).sort_values(
+                        ["overlap", "position", "chunk_id"], ascending=[False, True, True]
+                    )
+                    best = [ranked.groupby("query_id", sort=False).head(k)]
+        yield from best
+
+    return offered.mapInPandas(scan, schema)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -129,13 +209,16 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _score_batch(query_ids: np.ndarray, unit_queries: np.ndarray, batch: pd.DataFrame, k: int) -> pd.DataFrame:
-    ids = batch["chunk_id"].to_numpy()
-    scores = _unit(np.stack(batch["embedding"].to_numpy()).astype("float64")) @ unit_queries.T
     parts = []
-    for j, query_id in enumerate(query_ids):
-        top = _top(scores[:, j], ids, k)
-        parts.append(pd.DataFrame({"query_id": query_id, "chunk_id": ids[top], "similarity": scores[top, j]}))
-    return pd.concat(parts, ignore_index=True)
+    step = max(1, PIECE_ROWS // len(query_ids))
+    for start in range(0, len(batch), step):
+        piece = batch.iloc[start : start + step]
+        ids = piece["chunk_id"].to_numpy()
+        scores = _unit(np.stack(piece["embedding"].to_numpy()).astype("float64")) @ unit_queries.T
+        for j, query_id in enumerate(query_ids):
+            top = _top(scores[:, j], ids, k)
+            parts.append(pd.DataFrame({"query_id": query_id, "chunk_id": ids[top], "similarity": scores[top, j]}))
+    return _keep_best(pd.concat(parts, ignore_index=True), k)
 
 
 def _keep_best(rows: pd.DataFrame, k: int) -> pd.DataFrame:

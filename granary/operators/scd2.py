@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.keys import surrogate_key
 from granary.operators.dedup import dedup_latest
-from granary.operators.skew import SPLIT_ROWS, carry_forward, neighbours, per_part
+from granary.operators.skew import SLICE, SPLIT_ROWS, carry_forward, neighbours, per_part
 
 # End of validity of an open version, and the columns whose change opens a new version.
 OPEN_END = "9999-12-31 23:59:59"
@@ -64,7 +64,10 @@ def build_history(
     arrival = [c for c in ("_ingestion_timestamp",) if c in df.columns]
 
     def build(part: DataFrame) -> DataFrame:
-        hashed = part.withColumn("_row_hash", change_hash(tracked))
+        # ordinary keys: one shuffle by key serves the aggregation and both windows;
+        # hot keys: copies are reduced on the map side before their rows move
+        placed = part if SLICE in part.columns else part.repartition(F.col(key))
+        hashed = placed.withColumn("_row_hash", change_hash(tracked))
         single = dedup_latest(hashed, [key, updated_at], arrival)
         seen = neighbours(single, [key], [updated_at], previous={"_prev_hash": "_row_hash"})
         changed = seen.filter(~F.col("_has_previous") | (F.col("_row_hash") != F.col("_prev_hash")))

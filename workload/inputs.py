@@ -162,15 +162,17 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("_ingestion_timestamp"),
         ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")).alias("_returned"),
     )
-    later = F.make_dt_interval(F.lit(30))
-    again = first.filter("_returned").withColumns(
+    # a returned order comes twice: as placed, and 30 days later with its new status
+    times = F.sequence(F.lit(0), F.col("_returned").cast("int"))
+    both = first.select("*", F.explode(times).alias("_again"))
+    again, later = F.col("_again") == 1, F.make_dt_interval(F.col("_again") * 30)
+    return both.withColumns(
         {
-            "order_status": F.lit("returned"),
+            "order_status": F.when(again, "returned").otherwise(F.col("order_status")),
             "updated_at": F.col("updated_at") + later,
             "_ingestion_timestamp": F.col("_ingestion_timestamp") + later,
         }
-    )
-    return first.unionByName(again).drop("_returned")
+    ).drop("_returned", "_again")
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
