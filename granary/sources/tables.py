@@ -1,6 +1,6 @@
 """Versioned Parquet tables: overwrite, append and keyed merge with an atomic switch of versions.
 
-A table folder holds immutable data folders ``v=<n>/<partition>=<value>/`` and one small commit file
+A table folder holds immutable data folders ``_table_version=<n>-<id>/<partition>=<value>/`` and one small commit file
 per version in ``_commits``, which lists the live data folders. Readers take the newest commit, so a
 failed or repeated write never shows half a result. A merge rewrites only partitions that hold a
 matching key; all other data folders are carried over by name. The list grows with the number of
@@ -10,6 +10,7 @@ partitions, never with the rows.
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 from urllib.parse import unquote
 
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+VERSION_COLUMN = "_table_version"
+
+
 class DuplicateSourceKeys(ValueError):
     """The batch holds a business key more than once, so a merge would be ambiguous."""
 
@@ -99,12 +103,15 @@ class LakeTable:
 
     def _write_data(self, df: DataFrame, version: int) -> tuple[list[str], int]:
         """Write one data folder; the row count is observed during the write, not by a second job."""
+        if VERSION_COLUMN in df.columns:
+            raise ValueError(f"{VERSION_COLUMN} is reserved for the table's folders")
         seen = Observation()
-        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if self.partition_by:
             out = out.partitionBy(*self.partition_by)
-        out.parquet(f"{self.path}/v={version}")
-        return self._leaf_folders(f"v={version}"), int(seen.get["rows"])
+        folder = f"{VERSION_COLUMN}={version}-{uuid.uuid4().hex[:8]}"  # two writers never share a folder
+        out.parquet(f"{self.path}/{folder}")
+        return self._leaf_folders(folder), int(seen.get["rows"])
 
     def _leaf_folders(self, folder: str) -> list[str]:
         if not self.partition_by:
@@ -183,11 +190,28 @@ class LakeTable:
         its source is read a single time; a key that occurs twice in it is an error.
         """
         version, old = self._next()
-        staged, rows = self._stage(df, version)
-        self._reject_duplicates(staged, keys)
-        if old is None:
-            return self.overwrite(staged, **more)
+        staging = f"_staging/{version}-{uuid.uuid4().hex[:8]}"
+        staged, rows = self._stage(df, staging)
+        try:
+            self._reject_duplicates(staged, keys)
+            if old is None:
+                return self.overwrite(staged, **more)
+            return self._merge_staged(staged, rows, version, old, keys, update_columns, null_safe, more)
+        finally:
+            fs, path = self._fs_path(staging)
+            fs.delete(path, True)
 
+    def _merge_staged(
+        self,
+        staged: DataFrame,
+        rows: int,
+        version: int,
+        old: dict,
+        keys: list[str],
+        update_columns: list[str] | None,
+        null_safe: bool,
+        more: dict,
+    ) -> dict:
         schema = T.StructType.fromJson(old["schema"])
         source = self._widen(staged, schema)
         target = self._load(old)
@@ -205,10 +229,10 @@ class LakeTable:
         live = [f for f in old["folders"] if f not in set(touched)]
         return self._finish(version, "merge", _nullable(out.schema), live + folders, rows=rows, **more)
 
-    def _stage(self, df: DataFrame, version: int) -> tuple[DataFrame, int]:
+    def _stage(self, df: DataFrame, folder: str) -> tuple[DataFrame, int]:
         seen = Observation()
-        path = f"{self.path}/_staging/{version}"
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        path = f"{self.path}/{folder}"
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
 
     @staticmethod
@@ -228,7 +252,7 @@ class LakeTable:
             return commit["folders"]
         slim = target.select(*dict.fromkeys([*keys, *self.partition_by]), F.col("_metadata.file_path").alias("_file"))
         hits = slim.join(*_matching(slim, source, keys, null_safe), "left_semi")
-        folder = F.regexp_extract("_file", r"(v=[0-9]+/.*)/[^/]+$", 1)
+        folder = F.regexp_extract("_file", rf"({VERSION_COLUMN}=[^/]+/.*)/[^/]+$", 1)
         names = {r[0] for r in hits.select(folder.alias("f")).distinct().collect()}  # one row per folder
         found = {n if n in commit["folders"] else unquote(n) for n in names}
         if not found <= set(commit["folders"]):
