@@ -16,6 +16,9 @@ def _col(value: str | Column) -> Column:
 
 def surrogate_key(*columns: str | Column) -> Column:
     """md5 over the text form of the columns; NULL has its own marker."""
+    if all(isinstance(c, str) for c in columns):
+        names = ", ".join(f"coalesce(cast(`{c}` as string), '{NULL_SENTINEL}')" for c in columns)
+        return F.expr(f"md5(concat_ws('{SEPARATOR}', {names}))")
     parts = [F.coalesce(_col(c).cast("string"), F.lit(NULL_SENTINEL)) for c in columns]
     return F.md5(F.concat_ws(SEPARATOR, *parts))
 

@@ -17,8 +17,9 @@ def _latest(keys: list[str], order: list[str], columns: list[str]) -> Column:
 
 def dedup_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, ties broken by all other columns."""
-    picked = df.groupBy(*keys).agg(_latest(keys, order, df.columns).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    columns = df.columns
+    picked = df.groupBy(*keys).agg(_latest(keys, order, columns).alias("_row"))
+    return picked.select(*keys, "_row.*").select(*columns)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", app: str = "granary", shuffle_partitio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("GRANARY_DRIVER_MEMORY", "12g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no Python call site per expression
         .getOrCreate()
     )
 

@@ -16,10 +16,27 @@ STATES = [
 
 
 HEAVY = ("lineitem", "documents")
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table with its declared schema, so no job has to infer it."""
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
     return spread(df) if name in HEAVY else df
 
 
@@ -31,148 +48,102 @@ def money(c: str | Column, precision: int = 12) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(f"decimal({precision},2)")
 
 
-def customer_id(c: str) -> Column:
-    return F.concat(F.lit("CUST-"), pad(F.col(c), 8))
-
+def id_sql(prefix: str, column: str, width: int) -> str:
+    return f"concat('{prefix}-', lpad(cast({column} as string), {width}, '0'))"
 
-def product_id(c: str) -> Column:
-    return F.concat(F.lit("SKU-"), pad(F.col(c), 6))
 
-
-def order_id(c: str) -> Column:
-    return F.concat(F.lit("ORD-"), pad(F.col(c), 10))
+def customer_id(c: str) -> Column:
+    return F.expr(id_sql("CUST", c, 8))
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """One row per customer and year with orders; the segment follows the year's spending."""
     orders = table(spark, folder, "orders")
-    yearly = orders.groupBy("o_custkey", F.year("o_orderdate").alias("year")).agg(
-        F.sum(money("o_totalprice")).alias("spent"), F.min("o_orderdate").alias("first")
+    yearly = orders.groupBy("o_custkey", F.expr("year(o_orderdate) as year")).agg(
+        F.expr("sum(cast(o_totalprice as decimal(12,2))) as spent"), F.min("o_orderdate").alias("first")
     )
-    first = yearly.groupBy("o_custkey").agg(F.min("first").alias("registered"))
+    first = yearly.groupBy(F.col("o_custkey").alias("k")).agg(F.min("first").alias("registered"))
     nation = table(spark, folder, "nation")
     base = table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    joined = (
-        base.join(first, F.col("c_custkey") == first["o_custkey"])
-        .drop("o_custkey")
-        .join(yearly, F.col("c_custkey") == yearly["o_custkey"])
+    joined = base.join(first, F.col("c_custkey") == F.col("k")).join(yearly, F.col("c_custkey") == F.col("o_custkey"))
+    states = ", ".join(f"'{s}'" for s in STATES)
+    return joined.selectExpr(
+        id_sql("CUST", "c_custkey", 8) + " as customer_id",
+        "concat('  ', lower(substring_index(c_name, '#', 1)), ' ') as first_name",
+        "substring_index(c_name, '#', -1) as last_name",
+        "case when c_acctbal >= -500 then concat(' ', replace(c_name, '#', '.'), '@', c_mktsegment, '.com') end as email",
+        """concat('+55 (', cast(c_nationkey + 11 as string), ') 9', lpad(cast(c_custkey % 10000 as string), 4, '0'), '-',
+          lpad(cast(c_custkey * 7 % 10000 as string), 4, '0')) as phone""",
+        "concat(' ', c_mktsegment, ' street ', cast(c_custkey as string), ' ') as address_line1",
+        "concat(' ', lower(n_name)) as city",
+        f"element_at(array({states}), c_nationkey + 1) as state",
+        "concat(lpad(cast(c_custkey * 37 % 100000 as string), 5, '0'), '-000') as postal_code",
+        "case when c_acctbal >= 500 then 'br' end as country_code",
+        """case when spent < 150000 then 'bronze' when spent < 400000 then 'silver ' when spent < 800000 then 'Gold'
+          else 'PLATINUM' end as customer_segment""",
+        "to_date(registered) as registration_date",
+        "case when c_acctbal < 9000 then c_acctbal >= 0 end as is_active",
+        "cast(registered as timestamp) as created_at",
+        "cast(make_date(year, 1, 1) as timestamp) as updated_at",
+        "cast(make_date(year, 1, 1) as timestamp) as _ingestion_timestamp",
     )
-    segment = (
-        F.when(F.col("spent") < 150000, "bronze")
-        .when(F.col("spent") < 400000, "silver ")
-        .when(F.col("spent") < 800000, "Gold")
-        .otherwise("PLATINUM")
-    )
-    updated = F.make_date("year", F.lit(1), F.lit(1)).cast("timestamp")
-    return joined.select(
-        customer_id("c_custkey").alias("customer_id"),
-        F.concat(F.lit("  "), F.lower(F.substring_index("c_name", "#", 1)), F.lit(" ")).alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        F.when(
-            F.col("c_acctbal") >= -500,
-            F.concat(F.lit(" "), F.replace(F.col("c_name"), F.lit("#"), F.lit(".")), F.lit("@"), "c_mktsegment", F.lit(".com")),
-        ).alias("email"),
-        F.concat(
-            F.lit("+55 ("), (F.col("c_nationkey") + 11).cast("string"), F.lit(") 9"),
-            pad(F.col("c_custkey") % 10000, 4), F.lit("-"), pad(F.col("c_custkey") * 7 % 10000, 4),
-        ).alias("phone"),
-        F.concat(F.lit(" "), "c_mktsegment", F.lit(" street "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("address_line1"),
-        F.concat(F.lit(" "), F.lower("n_name")).alias("city"),
-        F.element_at(F.array(*[F.lit(s) for s in STATES]), F.col("c_nationkey") + 1).alias("state"),
-        F.concat(pad(F.col("c_custkey") * 37 % 100000, 5), F.lit("-000")).alias("postal_code"),
-        F.when(F.col("c_acctbal") >= 500, "br").alias("country_code"),
-        segment.alias("customer_segment"),
-        F.to_date("registered").alias("registration_date"),
-        F.when(F.col("c_acctbal") < 9000, F.col("c_acctbal") >= 0).alias("is_active"),
-        F.col("registered").cast("timestamp").alias("created_at"),
-        updated.alias("updated_at"),
-        updated.alias("_ingestion_timestamp"),
-    )
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:
     """One row per part and month sold; the price is the month's average in whole cents."""
     line = table(spark, folder, "lineitem")
-    cents = F.sum(F.round(F.col("l_extendedprice") * 100).cast("long"))
-    units = F.sum(F.col("l_quantity").cast("long"))
-    monthly = line.groupBy("l_partkey", F.trunc("l_shipdate", "month").alias("month")).agg(
-        F.floor(cents / units).cast("long").alias("price_cents")
+    monthly = line.groupBy("l_partkey", F.expr("trunc(l_shipdate, 'month') as month")).agg(
+        F.expr(
+            """cast(floor(sum(cast(round(l_extendedprice * 100) as bigint)) / sum(cast(l_quantity as bigint))) as bigint)
+              as price_cents"""
+        )
     )
     joined = table(spark, folder, "part").join(monthly, F.col("p_partkey") == F.col("l_partkey"))
-    retail = money("p_retailprice", 10)
-    percent = (F.lit(50) + F.col("p_size") % 5 * 10).cast("decimal(5,0)")
-    cost = F.round(retail * percent * F.lit("0.01").cast("decimal(3,2)"), 2)
-    updated = F.col("month").cast("timestamp")
-    return joined.select(
-        product_id("p_partkey").alias("product_id"),
-        F.concat(F.lit(" "), "p_name").alias("product_name"),
-        F.concat(F.lit("CAT-"), "p_type").alias("category_id"),
-        F.concat("p_type", F.lit(" ")).alias("category_name"),
-        F.when(F.col("p_size") >= 5, F.substring_index("p_name", " ", -1)).alias("subcategory_name"),
-        F.lower("p_brand").alias("brand"),
-        (F.col("price_cents").cast("decimal(10,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)").alias("unit_price"),
-        cost.cast("decimal(10,2)").alias("unit_cost"),
-        F.col("p_size").alias("stock_quantity"),
-        F.when(F.col("p_size") != 7, F.col("p_size") != 13).alias("is_active"),
-        F.date_sub(F.lit(RETAIL_TODAY).cast("date"), (F.col("p_partkey") % 500).cast("int")).cast("timestamp").alias("created_at"),
-        updated.alias("updated_at"),
-        updated.alias("_ingestion_timestamp"),
-    )
+    return joined.selectExpr(
+        id_sql("SKU", "p_partkey", 6) + " as product_id",
+        "concat(' ', p_name) as product_name",
+        "concat('CAT-', p_type) as category_id",
+        "concat(p_type, ' ') as category_name",
+        "case when p_size >= 5 then substring_index(p_name, ' ', -1) end as subcategory_name",
+        "lower(p_brand) as brand",
+        "cast(cast(price_cents as decimal(10,0)) * cast(0.01 as decimal(3,2)) as decimal(10,2)) as unit_price",
+        """cast(round(cast(p_retailprice as decimal(10,2)) * cast(50 + p_size % 5 * 10 as decimal(5,0))
+          * cast(0.01 as decimal(3,2)), 2) as decimal(10,2)) as unit_cost""",
+        "p_size as stock_quantity",
+        "case when p_size <> 7 then p_size <> 13 end as is_active",
+        f"cast(date_sub(date'{RETAIL_TODAY}', cast(p_partkey % 500 as int)) as timestamp) as created_at",
+        "cast(month as timestamp) as updated_at",
+        "cast(month as timestamp) as _ingestion_timestamp",
+    )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with some wrong totals, unknown labels and a second delivery of returned orders."""
-    o = table(spark, folder, "orders")
-    key = F.col("o_orderkey")
-    total = money("o_totalprice")
-    discount = (key % 4).cast("decimal(10,0)") * F.lit("2.50").cast("decimal(10,2)")
-    shipping = (key % 5 * 5).cast("decimal(10,2)")
-    off = (
-        F.when(key % 40 == 0, F.lit("1.00"))
-        .when(key % 40 == 1, F.lit("0.01"))
-        .otherwise(F.lit("0.00"))
-        .cast("decimal(4,2)")
-    )
-    status = (
-        F.when(key % 97 == 0, "LOST")
-        .when(F.col("o_orderstatus") == "F", "delivered ")
-        .when(F.col("o_orderstatus") == "O", " Shipped")
-        .otherwise("PENDING")
-    )
-    payment = F.when(key % 89 == 0, "CASH").otherwise(
-        F.element_at(
-            F.array(*[F.lit(v) for v in ("CREDIT_CARD", "debit_card", "PIX", " boleto", "WALLET")]),
-            F.substring("o_orderpriority", 1, 1).cast("int"),
-        )
+    """Orders with some wrong totals and unknown labels; a returned order comes a second time, 30 days later."""
+    discount = "cast(o_orderkey % 4 as decimal(10,0)) * cast(2.50 as decimal(10,2))"
+    shipping = "cast(o_orderkey % 5 * 5 as decimal(10,2))"
+    off = "case when o_orderkey % 40 = 0 then 1.00BD when o_orderkey % 40 = 1 then 0.01BD else 0.00BD end"
+    deliveries = table(spark, folder, "orders").selectExpr(
+        "*",
+        "cast(o_orderdate as timestamp) + make_dt_interval(0, cast(o_orderkey % 24 as int)) as placed",
+        "explode(sequence(0, cast(o_orderstatus = 'F' and o_orderpriority = '1-URGENT' as int))) as again",
     )
-    placed = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(F.lit(0), (key % 24).cast("int"))
-    first = o.select(
-        order_id("o_orderkey").alias("order_id"),
-        customer_id("o_custkey").alias("customer_id"),
-        placed.alias("order_date"),
-        status.alias("order_status"),
-        F.concat("o_orderpriority", F.lit(" avenue "), F.col("o_custkey").cast("string")).alias("shipping_address"),
-        payment.alias("payment_method"),
-        (total + discount - shipping + off).cast("decimal(12,2)").alias("subtotal"),
-        discount.cast("decimal(10,2)").alias("discount_amount"),
-        shipping.alias("shipping_cost"),
-        F.when(key % 101 != 0, total).alias("total_amount"),
-        placed.alias("created_at"),
-        placed.alias("updated_at"),
-        F.col("o_orderdate").cast("timestamp").alias("_ingestion_timestamp"),
-        ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")).alias("_returned"),
+    return deliveries.selectExpr(
+        id_sql("ORD", "o_orderkey", 10) + " as order_id",
+        id_sql("CUST", "o_custkey", 8) + " as customer_id",
+        "placed as order_date",
+        """case when again = 1 then 'returned' when o_orderkey % 97 = 0 then 'LOST' when o_orderstatus = 'F' then 'delivered '
+          when o_orderstatus = 'O' then ' Shipped' else 'PENDING' end as order_status""",
+        "concat(o_orderpriority, ' avenue ', cast(o_custkey as string)) as shipping_address",
+        """case when o_orderkey % 89 = 0 then 'CASH' else element_at(array('CREDIT_CARD', 'debit_card', 'PIX', ' boleto',
+          'WALLET'), cast(substring(o_orderpriority, 1, 1) as int)) end as payment_method""",
+        f"cast(cast(o_totalprice as decimal(12,2)) + {discount} - {shipping} + {off} as decimal(12,2)) as subtotal",
+        f"cast({discount} as decimal(10,2)) as discount_amount",
+        f"{shipping} as shipping_cost",
+        "case when o_orderkey % 101 <> 0 then cast(o_totalprice as decimal(12,2)) end as total_amount",
+        "placed as created_at",
+        "placed + make_dt_interval(again * 30) as updated_at",
+        "cast(o_orderdate as timestamp) + make_dt_interval(again * 30) as _ingestion_timestamp",
     )
-    # a returned order comes twice: as placed, and 30 days later with its new status
-    times = F.sequence(F.lit(0), F.col("_returned").cast("int"))
-    both = first.select("*", F.explode(times).alias("_again"))
-    again, later = F.col("_again") == 1, F.make_dt_interval(F.col("_again") * 30)
-    return both.withColumns(
-        {
-            "order_status": F.when(again, "returned").otherwise(F.col("order_status")),
-            "updated_at": F.col("updated_at") + later,
-            "_ingestion_timestamp": F.col("_ingestion_timestamp") + later,
-        }
-    ).drop("_returned", "_again")
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,47 +152,44 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def items_from(line: DataFrame) -> DataFrame:
-    cents = F.floor(F.round(F.col("l_extendedprice") * 100) / F.col("l_quantity")).cast("decimal(12,0)")
-    rate = F.col("l_discount").cast("decimal(5,2)")
-    total = F.round(money("l_extendedprice") * (F.lit(1).cast("decimal(5,2)") - rate), 2)
-    shipped = F.col("l_shipdate").cast("timestamp")
-    return line.select(
-        F.concat(order_id("l_orderkey"), F.lit("-"), pad(F.col("l_linenumber"), 3)).alias("order_item_id"),
-        order_id("l_orderkey").alias("order_id"),
-        product_id("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (cents * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)").alias("unit_price"),
-        (rate * F.lit(100)).cast("decimal(5,2)").alias("discount_percent"),
-        total.cast("decimal(12,2)").alias("line_total"),
-        shipped.alias("created_at"),
-        shipped.alias("_ingestion_timestamp"),
+    rate = "cast(l_discount as decimal(5,2))"
+    return line.selectExpr(
+        f"concat({id_sql('ORD', 'l_orderkey', 10)}, '-', lpad(cast(l_linenumber as string), 3, '0')) as order_item_id",
+        id_sql("ORD", "l_orderkey", 10) + " as order_id",
+        id_sql("SKU", "l_partkey", 6) + " as product_id",
+        "cast(l_quantity as int) as quantity",
+        """cast(cast(floor(round(l_extendedprice * 100) / l_quantity) as decimal(12,0)) * cast(0.01 as decimal(3,2))
+          as decimal(10,2)) as unit_price""",
+        f"cast({rate} * 100 as decimal(5,2)) as discount_percent",
+        f"""cast(round(cast(l_extendedprice as decimal(12,2)) * (cast(1 as decimal(5,2)) - {rate}), 2) as decimal(12,2))
+          as line_total""",
+        "cast(l_shipdate as timestamp) as created_at",
+        "cast(l_shipdate as timestamp) as _ingestion_timestamp",
     )
 
 
 def _props_number() -> Column:
-    return F.get_json_object("props", "$.k").cast("long")
+    return F.expr("cast(get_json_object(props, '$.k') as bigint)")
 
 
 def calls_from(events: DataFrame) -> DataFrame:
-    k = _props_number()
-    models = F.array(*[F.lit(m) for m in ("gpt-4", "gpt-4-turbo", "gpt-3.5-turbo", "mock", "other")])
-    return events.select(
-        F.col("event_id").cast("string").alias("call_id"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.col("event_type").alias("role"),
-        F.element_at(models, (F.col("user_id") % 5 + 1).cast("int")).alias("model"),
-        k.alias("input_tokens"),
-        (k % 50).alias("output_tokens"),
-        (k + k % 50).alias("total_tokens"),
-        (money("value") * 10).cast("decimal(14,2)").alias("latency_ms"),
-        F.when(F.col("event_id") % 7 != 0, (F.col("event_id") % 101).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)"))
-        .cast("decimal(6,4)")
-        .alias("confidence_score"),
-        F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 10 > 0).alias("human_approved"),
-        F.lit(None).cast("string").alias("query_type"),
-        (F.col("event_id") % 6).cast("int").alias("rag_chunks_used"),
-        (F.col("event_type") != "error").alias("success"),
-        F.when(F.col("event_type") == "error", "call failed").alias("error_message"),
+    numbered = events.withColumn("k", _props_number())
+    return numbered.selectExpr(
+        "cast(event_id as string) as call_id",
+        "cast(ts as timestamp) as timestamp",
+        "event_type as role",
+        "element_at(array('gpt-4', 'gpt-4-turbo', 'gpt-3.5-turbo', 'mock', 'other'), cast(user_id % 5 + 1 as int)) as model",
+        "k as input_tokens",
+        "k % 50 as output_tokens",
+        "k + k % 50 as total_tokens",
+        "cast(cast(value as decimal(12,2)) * 10 as decimal(14,2)) as latency_ms",
+        """cast(case when event_id % 7 <> 0 then cast(event_id % 101 as decimal(3,0)) * cast(0.01 as decimal(3,2)) end
+          as decimal(6,4)) as confidence_score""",
+        "case when event_id % 3 <> 0 then event_id % 10 > 0 end as human_approved",
+        "cast(null as string) as query_type",
+        "cast(event_id % 6 as int) as rag_chunks_used",
+        "event_type <> 'error' as success",
+        "case when event_type = 'error' then 'call failed' end as error_message",
     )
 
 
