@@ -71,8 +71,8 @@ def candidates(queries: DataFrame, chunks: DataFrame) -> DataFrame:
 def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, block: int = QUERY_BLOCK) -> DataFrame:
     """Best ``k`` chunks per query by shared words / query words, ties in search order.
 
-    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Up to ``block`` queries are
-    broadcast as an index of their words; each task scores its chunks and passes on at most ``k`` rows
+    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Up to ``block`` queries with
+    a million words are broadcast as an index of their words; each task scores its chunks and passes on at most ``k`` rows
     per query. More queries are matched by an equi-join on words. Chunks without a shared word only
     fill up short lists: as fewer than ``k`` chunks matched, the first ``2k`` of a type hold enough.
     """
@@ -80,9 +80,9 @@ def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, blo
     asked = routed.select("query_id", "chunk_type", "position", F.size("_words").alias("query_words"), "_words")
     offered = chunks.select("chunk_id", "chunk_type", word_set("content").alias("_words"))
     widest = max(len(types) for types in ROUTES.values())
-    head = asked.limit(block * widest + 1).collect()  # bounded by the block size
-    if len(head) <= block * widest:
-        local = _match_in_tasks(head, offered, k)
+    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum("query_words").alias("words")).first()
+    if size["rows"] <= block * widest and (size["words"] or 0) <= BROADCAST_ROWS:
+        local = _match_in_tasks(asked.collect(), offered, k)  # bounded by both limits
     else:
         local = _match_by_join(asked, offered)
     order = Window.partitionBy("query_id").orderBy(F.desc("overlap"), "position", "chunk_id")

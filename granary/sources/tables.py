@@ -101,11 +101,17 @@ class LakeTable:
 
     # -- writing -----------------------------------------------------------------------------
 
-    def _write_data(self, df: DataFrame, version: int) -> tuple[list[str], int]:
-        """Write one data folder; the row count is observed during the write, not by a second job."""
+    def _write_data(self, df: DataFrame, version: int, rebalance: bool = False) -> tuple[list[str], int]:
+        """Write one data folder; the row count is observed during the write, not by a second job.
+
+        ``rebalance`` gathers rows by partition value before a write that spans many of them, so that
+        each folder gets few files; AQE splits the partitions that are too large for one task.
+        """
         if VERSION_COLUMN in df.columns:
             raise ValueError(f"{VERSION_COLUMN} is reserved for the table's folders")
         seen = Observation()
+        if rebalance and self.partition_by:
+            df = df.hint("rebalance", *self.partition_by)
         out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
         if self.partition_by:
             out = out.partitionBy(*self.partition_by)
@@ -129,7 +135,14 @@ class LakeTable:
         versions = self._versions()
         return (versions[-1] + 1, self._commit(versions[-1])) if versions else (1, None)
 
+    def stream_epoch(self, stream: str) -> int:
+        """Last micro-batch of a stream that is part of the table, -1 before the first."""
+        versions = self._versions()
+        return self._commit(versions[-1]).get("streams", {}).get(stream, -1) if versions else -1
+
     def _finish(self, version: int, operation: str, schema: T.StructType, folders: list[str], **more) -> dict:
+        if version > 1:  # progress of all streams is carried from commit to commit
+            more["streams"] = self._commit(version - 1).get("streams", {}) | more.get("streams", {})
         body = {
             "version": version,
             "operation": operation,
@@ -156,11 +169,11 @@ class LakeTable:
         ]
         return self._ordered(df.select(*shared, *[c for c in df.columns if c not in old.fieldNames()]))
 
-    def overwrite(self, df: DataFrame, **more) -> dict:
+    def overwrite(self, df: DataFrame, rebalance: bool = False, **more) -> dict:
         """Full refresh; the schema may change. Older versions stay readable by number."""
         version, _ = self._next()
         out = self._ordered(df)
-        folders, rows = self._write_data(out, version)
+        folders, rows = self._write_data(out, version, rebalance)
         return self._finish(version, "overwrite", _nullable(out.schema), folders, rows=rows, **more)
 
     def append(self, df: DataFrame, idempotency_keys: list[str] | None = None, **more) -> dict:
@@ -195,7 +208,7 @@ class LakeTable:
         try:
             self._reject_duplicates(staged, keys)
             if old is None:
-                return self.overwrite(staged, **more)
+                return self.overwrite(staged, rebalance=True, **more)
             return self._merge_staged(staged, rows, version, old, keys, update_columns, null_safe, more)
         finally:
             fs, path = self._fs_path(staging)
@@ -225,7 +238,7 @@ class LakeTable:
         if update_columns is not None:
             arriving = self._partial_update(rewritten, source, keys, update_columns, null_safe)
         out = kept.select(*source.columns).unionByName(arriving.select(*source.columns))
-        folders, _ = self._write_data(out, version)
+        folders, _ = self._write_data(out, version, rebalance=True)
         live = [f for f in old["folders"] if f not in set(touched)]
         return self._finish(version, "merge", _nullable(out.schema), live + folders, rows=rows, **more)
 

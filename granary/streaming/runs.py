@@ -1,11 +1,14 @@
 """Structured Streaming: raw ingestion, idempotent append, windowed metrics, freshness.
 
-Every sink is safe to replay: batches carry their id into the table's commits, and a batch that is
-already committed is skipped.
+Every sink is safe to replay: each commit of a table records how far every stream has come, and a
+micro-batch that is already part of the table is skipped.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +33,20 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.Struct
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
 
 
-def _already_committed(table: LakeTable, batch_id: str) -> bool:
-    return any(c.get("batch_id") == batch_id for c in table.history(20))
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the query, which Spark keeps in its checkpoint: equal after a restart, new after a reset."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _once(table: LakeTable, checkpoint: str, write: Callable[[DataFrame, str, dict], None]) -> Callable:
+    """A batch function that skips micro-batches already part of the table."""
+
+    def one(batch: DataFrame, epoch: int) -> None:
+        stream = _stream_id(table.spark, checkpoint)
+        if table.stream_epoch(stream) < epoch:
+            write(batch, f"stream-{epoch}", {stream: epoch})
+
+    return one
 
 
 def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -54,14 +69,11 @@ def ingest_merge(
     ``ingested_at`` names the event column used as ingestion time, so a replay writes the same rows.
     """
 
-    def one(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"stream-{epoch}"
-        if _already_committed(table, batch_id):
-            return
+    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
         stamped = stamp_metadata(batch, source_system, batch_id, F.col(ingested_at).cast("timestamp"))
-        table.merge(dedup_latest(stamped, keys, order), keys, batch_id=batch_id)
+        table.merge(dedup_latest(stamped, keys, order), keys, batch_id=batch_id, streams=progress)
 
-    return _start(stream.writeStream.foreachBatch(one), checkpoint, available_now)
+    return _start(stream.writeStream.foreachBatch(_once(table, checkpoint, write)), checkpoint, available_now)
 
 
 def append_once(
@@ -74,15 +86,15 @@ def append_once(
 ) -> StreamingQuery:
     """Append only rows whose key is new to the table.
 
-    Copies inside a batch are reduced before the shuffle, so many copies of one key stay cheap.
+    Copies inside a batch are reduced before the shuffle, so many copies of one key stay cheap. Each
+    batch reads the key columns of the table; ``drop_repeats`` bounds that by a time limit instead.
     """
 
-    def one(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"stream-{epoch}"
-        if not _already_committed(table, batch_id):
-            table.append(dedup_latest(batch, keys, order), idempotency_keys=keys, batch_id=batch_id)
+    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
+        single = dedup_latest(batch, keys, order)
+        table.append(single, idempotency_keys=keys, batch_id=batch_id, streams=progress)
 
-    return _start(stream.writeStream.foreachBatch(one), checkpoint, available_now)
+    return _start(stream.writeStream.foreachBatch(_once(table, checkpoint, write)), checkpoint, available_now)
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -113,12 +125,11 @@ def newest_per_table(
     """Keep the newest event time and row count per monitored table. State: one row per table."""
     newest = stream.groupBy(table_column).agg(F.max(event_time).alias("newest"), F.count(F.lit(1)).alias("rows"))
 
-    def one(batch: DataFrame, epoch: int) -> None:
-        batch_id = f"stream-{epoch}"
-        if not _already_committed(table, batch_id):
-            table.merge(batch, [table_column], batch_id=batch_id)
+    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
+        table.merge(batch, [table_column], batch_id=batch_id, streams=progress)
 
-    return _start(newest.writeStream.outputMode("update").foreachBatch(one), checkpoint, available_now)
+    writer = newest.writeStream.outputMode("update").foreachBatch(_once(table, checkpoint, write))
+    return _start(writer, checkpoint, available_now)
 
 
 def freshness_of(newest: DataFrame, as_of: str, sla_hours: float) -> DataFrame:

@@ -39,12 +39,24 @@ def test_merge_and_resume(spark, tmp_path):
 
 
 def test_replayed_batch_is_skipped(spark, tmp_path):
-    folder = str(tmp_path / "in")
+    folder, check = str(tmp_path / "in"), tmp_path / "check"
     table = LakeTable(spark, str(tmp_path / "out"))
     put(spark, folder, ("a", 1, 0))
-    for n in range(2):  # a lost checkpoint replays batch 0
-        runs.append_once(source(spark, folder), table, ["id"], ["at"], str(tmp_path / f"check{n}")).awaitTermination()
-    assert got(table) == [("a", 1)] and len(table.history(10)) == 1
+    runs.append_once(source(spark, folder), table, ["id"], ["at"], str(check)).awaitTermination()
+    table.append(spark.createDataFrame([("x", 1, T0)], SCHEMA))  # another writer in between
+    for name in ("0", ".0.crc"):  # Spark repeats a batch that was written but not marked as done
+        (check / "commits" / name).unlink(missing_ok=True)
+    runs.append_once(source(spark, folder), table, ["id"], ["at"], str(check)).awaitTermination()
+    assert got(table) == [("a", 1), ("x", 1)] and len(table.history(10)) == 2
+
+
+def test_two_streams_into_one_table(spark, tmp_path):
+    table = LakeTable(spark, str(tmp_path / "out"))
+    for name in ("p", "q"):
+        put(spark, str(tmp_path / name), (name, 1, 0))
+        stream = source(spark, str(tmp_path / name))
+        runs.append_once(stream, table, ["id"], ["at"], str(tmp_path / f"check-{name}")).awaitTermination()
+    assert got(table) == [("p", 1), ("q", 1)]
 
 
 def test_append_once_across_batches(spark, tmp_path):
