@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.numbers import ratio
 from granary.operators.dedup import duplicate_keys
+from granary.operators.skew import SPLIT_ROWS, join_unique
 from granary.sources.contracts import Contract, Rule
 
 RESULT_COLUMNS = ["table_name", "rule", "kind", "severity", "rows_checked", "violations", "status"]
@@ -166,10 +167,13 @@ def severity_gate(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFram
     return marked.filter(~bad).drop("_quarantine_reasons"), marked.filter(bad)
 
 
-def split_orphans(items: DataFrame, orders: DataFrame, key: str = "order_id") -> tuple[DataFrame, DataFrame]:
+def split_orphans(
+    items: DataFrame, orders: DataFrame, key: str = "order_id", split_rows: int | None = SPLIT_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """(items with an order, items without one). A NULL key has no order."""
     known = orders.select(key).distinct()
-    return items.join(known, key, "left_semi"), items.join(known, key, "left_anti")
+    valid = join_unique(items, known, [key], "left_semi", split_rows)
+    return valid, join_unique(items, known, [key], "left_anti", split_rows)
 
 
 def freshness(df: DataFrame, table: str, as_of: str, warn_hours: float, error_hours: float, column: str) -> DataFrame:

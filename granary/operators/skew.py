@@ -33,6 +33,45 @@ def _both(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
+def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame | None:
+    """Keys with more than ``split_rows`` rows as ``_hot_<key>`` columns and ``_n``, None if there are none."""
+    hot = (
+        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > split_rows)
+    )
+    return None if hot.isEmpty() else materialize(hot, "hot-keys")
+
+
+def join_unique(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Join to a side that holds each key once: inner, left, left_semi or left_anti.
+
+    Rows of hot keys are joined by broadcasting the few right rows they need, one per hot key, so
+    they stay spread over all tasks; the other rows take the planner's join. AQE alone would not
+    split them where ``right`` is itself an aggregation or window by the same key. ``sizes`` as in
+    ``split_hot``.
+    """
+    hot = None if split_rows is None else hot_keys(left if sizes is None else sizes, keys, split_rows)
+    if hot is None:
+        return left.join(right, keys, how)
+    named = F.broadcast(hot.select(*[F.col(f"_hot_{k}").alias(k) for k in keys]))
+    missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+    known = left.filter(~missing)
+    out = known.join(named, keys, "left_anti").join(right, keys, how)
+    few = F.broadcast(right.join(named, keys, "left_semi"))
+    out = out.unionByName(known.join(named, keys, "left_semi").join(few, keys, how))
+    if how in ("left", "left_anti"):  # a NULL key matches nothing; these rows need no shuffle
+        out = out.unionByName(left.filter(missing), allowMissingColumns=True)
+    return out
+
+
 def split_hot(
     df: DataFrame, keys: list[str], order: str, split_rows: int = SPLIT_ROWS, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -42,15 +81,9 @@ def split_hot(
     with the same key columns and at least as many rows per key. The hot part is written to the
     shared folder once, as it is read several times.
     """
-    counted = df if sizes is None else sizes
-    hot = (
-        counted.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > split_rows)
-    )
-    if hot.isEmpty():
+    hot = hot_keys(df if sizes is None else sizes, keys, split_rows)
+    if hot is None:
         return df, None
-    hot = materialize(hot, "hot-keys")
     on = _both([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     rows = materialize(df.join(F.broadcast(hot), on).drop(*[f"_hot_{k}" for k in keys], "_n"), "hot-rows")
     span = rows.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from granary.functions.keys import date_key, surrogate_key
 from granary.functions.numbers import ladder, ratio
 from granary.operators.scd2 import current_only, join_as_of
+from granary.operators.skew import SPLIT_ROWS, join_unique
 
 # Regions of the states, segment ranks and label ladders.
 REGION_STATES = {
@@ -151,8 +152,10 @@ def build_dim_date(
     return out.join(named, "calendar_date", "left").withColumn("is_holiday", F.col("holiday_name").isNotNull())
 
 
-def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Items joined to their orders. AQE broadcasts a small side and splits skewed partitions."""
+def order_lines(
+    items: DataFrame, orders: DataFrame, split_rows: int | None = SPLIT_ROWS, sizes: DataFrame | None = None
+) -> DataFrame:
+    """Items joined to their orders; ``sizes`` may be the raw items, to look for very large orders in."""
     line = items.select(
         "order_item_id", "order_id", "product_id", "quantity",
         F.col("unit_price").alias("line_unit_price"),
@@ -163,11 +166,15 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
         "order_id", "customer_id", "order_date", "order_date_key", "order_status", "payment_method",
         "shipping_cost", F.col("total_amount").alias("order_total"), "validation_status",
     )
-    return line.join(head, "order_id", "inner")
+    return join_unique(line, head, ["order_id"], "inner", split_rows, sizes)
 
 
 def with_product(
-    lines: DataFrame, products: DataFrame, cost: str = "current", sizes: DataFrame | None = None
+    lines: DataFrame,
+    products: DataFrame,
+    cost: str = "current",
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Product attributes per line; the unit cost is today's, or the one valid at the order date.
 
@@ -175,11 +182,11 @@ def with_product(
     """
     now = current_only(products).select("product_id", "unit_cost", "category_name", "subcategory_name", "brand")
     if cost == "current":
-        return lines.join(now, "product_id", "left").withColumnRenamed("unit_cost", "product_unit_cost")
-    dated = join_as_of(lines, products, "product_id", "order_date", ["unit_cost"], sizes=sizes)
-    return dated.join(now.drop("unit_cost"), "product_id", "left").withColumnRenamed(
-        "asof_unit_cost", "product_unit_cost"
-    )
+        out = join_unique(lines, now, ["product_id"], "left", split_rows, sizes)
+        return out.withColumnRenamed("unit_cost", "product_unit_cost")
+    dated = join_as_of(lines, products, "product_id", "order_date", ["unit_cost"], split_rows=split_rows, sizes=sizes)
+    out = join_unique(dated, now.drop("unit_cost"), ["product_id"], "left", split_rows, sizes)
+    return out.withColumnRenamed("asof_unit_cost", "product_unit_cost")
 
 
 def enrich_fact(df: DataFrame) -> DataFrame:
@@ -200,8 +207,18 @@ def enrich_fact(df: DataFrame) -> DataFrame:
     )
 
 
-def fact_sales(items: DataFrame, orders: DataFrame, products: DataFrame, cost: str = "current") -> DataFrame:
-    out = enrich_fact(with_product(order_lines(items, orders), products, cost, sizes=items))
+def fact_sales(
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    cost: str = "current",
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
+    """Sales fact at order-line grain; hot orders and products are counted in ``sizes``, by default the items."""
+    sizes = items if sizes is None else sizes
+    lines = order_lines(items, orders, split_rows, sizes)
+    out = enrich_fact(with_product(lines, products, cost, split_rows, sizes))
     return out.select(
         surrogate_key("order_item_id").alias("fact_sales_key"),
         "order_id",

@@ -74,3 +74,24 @@ def test_hot_rows_spread_over_many_slices(spark):
     _, hot = skew.split_hot(frame(spark, data), ["k"], "at", 100)
     sizes = [r["count"] for r in hot.groupBy(skew.SLICE).count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 100
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("split_rows", [None, 5, 60])
+def test_join_unique(spark, how, split_rows):
+    rng = random.Random(8)
+    left = [(rng.choice(["hot", "hot", "gone", "b", "c", None, None]), j) for j in range(300)]
+    right = [("hot", 1), ("b", 2), ("z", 3)]
+    lookup = dict(right)
+    a = spark.createDataFrame(left, "k string, id int")
+    b = spark.createDataFrame(right, "k string, v int")
+    got = sorted(skew.join_unique(a, b, ["k"], how, split_rows).collect(), key=lambda r: r["id"])
+    if how == "left_anti":
+        want = [(k, j) for k, j in left if k not in lookup]
+    elif how == "left_semi":
+        want = [(k, j) for k, j in left if k in lookup]
+    elif how == "left":
+        want = [(k, j, lookup.get(k)) for k, j in left]
+    else:
+        want = [(k, j, lookup[k]) for k, j in left if k in lookup]
+    assert [tuple(r) for r in got] == want

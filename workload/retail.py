@@ -53,8 +53,12 @@ def _dim_date(s, d):
     return gold.build_dim_date(_spine(s, d), TODAY, fiscal_start_month=7)
 
 
+def _lines(s, d):
+    return gold.order_lines(_items(s, d), _orders(s, d), sizes=i.items(s, d))
+
+
 def _fact(s, d, cost="current"):
-    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), cost)
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), cost, sizes=i.items(s, d))
 
 
 # -- sources, row steps ------------------------------------------------------------------------
@@ -256,8 +260,8 @@ ENRICHED_FACT = [
     ),
 )
 def enrich_fact(s, d):
-    lines = gold.order_lines(_items(s, d), _orders(s, d))
-    return gold.enrich_fact(gold.with_product(lines, _products(s, d))).select(*ENRICHED_FACT)
+    lines = _lines(s, d)
+    return gold.enrich_fact(gold.with_product(lines, _products(s, d), sizes=i.items(s, d))).select(*ENRICHED_FACT)
 
 
 @register(
@@ -303,7 +307,7 @@ def filter_current(s, d):
     ),
 )
 def join_order_lines(s, d):
-    return gold.order_lines(_items(s, d), _orders(s, d))
+    return _lines(s, d)
 
 
 @register(
@@ -315,8 +319,8 @@ def join_order_lines(s, d):
     ),
 )
 def join_fact_product(s, d):
-    lines = gold.order_lines(_items(s, d), _orders(s, d))
-    return gold.with_product(lines, _products(s, d)).select(
+    lines = _lines(s, d)
+    return gold.with_product(lines, _products(s, d), sizes=i.items(s, d)).select(
         "order_item_id", "product_id", "product_unit_cost", "category_name", "subcategory_name", "brand"
     )
 
@@ -417,7 +421,7 @@ def join_star(s, d):
     ),
 )
 def join_scd2_point_in_time(s, d):
-    lines = gold.order_lines(_items(s, d), _orders(s, d)).select("order_item_id", "product_id", "order_date")
+    lines = _lines(s, d).select("order_item_id", "product_id", "order_date")
     out = scd2.join_as_of(
         lines, _products(s, d), "product_id", "order_date", ["unit_price", "price_tier"], sizes=i.items(s, d)
     )
@@ -493,7 +497,7 @@ def scd2_hot_keys(s, d):
     ),
 )
 def asof_hot_keys(s, d):
-    lines = gold.order_lines(_items(s, d), _orders(s, d)).select("order_item_id", "product_id", "order_date")
+    lines = _lines(s, d).select("order_item_id", "product_id", "order_date")
     out = scd2.join_as_of(
         lines, _products(s, d), "product_id", "order_date", ["unit_price"], split_rows=25, sizes=i.items(s, d)
     )
@@ -576,6 +580,12 @@ def fact_sales(s, d):
     return _fact(s, d)
 
 
+@register("fact_sales_hot_keys", query(FACT_SQL, "fact_sales"))
+def fact_sales_hot_keys(s, d):
+    """The same fact with a low limit, so that most orders and products take the broadcast path."""
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), split_rows=3, sizes=i.items(s, d))
+
+
 @register(
     "fact_sales_dated_cost",
     query(

@@ -198,7 +198,7 @@ def sink_fact_incremental(s, d):
 
     def fact(orders, lines):
         single = dedup_latest(lines, ["order_item_id"], ["_ingestion_timestamp"])
-        return gold.fact_sales(single, silver.stg_orders(orders), products)
+        return gold.fact_sales(single, silver.stg_orders(orders), products, sizes=lines)
 
     table = LakeTable(s, fresh_path(s, "fact"))
     table.merge(fact(_before(raw, "_ingestion_timestamp"), _before(items, "_ingestion_timestamp")), ["fact_sales_key"])
