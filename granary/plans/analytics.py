@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions.numbers import ratio
-from granary.operators.skew import SPLIT_ROWS, with_neighbours
+from granary.operators.skew import SPLIT_ROWS, join_unique, with_neighbours
 
 ADDITIVE = [
     "units_sold", "gross_revenue", "net_revenue", "discount_amount", "cost_of_goods_sold", "gross_profit",
@@ -18,19 +18,33 @@ def _sums() -> list[Column]:
     return [F.sum(c).alias(c) for c in ADDITIVE]
 
 
-def star(fact: DataFrame, customer: DataFrame, product: DataFrame, date: DataFrame) -> DataFrame:
-    """Fact with its dimensions. The planner broadcasts each dimension that is small enough."""
+def star(
+    fact: DataFrame,
+    customer: DataFrame,
+    product: DataFrame,
+    date: DataFrame,
+    split_rows: int | None = SPLIT_ROWS,
+    sizes: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Fact with its dimensions. Hot customers and products are counted in ``sizes[key]``, by default in the fact.
+
+    The date side is broadcast: it has one row per calendar day.
+    """
+    sizes = sizes or {}
     c = customer.select("dim_customer_key", "customer_segment", "region", "state", "tenure_segment")
     p = product.select("dim_product_key", "price_tier", "margin_band", "category_path")
     d = date.select(F.col("date_key").alias("dim_date_key"), "year", "quarter", "month", "is_current_year")
-    return fact.join(c, "dim_customer_key").join(p, "dim_product_key").join(d, "dim_date_key")
+    out = fact.join(F.broadcast(d), "dim_date_key")
+    for key, side in (("dim_customer_key", c), ("dim_product_key", p)):
+        out = join_unique(out, side, [key], "inner", split_rows, sizes.get(key))
+    return out
 
 
 def revenue_by_segment(fact: DataFrame, customer: DataFrame, date: DataFrame | None = None) -> DataFrame:
     """Net revenue per customer segment, largest first; with ``date`` only the current year."""
     if date is not None:
         this_year = date.filter("is_current_year").select(F.col("date_key").alias("dim_date_key"))
-        fact = fact.join(this_year, "dim_date_key", "left_semi")
+        fact = fact.join(F.broadcast(this_year), "dim_date_key", "left_semi")
     # revenue is summed per customer first, so the join and the hot customer both shrink
     per_customer = fact.groupBy("dim_customer_key").agg(F.sum("net_revenue").alias("revenue"))
     joined = per_customer.join(customer.select("dim_customer_key", "customer_segment"), "dim_customer_key")

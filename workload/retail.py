@@ -404,7 +404,10 @@ STAR_SQL = """select f.order_item_id, c.customer_segment, c.region, p.price_tier
 
 @register("join_star", query(STAR_SQL, "fact_sales", "dim_customer", "dim_product", "dim_date"))
 def join_star(s, d):
-    out = analytics.star(_fact(s, d), _dim_customer(s, d), _dim_product(s, d), _dim_date(s, d))
+    items = i.items(s, d).select("order_id", surrogate_key("product_id").alias("dim_product_key"))
+    heads = i.orders(s, d).select("order_id", surrogate_key("customer_id").alias("dim_customer_key"))
+    sizes = {"dim_product_key": items, "dim_customer_key": items.join(heads, "order_id")}
+    out = analytics.star(_fact(s, d), _dim_customer(s, d), _dim_product(s, d), _dim_date(s, d), sizes=sizes)
     return out.select(
         "order_item_id", "customer_segment", "region", "price_tier", "margin_band", "year", "quarter", "net_revenue"
     )
