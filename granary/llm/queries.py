@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat
+from granary.llm import chat, pii, quality_rules
+from granary.session import materialize
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +59,22 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query("op4_pii")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.add_spans(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    kind = lambda k: F.size(F.filter("pii", lambda s: s["kind"] == k)).cast("long")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE_KINDS))
+    return found.select(
+        "doc_id", *[kind(k).alias(f"n_{k}") for k in pii.BASE_KINDS], F.sha2(told(base), 256).alias("base_sha256"), told(F.col("pii")).alias("spans")
+    )
+
+
+@query("op8_quality_rules")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    featured = quality_rules.add_features(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    voted = materialize(quality_rules.add_votes(featured), "quality-votes")
+    judged = quality_rules.add_quality(voted, quality_rules.fit(voted))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
