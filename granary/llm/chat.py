@@ -29,7 +29,9 @@ def _patterns(controls: tuple[str, ...]) -> tuple[str, str, str]:
     first = "".join(sorted({re.escape(c[0]) for c in controls}))
     rest = "|".join(re.escape(c[1:]) for c in sorted(controls))
     whole = "|".join(re.escape(c) for c in sorted(controls))
-    return f"([{first}])(\\\\*)(?={rest})", f"([{first}])(\\\\*)\\\\(?={rest})", f"(?={whole})|(?<={whole})"
+    last = "".join(sorted({re.escape(c[-1]) for c in controls}))
+    cut = f"(?=[{first}])(?={whole})|(?<=[{last}])(?<={whole})"  # one look at a character rules most places out
+    return f"([{first}])(\\\\*)(?={rest})", f"([{first}])(\\\\*)\\\\(?={rest})", cut
 
 
 def _render(turns: Column, escape: str | None) -> Column:
