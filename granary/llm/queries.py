@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, pii, quality_rules
+from granary.llm import chat, packing, pii, quality_rank, quality_rules
 from granary.session import materialize
 
 QUERIES = {}
@@ -78,3 +79,24 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     voted = materialize(quality_rules.add_votes(featured), "quality-votes")
     judged = quality_rules.add_quality(voted, quality_rules.fit(voted))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+
+
+def vocabulary() -> dict[str, str]:
+    """The rank file holds the vocabulary of byte_bpe_50k.json; both encoders give the same ids."""
+    return {"ranks_file": public_tokenizers.path("byte_bpe_50k.tiktoken"), "pattern": public_tokenizers.PATTERN}
+
+
+@query("op7_best_fit")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, folder, "documents"), **vocabulary())
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op9_quality_rank")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 5 == 0
+    model = quality_rank.train(docs, table(spark, folder, "labels").where(~out("doc_id")))
+    scored = quality_rank.add_scores(docs, model)
+    held = F.coalesce(out("doc_id"), F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
