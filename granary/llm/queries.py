@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, packing, pii, quality_rank, quality_rules
+from granary.llm import chat, decontaminate, packing, pii, quality_rank, quality_rules
 from granary.session import materialize
 
 QUERIES = {}
@@ -100,3 +100,27 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_rank.add_scores(docs, model)
     held = F.coalesce(out("doc_id"), F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+win AS (SELECT item_id, least(len(w), 10) AS k, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda p: array_to_string(w[p:p + 9], ' '))) AS s FROM i WHERE len(w) > 0),
+run AS (SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS p, unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' '))) AS s FROM d, (SELECT DISTINCT k FROM win)),
+hit AS (SELECT doc_id, p, run.k, item_id FROM run JOIN win ON run.s = win.s AND run.k = win.k),
+n AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS x FROM (SELECT DISTINCT doc_id, p, k FROM hit)) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
+"""
+
+
+@query("op1_decontaminate", OP1_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_hits(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    ids = F.array_join(F.sort_array(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated")
+    )
