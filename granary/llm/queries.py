@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, packing, pii, quality_rank, quality_rules
+from granary.llm import chat, decontaminate, packing, pii, quality_rank, quality_rules, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -124,3 +124,24 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated")
     )
+
+
+OP10_SQL = r"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b)::BIGINT AS n, sha1(b) AS hex FROM p),
+l AS (SELECT hex, max(page_id) AS last FROM d GROUP BY hex),
+digits AS (SELECT hex, list_transform(range(0, 32), lambda i: (
+    (instr('0123456789abcdef', hex[(i * 5) // 4 + 1]) - 1) * 16 + coalesce(nullif(instr('0123456789abcdef', hex[(i * 5) // 4 + 2]), 0), 1) - 1) // (1 << (3 - (i * 5) % 4)) % 32) AS v FROM l)
+SELECT page_id, n AS payload_bytes, array_to_string(list_transform(v, lambda x: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[x + 1]), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to
+FROM d JOIN l USING (hex) JOIN digits USING (hex)
+"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.archive_pages(table(spark, folder, "pages"))
+    number = lambda c: F.substring_index(c, ":", -1).cast("long")
+    return spark.read.format("warc").load(archives).select(
+        number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
+    )
