@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, packing, pii, quality_rank, quality_rules, warc
+from granary.llm import chat, decontaminate, html, packing, pii, quality_rank, quality_rules, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -145,3 +145,8 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("warc").load(archives).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
     )
+
+
+@query("op5_html_text")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return html.add_text(table(spark, folder, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.char_length("text").cast("long"))
