@@ -233,7 +233,7 @@ def extract(html: str | None, model: Model) -> str:
     return "\n".join(x for x in kept if x)
 
 
-def train(pages: list[str], rounds: int = 400, decay: float = 2e-4, pair_decay: float = 5e-3, tuning: int = 50) -> Model:
+def train(pages: list[str], rounds: int = 400, decay: float = 2e-4, pair_decay: float = 2e-3, tuning: int = 50) -> Model:
     """Potentials from labelled pages: first by pseudo-likelihood, each block's label given its features and its neighbours'
     labels; then the features' weights by the likelihood itself, whose gradient is the model's marginals less the labels.
 
