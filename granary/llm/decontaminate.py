@@ -21,13 +21,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.text import ALNUM, Words
+from granary.llm.text import ALNUM, Words, slabs
 from granary.session import materialize
 
 K, SPAN = 5, 10
 SLOTS = 23  # the bitmap has 2**SLOTS bits
 CONTEXT = "hash long, k int, words array<string>, before int"
-TEXT_BYTES = 1 << 21
 
 
 def kept_runs(words: Words) -> np.ndarray:
@@ -48,19 +47,6 @@ def context(words: Words, at: int, k: int, around: int) -> tuple[list[str], int]
     return words.words(lo, hi).split(" "), at - lo
 
 
-def pieces(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of rows with about TEXT_BYTES characters, with the number of their first row; a longer text is alone."""
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
-    at, held = 0, 0
-    for i, t in enumerate(texts):
-        if held and held + len(t or "") > TEXT_BYTES:
-            yield at, texts[at:i]
-            at, held = i, 0
-        held += len(t or "")
-    if at < len(texts):
-        yield at, texts[at:]
-
-
 def benchmark_runs(benchmark: DataFrame) -> DataFrame:
     """Distinct kept runs of the benchmark with their surroundings and the sorted ids of the items they stand in."""
 
@@ -68,7 +54,7 @@ def benchmark_runs(benchmark: DataFrame) -> DataFrame:
         for batch in batches:
             items = batch.column(batch.schema.get_field_index("item_id"))
             out: list[tuple] = []
-            for first, texts in pieces(batch, "text"):
+            for first, texts in slabs(batch, "text"):
                 words = Words(texts, ALNUM)
                 hashes, _ = words.grams(K)
                 out += [(first + int(words.doc[p]), int(hashes[p].view(np.int64)), K, *context(words, p, K, SPAN - K)) for p in kept_runs(words)]
@@ -126,7 +112,7 @@ def find_hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
         for batch in batches:
-            for first, texts in pieces(batch, "text"):
+            for first, texts in slabs(batch, "text"):
                 words = Words(texts, ALNUM)
                 hashes, _ = words.grams(K)
                 at = kept_runs(words)

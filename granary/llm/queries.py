@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, html, packing, pii, quality_rank, quality_rules, warc
+from granary.llm import chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -150,3 +150,20 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_html_text")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return html.add_text(table(spark, folder, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda p: array_to_string(w[p:p + 3], ' '))) AS x FROM d WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * k >= 85 * (p.n + q.n - k)),
+r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS component_id FROM r GROUP BY node) m USING (doc_id)
+"""
+
+
+@query("op3_jaccard_join", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link_documents(table(spark, folder, "documents"), n=4, percent=85)

@@ -25,6 +25,7 @@ def word_table(keep: bytes = b"", high: bool = True) -> np.ndarray:
 #: Words of letters, digits and everything beyond ASCII; words between white space.
 ALNUM = word_table(bytes(b for b in range(128) if chr(b).isalnum()))
 NONSPACE = word_table(bytes(b for b in range(128) if b not in b" \t\n\v\f\r"))
+NONSPACE[0] = 255  # a word byte; 255 never stands in UTF-8
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -92,15 +93,14 @@ class Words:
         return b" ".join(self.data[a:b].tobytes() for a, b in zip(self.start[lo:hi], self.end[lo:hi], strict=True)).decode()
 
 
-def slabs(batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 21) -> Iterator[pa.RecordBatch]:
-    """Cut batches into runs of rows with about ``size`` bytes in a text column; a longer text stays whole, alone."""
-    for batch in batches:
-        lengths = np.array([len(x) if x is not None else 0 for x in (v.as_buffer() if v.is_valid else None for v in batch.column(column))])
-        at, held = 0, 0
-        for i, n in enumerate(lengths):
-            if held and held + n > size:
-                yield batch.slice(at, i - at)
-                at, held = i, 0
-            held += int(n)
-        if at < batch.num_rows:
-            yield batch.slice(at)
+def slabs(batch: pa.RecordBatch, column: str, size: int = 1 << 21) -> Iterator[tuple[int, list[str | None]]]:
+    """Runs of a text column of about ``size`` characters, with the number of their first row; a longer text is alone."""
+    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
+    at, held = 0, 0
+    for i, t in enumerate(texts):
+        if held and held + len(t or "") > size:
+            yield at, texts[at:i]
+            at, held = i, 0
+        held += len(t or "")
+    if at < len(texts):
+        yield at, texts[at:]
