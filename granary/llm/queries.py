@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, warc
+from granary.llm import chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -167,3 +167,24 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS comp
 @query("op3_jaccard_join", OP3_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.link_documents(table(spark, folder, "documents"), n=4, percent=85)
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(0, length(h) // 2 - 199)) AS p, unnest(list_transform(range(0, length(h) // 2 - 199), lambda i: md5(h[2 * i + 1:2 * i + 400]))) AS m FROM d WHERE length(h) >= 400),
+t AS (SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY m) AS n FROM w) WHERE n > 1),
+g AS (SELECT doc_id, p, sum(CASE WHEN p <= b + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS k
+      FROM (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -1000) AS b FROM t)),
+s AS (SELECT doc_id, k, min(p) AS lo, max(p) + 200 AS hi FROM g GROUP BY doc_id, k),
+r AS (SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS before FROM s),
+kept AS (SELECT r.doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS last, string_agg(d.h[2 * before + 1:2 * lo], '' ORDER BY lo) AS front
+         FROM r JOIN d USING (doc_id) GROUP BY r.doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE front || h[2 * last + 1:] END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op6_substrings", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents")).drop("spans")
