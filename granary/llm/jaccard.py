@@ -158,22 +158,21 @@ def shared_keys(sets: DataFrame) -> DataFrame:
         held = [np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, 2) for batch in batches for x in batch.column("pairs")]
         if not held:
             return
-        all_ = np.concatenate(held)
+        whole = np.concatenate(held)
         held.clear()
-        for low in range(0, SPLITS, 64):  # a slice of the key space at a time
-            top = all_[:, 0] >> np.uint64(64 - SPLITS.bit_length() + 1)
-            mine = all_[(top >= low) & (top < low + 64)] if len(all_) > 1 << 20 else all_
-            if len(mine):
-                mine = mine[np.lexsort((mine[:, 1], mine[:, 0]))]
-                fresh = np.append(True, (mine[1:] != mine[:-1]).any(axis=1))
-                mine = mine[fresh]
-                same = mine[1:, 0] == mine[:-1, 0]
-                mine = mine[np.append(same, False) | np.append(False, same)]
-                for a in range(0, len(mine), 1 << 16):
-                    part = mine[a : a + (1 << 16)].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["key", "set"])
-            if mine is all_:
-                return
+        top = whole[:, 0] >> np.uint64(64 - SPLITS.bit_length() + 1)
+        step = SPLITS if len(whole) < 1 << 20 else 64  # a slice of the key space at a time
+        for low in range(0, SPLITS, step):
+            mine = whole[(top >= low) & (top < low + step)]
+            if not len(mine):
+                continue
+            mine = mine[np.lexsort((mine[:, 1], mine[:, 0]))]
+            mine = mine[np.append(True, (mine[1:] != mine[:-1]).any(axis=1))]
+            same = mine[1:, 0] == mine[:-1, 0]
+            mine = mine[np.append(same, False) | np.append(False, same)]
+            for a in range(0, len(mine), 1 << 16):
+                part = mine[a : a + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["key", "set"])
 
     packed = sets.select("set", "keys").mapInArrow(pack, "split int, pairs binary")
     return packed.repartition("split").mapInArrow(meet, "key long, set long")
