@@ -31,7 +31,7 @@ from granary.session import materialize
 
 CAPACITY = 2048
 #: Pieces per ranked run.
-RUN = 8192
+RUN = 1024
 
 
 def tokenizer(ranks_file: str, pattern: str):
