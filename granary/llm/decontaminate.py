@@ -171,7 +171,8 @@ def find_hits(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents in which no benchmark window occurs, unchanged."""
-    hits = find_hits(documents, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash"))
-    return documents.join(hits, same, "left_anti")
+    """Documents in which no benchmark window occurs, unchanged, whatever their other columns are called."""
+    hits = find_hits(documents, benchmark).where(F.size("spans") > 0).select("doc_id", "text_hash")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    return rows.join(hits, same, "left_anti").select("row.*")

@@ -129,7 +129,8 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
 
 
 def add_spans(docs: DataFrame, text: str = "text", to: str = "pii") -> DataFrame:
-    """All columns of ``docs`` and the spans of each row's whole text, by start and kind."""
+    """All columns of ``docs`` and, in place of any column ``to``, the spans of each row's whole text, by start and kind."""
+    docs = docs.drop(to)
     schema = T.StructType([*docs.schema.fields, T.StructField(to, T._parse_datatype_string(SPAN))])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

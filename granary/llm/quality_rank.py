@@ -129,8 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
 
 def add_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``score``."""
-    rest = [f for f in docs.schema.fields if f.name != text]
+    """``docs`` without the text, with ``score`` in place of any column of that name."""
+    rest = [f for f in docs.schema.fields if f.name not in (text, "score")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest), "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ quality.
 
 Defined cases: a null or empty text has no words, so it fails the base rules; a text without words has no votes but the
 one on length; rows are judged one by one, so ties and repeated rows do not matter; an empty table gives the prior
-accuracies and no rows; extra columns pass through.
+accuracies and no rows; extra columns pass through ``keep_good`` as they are, and ``add_features`` replaces those that it names.
 """
 
 from __future__ import annotations
@@ -144,7 +144,7 @@ def add_quality(voted: DataFrame, model: dict[str, float], least: float = 0.5) -
     return df.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= least))
 
 
-def judge(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` with features, votes, quality and ``kept``."""
-    voted = add_votes(add_features(docs, text))
-    return add_quality(voted, fit(voted), least)
+def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that are kept, unchanged, whatever their columns are called."""
+    voted = add_votes(add_features(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"))))
+    return add_quality(voted, fit(voted), least).where("kept").select("_row.*")
