@@ -166,7 +166,7 @@ def steps(x: float, bounds: tuple[float, ...]) -> int:
 def features(node: Node, total: tuple[int, int], children: int) -> list[str]:
     """What a block shows of itself. ``total`` are characters of text and of links at or below it."""
     text, links = total
-    out = [f"tag={node.tag}", f"size={steps(text, (0, 25, 80, 200, 600))}", f"own={steps(node.text, (0, 25, 80, 200))}"]
+    out = [f"tag={node.tag}", f"{'inner' if children else 'leaf'}={steps(text, (0, 25, 80, 200, 600))}", f"own={steps(node.text, (0, 25, 80, 200))}"]
     out.append(f"links={steps(links / text if text else 0, (0.05, 0.3, 0.6, 0.9))}")
     out.append(f"children={steps(children, (0, 2, 8))}")
     out += [f"name={w}" for w in names(node)]
@@ -233,7 +233,7 @@ def extract(html: str | None, model: Model) -> str:
     return "\n".join(x for x in kept if x)
 
 
-def train(pages: list[str], rounds: int = 400, decay: float = 2e-4, pair_decay: float = 2e-3, tuning: int = 50) -> Model:
+def train(pages: list[str], rounds: int = 600, decay: float = 2e-5, pair_decay: float = 2e-3, tuning: int = 80) -> Model:
     """Potentials from labelled pages: first by pseudo-likelihood, each block's label given its features and its neighbours'
     labels; then the features' weights by the likelihood itself, whose gradient is the model's marginals less the labels.
 
@@ -262,7 +262,7 @@ def train(pages: list[str], rounds: int = 400, decay: float = 2e-4, pair_decay:
     shrink = np.array([pair_decay if f.startswith(("pair:", "both:")) else decay for f in index])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(of, w[flat], len(rows)), -30, 30)))
-        speed = 0.9 * speed - 0.5 * (np.bincount(flat, (p - y)[of], len(index)) / len(rows) + shrink * w)
+        speed = 0.95 * speed - 0.5 * (np.bincount(flat, (p - y)[of], len(index)) / len(rows) + shrink * w)
         w = w + speed
     by_name = lambda: {f: float(w[i]) for f, i in index.items()}
     kinds = {"other", *(f.partition(":")[2] for f in index if f.startswith(("pair:", "both:")))}
@@ -277,12 +277,12 @@ def train(pages: list[str], rounds: int = 400, decay: float = 2e-4, pair_decay:
         for blocks in trees:
             p += propagate(blocks, z[at : at + len(blocks)], edges)
             at += len(blocks)
-        speed = 0.9 * speed - 0.5 * (np.bincount(flat, (np.array(p) - y)[of], len(index)) / len(rows) + decay * w * mine)
+        speed = 0.9 * speed - 2 * (np.bincount(flat, (np.array(p) - y)[of], len(index)) / len(rows) + decay * w * mine)
         w = w + speed
     return Model(by_name(), edges)
 
 
-def labelled_pages(number: int = 500, seed: int = 11) -> list[str]:
+def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
     """Training pages from templates: articles with menus, headers, footers, sidebars, notices, adverts, forms and comments."""
     r = random.Random(seed)
     syllables = "an be co de el fi ga ho in ja ke lo mi nu or pa que ri so tu".split()
@@ -330,7 +330,9 @@ def labelled_pages(number: int = 500, seed: int = 11) -> list[str]:
         return plain("div", pick("header", "masthead", "topbar", "logo", "search", "login", "top"), pick(words(1, 8), f"<p>{words(1, 8)}</p>", f"<h1>{words(1, 4)}</h1>", f"<h1>{words(1, 4)}</h1><p>{words(1, 8)}</p>"))
 
     def block() -> str:
-        kind = r.randrange(14)
+        kind = r.randrange(15)
+        if kind == 14:
+            return f"<p>{words(100, 400)}</p>"
         if kind < 7:
             return f"<p>{words(1, 5) if r.random() < 0.2 else words(4, 90)}</p>" if r.random() < 0.7 else f'<p><b>{words(3, 60)}<br><p>{words(1, 40)}</p>'
         if kind == 7:
