@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.llm.text import BASE_INVERSE, joined, mix, powers, prefix_hash, slabs
+from granary.operators.skew import join_unique
 from granary.session import materialize
 
 SIZE, GRAM = 200, 64
@@ -298,7 +299,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
     where = F.xxhash64("t1", "at")
     # an anchor of a copied text comes as often as its copies; only another text or place makes a gram occur again
     twice = rows.groupBy("h").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x < y").select("h")
-    live = materialize(rows.join(twice, "h", "left_semi").distinct(), "anchors")
+    live = materialize(join_unique(rows, twice, ["h"], "left_semi").distinct(), "anchors")
     many = live.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many"))
     flagged = live.join(many, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     place, t2 = F.col("at").bitwiseAND(0xFFFFFFFF).cast("int"), F.shiftright("at", 32).cast("int")
