@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ def platform_edges(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(PLATFORM_EDGES, "src string, dst string")
 
 
-def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """``(root, node, depth)``: every node reachable from a root with its shortest distance.
 
     Breadth-first: one join per level. Each level is written to the shared folder, so the plan
@@ -45,7 +47,7 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFra
     frontier = roots.select(F.col("root"), F.col("root").alias("node")).distinct()
     reached = materialize(frontier.withColumn("depth", F.lit(0)), "lineage")
     frontier = reached.select("root", "node")
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         found = (
             frontier.join(steps, F.col("node") == F.col("src"))
             .select("root", F.col("dst").alias("node"))
@@ -57,7 +59,6 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int = 100) -> DataFra
             return reached.filter("depth > 0")
         reached = reached.unionByName(ahead.withColumn("depth", F.lit(depth)))
         frontier = ahead
-    raise RuntimeError(f"the lineage is deeper than {max_depth} levels")
 
 
 def downstream(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.numbers import ratio
 from granary.operators.dedup import duplicate_keys
-from granary.operators.skew import SPLIT_ROWS, join_unique
+from granary.operators.skew import join_unique
 from granary.sources.contracts import Contract, Rule
 
 RESULT_COLUMNS = ["table_name", "rule", "kind", "severity", "rows_checked", "violations", "status"]
@@ -78,8 +78,8 @@ def uniqueness(df: DataFrame, table: str, rule: Rule) -> DataFrame:
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    known = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
-    return child.filter(F.col(child_key).isNotNull()).join(known, F.col(child_key) == F.col("_parent_key"), "left_anti")
+    known = parent.select(F.col(parent_key).alias(child_key)).distinct()
+    return join_unique(child.filter(F.col(child_key).isNotNull()), known, [child_key], "left_anti").select(*child.columns)
 
 
 def relationship(child: DataFrame, parent: DataFrame, table: str, rule: Rule) -> DataFrame:
@@ -168,12 +168,11 @@ def severity_gate(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFram
 
 
 def split_orphans(
-    items: DataFrame, orders: DataFrame, key: str = "order_id", split_rows: int | None = SPLIT_ROWS
+    items: DataFrame, orders: DataFrame, key: str = "order_id"
 ) -> tuple[DataFrame, DataFrame]:
-    """(items with an order, items without one). A NULL key has no order."""
+    """(items with an order, items without one). A NULL key has no order; a part that is not read costs nothing."""
     known = orders.select(key).distinct()
-    valid = join_unique(items, known, [key], "left_semi", split_rows)
-    return valid, join_unique(items, known, [key], "left_anti", split_rows)
+    return join_unique(items, known, [key], "left_semi"), join_unique(items, known, [key], "left_anti")
 
 
 def freshness(df: DataFrame, table: str, as_of: str, warn_hours: float, error_hours: float, column: str) -> DataFrame:

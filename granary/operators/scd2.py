@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.keys import surrogate_key
 from granary.operators.dedup import dedup_latest
-from granary.operators.skew import SLICE, SPLIT_ROWS, carry_forward, neighbours, per_part
+from granary.operators.skew import SLICE, SPLIT_ROWS, carry_forward, join_unique, neighbours, per_part
 
 # End of validity of an open version, and the columns whose change opens a new version.
 OPEN_END = "9999-12-31 23:59:59"
@@ -26,14 +26,14 @@ def change_hash(tracked: list[str]) -> Column:
 
 def detect_changes(incoming: DataFrame, current: DataFrame, key: str, tracked: list[str]) -> DataFrame:
     """Label incoming rows INSERT, UPDATE or NO_CHANGE against the current versions."""
-    now = current.select(F.col(key).alias("_key"), change_hash(tracked).alias("current_hash"))
-    out = incoming.withColumn("row_hash", change_hash(tracked)).join(now, F.col(key) == F.col("_key"), "left")
+    now = current.select(key, change_hash(tracked).alias("current_hash"))
+    out = join_unique(incoming.withColumn("row_hash", change_hash(tracked)), now, [key], "left")
     label = (
-        F.when(F.col("_key").isNull(), "INSERT")
+        F.when(F.col("current_hash").isNull(), "INSERT")
         .when(F.col("row_hash") != F.col("current_hash"), "UPDATE")
         .otherwise("NO_CHANGE")
     )
-    return out.withColumn("change_type", label).drop("_key", "current_hash")
+    return out.withColumn("change_type", label).select(*incoming.columns, "row_hash", "change_type")
 
 
 def _close(df: DataFrame, key: str) -> DataFrame:
@@ -50,7 +50,7 @@ def _close(df: DataFrame, key: str) -> DataFrame:
 def close_versions(df: DataFrame, key: str, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     """Recompute ``valid_to`` and ``is_current`` from the next version of the same key."""
     base = df.drop("valid_to", "is_current")
-    return per_part(base, [key], "valid_from", lambda part: _close(part, key), split_rows)
+    return per_part(base, [key], ["valid_from"], lambda part: _close(part, key), split_rows)
 
 
 def build_history(
@@ -76,7 +76,7 @@ def build_history(
         )
         return _close(versions, key)
 
-    return per_part(df, [key], updated_at, build, split_rows)
+    return per_part(df, [key], [updated_at, *arrival], build, split_rows)
 
 
 def scd2_apply(
@@ -89,18 +89,32 @@ def scd2_apply(
 ) -> DataFrame:
     """New versions of the keys in ``incoming`` plus the untouched rest of ``history``.
 
-    Late, repeated and multiple changes per batch give the same result as one rebuild from all rows.
+    Repeated and multiple changes per batch give the same result as one rebuild from all rows. A late row is placed
+    between the versions that ``history`` has; a row that once repeated the version before it is not among them, so feeds
+    with late rows are better rebuilt per touched key from the raw rows (``rebuild_touched``).
     """
     if history is None:
         return build_history(incoming, key, tracked, updated_at, split_rows)
     touched_keys = incoming.select(key).distinct()
-    old = history.join(touched_keys, key, "left_semi")
-    untouched = history.join(touched_keys, key, "left_anti")
+    old = join_unique(history, touched_keys, [key], "left_semi").select(*history.columns)
+    untouched = join_unique(history, touched_keys, [key], "left_anti").select(*history.columns)
     feed = old.drop(*HISTORY_COLUMNS).unionByName(incoming, allowMissingColumns=True)
     rebuilt = build_history(feed, key, tracked, updated_at, split_rows)
     return untouched.unionByName(rebuilt, allowMissingColumns=True)
 
 
+def rebuild_touched(
+    feed: DataFrame, batch: DataFrame, key: str, tracked: list[str], updated_at: str = "source_updated_at", split_rows: int | None = SPLIT_ROWS
+) -> DataFrame:
+    """All versions of the keys in ``batch``, from every row that ``feed`` (which holds the batch too) has of them.
+
+    ``LakeTable.replace`` puts them in the place of the old versions in one commit: exact for late, repeated and
+    corrected rows.
+    """
+    keys = batch.select(key).distinct()
+    return build_history(join_unique(feed, keys, [key], "left_semi").select(*feed.columns), key, tracked, updated_at, split_rows)
+
+
 def current_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("is_current"))
 
@@ -147,7 +161,7 @@ def join_as_of(
         return carry_forward(part, ["_key"], ["_at", "_side"], "_version")
 
     slim = None if sizes is None else sizes.select(F.col(key).alias("_key"))
-    filled = per_part(merged, ["_key"], "_at", fill, split_rows, slim)
+    filled = per_part(merged, ["_key"], ["_at", "_side"], fill, split_rows, slim)
     live = F.col("_at") < F.col("_version.valid_to")
     picked = [F.when(live, F.col(f"_version.{c}")).alias(f"{prefix}{c}") for c in columns]
     return filled.filter(F.col("_side") == 1).select("_fact.*", *picked)

@@ -1,12 +1,12 @@
-"""Neighbour access within a key that stays parallel when one key holds a large share of all rows.
+"""Joins and neighbour access within a key that stay parallel when one key holds a large share of all rows.
 
-A plain ``lag``/``lead`` window puts a whole key into one task. One aggregation (a count per key,
-combined on the map side) looks for keys above ``split_rows``. Usually there are none and the plain
-window is used. The rows of a hot key are cut into time slices; each slice is its own window group,
-and the one row at each slice edge is carried over to the next.
+Joins to a side that holds each key once are planned so that Spark's own skew handling can split their hot keys while the
+join runs; nothing is counted beforehand.
 
-There are at most ``total rows / split_rows`` hot keys and a small multiple of that many slice
-edges, which is the size bound for broadcasting both lists.
+A plain ``lag``/``lead`` window puts a whole key into one task. One aggregation (a count per key, combined on the map
+side) looks for keys above ``split_rows``; usually there are none and the plain window is used. The rows of hot keys are
+sorted over all order columns and cut into slices of a quarter of that many rows, so neither a burst in time nor equal or
+missing times put a key into one slice. Each slice is its own window group, and the one row at each edge is carried over.
 """
 
 from __future__ import annotations
@@ -25,82 +25,59 @@ SLICE = "_slice"
 _SLICES_PER_QUOTA = 4
 
 
-def _micros(order: str) -> Column:
-    return F.unix_micros(F.col(order).cast("timestamp"))
-
-
 def _both(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
 def hot_keys(df: DataFrame, keys: list[str], split_rows: int = SPLIT_ROWS) -> DataFrame | None:
-    """Keys with more than ``split_rows`` rows as ``_hot_<key>`` columns and ``_n``, None if there are none."""
-    hot = (
-        df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > split_rows)
-    )
-    return None if hot.isEmpty() else materialize(hot, "hot-keys")
+    """Keys with more than ``split_rows`` rows as ``_hot_<key>`` columns and ``_n``, None if there are none.
 
+    The counts are taken once and written; only the small result is looked at again.
+    """
+    counts = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    hot = materialize(counts.filter(F.col("_n") > split_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    split_rows: int | None = SPLIT_ROWS,
-    sizes: DataFrame | None = None,
-) -> DataFrame:
-    """Join to a side that holds each key once: inner, left, left_semi or left_anti.
 
-    Rows of hot keys are joined by broadcasting the few right rows they need, one per hot key, so
-    they stay spread over all tasks; the other rows take the planner's join. AQE alone would not
-    split them where ``right`` is itself an aggregation or window by the same key. ``sizes`` as in
-    ``split_hot``.
+def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join to a side that holds each key once: inner, left, left_semi or left_anti. NULL keys match nothing.
+
+    The keys are compared as one struct. Where ``right`` is itself an aggregation or window by the same keys, the planner
+    would reuse its partitioning, and adaptive execution splits skewed partitions only between two plain exchanges.
     """
-    hot = None if split_rows is None else hot_keys(left if sizes is None else sizes, keys, split_rows)
-    if hot is None:
-        return left.join(right, keys, how)
-    named = F.broadcast(hot.select(*[F.col(f"_hot_{k}").alias(k) for k in keys]))
-    missing = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
-    known = left.filter(~missing)
-    out = known.join(named, keys, "left_anti").join(right, keys, how)
-    few = F.broadcast(right.join(named, keys, "left_semi"))
-    out = out.unionByName(known.join(named, keys, "left_semi").join(few, keys, how))
-    if how in ("left", "left_anti"):  # a NULL key matches nothing; these rows need no shuffle
-        out = out.unionByName(left.filter(missing), allowMissingColumns=True)
-    return out
+    named = right.filter(_both([F.col(k).isNotNull() for k in keys]))
+    rest = [c for c in right.columns if c not in keys]
+    named = named.select(F.struct(*keys).alias("_right_key"), *rest)
+    out = left.withColumn("_left_key", F.struct(*keys)).join(named, F.col("_left_key") == F.col("_right_key"), how)
+    mine = [*keys, *[c for c in left.columns if c not in keys]]
+    return out.select(*mine, *([] if how in ("left_semi", "left_anti") else rest))
 
 
 def split_hot(
-    df: DataFrame, keys: list[str], order: str, split_rows: int = SPLIT_ROWS, sizes: DataFrame | None = None
+    df: DataFrame, keys: list[str], order: list[str], split_rows: int = SPLIT_ROWS, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys with their time slice or None if there are no hot keys).
+    """(rows of ordinary keys, rows of hot keys with the slice they lie in or None if there are no hot keys).
 
-    ``order`` is a date or timestamp column. Keys are counted in ``sizes`` if given: a cheaper frame
-    with the same key columns and at least as many rows per key. The hot part is written to the
-    shared folder once, as it is read several times.
+    Keys are counted in ``sizes`` if given: a cheaper frame with the same key columns and at least as many rows per key.
+    The hot part is written to the shared folder once, as it is read several times.
     """
     hot = hot_keys(df if sizes is None else sizes, keys, split_rows)
     if hot is None:
         return df, None
     on = _both([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    rows = materialize(df.join(F.broadcast(hot), on).drop(*[f"_hot_{k}" for k in keys], "_n"), "hot-rows")
-    span = rows.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(_micros(order)).alias("_lo"), F.max(_micros(order)).alias("_hi")
-    )
-    slices = F.ceil(F.col("_n") * _SLICES_PER_QUOTA / F.lit(split_rows))
-    width = F.greatest(F.col("_hi") - F.col("_lo") + 1, F.lit(1))
-    position = F.floor((_micros(order) - F.col("_lo")).cast("double") / width.cast("double") * slices)
-    number = F.coalesce(position, F.lit(0)).cast("int").alias(SLICE)
-    sliced = rows.join(F.broadcast(span), on).select(*df.columns, number)
-    return df.join(F.broadcast(hot), on, "left_anti"), sliced
+    quota = max(1, split_rows // _SLICES_PER_QUOTA)
+    ranges = -(-hot.agg(F.sum("_n")).first()[0] // quota)
+    tasks = min(ranges, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = df.join(hot, on).select(*df.columns).repartitionByRange(tasks, *keys, *order).sortWithinPartitions(*keys, *order)
+    # ids count the sorted rows of each range, so a slice is the next ``quota`` of them
+    sliced = materialize(rows.withColumn(SLICE, F.floor(F.monotonically_increasing_id() / quota)), "hot-rows")
+    return df.join(hot, on, "left_anti"), sliced
 
 
 def _joined_to_edges(local: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     on = [local[SLICE] == edges["_edge_slice"]]
     on += [local[k].eqNullSafe(edges[f"_edge_{k}"]) for k in keys]
-    return local.join(F.broadcast(edges), _both(on), "left")
+    return local.join(edges, _both(on), "left")
 
 
 def _edge_keys(keys: list[str]) -> list[Column]:
@@ -177,7 +154,7 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str)
 def per_part(
     df: DataFrame,
     keys: list[str],
-    order: str,
+    order: list[str],
     build: Callable[[DataFrame], DataFrame],
     split_rows: int | None = SPLIT_ROWS,
     sizes: DataFrame | None = None,
@@ -202,4 +179,4 @@ def with_neighbours(
     following: dict[str, str] | None = None,
     split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
-    return per_part(df, keys, order[0], lambda part: neighbours(part, keys, order, previous, following), split_rows)
+    return per_part(df, keys, order, lambda part: neighbours(part, keys, order, previous, following), split_rows)

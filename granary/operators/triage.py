@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.text import error_signature, first_match
-from granary.operators.skew import SPLIT_ROWS, join_unique
+from granary.operators.skew import join_unique
 
 # Key words per class (first match wins) and the analysis attached to each class.
 RULES = [
@@ -82,10 +82,8 @@ def error_groups(df: DataFrame, text: str = "text", id_column: str = "log_id") -
     return groups.withColumn("_a", analysis(F.col("error_type"))).select("*", "_a.*").drop("_a")
 
 
-def triage_batch(
-    df: DataFrame, text: str = "text", id_column: str = "log_id", split_rows: int | None = SPLIT_ROWS
-) -> DataFrame:
+def triage_batch(df: DataFrame, text: str = "text", id_column: str = "log_id") -> DataFrame:
     """Every log with the analysis of its group and the group's size; very large groups stay spread."""
     groups = error_groups(df, text, id_column).drop("first_id", "last_id")
     keyed = df.withColumns({"signature": error_signature(text), "error_type": error_type(text)})
-    return join_unique(keyed, groups, ["signature", "error_type"], "inner", split_rows)
+    return join_unique(keyed, groups, ["signature", "error_type"])

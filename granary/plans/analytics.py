@@ -23,20 +23,14 @@ def star(
     customer: DataFrame,
     product: DataFrame,
     date: DataFrame,
-    split_rows: int | None = SPLIT_ROWS,
-    sizes: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Fact with its dimensions. Hot customers and products are counted in ``sizes[key]``, by default in the fact.
-
-    The date side is broadcast: it has one row per calendar day.
-    """
-    sizes = sizes or {}
+    """Fact with its dimensions."""
     c = customer.select("dim_customer_key", "customer_segment", "region", "state", "tenure_segment")
     p = product.select("dim_product_key", "price_tier", "margin_band", "category_path")
     d = date.select(F.col("date_key").alias("dim_date_key"), "year", "quarter", "month", "is_current_year")
-    out = fact.join(F.broadcast(d), "dim_date_key")
+    out = fact.join(d, "dim_date_key")
     for key, side in (("dim_customer_key", c), ("dim_product_key", p)):
-        out = join_unique(out, side, [key], "inner", split_rows, sizes.get(key))
+        out = join_unique(out, side, [key])
     return out
 
 
@@ -44,7 +38,7 @@ def revenue_by_segment(fact: DataFrame, customer: DataFrame, date: DataFrame | N
     """Net revenue per customer segment, largest first; with ``date`` only the current year."""
     if date is not None:
         this_year = date.filter("is_current_year").select(F.col("date_key").alias("dim_date_key"))
-        fact = fact.join(F.broadcast(this_year), "dim_date_key", "left_semi")
+        fact = fact.join(this_year, "dim_date_key", "left_semi")
     # revenue is summed per customer first, so the join and the hot customer both shrink
     per_customer = fact.groupBy("dim_customer_key").agg(F.sum("net_revenue").alias("revenue"))
     joined = per_customer.join(customer.select("dim_customer_key", "customer_segment"), "dim_customer_key")

@@ -152,10 +152,8 @@ def build_dim_date(
     return out.join(named, "calendar_date", "left").withColumn("is_holiday", F.col("holiday_name").isNotNull())
 
 
-def order_lines(
-    items: DataFrame, orders: DataFrame, split_rows: int | None = SPLIT_ROWS, sizes: DataFrame | None = None
-) -> DataFrame:
-    """Items joined to their orders; ``sizes`` may be the raw items, to look for very large orders in."""
+def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items joined to their orders."""
     line = items.select(
         "order_item_id", "order_id", "product_id", "quantity",
         F.col("unit_price").alias("line_unit_price"),
@@ -166,7 +164,7 @@ def order_lines(
         "order_id", "customer_id", "order_date", "order_date_key", "order_status", "payment_method",
         "shipping_cost", F.col("total_amount").alias("order_total"), "validation_status",
     )
-    return join_unique(line, head, ["order_id"], "inner", split_rows, sizes)
+    return join_unique(line, head, ["order_id"])
 
 
 def with_product(
@@ -178,14 +176,14 @@ def with_product(
 ) -> DataFrame:
     """Product attributes per line; the unit cost is today's, or the one valid at the order date.
 
-    ``sizes`` as in ``join_as_of``, such as the raw items.
+    ``split_rows`` and ``sizes`` are those of ``join_as_of``, for dated costs only.
     """
     now = current_only(products).select("product_id", "unit_cost", "category_name", "subcategory_name", "brand")
     if cost == "current":
-        out = join_unique(lines, now, ["product_id"], "left", split_rows, sizes)
+        out = join_unique(lines, now, ["product_id"], "left")
         return out.withColumnRenamed("unit_cost", "product_unit_cost")
     dated = join_as_of(lines, products, "product_id", "order_date", ["unit_cost"], split_rows=split_rows, sizes=sizes)
-    out = join_unique(dated, now.drop("unit_cost"), ["product_id"], "left", split_rows, sizes)
+    out = join_unique(dated, now.drop("unit_cost"), ["product_id"], "left")
     return out.withColumnRenamed("asof_unit_cost", "product_unit_cost")
 
 
@@ -215,10 +213,9 @@ def fact_sales(
     split_rows: int | None = SPLIT_ROWS,
     sizes: DataFrame | None = None,
 ) -> DataFrame:
-    """Sales fact at order-line grain; hot orders and products are counted in ``sizes``, by default the items."""
-    sizes = items if sizes is None else sizes
-    lines = order_lines(items, orders, split_rows, sizes)
-    out = enrich_fact(with_product(lines, products, cost, split_rows, sizes))
+    """Sales fact at order-line grain; with dated costs hot products are counted in ``sizes``, by default the items."""
+    lines = order_lines(items, orders)
+    out = enrich_fact(with_product(lines, products, cost, split_rows, items if sizes is None else sizes))
     return out.select(
         surrogate_key("order_item_id").alias("fact_sales_key"),
         "order_id",

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from granary.operators import skew
 
@@ -50,7 +51,7 @@ def test_neighbours(spark, split_rows):
 def test_carry_forward(spark, split_rows):
     data = rows(seed=9)
     df = frame(spark, data)
-    out = skew.per_part(df, ["k"], "at", lambda p: skew.carry_forward(p, ["k"], ["at", "id"], "v"), split_rows)
+    out = skew.per_part(df, ["k"], ["at", "id"], lambda p: skew.carry_forward(p, ["k"], ["at", "id"], "v"), split_rows)
     want = {}
     for group in ordered(data):
         last = None
@@ -65,27 +66,55 @@ def test_one_instant_and_ordinary_keys_only(spark):
     out = skew.with_neighbours(frame(spark, same), ["k"], ["at", "id"], {"p": "id"}, split_rows=10)
     got = {r["id"]: r["p"] for r in out.collect()}
     assert got == {0: None, 99: None, **{j: j - 1 for j in range(1, 50)}}
-    cold, hot = skew.split_hot(frame(spark, same), ["k"], "at", 1000)
+    cold, hot = skew.split_hot(frame(spark, same), ["k"], ["at", "id"], 1000)
     assert hot is None and cold.count() == 51
 
 
 def test_hot_rows_spread_over_many_slices(spark):
     data = [("hot", T0 + timedelta(hours=j), j, j) for j in range(400)]
-    _, hot = skew.split_hot(frame(spark, data), ["k"], "at", 100)
+    _, hot = skew.split_hot(frame(spark, data), ["k"], ["at", "id"], 100)
     sizes = [r["count"] for r in hot.groupBy(skew.SLICE).count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 100
 
 
+def test_a_burst_equal_times_and_missing_times_are_cut_by_rows(spark):
+    day = T0 + timedelta(days=1500)
+    data = [("hot", T0 + timedelta(days=j), j, j) for j in range(10)] + [("hot", day, j, j) for j in range(10, 10_000)]
+    data += [("hot", None, j, j) for j in range(10_000, 20_000)]
+    _, hot = skew.split_hot(frame(spark, data), ["k"], ["at", "id"], 1000)
+    sizes = [r["count"] for r in hot.groupBy(skew.SLICE).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 2000
+    out = skew.with_neighbours(frame(spark, data), ["k"], ["at", "id"], {"p": "id"}, split_rows=1000)
+    in_order = [r[3] for r in sorted(data, key=lambda r: (r[1] is not None, r[1] or T0, r[3]))]
+    assert {r["id"]: r["p"] for r in out.collect()} == dict(zip(in_order, [None, *in_order], strict=False))
+
+
+def test_hot_join_keys_are_split_while_the_join_runs(spark):
+    left = spark.range(200_000).selectExpr("if(id % 10 < 9, 'hot', cast(id as string)) as k", "id")
+    right = left.groupBy("k").agg(F.count("*").alias("v"))
+    held = {"autoBroadcastJoinThreshold": "-1", "adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k", "adaptive.advisoryPartitionSizeInBytes": "64k"}
+    old = {k: spark.conf.get(f"spark.sql.{k}") for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+        out = skew.join_unique(left.repartition(8), right, ["k"])
+        assert out.agg(F.sum("v")).first()[0] == 180_000**2 + 20_000
+        counted = out.filter("v > 1")
+        assert counted.count() == 180_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(f"spark.sql.{k}", v)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("split_rows", [None, 5, 60])
-def test_join_unique(spark, how, split_rows):
+def test_join_unique(spark, how):
     rng = random.Random(8)
     left = [(rng.choice(["hot", "hot", "gone", "b", "c", None, None]), j) for j in range(300)]
     right = [("hot", 1), ("b", 2), ("z", 3)]
     lookup = dict(right)
     a = spark.createDataFrame(left, "k string, id int")
     b = spark.createDataFrame(right, "k string, v int")
-    got = sorted(skew.join_unique(a, b, ["k"], how, split_rows).collect(), key=lambda r: r["id"])
+    got = sorted(skew.join_unique(a, b, ["k"], how).collect(), key=lambda r: r["id"])
     if how == "left_anti":
         want = [(k, j) for k, j in left if k not in lookup]
     elif how == "left_semi":

@@ -54,11 +54,11 @@ def _dim_date(s, d):
 
 
 def _lines(s, d):
-    return gold.order_lines(_items(s, d), _orders(s, d), sizes=i.items(s, d))
+    return gold.order_lines(_items(s, d), _orders(s, d))
 
 
 def _fact(s, d, cost="current"):
-    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), cost, sizes=i.items(s, d))
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), cost)
 
 
 # -- sources, row steps ------------------------------------------------------------------------
@@ -261,7 +261,7 @@ ENRICHED_FACT = [
 )
 def enrich_fact(s, d):
     lines = _lines(s, d)
-    return gold.enrich_fact(gold.with_product(lines, _products(s, d), sizes=i.items(s, d))).select(*ENRICHED_FACT)
+    return gold.enrich_fact(gold.with_product(lines, _products(s, d))).select(*ENRICHED_FACT)
 
 
 @register(
@@ -320,7 +320,7 @@ def join_order_lines(s, d):
 )
 def join_fact_product(s, d):
     lines = _lines(s, d)
-    return gold.with_product(lines, _products(s, d), sizes=i.items(s, d)).select(
+    return gold.with_product(lines, _products(s, d)).select(
         "order_item_id", "product_id", "product_unit_cost", "category_name", "subcategory_name", "brand"
     )
 
@@ -347,52 +347,55 @@ def join_change_detect(s, d):
     return out.select("customer_id", "source_updated_at", "change_type")
 
 
-LATE_ORDERS = "timestamp '1996-01-01 00:00:00'"
+#: Items whose order went astray: a fixed share of them points to an order that does not exist.
+STRAY_ITEMS = """(select * replace (case when quantity % 7 = 0 then 'LOST-' || order_id else order_id end as order_id)
+          from raw_items)"""
 
 
-def _kept_orders(s, d):
-    return i.orders(s, d).filter(F.col("order_date") >= F.lit("1996-01-01").cast("timestamp"))
+def _stray_items(s, d):
+    lost = F.when(F.col("quantity") % 7 == 0, F.concat(F.lit("LOST-"), "order_id")).otherwise(F.col("order_id"))
+    return i.items(s, d).withColumn("order_id", lost)
 
 
 @register(
     "join_valid_orders",
     query(
-        f"""select order_item_id, order_id, cast(line_total as double) as line_total from raw_items where order_id in
-          (select order_id from raw_orders where order_date >= {LATE_ORDERS})""",
+        f"""select order_item_id, order_id, cast(line_total as double) as line_total from {STRAY_ITEMS} where order_id in
+          (select order_id from raw_orders)""",
         "raw_items",
         "raw_orders",
     ),
 )
 def join_valid_orders(s, d):
-    valid, _ = quality.split_orphans(i.items(s, d), _kept_orders(s, d))
+    valid, _ = quality.split_orphans(_stray_items(s, d), i.orders(s, d))
     return valid.select("order_item_id", "order_id", "line_total")
 
 
 @register(
     "join_orphans",
     query(
-        f"""select order_item_id, order_id, cast(line_total as double) as line_total from raw_items where order_id not in
-          (select order_id from raw_orders where order_date >= {LATE_ORDERS})""",
+        f"""select order_item_id, order_id, cast(line_total as double) as line_total from {STRAY_ITEMS} where order_id not in
+          (select order_id from raw_orders)""",
         "raw_items",
         "raw_orders",
     ),
 )
 def join_orphans(s, d):
-    _, orphan = quality.split_orphans(i.items(s, d), _kept_orders(s, d))
+    _, orphan = quality.split_orphans(_stray_items(s, d), i.orders(s, d))
     return orphan.select("order_item_id", "order_id", "line_total")
 
 
 @register(
     "join_relationship_test",
     query(
-        f"""select order_id, count(*) as n_lines from raw_items where order_id not in
-          (select order_id from raw_orders where order_date >= {LATE_ORDERS}) group by 1""",
+        f"""select order_id, count(*) as n_lines from {STRAY_ITEMS} where order_id not in
+          (select order_id from raw_orders) group by 1""",
         "raw_items",
         "raw_orders",
     ),
 )
 def join_relationship_test(s, d):
-    broken = quality.orphans(i.items(s, d), _kept_orders(s, d), "order_id", "order_id")
+    broken = quality.orphans(_stray_items(s, d), i.orders(s, d), "order_id", "order_id")
     return broken.groupBy("order_id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -404,10 +407,7 @@ STAR_SQL = """select f.order_item_id, c.customer_segment, c.region, p.price_tier
 
 @register("join_star", query(STAR_SQL, "fact_sales", "dim_customer", "dim_product", "dim_date"))
 def join_star(s, d):
-    items = i.items(s, d).select("order_id", surrogate_key("product_id").alias("dim_product_key"))
-    heads = i.orders(s, d).select("order_id", surrogate_key("customer_id").alias("dim_customer_key"))
-    sizes = {"dim_product_key": items, "dim_customer_key": items.join(heads, "order_id")}
-    out = analytics.star(_fact(s, d), _dim_customer(s, d), _dim_product(s, d), _dim_date(s, d), sizes=sizes)
+    out = analytics.star(_fact(s, d), _dim_customer(s, d), _dim_product(s, d), _dim_date(s, d))
     return out.select(
         "order_item_id", "customer_segment", "region", "price_tier", "margin_band", "year", "quarter", "net_revenue"
     )
@@ -585,7 +585,7 @@ def fact_sales(s, d):
 
 @register("fact_sales_hot_keys", query(FACT_SQL, "fact_sales"))
 def fact_sales_hot_keys(s, d):
-    """The same fact with a low limit, so that most orders and products take the broadcast path."""
+    """The same fact while adaptive execution splits nearly every partition of its joins."""
     return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), split_rows=3, sizes=i.items(s, d))
 
 
@@ -791,14 +791,14 @@ def agg_invalid_totals(s, d):
 @register(
     "agg_orphan_count",
     query(
-        f"""select count(*) as orphan_items from raw_items where order_id not in
-          (select order_id from raw_orders where order_date >= {LATE_ORDERS})""",
+        f"""select count(*) as orphan_items from {STRAY_ITEMS} where order_id not in
+          (select order_id from raw_orders)""",
         "raw_items",
         "raw_orders",
     ),
 )
 def agg_orphan_count(s, d):
-    _, orphan = quality.split_orphans(i.items(s, d), _kept_orders(s, d))
+    _, orphan = quality.split_orphans(_stray_items(s, d), i.orders(s, d))
     return orphan.agg(F.count(F.lit(1)).alias("orphan_items"))
 
 
@@ -1017,8 +1017,7 @@ def dq_accepted_values(s, d):
     "dq_relationships",
     query(
         f"""select 'order_items' as table_name, 'order_exists' as rule, 'referential_integrity' as kind, 'critical' as severity,
-          count(*) as rows_checked, count(*) filter (where order_id not in (select order_id from raw_orders
-            where order_date >= {LATE_ORDERS})) as violations, 'FAIL' as status from raw_items""",
+          count(*) as rows_checked, count(*) filter (where order_id not in (select order_id from raw_orders)) as violations, 'FAIL' as status from {STRAY_ITEMS}""",
         "raw_items",
         "raw_orders",
     ),
@@ -1027,7 +1026,7 @@ def dq_relationships(s, d):
     from granary.sources.contracts import Rule
 
     rule = Rule("order_exists", "referential_integrity", ("order_id",), target_table="orders", target_column="order_id")
-    return quality.relationship(i.items(s, d), _kept_orders(s, d), "order_items", rule)
+    return quality.relationship(_stray_items(s, d), i.orders(s, d), "order_items", rule)
 
 
 @register(
@@ -1174,15 +1173,15 @@ def dq_line_total(s, d):
 @register(
     "dq_orphan_quarantine",
     query(
-        f"""select case when order_id in (select order_id from raw_orders where order_date >= {LATE_ORDERS}) then 'valid'
+        f"""select case when order_id in (select order_id from raw_orders) then 'valid'
             else 'quarantined' end as outcome, count(*) as items, cast(sum(line_total) as double) as line_total
-        from raw_items group by 1""",
+        from {STRAY_ITEMS} group by 1""",
         "raw_items",
         "raw_orders",
     ),
 )
 def dq_orphan_quarantine(s, d):
-    valid, bad = quality.split_orphans(i.items(s, d), _kept_orders(s, d))
+    valid, bad = quality.split_orphans(_stray_items(s, d), i.orders(s, d))
     both = valid.withColumn("outcome", F.lit("valid")).unionByName(bad.withColumn("outcome", F.lit("quarantined")))
     return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("items"), F.sum("line_total").alias("line_total"))
 

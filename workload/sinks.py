@@ -20,11 +20,11 @@ from workload.registry import register
 from workload.retail import (
     DIM_CUSTOMER_SQL,
     HISTORY_SQL,
-    LATE_ORDERS,
     ORDER_RAW_SQL,
     PRODUCT_SQL,
+    STRAY_ITEMS,
     _dim_customer,
-    _kept_orders,
+    _stray_items,
 )
 from workload.sql import mean, query, ts
 
@@ -101,13 +101,13 @@ def set_merge_union(s, d):
     "sink_quarantine",
     query(
         f"""select order_item_id, order_id, 'no matching order' as _quarantine_reason, 'shop' as _source_system, 'b1' as _batch_id
-        from raw_items where order_id not in (select order_id from raw_orders where order_date >= {LATE_ORDERS})""",
+        from {STRAY_ITEMS} where order_id not in (select order_id from raw_orders)""",
         "raw_items",
         "raw_orders",
     ),
 )
 def sink_quarantine(s, d):
-    _, bad = quality.split_orphans(i.items(s, d), _kept_orders(s, d))
+    _, bad = quality.split_orphans(_stray_items(s, d), i.orders(s, d))
     writer = BronzeWriter(s, fresh_path(s, "quarantine"))
     bad = bad.drop("_ingestion_timestamp")
     writer.quarantine(bad, "order_items", "no matching order", "b1", source_system="shop", ingested_at=datetime(2024, 1, 1))
