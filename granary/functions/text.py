@@ -53,10 +53,11 @@ def error_signature(value: str | Column) -> Column:
 
 
 def cosine(a: str | Column, b: str | Column) -> Column:
-    """Cosine similarity of two double arrays; NULL where a norm is zero."""
+    """Cosine similarity of two double arrays; 0 where a norm is zero."""
     x, y = _col(a), _col(b)
 
     def dot(p: Column, q: Column) -> Column:
         return F.aggregate(F.zip_with(p, q, lambda i, j: i * j), F.lit(0.0), lambda acc, v: acc + v)
 
-    return dot(x, y) / F.nullif(F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)), F.lit(0.0))
+    norms = F.sqrt(dot(x, x)) * F.sqrt(dot(y, y))
+    return F.when(norms == 0.0, 0.0).otherwise(dot(x, y) / F.nullif(norms, F.lit(0.0)))

@@ -7,6 +7,7 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.operators.skew import join_unique
 from granary.session import materialize
 
 # The flow of the retail platform.
@@ -83,3 +84,12 @@ def impact(reached: DataFrame, roots: DataFrame) -> DataFrame:
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("direct", "indirect", "max_depth")})
     total = F.col("direct") + F.col("indirect")
     return out.withColumn("severity", F.when((total == 0) | (total > 10), "CRITICAL").otherwise("HIGH"))
+
+
+def dependents(reached: DataFrame, edges: DataFrame) -> DataFrame:
+    """The names behind ``impact``: a row per root and dependent, direct or indirect, and whether it is an end product,
+    a node that feeds nothing further."""
+    feeding = edges.select(F.col("src").alias("node")).distinct().withColumn("_feeds", F.lit(True))
+    joined = join_unique(reached, feeding, ["node"], "left")
+    relation = F.when(F.col("depth") == 1, "direct").otherwise("indirect")
+    return joined.select("root", "node", relation.alias("relation"), F.col("_feeds").isNull().alias("end_product"))

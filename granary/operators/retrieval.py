@@ -198,16 +198,6 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
 
-def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the best ``k`` scores, smaller ids first among equals."""
-    if len(scores) > k:
-        limit = np.partition(scores, len(scores) - k)[len(scores) - k]
-        keep = np.flatnonzero(scores >= limit)
-    else:
-        keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
-
-
 def _score_batch(query_ids: np.ndarray, unit_queries: np.ndarray, batch: pd.DataFrame, k: int) -> pd.DataFrame:
     parts = []
     step = max(1, PIECE_ROWS // len(query_ids))
@@ -215,9 +205,11 @@ def _score_batch(query_ids: np.ndarray, unit_queries: np.ndarray, batch: pd.Data
         piece = batch.iloc[start : start + step]
         ids = piece["chunk_id"].to_numpy()
         scores = _unit(np.stack(piece["embedding"].to_numpy()).astype("float64")) @ unit_queries.T
-        for j, query_id in enumerate(query_ids):
-            top = _top(scores[:, j], ids, k)
-            parts.append(pd.DataFrame({"query_id": query_id, "chunk_id": ids[top], "similarity": scores[top, j]}))
+        if len(ids) > k:  # all that reach a query's k-th best score, ties included
+            row, col = np.nonzero(scores >= np.partition(scores, len(ids) - k, axis=0)[len(ids) - k])
+        else:
+            row, col = np.nonzero(np.ones_like(scores, dtype=bool))
+        parts.append(pd.DataFrame({"query_id": query_ids[col], "chunk_id": ids[row], "similarity": scores[row, col]}))
     return _keep_best(pd.concat(parts, ignore_index=True), k)
 
 

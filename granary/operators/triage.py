@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions.text import error_signature, first_match
+from granary.operators.retrieval import build_context, rank_keyword
 from granary.operators.skew import join_unique
 
 # Key words per class (first match wins) and the analysis attached to each class.
@@ -19,28 +20,28 @@ ANALYSES = {
     "SchemaDrift": {
         "business_impact": "MEDIUM",
         "affected_tables": ["bronze.customers", "silver.stg_customers"],
-        "recommended_action": "Review new column with source team; update data contract; add column to Bronze "
-        "schema; reprocess last 24h partition",
+        "recommended_action": "The delivered columns no longer fit. Compare them with the contract, agree on the change with "
+        "its owner, then load the affected days again.",
         "confidence_score": 0.85,
     },
     "ConnectionFailure": {
         "business_impact": "HIGH",
         "affected_tables": ["bronze.customers", "bronze.products", "bronze.stores"],
-        "recommended_action": "Check server status; verify network connectivity; check for a maintenance window; "
-        "retry with exponential backoff",
+        "recommended_action": "The source did not answer. Find out whether it, or the way to it, is down. Loads can be "
+        "repeated safely once it is back.",
         "confidence_score": 0.90,
     },
     "DataQuality": {
         "business_impact": "HIGH",
         "affected_tables": ["bronze.orders"],
-        "recommended_action": "Identify source of null keys; quarantine affected records; notify source system "
-        "owner; implement stricter source validation",
+        "recommended_action": "Rows broke a rule and wait in quarantine. Trace them to their load before any of them "
+        "is released.",
         "confidence_score": 0.88,
     },
     "Unknown": {
         "business_impact": "MEDIUM",
         "affected_tables": [],
-        "recommended_action": "Collect additional logs; check system metrics; escalate to platform team if persistent",
+        "recommended_action": "No rule knows this message. Read the whole log, name the class and add a rule for it.",
         "confidence_score": 0.30,
     },
 }
@@ -87,3 +88,15 @@ def triage_batch(df: DataFrame, text: str = "text", id_column: str = "log_id") -
     groups = error_groups(df, text, id_column).drop("first_id", "last_id")
     keyed = df.withColumns({"signature": error_signature(text), "error_type": error_type(text)})
     return join_unique(keyed, groups, ["signature", "error_type"])
+
+
+def triage_with_context(errors: DataFrame, chunks: DataFrame, text: str = "text", id_column: str = "log_id") -> DataFrame:
+    """Every error with its analysis and the context retrieved for its text: prompt text, number of chunks, token estimate.
+
+    ``chunks`` as in ``retrieval.rank_keyword`` and ``build_context``. An error for which nothing is found has 0 chunks.
+    """
+    asked = errors.select(F.col(id_column).alias("query_id"), F.col(text).alias("query"))
+    found = build_context(rank_keyword(asked, chunks), chunks).drop("query_type")
+    found = found.withColumnRenamed("query_id", id_column)
+    out = join_unique(triage(errors, text), found, [id_column], "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in ("chunks", "estimated_tokens")})

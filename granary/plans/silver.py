@@ -13,7 +13,7 @@ from granary.operators.cleaning import (
     validate_orders,
 )
 from granary.operators.dedup import dedup_latest
-from granary.operators.scd2 import CUSTOMER_TRACKED, PRODUCT_TRACKED, scd2_apply
+from granary.operators.scd2 import CUSTOMER_TRACKED, PRODUCT_TRACKED, rebuild_touched, scd2_apply
 from granary.operators.skew import SPLIT_ROWS
 
 
@@ -34,3 +34,14 @@ def stg_customers(raw: DataFrame, history: DataFrame | None = None, split_rows:
 def stg_products(raw: DataFrame, history: DataFrame | None = None, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
     enriched = enrich_products(clean_products(raw))
     return scd2_apply(history, enriched, "product_id", PRODUCT_TRACKED, split_rows=split_rows)
+
+
+def rebuilt_customers(feed: DataFrame, batch: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+    """All versions of the customers in ``batch``, from all of their raw rows in ``feed``."""
+    return rebuild_touched(clean_customers(feed), clean_customers(batch), "customer_id", CUSTOMER_TRACKED, split_rows=split_rows)
+
+
+def rebuilt_products(feed: DataFrame, batch: DataFrame, split_rows: int | None = SPLIT_ROWS) -> DataFrame:
+    """All versions of the products in ``batch``, from all of their raw rows in ``feed``."""
+    cleaned = enrich_products(clean_products(feed)), enrich_products(clean_products(batch))
+    return rebuild_touched(*cleaned, "product_id", PRODUCT_TRACKED, split_rows=split_rows)

@@ -56,11 +56,22 @@ class LakeTable:
 
     def _write_commit(self, version: int, body: dict) -> None:
         fs, path = self._fs_path("_commits", f"{version:010d}.json")
-        stream = fs.create(path, False)  # fails if another writer committed this version first
+        _, draft = self._fs_path("_commits", f"_{version:010d}-{uuid.uuid4().hex}")  # readers take only *.json
+        stream = fs.create(draft, False)
         try:
             stream.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
         finally:
             stream.close()
+        gateway = self.spark.sparkContext._gateway
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        no_overwrite = gateway.new_array(hadoop.Options.Rename, 0)
+        context = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            # a whole file appears under the name, or the call fails if another writer committed this version first
+            context.rename(draft, path, no_overwrite)
+        except Exception:
+            fs.delete(draft, False)
+            raise
 
     def exists(self) -> bool:
         return bool(self._versions())
@@ -171,19 +182,21 @@ class LakeTable:
 
     def overwrite(self, df: DataFrame, rebalance: bool = False, **more) -> dict:
         """Full refresh; the schema may change. Older versions stay readable by number."""
-        version, _ = self._next()
+        return self._overwrite(self._next()[0], df, rebalance, more)
+
+    def _overwrite(self, version: int, df: DataFrame, rebalance: bool, more: dict) -> dict:
         out = self._ordered(df)
         folders, rows = self._write_data(out, version, rebalance)
         return self._finish(version, "overwrite", _nullable(out.schema), folders, rows=rows, **more)
 
     def append(self, df: DataFrame, idempotency_keys: list[str] | None = None, **more) -> dict:
-        """Add rows. With ``idempotency_keys`` rows already present under these columns are skipped."""
+        """Add rows. With ``idempotency_keys`` rows already present under these columns are skipped; NULLs count as equal."""
         version, old = self._next()
         if old is None:
-            return self.overwrite(df, **more)
+            return self._overwrite(version, df, False, more)
         out = self._widen(df, T.StructType.fromJson(old["schema"]))
         if idempotency_keys:
-            out = out.join(self._load(old).select(*idempotency_keys), idempotency_keys, "left_anti")
+            out = out.join(*_matching(out, self._load(old), idempotency_keys, null_safe=True), "left_anti")
         folders, rows = self._write_data(out, version)
         return self._finish(
             version, "append", _nullable(out.schema), old["folders"] + folders, rows=rows, **more
@@ -208,12 +221,39 @@ class LakeTable:
         try:
             self._reject_duplicates(staged, keys)
             if old is None:
-                return self.overwrite(staged, rebalance=True, **more)
+                return self._overwrite(version, staged, True, more)
             return self._merge_staged(staged, rows, version, old, keys, update_columns, null_safe, more)
         finally:
             fs, path = self._fs_path(staging)
             fs.delete(path, True)
 
+    def replace(self, df: DataFrame, keys: list[str], **more) -> dict:
+        """Put the rows of ``df`` in the place of all rows that share one of their ``keys``, in one commit.
+
+        Keys may repeat in ``df``: a history rebuilt for some keys replaces all of their versions, also those that the
+        rebuild no longer has. NULL keys count as equal.
+        """
+        version, old = self._next()
+        staging = f"_staging/{version}-{uuid.uuid4().hex[:8]}"
+        staged, rows = self._stage(df, staging)
+        try:
+            if old is None:
+                return self._overwrite(version, staged, True, more)
+            schema = T.StructType.fromJson(old["schema"])
+            source = self._widen(staged, schema)
+            touched = self._touched(old, self._load(old), source, keys, null_safe=True)
+            rewritten = self._load(old, touched)
+            added = [f for f in source.schema if f.name not in schema.fieldNames()]
+            rewritten = rewritten.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+            kept = rewritten.join(*_matching(rewritten, source, keys, null_safe=True), "left_anti")
+            out = kept.select(*source.columns).unionByName(source)
+            folders, _ = self._write_data(out, version, rebalance=True)
+            live = [f for f in old["folders"] if f not in set(touched)]
+            return self._finish(version, "replace", _nullable(out.schema), live + folders, rows=rows, **more)
+        finally:
+            fs, path = self._fs_path(staging)
+            fs.delete(path, True)
+
     def _merge_staged(
         self,
         staged: DataFrame,

@@ -160,3 +160,49 @@ def test_quarantine(spark, new_path):
         w.quarantine(batch(spark, ("a", 1, "x")), "t", "bad", b, source_system="s")
     out = w.table("t_quarantine").read()
     assert out.count() == 2 and out.filter(F.col("_quarantine_reason") == "bad").count() == 2
+
+
+def test_append_twice_with_a_missing_key(spark, new_path):
+    t = LakeTable(spark, new_path())
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    t.append(rows, ["k"])
+    t.append(rows, ["k"])
+    assert t.read().count() == 2
+
+
+def test_replace_takes_all_rows_of_the_touched_keys(spark, new_path):
+    t = LakeTable(spark, new_path(), ["p"])
+    t.replace(spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (2, "c", "x"), (None, "d", "x")], "k int, v string, p string"), ["k"])
+    t.replace(spark.createDataFrame([(1, "e", "z"), (1, "f", "z"), (None, "g", "x")], "k int, v string, p string"), ["k"])
+    assert sorted(r["v"] for r in t.read().collect()) == ["c", "e", "f", "g"]
+    assert t.history(1)[0]["operation"] == "replace"
+
+
+@pytest.mark.parametrize("write", ["append", "merge"])
+def test_a_first_write_does_not_undo_another_writers(spark, new_path, write, monkeypatch):
+    path = new_path()
+    late, other = LakeTable(spark, path), LakeTable(spark, path)
+    rows = spark.createDataFrame([(1, "a")], "k int, v string")
+    data = late._write_data
+
+    def slow(*args, **more):
+        other.overwrite(spark.createDataFrame([(2, "b")], "k int, v string"))
+        return data(*args, **more)
+
+    monkeypatch.setattr(late, "_write_data", slow)
+    with pytest.raises(Exception, match="(?i)exist"):
+        late.append(rows) if write == "append" else late.merge(rows, ["k"])
+    assert [r["v"] for r in other.read().collect()] == ["b"]
+
+
+def test_readers_never_see_an_unfinished_commit(spark, new_path):
+    import os
+
+    path = new_path()
+    t = LakeTable(spark, path)
+    t.overwrite(spark.createDataFrame([(1,)], "k int"))
+    with open(os.path.join(path, "_commits", "_0000000002-draft"), "w") as f:
+        f.write('{"vers')
+    assert t.read().count() == 1
+    t.append(spark.createDataFrame([(2,)], "k int"))
+    assert sorted(r[0] for r in t.read().collect()) == [1, 2]

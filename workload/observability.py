@@ -9,6 +9,7 @@ from granary.functions.text import cosine, word_set
 from granary.operators import bronze, drift, lineage, metrics, quality, retrieval, triage
 from granary.plans import gold, silver
 from granary.sources import calls as call_files
+from granary.sources import catalog
 from granary.sources.contracts import CUSTOMERS
 from workload import inputs as i
 from workload.registry import register
@@ -82,9 +83,12 @@ def agg_llm_by_role(s, d):
 DAILY_SQL = f"select cast(cast(timestamp as date) as varchar) as day, {USAGE_SQL} from priced group by 1 order by 1"
 
 
-@register("agg_llm_daily", query(DAILY_SQL, "priced"))
+FORTNIGHT_SQL = "from priced where timestamp between timestamp '2024-01-17 00:00:00' and timestamp '2024-01-31 00:00:00'"
+
+
+@register("agg_llm_daily", query(DAILY_SQL.replace("from priced", FORTNIGHT_SQL), "priced"))
 def agg_llm_daily(s, d):
-    return metrics.daily_trend(metrics.last_days(_calls(s, d), NOW, 30))
+    return metrics.daily_trend(metrics.last_days(_calls(s, d), NOW, 14))
 
 
 @register("sort_day", query(DAILY_SQL, "priced"))
@@ -339,22 +343,22 @@ def drift_breaking(s, d):
     query(
         """select a.*, coalesce(l.changes, '') as changes, case when change_count = 0 then '' else coalesce(o.deps, '') end as affected,
           true as requires_human_approval,
-          case when change_count = 0 then 'No action required' when breaking_change then 'Pause affected pipelines'
-            else 'Review new columns with business team' end as first_action
+          case when change_count = 0 then 'Nothing to do' when breaking_change then 'Hold loads that read the table until its readers fit again'
+            else 'Decide whether the contract takes the new column' end as first_action
         from assessed a
         left join (select table_name, string_agg(column_name || ':' || change_type, ',' order by column_name, change_type) as changes
           from changes group by 1) l on l.table_name = a.table_name
-        left join (select 't' || o_custkey as table_name, string_agg(distinct o_orderpriority, ',' order by o_orderpriority) as deps
+        left join (select 't' || o_custkey as table_name, string_agg('order:' || o_orderkey, ',' order by 'order:' || o_orderkey) as deps
           from orders group by 1) o on o.table_name = a.table_name""",
         "assessed",
     ),
 )
 def drift_report(s, d):
-    dependents = i.table(s, d, "orders").select(
-        F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("table_name"),
-        F.col("o_orderpriority").alias("dependent"),
-    )
-    out = drift.report(_changes(s, d), _tables(s, d), dependents.distinct())
+    """Dependents come from the lineage: what each customer's node reaches."""
+    customers = i.table(s, d, "customer").select(F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("root"))
+    reached = lineage.downstream(i.edges(s, d), customers)
+    dependents = reached.select(F.replace("root", F.lit("customer:"), F.lit("t")).alias("table_name"), F.col("node").alias("dependent"))
+    out = drift.report(_changes(s, d), _tables(s, d), dependents)
     listed = F.transform("changes", lambda c: F.concat_ws(":", c["column_name"], c["change_type"]))
     return out.select(
         "table_name", "change_count", "breaking_change", "severity", "confidence_score",
@@ -400,6 +404,37 @@ def lineage_impact(s, d):
     return lineage.impact(lineage.downstream(i.edges(s, d), roots), roots)
 
 
+@register(
+    "lineage_dependents",
+    query(
+        """select root, node, case when depth = 1 then 'direct' else 'indirect' end as relation,
+          node not in (select src from edges) as end_product from reached""",
+        "reached",
+        "edges",
+    ),
+)
+def lineage_dependents(s, d):
+    edges = i.edges(s, d)
+    return lineage.dependents(lineage.downstream(edges, i.roots(s, d)), edges)
+
+
+CATALOG = ("region", "nation", "customer", "part", "orders", "lineitem", "documents", "pages", "conversations")
+
+
+def _catalog_sql(name: str) -> str:
+    fields = [f.split(" ") for f in i.SCHEMAS[name].split(", ")]
+    rows = (
+        f"select '{name}' as table_name, count(*) as rows, '{c}' as column_name, {j} as position, '{t}' as data_type, count({c}) as filled from {name}"
+        for j, (c, t) in enumerate(fields, start=1)
+    )
+    return " union all ".join(rows)
+
+
+@register("src_catalog_columns", " union all ".join(map(_catalog_sql, CATALOG)))
+def src_catalog_columns(s, d):
+    return catalog.column_profile(s, {t: i.table(s, d, t) for t in CATALOG})
+
+
 # -- alerts and totals -------------------------------------------------------------------------
 
 
@@ -674,6 +709,27 @@ def triage_batch(s, d):
     )
 
 
+@register(
+    "triage_with_context",
+    query(
+        rf"""select q.query_id as log_id, error_type, {IMPACT_SQL}, coalesce(c.chunks, 0) as chunks, coalesce(c.tokens, 0) as estimated_tokens
+        from (select *, {TYPE_SQL.replace("text", "query")} as error_type from (select distinct query_id, query from routed)) q
+        left join (select query_id, count(*) as chunks, cast(floor(sum(length(content)) / 4) as bigint) as tokens
+          from ranked join chunks using (chunk_id) group by 1) c on c.query_id = q.query_id""",
+        "ranked",
+        "routed",
+        "chunks",
+    ),
+)
+def triage_with_context(s, d):
+    errors = i.questions(s, d).withColumnsRenamed({"query_id": "log_id", "query": "text"})
+    out = triage.triage_with_context(errors, i.chunks(s, d))
+    return out.select(
+        "log_id", "error_type", "business_impact", F.array_join("affected_tables", ",").alias("affected_tables"),
+        "confidence_score", "chunks", "estimated_tokens",
+    )
+
+
 # -- retrieval ---------------------------------------------------------------------------------
 
 
