@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.graph import components
 from granary.llm.text import BASE, NONSPACE, Words, mix, slabs
+from granary.operators.skew import join_unique
 from granary.session import materialize
 
 #: Parts of the key space by which keys are shuffled, and members of a key that one task compares with each other.
@@ -278,7 +279,7 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     final = components(links.union(more)).withColumnRenamed("node", "set")
     of = rows.select("doc_id", "n_shingles", "set").join(final, "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = of.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    joined = of.join(least, "component", "left")
+    joined = join_unique(of, least, ["component"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     return joined.select("doc_id", "n_shingles", F.when(linked, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
