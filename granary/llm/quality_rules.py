@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.session import materialize
-
 SPACE = " \t\n\u000b\f\r"
 SPACES = "[\\x20\\x09-\\x0D]+"
 WINDOW = 8
@@ -149,9 +147,10 @@ def add_quality(voted: DataFrame, model: dict[str, float], least: float = 0.5) -
 def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged, whatever their columns are called.
 
-    Rows and votes are written once: the votes are counted first, and a filter on the counts of words would be moved into
-    the scan, with all the loops behind it.
+    The texts are read twice, for the model and for the verdicts, and nothing is written. The id keeps the filter above
+    the counts that it reads: moved below them, it would run their loops again for each place that names them.
     """
     voted = add_votes(add_features(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"))))
-    voted = materialize(voted.select("_row", "base_failed", "votes"), "votes")
-    return add_quality(voted, fit(voted), least).where("kept").select("_row.*")
+    model = fit(voted)
+    held = voted.select("_row", "base_failed", "votes", F.monotonically_increasing_id().alias("_id"))
+    return add_quality(held, model, least).where(F.col("kept") & (F.col("_id") >= 0)).select("_row.*")
