@@ -49,12 +49,15 @@ def most_apart(size: int, percent: int) -> int:
 
 
 def parts_of(band: int, percent: int) -> tuple[int, int]:
-    """Number of parts in a band, and how many of them any linked pair shares at least."""
+    """Number of parts in a band, and how many of them a linked pair of its largest sets shares at least."""
     apart = most_apart(BANDS[band + 1] - 1, percent)
     more = 2 + apart // 16
     return apart + more, more
 
 
+KEY_BYTES = 6
+
+
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     """The distinct shingle hashes of each text, sorted."""
     words = Words(texts, NONSPACE)
@@ -81,20 +84,27 @@ def digest(hashes: np.ndarray) -> tuple[int, int]:
 
 
 def keys(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Join keys of a set: one per part, in its own band and in those of smaller sets that may link with it."""
+    """Join keys of a set, one per part, KEY_BYTES each: in its own band and in those of smaller sets that may link with it.
+
+    Of its own band's parts it needs only the first few: a pair whose smaller set has n elements differs in at most
+    most_apart(n) parts, so among that many and ``shared`` more, which both sets have keys of, ``shared`` are alike.
+    """
     n, out = len(hashes), []
     mixed = mix(hashes * np.uint64(3))
     for band in range(band_of(-(-percent * n // 100)), band_of(n) + 1):
         parts, shared = parts_of(band, percent)
         part = (mixed >> np.uint64(32)) % np.uint64(parts)
+        needed = min(parts, most_apart(n, percent) + shared)
         order = part.argsort(kind="stable")
         there, start = np.unique(part[order], return_index=True)
         value = np.bitwise_xor.reduceat(hashes[order], start)
-        if parts - len(there) >= shared:  # only then may all shared parts be empty
-            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), there)
+        there, value = there[there < needed], value[there < needed]
+        if needed - len(there) >= shared:  # only then may all shared parts be empty
+            empty = np.setdiff1d(np.arange(needed, dtype=np.uint64), there)
             there, value = np.concatenate((there, empty)), np.concatenate((value, np.zeros(len(empty), np.uint64)))
         out.append(mix(value ^ mix(there * np.uint64(1 << 20) + np.uint64(band + 1))))
-    return np.concatenate(out)
+    short = np.concatenate(out).astype("<u8").view(np.uint8).reshape(-1, 8)
+    return np.ascontiguousarray(short[:, :KEY_BYTES])
 
 
 def sketch(hashes: np.ndarray) -> bytes:
@@ -140,13 +150,13 @@ def shared_keys(sets: DataFrame) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = [np.frombuffer(k, np.uint64) for k in batch.column("keys").to_pylist()]
+            each = [np.frombuffer(k, np.uint8).reshape(-1, KEY_BYTES) for k in batch.column("keys").to_pylist()]
             if not each:
                 continue
-            both = np.empty((sum(map(len, each)), 2), np.uint64)
-            both[:, 0] = np.concatenate(each)
-            both[:, 1] = np.repeat(batch.column("set").to_numpy().view(np.uint64), [len(x) for x in each])
-            split = both[:, 0] >> np.uint64(64 - SPLITS.bit_length() + 1)
+            both = np.empty((sum(map(len, each)), KEY_BYTES + 8), np.uint8)
+            both[:, :KEY_BYTES] = np.concatenate(each)
+            both[:, KEY_BYTES:] = np.repeat(batch.column("set").to_numpy(), [len(x) for x in each]).view(np.uint8).reshape(-1, 8)
+            split = both[:, :2].copy().view("<u2").ravel() % SPLITS
             order = split.argsort(kind="stable")
             both, split = both[order], split[order]
             there, start = np.unique(split, return_index=True)
@@ -156,17 +166,20 @@ def shared_keys(sets: DataFrame) -> DataFrame:
             )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.frombuffer(x.as_buffer(), np.uint64).reshape(-1, 2) for batch in batches for x in batch.column("pairs")]
+        held = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, KEY_BYTES + 8) for batch in batches for x in batch.column("pairs")]
         if not held:
             return
-        whole = np.concatenate(held)
+        raw = np.concatenate(held)
         held.clear()
-        top = whole[:, 0] >> np.uint64(64 - SPLITS.bit_length() + 1)
-        step = SPLITS if len(whole) < 1 << 20 else 64  # a slice of the key space at a time
+        top = raw[:, :2].copy().view("<u2").ravel() % SPLITS
+        step = SPLITS if len(raw) < 1 << 20 else 64  # a slice of the key space at a time
         for low in range(0, SPLITS, step):
-            mine = whole[(top >= low) & (top < low + step)]
-            if not len(mine):
+            some = raw[(top >= low) & (top < low + step)]
+            if not len(some):
                 continue
+            wide = np.zeros((len(some), 16), np.uint8)
+            wide[:, :KEY_BYTES], wide[:, 8:] = some[:, :KEY_BYTES], some[:, KEY_BYTES:]
+            mine = wide.view("<u8")
             mine = mine[np.lexsort((mine[:, 1], mine[:, 0]))]
             mine = mine[np.append(True, (mine[1:] != mine[:-1]).any(axis=1))]
             same = mine[1:, 0] == mine[:-1, 0]
@@ -200,6 +213,27 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def plausible(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that sizes and sketches in ``held`` (set, n_shingles, sketch) allow to link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n_a", "n_b", "s_a", "s_b")), strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                width = min(len(x), len(y))
+                apart = int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum(dtype=np.int64))
+                good.append(100 * (n + m - apart) >= percent * (n + m + apart))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], names=["a", "b"])
+
+    def side(x: str) -> DataFrame:
+        return held.select(F.col("set").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = joined.where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return joined.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
 def close_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """Pairs of ``members`` (key, set, component, n_shingles, sketch) of one key but several components that their sizes and
     sketches allow to link. A key with more than ``block`` members is dealt to tasks by pairs of its blocks."""
@@ -260,22 +294,21 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     some = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # equal sets are one row from here on; copies meet before the shuffle
     sets = some.groupBy("set", "other").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
+    held = some.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     shared = materialize(shared_keys(sets), "keys")
     degree = shared.groupBy("set").agg(F.count("*").alias("degree"))
     members = shared.join(degree, "set")
     centre = members.groupBy("key").agg(F.max(F.struct("degree", "set")).alias("top")).select("key", F.col("top.set").alias("centre"))
     stars = members.join(centre, "key").where("set <> centre").select(F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")).distinct()
-    stars = materialize(stars, "stars")
-    texts = sets_texts(docs, some, stars.select(F.col("a").alias("set")).union(stars.select("b")).distinct())
-    texts = materialize(texts, "texts")
-    links = materialize(verify(stars, texts, n, percent), "links")
+    stars = materialize(plausible(stars, held, percent), "stars")
+    links = materialize(verify(stars, sets_texts(docs, some, stars), n, percent), "links")
     known = components(links)
     named = shared.join(known.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
-    held = some.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+    several = several.where("lo < hi and n > 2").select("key")  # the one pair of two members has been compared
     open_ = named.join(several, "key").join(held, "set")
-    more = close_pairs(open_, percent).join(stars, ["a", "b"], "left_anti")
-    more = materialize(verify(materialize(more, "pairs"), texts, n, percent), "links")
+    more = materialize(close_pairs(open_, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
+    more = materialize(verify(more, sets_texts(docs, some, more), n, percent), "links")
     final = components(links.union(more)).withColumnRenamed("node", "set")
     of = rows.select("doc_id", "n_shingles", "set").join(final, "set", "left").withColumn("component", F.coalesce("component", "set"))
     least = of.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
@@ -284,10 +317,11 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     return joined.select("doc_id", "n_shingles", F.when(linked, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def sets_texts(docs: DataFrame, some: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, text) for the ``wanted`` sets, from the document with the least id that has the set."""
-    who = some.groupBy("set").agg(F.min("doc_id").alias("doc_id")).join(wanted, "set", "left_semi")
-    return docs.select("doc_id", "text").join(who, "doc_id").select("set", "text")
+def sets_texts(docs: DataFrame, some: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set, text) for all sets in ``pairs``, from the document with the least id that has the set, written once."""
+    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
+    who = materialize(some.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id")), "ids")
+    return materialize(docs.select("doc_id", "text").join(who, "doc_id").select("set", "text"), "texts")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
