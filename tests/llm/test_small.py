@@ -13,7 +13,7 @@ from granary.llm import chat, decontaminate, graph, html, jaccard, packing, pii,
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 R = random.Random(5)
-VOCABULARY = [f"{a}{b}" for a in "bcdfglmnprst" for b in ("a", "en", "ir", "o", "ul")]
+VOCABULARY = [f"{a}{b}{c}" for a in "bdglmnst" for b in ("a", "en", "o", "ul") for c in ("ta", "rin")]
 
 
 def prose(n, r=R):
@@ -140,7 +140,7 @@ def test_jaccard_parts_leave_one_alike():
             a, b = np.unique(a), np.unique(b)
             common = len(np.intersect1d(a, b))
             if len(b) and 100 * common >= 85 * (len(a) + len(b) - common):
-                assert len(np.intersect1d(jaccard.keys(a, 85), jaccard.keys(b, 85)))
+                assert {k.tobytes() for k in jaccard.keys(a, 85)} & {k.tobytes() for k in jaccard.keys(b, 85)}
 
 
 def test_jaccard_blocks_of_a_large_key_lose_no_pair(spark):
