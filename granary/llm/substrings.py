@@ -301,7 +301,7 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
     twice = rows.groupBy("h").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x < y").select("h")
     live = materialize(join_unique(rows, twice, ["h"], "left_semi").distinct(), "anchors")
     many = live.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many"))
-    flagged = live.join(many, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    flagged = join_unique(live, many, ["h"], "left").withColumn("many", F.coalesce("many", F.lit(False)))
     place, t2 = F.col("at").bitwiseAND(0xFFFFFFFF).cast("int"), F.shiftright("at", 32).cast("int")
     spots = flagged.groupBy("t1", t2.alias("t2")).agg(
         F.collect_list(F.when(~F.col("many"), F.struct("h", place.alias("place")))).alias("places"), F.collect_list(F.when(F.col("many"), place)).alias("hot")
