@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,3 +97,15 @@ def incremental_orders(
 def with_audit(df: DataFrame, run_id: str, model: str, loaded_at: datetime | Column) -> DataFrame:
     at = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at).cast("timestamp")
     return df.withColumns({"_loaded_at": at, "_run_id": F.lit(run_id), "_model": F.lit(model)})
+
+
+class Run(NamedTuple):
+    """The run that builds a model; both are arguments, so a repeated run gives the same rows."""
+
+    run_id: str
+    loaded_at: datetime | Column
+
+
+def audited(df: DataFrame, model: str, run: Run | None) -> DataFrame:
+    """``df`` with the audit columns of ``run``, unchanged without one."""
+    return df if run is None else with_audit(df, run.run_id, model, run.loaded_at)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from granary.functions.keys import date_key, surrogate_key
 from granary.functions.numbers import ladder, ratio
 from granary.operators.scd2 import current_only, join_as_of
+from granary.operators.bronze import Run, audited
 from granary.operators.skew import SPLIT_ROWS, join_unique
 
 # Regions of the states, segment ranks and label ladders.
@@ -59,15 +60,15 @@ def enrich_dim_customer(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def dim_customer(history: DataFrame, as_of: str) -> DataFrame:
-    out = enrich_dim_customer(current_only(history), as_of)
-    return out.select(
+def dim_customer(history: DataFrame, as_of: str, run: Run | None = None) -> DataFrame:
+    out = enrich_dim_customer(current_only(history), as_of).select(
         surrogate_key("customer_id").alias("dim_customer_key"),
         "customer_id", "first_name", "last_name", "full_name", "email", "phone", "address_line1", "city", "state",
         "postal_code", "country_code", "region", "customer_segment", "segment_rank", "tenure_segment",
         "registration_date", "tenure_days", "tenure_years", "is_active", "status_description",
         "source_created_at", "source_updated_at",
     )
+    return audited(out, "gold.dim_customer", run)
 
 
 def enrich_dim_product(df: DataFrame, as_of: str) -> DataFrame:
@@ -86,9 +87,8 @@ def enrich_dim_product(df: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def dim_product(history: DataFrame, as_of: str) -> DataFrame:
-    out = enrich_dim_product(current_only(history), as_of)
-    return out.select(
+def dim_product(history: DataFrame, as_of: str, run: Run | None = None) -> DataFrame:
+    out = enrich_dim_product(current_only(history), as_of).select(
         surrogate_key("product_id").alias("dim_product_key"),
         "product_id", "product_name", "brand", "category_id", "category_name", "subcategory_name", "category_path",
         "unit_price", "unit_cost", "unit_margin", "margin_percentage", "price_tier", "margin_band",
@@ -96,6 +96,7 @@ def dim_product(history: DataFrame, as_of: str) -> DataFrame:
         "days_in_catalog", "product_lifecycle_stage", "is_active", "product_status",
         "source_created_at", "source_updated_at",
     )
+    return audited(out, "gold.dim_product", run)
 
 
 def date_spine(bounds: DataFrame) -> DataFrame:
@@ -212,11 +213,12 @@ def fact_sales(
     cost: str = "current",
     split_rows: int | None = SPLIT_ROWS,
     sizes: DataFrame | None = None,
+    run: Run | None = None,
 ) -> DataFrame:
     """Sales fact at order-line grain; with dated costs hot products are counted in ``sizes``, by default the items."""
     lines = order_lines(items, orders)
     out = enrich_fact(with_product(lines, products, cost, split_rows, items if sizes is None else sizes))
-    return out.select(
+    out = out.select(
         surrogate_key("order_item_id").alias("fact_sales_key"),
         "order_id",
         "order_item_id",
@@ -245,3 +247,4 @@ def fact_sales(
         "customer_id",
         "validation_status",
     )
+    return audited(out, "gold.fact_sales", run)

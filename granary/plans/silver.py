@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from granary.operators.bronze import Run, audited
 from granary.operators.cleaning import (
     clean_customers,
     clean_orders,
@@ -21,10 +22,11 @@ def latest_orders(df: DataFrame) -> DataFrame:
     return dedup_latest(df, ["order_id"], ["_ingestion_timestamp", "source_updated_at"])
 
 
-def stg_orders(raw: DataFrame, strict: bool = False) -> DataFrame:
+def stg_orders(raw: DataFrame, strict: bool = False, run: Run | None = None) -> DataFrame:
     flagged = validate_orders(clean_orders(raw), strict)
     out = derive_order_fields(latest_orders(flagged))
-    return out.drop("calculated_total", "is_total_valid", "is_status_valid", "is_payment_valid")
+    out = out.drop("calculated_total", "is_total_valid", "is_status_valid", "is_payment_valid")
+    return audited(out, "silver.stg_orders", run)
 
 
 def stg_customers(raw: DataFrame, history: DataFrame | None = None, split_rows: int | None = SPLIT_ROWS) -> DataFrame:

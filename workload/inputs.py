@@ -15,7 +15,7 @@ STATES = [
 ]
 
 
-HEAVY = ("lineitem", "documents")
+HEAVY = ("documents",)
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",

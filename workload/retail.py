@@ -532,27 +532,36 @@ def scd2_change_hash(s, d):
     return clean.select("customer_id", "source_updated_at", scd2.change_hash(scd2.CUSTOMER_TRACKED).alias("row_hash"))
 
 
+def _run() -> bronze.Run:
+    return bronze.Run("run-1", F.lit(TODAY).cast("timestamp"))
+
+
+def _audited_sql(sql: str, model: str) -> str:
+    return f"select *, '{TODAY} 00:00:00' as _loaded_at, 'run-1' as _run_id, '{model}' as _model from ({sql})"
+
+
 @register(
     "stg_orders",
     query(
         f"""select order_id, customer_id, {ts("order_date")} as order_date, order_status, payment_method, shipping_address,
           {dbl("subtotal", "discount_amount", "shipping_cost", "total_amount")}, discount_percentage, validation_status,
           cast(order_date_key as varchar) as order_date_key, order_year, order_month, order_day, order_day_of_week,
-          {ts("source_created_at")} as source_created_at, {ts("source_updated_at")} as source_updated_at from stg_orders""",
+          {ts("source_created_at")} as source_created_at, {ts("source_updated_at")} as source_updated_at,
+          '{TODAY} 00:00:00' as _loaded_at, 'run-1' as _run_id, 'silver.stg_orders' as _model from stg_orders""",
         "stg_orders",
     ),
 )
 def stg_orders(s, d):
-    return _orders(s, d).drop("_ingestion_timestamp")
+    return silver.stg_orders(i.orders(s, d), run=_run()).drop("_ingestion_timestamp")
 
 
 DIM_CUSTOMER_SQL = f"""select * replace (cast(registration_date as varchar) as registration_date,
   {ts("source_created_at")} as source_created_at, {ts("source_updated_at")} as source_updated_at) from dim_customer"""
 
 
-@register("dim_customer", query(DIM_CUSTOMER_SQL, "dim_customer"))
+@register("dim_customer", query(_audited_sql(DIM_CUSTOMER_SQL, "gold.dim_customer"), "dim_customer"))
 def dim_customer(s, d):
-    return _dim_customer(s, d)
+    return gold.dim_customer(_customers(s, d), TODAY, _run())
 
 
 DIM_PRODUCT_SQL = f"""select * replace (cast(unit_price as double) as unit_price, cast(unit_cost as double) as unit_cost,
@@ -561,9 +570,9 @@ DIM_PRODUCT_SQL = f"""select * replace (cast(unit_price as double) as unit_price
   {ts("source_created_at")} as source_created_at, {ts("source_updated_at")} as source_updated_at) from dim_product"""
 
 
-@register("dim_product", query(DIM_PRODUCT_SQL, "dim_product"))
+@register("dim_product", query(_audited_sql(DIM_PRODUCT_SQL, "gold.dim_product"), "dim_product"))
 def dim_product(s, d):
-    return _dim_product(s, d)
+    return gold.dim_product(_products(s, d), TODAY, _run())
 
 
 @register("dim_date", query(DATE_SQL, "dim_date"))
@@ -578,9 +587,9 @@ FACT_SQL = f"""select * replace (cast(gross_revenue as double) as gross_revenue,
   {ts("order_date")} as order_date, cast(order_date_only as varchar) as order_date_only) from fact_sales"""
 
 
-@register("fact_sales", query(FACT_SQL, "fact_sales"))
+@register("fact_sales", query(_audited_sql(FACT_SQL, "gold.fact_sales"), "fact_sales"))
 def fact_sales(s, d):
-    return _fact(s, d)
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), run=_run())
 
 
 @register("fact_sales_hot_keys", query(FACT_SQL, "fact_sales"))
