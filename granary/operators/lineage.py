@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from granary.operators.skew import join_unique
-from granary.session import materialize
+from granary.session import fresh_path
 
 # The flow of the retail platform.
 PLATFORM_EDGES = [
@@ -41,25 +42,29 @@ def platform_edges(spark: SparkSession) -> DataFrame:
 def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """``(root, node, depth)``: every node reachable from a root with its shortest distance.
 
-    Breadth-first: one join per level. Each level is written to the shared folder, so the plan
-    stays short and a lost executor does not replay the search. Cycles end, as known nodes drop out.
+    Breadth-first: one join per level, until a level finds nothing new. Each level is written to a folder of its own below
+    one table, so the plan has the same size at any depth and a lost executor does not replay the search. Cycles end, as
+    known nodes drop out.
     """
+    spark = edges.sparkSession
+    base = fresh_path(spark, "lineage")
     steps = edges.select("src", "dst").distinct()
-    frontier = roots.select(F.col("root"), F.col("root").alias("node")).distinct()
-    reached = materialize(frontier.withColumn("depth", F.lit(0)), "lineage")
-    frontier = reached.select("root", "node")
+    first = roots.select(F.col("root"), F.col("root").alias("node")).distinct()
+    schema = first.schema
+
+    def level(depth: int) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{base}/depth={depth}")
+
+    def reached() -> DataFrame:
+        return spark.read.schema(T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])).parquet(base)
+
+    first.write.parquet(f"{base}/depth=0")
     for depth in count(1):
-        found = (
-            frontier.join(steps, F.col("node") == F.col("src"))
-            .select("root", F.col("dst").alias("node"))
-            .distinct()
-            .join(reached.select("root", "node"), ["root", "node"], "left_anti")
-        )
-        ahead = materialize(found, "lineage")
-        if ahead.isEmpty():
-            return reached.filter("depth > 0")
-        reached = reached.unionByName(ahead.withColumn("depth", F.lit(depth)))
-        frontier = ahead
+        ahead = level(depth - 1).join(steps, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
+        fresh, seen = ahead.join(reached().select("root", "node"), ["root", "node"], "left_anti"), Observation()
+        fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{base}/depth={depth}")
+        if not seen.get["rows"]:
+            return reached().filter("depth > 0")
 
 
 def downstream(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -3,8 +3,8 @@
 A table folder holds immutable data folders ``_table_version=<n>-<id>/<partition>=<value>/`` and one small commit file
 per version in ``_commits``, which lists the live data folders. Readers take the newest commit, so a
 failed or repeated write never shows half a result. A merge rewrites only partitions that hold a
-matching key; all other data folders are carried over by name. The list grows with the number of
-partitions, never with the rows.
+matching key, and without partitions only earlier writes that hold one; all other data folders are carried over by name.
+The list grows with the number of partitions and, for appends, of writes, never with the rows.
 """
 
 from __future__ import annotations
@@ -196,7 +196,8 @@ class LakeTable:
             return self._overwrite(version, df, False, more)
         out = self._widen(df, T.StructType.fromJson(old["schema"]))
         if idempotency_keys:
-            out = out.join(*_matching(out, self._load(old), idempotency_keys, null_safe=True), "left_anti")
+            there = self._load(old).filter(_range(out, idempotency_keys[0], null_safe=True))
+            out = out.join(*_matching(out, there, idempotency_keys, null_safe=True), "left_anti")
         folders, rows = self._write_data(out, version)
         return self._finish(
             version, "append", _nullable(out.schema), old["folders"] + folders, rows=rows, **more
@@ -300,12 +301,16 @@ class LakeTable:
     def _touched(
         self, commit: dict, target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool
     ) -> list[str]:
-        """Live folders that hold a key of the batch. Only key and partition columns are read."""
-        if not self.partition_by or not commit["folders"]:
-            return commit["folders"]
+        """Live folders that hold a key of the batch, those of earlier writes in a table without partitions.
+
+        Only key and partition columns are read, and of those only what lies within the batch's range of the first key.
+        """
+        if not commit["folders"]:
+            return []
         slim = target.select(*dict.fromkeys([*keys, *self.partition_by]), F.col("_metadata.file_path").alias("_file"))
+        slim = slim.filter(_range(source, keys[0], null_safe))
         hits = slim.join(*_matching(slim, source, keys, null_safe), "left_semi")
-        folder = F.regexp_extract("_file", rf"({VERSION_COLUMN}=[^/]+/.*)/[^/]+$", 1)
+        folder = F.regexp_extract("_file", rf"({VERSION_COLUMN}=.*)/[^/]+$", 1)
         names = {r[0] for r in hits.select(folder.alias("f")).distinct().collect()}  # one row per folder
         found = {n if n in commit["folders"] else unquote(n) for n in names}
         if not found <= set(commit["folders"]):
@@ -335,6 +340,13 @@ def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
 
 
+def _range(source: DataFrame, key: str, null_safe: bool) -> Column:
+    """Filter on ``key`` that every match of ``source`` passes; files outside it are not read."""
+    ends = source.agg(F.min(key), F.max(key)).first()
+    missing = F.col(key).isNull() if null_safe else F.lit(False)
+    return missing if ends[0] is None else F.col(key).between(F.lit(ends[0]), F.lit(ends[1])) | missing
+
+
 def _matching(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> tuple[DataFrame, Column]:
     """The key columns of ``right`` under other names, and the join condition."""
     slim = right.select(*[F.col(k).alias(f"_m_{k}") for k in keys])

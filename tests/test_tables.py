@@ -206,3 +206,15 @@ def test_readers_never_see_an_unfinished_commit(spark, new_path):
     assert t.read().count() == 1
     t.append(spark.createDataFrame([(2,)], "k int"))
     assert sorted(r[0] for r in t.read().collect()) == [1, 2]
+
+
+def test_merges_of_new_keys_leave_earlier_writes_alone(spark, new_path):
+    t = LakeTable(spark, new_path())
+    for j in range(6):
+        t.merge(spark.range(j * 10, j * 10 + 10).selectExpr("id as k", f"{j} as v"), ["k"])
+    before = set(t.history(1)[0]["folders"])
+    assert len(before) == 6
+    t.merge(spark.range(25, 27).selectExpr("id as k", "9 as v"), ["k"])
+    after = set(t.history(1)[0]["folders"])
+    assert len(before & after) == 5 and t.read().count() == 60
+    assert sorted(r["k"] for r in t.read().filter("v = 9").collect()) == [25, 26]
