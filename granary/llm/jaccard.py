@@ -108,8 +108,9 @@ def keys(hashes: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketch(hashes: np.ndarray) -> bytes:
-    """Parity bits, as many as the next power of two of the set's size; halves of a sketch XOR to the shorter sketch."""
-    bits = max(64, 1 << (len(hashes) - 1).bit_length())
+    """Parity bits, as many as the next power of two of four times the set size, so that few of them cancel out; halves of a
+    sketch XOR to the shorter sketch."""
+    bits = max(64, 1 << (4 * len(hashes) - 1).bit_length())
     odd = np.bincount((mix(hashes * np.uint64(5)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
