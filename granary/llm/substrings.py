@@ -288,6 +288,7 @@ def _counted_ranges(wanted: DataFrame) -> DataFrame:
     strings = materialize(wanted.where(F.size("hot") > 0).select("t1", "t2", "text", "hot").mapInArrow(run, "w1 long, w2 long, t1 long, t2 int, lo long"), "strings")
     where = F.xxhash64("t1", "t2", "lo")
     twice = strings.groupBy("w1", "w2").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x < y").select("w1", "w2")
+    twice = materialize(twice, "strings")
     return strings.join(twice, ["w1", "w2"], "left_semi").select("t1", "t2", "lo", (F.col("lo") + SIZE).alias("hi"))
 
 
@@ -300,8 +301,9 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFra
     # an anchor of a copied text comes as often as its copies; only another text or place makes a gram occur again
     twice = rows.groupBy("h").agg(F.min(where).alias("x"), F.max(where).alias("y")).where("x < y").select("h")
     live = materialize(join_unique(rows, twice, ["h"], "left_semi").distinct(), "anchors")
-    many = live.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many"))
-    flagged = join_unique(live, many, ["h"], "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    # written first, so that the planner knows how few they are and adaptive execution may split what they meet
+    many = materialize(live.groupBy("h").count().where(F.col("count") > hot).select("h", F.lit(True).alias("many")), "hot-grams")
+    flagged = live.join(many, "h", "left").withColumn("many", F.coalesce("many", F.lit(False)))
     place, t2 = F.col("at").bitwiseAND(0xFFFFFFFF).cast("int"), F.shiftright("at", 32).cast("int")
     spots = flagged.groupBy("t1", t2.alias("t2")).agg(
         F.collect_list(F.when(~F.col("many"), F.struct("h", place.alias("place")))).alias("places"), F.collect_list(F.when(F.col("many"), place)).alias("hot")
