@@ -2,23 +2,34 @@
 
 Each rule votes +1 (good), -1 (bad) or 0 (abstains). Documents fall into at most 3**rules vote patterns; their counts, a
 table whose size does not grow with the documents, are all that expectation-maximisation needs to estimate the share of
-good documents and the accuracy of every rule on good and on bad documents. The posterior of a document's pattern is its
-quality.
+good documents and of each kind of junk, and how every rule votes on each of them. The posterior of a document's pattern
+is its quality.
 
 Defined cases: a null or empty text has no words, so it fails the base rules; a text without words has no votes but the
-one on length; rows are judged one by one, so ties and repeated rows do not matter; an empty table gives the prior
-accuracies and no rows; extra columns pass through ``keep_good`` as they are, and ``add_features`` replaces those that it names.
+one on length; rows are judged one by one, so ties and repeated rows do not matter; an empty table gives no rows; extra
+columns pass through ``keep_good`` as they are, and ``add_features`` replaces those that it names.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = " \t\n\u000b\f\r"
 SPACES = "[\\x20\\x09-\\x0D]+"
 WINDOW = 8
-FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_distinct_words", "n_upper", "n_lines")
+#: Words of a block in which distinct words are counted; the share in whole texts falls with their length.
+BLOCK = 50
+#: The rules in the order of their votes.
+RULES = ("length", "repeats", "symbols", "lines", "word_length", "capitals", "vocabulary")
+#: The rules that a kind of junk is expected to break: texts that repeat themselves, and texts of odd characters.
+JUNK = (("repeats", "lines", "vocabulary"), ("symbols", "word_length", "capitals"))
+#: Rules whose values between the limits are evidence: signs in a text shift all of these counts at once. Those of length,
+#: repeats and lines tell nothing, since good texts are short or have refrains and lists.
+TELLING = ("symbols", "word_length", "capitals", "vocabulary")
+FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_block_words", "n_block_distinct", "n_upper", "n_lines")
 
 
 def add_features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -41,10 +52,14 @@ def add_features(docs: DataFrame, text: str = "text") -> DataFrame:
         }
     )
     n = F.size("_words")
+    distinct = F.aggregate(
+        F.sequence(F.lit(0), n - n % BLOCK - BLOCK, F.lit(BLOCK)), F.lit(0), lambda acc, i: acc + F.size(F.array_distinct(F.slice("_words", i + 1, BLOCK)))
+    )
     df = df.withColumns(
         {
             "n_words": n.cast("long"),
-            "n_distinct_words": F.size(F.array_distinct("_words")).cast("long"),
+            "n_block_words": F.when(n >= BLOCK, n - n % BLOCK).otherwise(n).cast("long"),
+            "n_block_distinct": F.when(n >= BLOCK, distinct).otherwise(F.size(F.array_distinct("_words"))).cast("long"),
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "_windows": F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))),
@@ -74,6 +89,7 @@ def base_failed() -> Column:
 def rules() -> dict[str, Column]:
     """A vote per rule; limits are compared as products of whole numbers."""
     n, chars = F.col("n_words"), F.col("word_chars")
+    distinct, within = F.col("n_block_distinct"), F.col("n_block_words")
     some = n > 0
 
     def vote(bad: Column, good: Column) -> Column:
@@ -86,51 +102,62 @@ def rules() -> dict[str, Column]:
         "lines": vote(100 * F.col("n_dup_lines") > 60 * F.col("n_lines"), (F.col("n_lines") > 0) & (100 * F.col("n_dup_lines") <= 10 * F.col("n_lines"))),
         "word_length": vote(some & ((chars < 3 * n) | (chars > 10 * n)), some & (2 * chars >= 7 * n) & (2 * chars <= 15 * n)),
         "capitals": vote(some & (10 * F.col("n_upper") > 3 * chars), some & (10 * F.col("n_upper") <= chars)),
-        "vocabulary": vote((n >= 50) & (100 * F.col("n_distinct_words") < 20 * n), some & (100 * F.col("n_distinct_words") > 35 * n)),
+        "vocabulary": vote((n >= BLOCK) & (2 * distinct < within), some & (5 * distinct > 3 * within)),
     }
 
 
 def add_votes(featured: DataFrame) -> DataFrame:
     """``votes``: the votes in order, one character each, such as ``+-0+++0``."""
-    signs = [F.when(v > 0, "+").when(v < 0, "-").otherwise("0") for v in rules().values()]
+    vote = rules()
+    signs = [F.when(vote[r] > 0, "+").when(vote[r] < 0, "-").otherwise("0") for r in RULES]
     return featured.withColumns({"base_failed": base_failed(), "votes": F.concat(*signs)})
 
 
+def chances(pattern: str, shares: list[float], rates: list[list[dict[str, float]]]) -> list[float]:
+    """The posterior of each class, given the classes' shares and, by class and rule, how often each vote is cast."""
+    out = [share * math.prod(r[sign] for r, sign in zip(rate, pattern, strict=True)) for share, rate in zip(shares, rates, strict=True)]
+    return [x / sum(out) for x in out]
+
+
 def posterior(pattern: str, share: float, accuracy: list[tuple[float, float]]) -> float:
-    good, bad = share, 1 - share
-    for sign, (a, b) in zip(pattern, accuracy, strict=True):
-        if sign != "0":
-            good *= a if sign == "+" else 1 - a
-            bad *= 1 - b if sign == "+" else b
-    return good / (good + bad)
+    """Of good documents against one kind of bad ones, where abstaining tells nothing."""
+    rates = [[{"+": a, "-": 1 - a, "0": 1.0} for a, _ in accuracy], [{"+": 1 - b, "-": b, "0": 1.0} for _, b in accuracy]]
+    return chances(pattern, [share, 1 - share], rates)[0]
 
 
-def fit(voted: DataFrame, share: float = 0.85, accuracy: float = 0.3, rare: float = 0.001, rounds: int = 100) -> dict[str, float]:
-    """The posterior of each vote pattern.
+def estimate(
+    counts: dict[str, int], share: float = 0.85, rare: float = 0.001, often: float = 0.5, seldom: float = 0.05, abstain: float = 0.02, rounds: int = 100
+) -> dict[str, float]:
+    """The posterior of each vote pattern, from the number of documents that have it.
 
-    ``share`` and ``accuracy`` start the estimation and stay in it as ten documents' worth of prior. A rule is written so
-    that a good document seldom breaks it: its share of bad votes there is held at ``rare`` or less, which also keeps
-    good and bad from changing places. How many bad documents each rule finds (``accuracy``) is free and starts low, since
-    one kind of junk breaks few rules.
+    Good documents are one class and each kind of junk another. The start says that good documents break a rule ``rare``ly,
+    and junk ``often`` the rules of its kind and ``seldom`` others; it stays in as ten documents' worth of prior. All shares
+    and rates are free from there on: a rule that good documents break is learned as such. Classes do not change
+    places, as each starts with rules of its own. Abstaining is a vote like others in the rules ``TELLING`` only.
     """
-    counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}  # at most 3**7 rows
-    k = len(rules())
-    now, rates = share, [(1 - rare, accuracy)] * k
+    start = [[rare] * len(RULES), *([often if x in kind else seldom for x in RULES] for kind in JUNK)]
+    zero = [abstain if x in TELLING else 0.0 for x in RULES]
+    start = [[{"+": (1 - z) * (1 - x), "-": (1 - z) * x, **({"0": z} if z else {})} for z, x in zip(zero, row, strict=True)] for row in start]
+    first = [share, *([(1 - share) / len(JUNK)] * len(JUNK))]
+    shares, n = first, sum(counts.values())
+    rates = [[{"0": 1.0, **row} for row in rows] for rows in start]
     for _ in range(rounds):
-        weight = {p: posterior(p, now, rates) for p in counts}
-        good = sum(counts[p] * weight[p] for p in counts)
-        now = (good + 10 * share) / (sum(counts.values()) + 10)
-        new = []
-        for j in range(k):
-            right, cast = [10 * (1 - rare), 10 * accuracy], [10.0, 10.0]
-            for p in counts:
-                if p[j] != "0":
-                    for side, w in enumerate((weight[p], 1 - weight[p])):
-                        cast[side] += counts[p] * w
-                        right[side] += counts[p] * w * (p[j] == "+-"[side])
-            new.append((max(1 - rare, right[0] / cast[0]), right[1] / cast[1]))
-        rates = new
-    return {p: posterior(p, now, rates) for p in counts}
+        weight = {p: chances(p, shares, rates) for p in counts}
+        shares = [(sum(c * weight[p][k] for p, c in counts.items()) + 10 * f) / (n + 10) for k, f in enumerate(first)]
+        rates = []
+        for k, rows in enumerate(start):
+            cast = [{sign: 10 * x for sign, x in row.items()} for row in rows]
+            for p, c in counts.items():
+                for row, sign in zip(cast, p, strict=True):
+                    if sign in row:
+                        row[sign] += c * weight[p][k]
+            rates.append([{"0": 1.0, **{sign: x / sum(row.values()) for sign, x in row.items()}} for row in cast])
+    return {p: chances(p, shares, rates)[0] for p in counts}
+
+
+def fit(voted: DataFrame) -> dict[str, float]:
+    """The posterior of each vote pattern of the documents."""
+    return estimate({r["votes"]: r["count"] for r in voted.groupBy("votes").count().orderBy("votes").collect()})  # at most 3**7 rows
 
 
 def add_quality(voted: DataFrame, model: dict[str, float], least: float = 0.5) -> DataFrame:

@@ -382,6 +382,66 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert quality_rules.keep_good(df.limit(0)).count() == 0
 
 
+def test_quality_keeps_clean_documents_that_break_one_rule(spark):
+    r = random.Random(9)
+    clean = [prose(120, r).capitalize() + "." for _ in range(600)]
+    noisy = [" ".join(w + "###" for w in prose(100, r).split()) for _ in range(30)]
+    looped = ["buy this thing now and get one more free " * 30 for _ in range(30)]
+    for odd in (
+        ["\n".join(x for line in range(4) for x in [prose(30, r), *["---"] * 6]) for _ in range(24)],  # lines
+        [prose(120, r).upper() for _ in range(24)],  # capitals
+        ["".join(prose(4, r).split()) + " " + " ".join("".join(prose(3, r).split()) for _ in range(90)) for _ in range(24)],  # word_length
+    ):
+        df = documents(spark, clean + noisy + looped + odd)
+        votes = {x.doc_id: x.votes for x in quality_rules.add_votes(quality_rules.add_features(df)).collect()}
+        assert all(votes[i].count("-") == 1 for i in range(660, 684))
+        assert {x.doc_id for x in quality_rules.keep_good(df).collect()} == {*range(600), *range(660, 684)}
+
+
+def test_vocabulary_does_not_depend_on_length(spark):
+    r = random.Random(4)
+    texts = [prose(n, r) for n in (60, 600, 6000, 20000)]
+    votes = [x.votes for x in quality_rules.add_votes(quality_rules.add_features(documents(spark, texts))).orderBy("doc_id").collect()]
+    assert {v[-1] for v in votes} == {"+"}
+
+
+def plain_em(counts, rounds=100):
+    """The same estimation, document by document in logarithms."""
+    import math
+
+    names = "length repeats symbols lines word_length capitals vocabulary".split()
+    kinds = [(), ("repeats", "lines", "vocabulary"), ("symbols", "word_length", "capitals")]
+    start = {}
+    for k in range(3):
+        for j, x in enumerate(names):
+            bad, zero = 0.001 if not k else 0.5 if x in kinds[k] else 0.05, 0.02 if x in (*kinds[2], "vocabulary") else 0
+            start |= {(k, j, "-"): (1 - zero) * bad, (k, j, "+"): (1 - zero) * (1 - bad)} | ({(k, j, "0"): zero} if zero else {})
+    docs, rate, share = [p for p, c in counts.items() for _ in range(c)], dict(start), [0.85, 0.075, 0.075]
+
+    def odds(p):
+        x = [math.log(share[k]) + sum(math.log(rate.get((k, j, s), 1)) for j, s in enumerate(p)) for k in range(3)]
+        return [math.exp(a - max(x)) / sum(math.exp(b - max(x)) for b in x) for a in x]
+
+    for _ in range(rounds):
+        total, mass = {key: 10 * x for key, x in start.items()}, [0.0, 0.0, 0.0]
+        for p in docs:
+            for k, w in enumerate(odds(p)):
+                mass[k] += w
+                for j, s in enumerate(p):
+                    if (k, j, s) in total:
+                        total[k, j, s] += w
+        rate = {(k, j, s): x / sum(total.get((k, j, t), 0) for t in "+-0") for (k, j, s), x in total.items()}
+        share = [(m + 10 * f) / (len(docs) + 10) for m, f in zip(mass, (0.85, 0.075, 0.075), strict=True)]
+    return {p: odds(p)[0] for p in counts}
+
+
+def test_estimate_against_plain_em():
+    counts = {"+++++++": 300, "++-+0++": 15, "++-++++": 5, "+-++++-": 20, "+-+0+--": 9, "+++-+++": 14, "+0+0+++": 10, "-+++0++": 3}
+    got, want = quality_rules.estimate(counts), plain_em(counts)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in counts)
+    assert min(got["+++-+++"], got["+0+0+++"]) > 0.5 > max(got["++-+0++"], got["++-++++"], got["+-++++-"])
+
+
 def test_posterior_by_hand():
     assert abs(quality_rules.posterior("+-0", 0.8, [(0.9, 0.6), (0.99, 0.3), (0.5, 0.5)]) - 0.8 * 0.9 * 0.01 / (0.8 * 0.9 * 0.01 + 0.2 * 0.4 * 0.3)) < 1e-12
 
