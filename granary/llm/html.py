@@ -283,7 +283,9 @@ def train(pages: list[str], rounds: int = 600, decay: float = 2e-5, pair_decay:
 
 
 def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
-    """Training pages from templates: articles with menus, headers, footers, sidebars, notices, adverts, forms and comments."""
+    """Training pages from templates: articles with menus, headers, footers, sidebars, notices, adverts, forms and comments.
+
+    Some articles have no element of their own: their blocks stand in ``body`` or in unnamed ``div``s, which are then content."""
     r = random.Random(seed)
     syllables = "an be co de el fi ga ho in ja ke lo mi nu or pa que ri so tu".split()
 
@@ -359,12 +361,15 @@ def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
         opened = pick("<article{}>", "<article{}>", "<main{}><article>", "<main{}>", f'<div class="{named}"{{}}>', f'<div id="{named}"{{}}>', f'<section class="{named}-{pick("body", "text", "content")}"{{}}>')
         closed = "".join(f"</{t}>" for t in re.findall(r"<(\w+)", opened)[::-1])
         article = opened.format(' data-content="1"') + title + body + closed
+        depth = r.choice([0, 0, 1, 2]) if r.random() < 0.2 else None
+        if depth is not None:
+            article = '<div data-content="1">' * depth + title + body + "</div>" * depth
         before = "".join(junk() for _ in range(r.randint(0, 4)))
         after = "".join(junk() for _ in range(r.randint(0, 4)))
         foot = f'<footer data-content="0">{pick(words(2, 30), "<p>" + words(2, 30) + "</p>", "<ul>" + links(2, 6) + "</ul>")}</footer>' if r.random() < 0.8 else ""
-        if r.random() < 0.3:
+        if depth != 0 and r.random() < 0.3:
             article = f'<div class="{pick("container", "wrapper", "page", "row", "layout")}" data-content="0">{article}{junk()}</div>'
-        out.append(f"<html><head><title>x</title></head><body>{before}{article}{after}{foot}</body></html>")
+        out.append(f"<html><head><title>x</title></head><body{' data-content="1"' if depth == 0 else ""}>{before}{article}{after}{foot}</body></html>")
     return out
 
 

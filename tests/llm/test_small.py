@@ -359,6 +359,21 @@ def test_ranks_are_the_same_for_any_run_size(spark):
     assert len({(x.sequence_id, x.offset) for x in got}) == 50 and len({x.sequence_id for x in got}) == 17
 
 
+def test_pages_whose_blocks_stand_in_body():
+    r = random.Random(12)
+    model = html.train(html.labelled_pages())
+    hits = total = extra = 0
+    for n in range(60):
+        blocks = [f"Heading {n} {prose(4, r)}", *[prose(r.randint(20, 70), r) + "." for _ in range(r.randint(2, 6))]]
+        inner = [f"<h1>{blocks[0]}</h1>", *[f"<p>{b}</p>" for b in blocks[1:]]]
+        inner.insert(2, '<div class="ad">advertjunk buy now</div>')
+        opened, closed = [("", ""), ("<div>", "</div>"), ("<div><div>", "</div></div>")][n % 3]
+        nav = "<nav><ul>" + "".join(f'<li><a href="/{k}">menujunk</a></li>' for k in range(5)) + "</ul></nav>"
+        got = html.extract(f"<html><body>{nav}{opened}{''.join(inner)}{closed}<footer><p>footerjunk rights reserved</p></footer></body></html>", model).split("\n")
+        hits, total, extra = hits + sum(b in got for b in blocks), total + len(blocks), extra + sum("junk" in g for g in got)
+    assert (hits, extra) == (total, 0)
+
+
 # quality
 
 
