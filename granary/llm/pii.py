@@ -99,7 +99,7 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
             if at >= run_end:
                 run_end = DIGITS.match(text, at).end()
                 if at >= end[1] and (m := QUAD.match(text, at)):
-                    take(1, at, m.end(), all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m.group().split(".")))
+                    take(1, at, m.end(), all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or "0") < 256 for p in m.group().split(".")))
                 if at >= end[2] and (m := CHAIN.match(text, at)):
                     digits = m.group().replace(" ", "").replace("-", "")
                     take(2, at, m.end(), 14 <= len(digits) <= 19 and luhn(digits))

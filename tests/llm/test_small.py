@@ -359,6 +359,12 @@ def test_ranks_are_the_same_for_any_run_size(spark):
     assert len({(x.sequence_id, x.offset) for x in got}) == 50 and len({x.sequence_id for x in got}) == 17
 
 
+def test_addresses_with_thousands_of_zeros():
+    zeros = "0" * 5000
+    assert pii.find_spans(f"1.2.{zeros}.4", pii.anchors()) == [(0, 1, 5006)]
+    assert not [x for x in pii.find_spans(f"1.2.{zeros}256.4", pii.anchors()) if x[1] == 1]
+
+
 def test_pages_whose_blocks_stand_in_body():
     r = random.Random(12)
     model = html.train(html.labelled_pages())
