@@ -238,3 +238,12 @@ def test_error_history_and_contract_chunks(spark):
     solved = spark.createDataFrame([("e", "cause", "fix", "schema_drift")], "error string, root_cause string, resolution string, category string")
     every = retrieval.union_sources(retrieval.error_pattern_chunks(spark, solved), contracts.contract_chunks(spark))
     assert every.count() == 6 and every.filter(F.col("chunk_type") == "contract").count() == 5
+
+
+def test_vector_queries_grow_with_the_table(spark):
+    import __spark_entry__ as entry_points
+
+    folder = "/root/testdata/sf0.001"
+    asked = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.vec_id % 100 == 0}
+    got = entry_points.queries()["rag_rank_vectors"](spark, folder).collect()
+    assert {r.query_id for r in got} == asked and len(got) == 5 * len(asked)
