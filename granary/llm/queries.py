@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
+from granary.llm import bpe, chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -188,3 +188,15 @@ FROM d LEFT JOIN kept USING (doc_id)
 @query("op6_substrings", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

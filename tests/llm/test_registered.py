@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from granary.llm import pii, queries
+from granary.llm import bpe, pii, queries
 from granary.session import materialize
 from tools.check import compare, duck
 
@@ -29,7 +29,7 @@ def texts(spark):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
     assert "pipeline" in entry_points.queries()
 
 
@@ -133,3 +133,15 @@ def test_pipeline_stages(spark):
 
 def test_kinds_are_named_once():
     assert len(set(pii.KINDS)) == len(pii.KINDS) and pii.KINDS[:4] == brute.KINDS
+
+
+def test_byte_bpe(spark, texts):
+    import tiktoken
+
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), special_tokens={})
+    got = rows(spark, "op12_byte_bpe")
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        t = texts[r.doc_id] or ""
+        ids = known.encode_ordinary(t)
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), brute.sha(",".join(map(str, ids))), brute.sha(t))

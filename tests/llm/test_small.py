@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from granary.llm import chat, decontaminate, graph, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
+from granary.llm import bpe, chat, decontaminate, graph, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 R = random.Random(5)
@@ -506,3 +506,47 @@ def test_warc_reads_with_python_gzip(spark, tmp_path):
     folder = warc.archive_pages(spark.createDataFrame([(1, "u", "hi")], "page_id long, url string, html string"), str(tmp_path / "w"))
     data = b"".join(gzip.open(p).read() for p in (tmp_path / "w").glob("*.warc.gz"))
     assert data.startswith(b"WARC/1.1\r\nWARC-Record-ID: <urn:page:1>\r\n") and data.endswith(b"hi\r\n\r\n") and folder
+
+
+# byte-level BPE
+
+
+def test_merge_replay_as_the_library_merges(spark):
+    import tiktoken
+
+    file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.read_ranks(file)
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    r = random.Random(9)
+    texts = [*base_texts(), "a" * 30000, "\u4e2d\u56fd" * 900, "<|endoftext|> it's  I'LL\n\n x\t", "\U000323b0a \u0558b 1\U00011de02", "\u00a0 \u2003x\x1c\x85"]
+    texts += ["".join(r.choice("abcdee\u00e9\u00f1  th\u4e2d\n'1!") for _ in range(r.randint(0, 400))) for _ in range(80)]
+    encoded = bpe.encode(documents(spark, texts, CLASH), file, public_tokenizers.PATTERN)
+    got = {x.doc_id: x for x in bpe.decode(encoded, file).collect()}
+    assert len(got) == len(texts)
+    for k, t in enumerate(texts):
+        assert got[k].ids == known.encode_ordinary(t or "") and bytes(got[k].decoded) == (t or "").encode()
+
+
+def test_merges_of_a_lower_rank_come_first():
+    import tiktoken
+
+    r = random.Random(2)
+    for _ in range(60):
+        ranks = {bytes([b]): b for b in range(256)}
+        made = [b"a", b"b", b"c"]
+        while len(made) < 24:
+            token = r.choice(made) + r.choice(made)
+            if token not in ranks:
+                made.append(token)
+                ranks[token] = 0
+        for rank, token in enumerate(r.sample(made[3:], len(made) - 3)):
+            ranks[token] = 256 + rank  # in any order, so that a merge can make pairs of lower ranks
+        known = tiktoken.Encoding("odd", pat_str="[abc]+|[^abc]", mergeable_ranks=ranks, special_tokens={})
+        words = ["".join(r.choice("abc") for _ in range(r.randint(1, 40))) for _ in range(20)]
+        for w, ids in zip(words, bpe.Replay(ranks).ids([w.encode() for w in words]), strict=True):
+            assert ids.tolist() == known.encode_ordinary(w)
+
+
+def test_byte_bpe_of_no_rows(spark):
+    file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    assert bpe.decode(bpe.encode(documents(spark, []), file, public_tokenizers.PATTERN), file).count() == 0
