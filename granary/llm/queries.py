@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, decontaminate, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
+from granary.llm import bpe, chat, decontaminate, html, jaccard, packing, phrases, pii, quality_rank, quality_rules, search, substrings, warc
 from granary.session import materialize
 
 QUERIES = {}
@@ -200,3 +200,45 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (SELECT lang, k, ph, count(*) AS f FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS ph FROM w, (SELECT unnest(range(1, 6)) AS k))
+      GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, ph, f AS a, string_split(ph, ' ') AS s FROM f WHERE k > 1),
+j AS (SELECT lang, k, ph, a, j, array_to_string(s[:j], ' ') AS front, array_to_string(s[j + 1:], ' ') AS back FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+v AS (SELECT j.lang, j.k, j.ph, j.a, j.j, x.f AS l, y.f AS r, t.n, ((1000::HUGEINT * j.a * t.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+      FROM j JOIN f x ON x.lang = j.lang AND x.ph = j.front JOIN f y ON y.lang = j.lang AND y.ph = j.back JOIN t ON t.lang = j.lang),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, j) = 1)
+SELECT lang, rank, ph AS phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, ph) AS rank FROM b
+  WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.lang = b.lang AND c.k > b.k AND c.a >= b.a AND contains(' ' || c.ph || ' ', ' ' || b.ph || ' ')))
+WHERE rank <= 2000
+"""
+
+
+@query("op11_phrases", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.best(phrases.mine(table(spark, folder, "documents"), least=100, longest=5), top=2000)
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+p AS (SELECT doc_id, len(w) AS n, term, count(*) AS tf FROM (SELECT doc_id, w, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, n_docs),
+r AS (SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // total))))::BIGINT AS score
+      FROM q JOIN f USING (term) JOIN p USING (term), s GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM r WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20
+"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=20)

@@ -120,3 +120,48 @@ def substrings(docs, size=200):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         out[d] = (len(b), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), sha(kept))
     return out
+
+
+def phrases(rows, least, longest, top):
+    """rows: (lang, text)."""
+    counts, words_of = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words_of[lang] += len(w)
+            for k in range(1, longest + 1):
+                counts[lang].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        held = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        mine = []
+        for p, a in held.items():
+            inside = (q for q in held if len(q) > len(p) and held[q] >= a and any(q[i : i + len(p)] == p for i in range(len(q))))
+            if next(inside, None) is None:
+                score, k = min((1000 * a * words_of[lang] // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                mine.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, p, lo, r) in enumerate(sorted(mine)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, lo, r, words_of[lang], -score))
+    return sorted(out)
+
+
+def search(docs, items, k):
+    """docs: (doc_id, text); items: (item_id, text). Rows of item, rank, doc, score."""
+    import math
+
+    cut = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    held = [(d, Counter(cut.findall(lower(t or "")))) for d, t in docs]
+    held = [(d, c) for d, c in held if c]
+    n, total = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in dict.fromkeys(items):
+        asked, scored = Counter(cut.findall(lower(text or ""))), []
+        for d, c in held:
+            m = 75 + 25 * sum(c.values()) * n // total
+            s = sum(r * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 12 * m)) for t, r in asked.items() if c[t])
+            if s > 0:
+                scored.append((-s, d))
+        out += [(item, rank, d, -s) for rank, (s, d) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)

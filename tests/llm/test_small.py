@@ -9,7 +9,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from granary.llm import bpe, chat, decontaminate, graph, html, jaccard, packing, pii, quality_rank, quality_rules, substrings, warc
+from granary.llm import bpe, chat, decontaminate, graph, html, jaccard, packing, phrases, pii, quality_rank, quality_rules, search, substrings, warc
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 R = random.Random(5)
@@ -550,3 +550,84 @@ def test_merges_of_a_lower_rank_come_first():
 def test_byte_bpe_of_no_rows(spark):
     file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     assert bpe.decode(bpe.encode(documents(spark, []), file, public_tokenizers.PATTERN), file).count() == 0
+
+
+# phrases
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 21])
+def test_phrases_against_brute_force(spark, block):
+    r = random.Random(block)
+    few = ["Ab", "ab", "c", "d.", "e", "é", "x y", "\x00", "f,", "g"]
+    texts = [" ".join(r.choice(few) for _ in range(r.choice([0, 1, 2, 5, 30, 90]))) for _ in range(60)]
+    texts += [None, "", " \t\n", "a a a a a a a", "one two three four five six"] + ["New York\tcity hall!" for _ in range(7)]
+    rows = [(i, t, r.choice(["en", "de", None, "und"]), "s", 0) for i, t in enumerate(texts)]
+    rows += rows[-3:]
+    df = spark.createDataFrame(rows, DOC)
+    for c in "block at grp gid f left right phrase score a n l words".split():
+        df = df.withColumn(c, F.lit("x"))
+    got = phrases.best(phrases.mine(df.repartition(3), least=5, longest=5, block_words=block), top=40)
+    want = brute.phrases([(x[2], x[1]) for x in rows], 5, 5, 40)
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 60
+
+
+def test_phrases_counts_beyond_64_bits(spark):
+    one = spark.createDataFrame([("en", "a b", 3 * 10**12, 4 * 10**12, 5 * 10**12)], "lang string, p string, f long, x long, y long")
+    ready = one.select("lang", F.split("p", " ").alias("words"), "f", F.array("x", "f").alias("fronts"), F.array("y", "f").alias("backs"))
+    got = phrases._scores(ready, spark.createDataFrame([("en", 7 * 10**13)], "lang string, total long")).first()
+    assert got.score == 1000 * 3 * 10**12 * 7 * 10**13 // (4 * 10**12 * 5 * 10**12) and (got.l, got.r) == (4 * 10**12, 5 * 10**12)
+
+
+def test_phrases_of_no_rows(spark):
+    assert phrases.best(phrases.mine(documents(spark, []))).count() == 0
+
+
+# ranked search
+
+
+@pytest.mark.parametrize(("block", "block_terms"), [(1, 1), (300, 40), (1 << 22, 1 << 17)])
+def test_search_against_brute_force(spark, block, block_terms):
+    r = random.Random(block)
+    docs = [(i, " ".join(r.choice(VOCABULARY[:40]) for _ in range(r.choice([1, 3, 3, 10, 60])))) for i in range(150)]
+    docs += [(200 + i, docs[7][1]) for i in range(30)] + [(300, None), (301, ""), (302, "-- !"), (None, "Éa bd0 " + docs[3][1]), (303, "z" * 70000 + " benta " + docs[9][1] * 30)]
+    docs += [(5, "other text of an id benta"), docs[11], docs[11]]
+    items = [(i, " ".join(r.choice(VOCABULARY[:44]) for _ in range(r.choice([1, 2, 8, 30])))) for i in range(25)]
+    items += [(30, docs[7][1].upper()), (31, None), (32, "?"), (33, "nowhere"), (None, "ÉA"), items[4]]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for c in "term tf ids lengths item score rank weight".split():
+        df = df.withColumn(c, F.lit("x"))
+    got = search.search(df.repartition(2), spark.createDataFrame(items, "item_id int, text string"), k=20, block_words=block, block_terms=block_terms)
+    fix = lambda rows: sorted(((a is None, a or 0), b, (c is not None, c or 0), d) for a, b, c, d in rows)
+    want = brute.search([(-1 if d is None else d, t) for d, t in docs], items_known(items), 20)
+    want = [(None if a == -1 else a, b, None if c == -1 else c, d) for a, b, c, d in want]
+    assert fix(map(tuple, got.collect())) == fix(want)
+
+
+def items_known(items):
+    return [(-1 if i is None else i, t) for i, t in items]
+
+
+def test_search_passes_over_most_documents(spark):
+    """Planted passages: the bounds leave most intervals unread."""
+    r = random.Random(4)
+    docs = [[r.choice(VOCABULARY) for _ in range(50)] for _ in range(3000)]
+    asked = [f"rare{i}" for i in range(6)]
+    for d in r.sample(docs, 25):
+        d[10:16] = asked
+    size = 3000
+    term = {t: i for i, t in enumerate([*asked, *VOCABULARY[:4]])}
+    lists, doc = [], []
+    for t in term:
+        mine = [i for i, d in enumerate(docs) if t in d]
+        lists.append((len(doc), len(doc) + len(mine)))
+        doc += mine
+    block = search.Block(np.arange(size), np.full(size, 50), np.array(lists), np.array(doc), np.ones(len(doc), np.int32), size, size * 50)
+    calls, real = [], block._bounds
+    block._bounds = lambda lo, hi, w: calls.append(lo.shape[1]) or real(lo, hi, w)
+    found = block.search(np.arange(len(term)), np.array([8000] * 6 + [500] * 4), 20)
+    assert len(found) == 20 and sum(calls) < size // 3
+
+
+def test_search_of_no_rows(spark):
+    docs, items = documents(spark, ["a b"]), spark.createDataFrame([(1, "a")], "item_id int, text string")
+    assert search.search(docs.limit(0), items).count() == 0 and search.search(docs, items.limit(0)).count() == 0
