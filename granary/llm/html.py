@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -24,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+QUOTE_OR_END = re.compile(r"[\"'>]")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 TOKEN = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
@@ -57,59 +60,158 @@ class Node:
         self.text, self.links, self.runs, self.label = 0, 0, [], None
 
 
+class Tags:
+    """The tags of a page, from left to right, in time linear in the page whatever it holds.
+
+    A quote that is never closed does not hide what follows: such a tag ends at the first ``>``.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.missing: dict[str, int] = {}  # no such string from this place on
+        self.failed: set[int] = set()  # quotes from which no end of a tag is found
+        self.next = (0, -1)  # from the first place to the second no quote and no end
+
+    def _find(self, what: str, at: int) -> int:
+        if at >= self.missing.get(what, len(self.html)):
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing[what] = at
+        return found
+
+    def _stop(self, at: int) -> int:
+        """The first quote or end of a tag from ``at`` on."""
+        if not self.next[0] <= at <= self.next[1]:
+            m = QUOTE_OR_END.search(self.html, at)
+            self.next = (at, m.start() if m else len(self.html))
+        return self.next[1]
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``."""
+        seen, here = [], at
+        while (place := self._stop(here)) < len(self.html):
+            if self.html[place] == ">":
+                return place
+            seen.append(place)
+            close = -1 if place in self.failed else self._find(self.html[place], place + 1)
+            if close < 0:
+                break
+            here = close + 1
+        self.failed.update(seen)
+        return self._find(">", at)
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str, str]]:
+        """Start, end, whether it closes, name and attributes; comments and declarations have no name."""
+        html, at = self.html, 0
+        while (at := self._find("<", at)) >= 0:
+            if html.startswith("<!--", at):
+                end = self._find("-->", at + 4)
+                end = len(html) if end < 0 else end + 3
+                yield at, end, False, "", ""
+            elif html[at + 1 : at + 2] in ("!", "?"):
+                end = self._find(">", at) + 1
+                if end:
+                    yield at, end, False, "", ""
+            elif m := NAME.match(html, at):
+                end = self._end(m.end()) + 1
+                if end:
+                    name = m[2].lower()
+                    if name in RAW and not m[1]:
+                        close = re.compile(f"</{name}\\s*>", re.I).search(html, end)
+                        yield at, close.end() if close else len(html), False, "", ""
+                        end = close.end() if close else len(html)
+                    else:
+                        yield at, end, bool(m[1]), name, html[m.end() : end - 1]
+            else:
+                end = 0
+            at = end or at + 1
+
+
+class Open:
+    """The open elements; inline ones share the block around them. Every look-up takes a bounded number of steps."""
+
+    def __init__(self, root: Node):
+        self.tags, self.blocks = ["html"], [root]
+        self.places: dict[str, list[int]] = {"html": [0]}
+        self.scopes = [0]  # places of elements beyond which most end tags do not reach
+        self.links = self.hidden = 0
+
+    def push(self, tag: str, block: Node) -> None:
+        place = len(self.tags)
+        self.tags.append(tag)
+        self.blocks.append(block)
+        self.places.setdefault(tag, []).append(place)
+        if tag in SCOPE:
+            self.scopes.append(place)
+        self.links += tag == "a"
+        self.hidden += tag in HIDDEN
+
+    def pop(self, to: int) -> bool:
+        """Close all elements from place ``to`` on; whether one of them was a block."""
+        block = False
+        while len(self.tags) > to:
+            tag = self.tags.pop()
+            self.blocks.pop()
+            self.places[tag].pop()
+            if tag in SCOPE:
+                self.scopes.pop()
+            self.links -= tag == "a"
+            self.hidden -= tag in HIDDEN
+            block = block or tag not in INLINE
+        return block
+
+    def last(self, tags) -> int:
+        """Place of the innermost of these elements, 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def first_after(self, tags, place: int) -> int:
+        """Place of the outermost of these elements inside the one at ``place``, 0 if there is none."""
+        found = []
+        for t in tags:
+            mine = self.places.get(t, ())
+            k = bisect_right(mine, place)
+            if k < len(mine):
+                found.append(mine[k])
+        return min(found, default=0)
+
+
 def parse(html: str) -> tuple[Node, list[Node], list[tuple[Node, list[str]]]]:
     """The root, all block elements in page order (parents first), and runs of text with the block they stand in."""
     root = Node("html", "", None)
-    blocks, runs = [root], []
-    stack: list[tuple[str, Node]] = [("html", root)]  # open elements; inline ones share the block around them
-    run: list[str] = []
-    owner, links, hidden, at = root, 0, 0, 0
+    blocks, runs, run = [root], [], []
+    opened = Open(root)
+    at = 0
 
     def flush() -> None:
         nonlocal run
         if run:
-            runs.append((owner, run))
+            runs.append((opened.blocks[-1], run))
             run = []
 
-    def pop(to: int) -> None:
-        nonlocal owner, links, hidden
-        for tag, _ in stack[to:]:
-            links -= tag == "a"
-            hidden -= tag in HIDDEN
-            if tag not in INLINE:
-                flush()
-        del stack[to:]
-        owner = stack[-1][1]
+    def close(to: int) -> None:
+        if any(t not in INLINE for t in opened.tags[to:]):
+            flush()
+        opened.pop(to)
 
     def say(piece: str) -> None:
-        if hidden or not piece:
+        if opened.hidden or not piece:
             return
-        piece = unescape(piece)
+        piece, owner = unescape(piece), opened.blocks[-1]
         run.append(piece)
         n = len(piece.strip())
         owner.text += n
-        owner.links += n if links else 0
+        owner.links += n if opened.links else 0
 
-    for m in TAG.finditer(html):
-        if m.start() < at:
-            continue
-        say(html[at : m.start()])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
+    for start, end, closes, tag, attributes in Tags(html):
+        say(html[at:start])
+        at = end
         if not tag:
             continue
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    pop(i)
-                    break
-                if tag in INLINE and stack[i][0] in SCOPE:
-                    break
-            continue
-        attributes = m[3] or m[6] or ""
-        if tag in RAW:
-            end = re.compile(f"</{tag}\\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+        if closes:
+            place = opened.last((tag,))
+            if place and (tag not in INLINE or place > opened.scopes[-1]):
+                close(place)
             continue
         if tag in VOID:
             if tag == "br":
@@ -118,33 +220,26 @@ def parse(html: str) -> tuple[Node, list[Node], list[tuple[Node, list[str]]]]:
                 flush()
             continue
         if tag not in INLINE:
-            for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
-                if stack[i][0] == "p":
-                    pop(i)
-                    break
-                if stack[i][0] in SCOPE:
-                    break
+            place = opened.last("p")
+            if place > opened.scopes[-1]:  # a block ends an open paragraph
+                close(place)
             if tag in ENDS:
                 ended, stop = ENDS[tag]
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i][0] in ended:
-                        pop(i)
-                        if tag != "tr":
-                            break
-                    elif stack[i][0] in stop:
-                        break
+                bound = opened.last(stop)
+                place = opened.first_after(ended, bound) if tag == "tr" else opened.last(ended)
+                if place > bound:
+                    close(place)
             flush()
-            if tag in ("html", "body") and any(t == tag for t, _ in stack[1 if tag == "body" else 0 :]):
+            if tag == "html" or tag == "body" and opened.last(("body",)):
                 continue
+            owner = opened.blocks[-1]
             node = Node(tag, attributes, owner)
             owner.children.append(node)
             blocks.append(node)
-            owner = node
-        stack.append((tag, owner))
-        links += tag == "a"
-        hidden += tag in HIDDEN
+            opened.push(tag, node)
+        else:
+            opened.push(tag, opened.blocks[-1])
     say(html[at:])
-    pop(1)
     flush()
     return root, blocks, runs
 
@@ -163,13 +258,18 @@ def steps(x: float, bounds: tuple[float, ...]) -> int:
     return sum(x > b for b in bounds)
 
 
-def features(node: Node, total: tuple[int, int], children: int) -> list[str]:
-    """What a block shows of itself. ``total`` are characters of text and of links at or below it."""
-    text, links = total
-    out = [f"tag={node.tag}", f"{'inner' if children else 'leaf'}={steps(text, (0, 25, 80, 200, 600))}", f"own={steps(node.text, (0, 25, 80, 200))}"]
+def features(node: Node, total: tuple[int, int], page: int) -> list[str]:
+    """What a block shows of itself. ``total`` are characters of text and of links at or below it, ``page`` those of the page."""
+    (text, links), children = total, len(node.children)
+    under = node.parent.tag if node.parent is not None else ""
+    out = [f"tag={node.tag}", f"under={under}>{node.tag}", f"{'inner' if children else 'leaf'}={steps(text, (0, 25, 80, 200, 600))}", f"own={steps(node.text, (0, 25, 80, 200))}"]
     out.append(f"links={steps(links / text if text else 0, (0.05, 0.3, 0.6, 0.9))}")
     out.append(f"children={steps(children, (0, 2, 8))}")
-    out += [f"name={w}" for w in names(node)]
+    if children:
+        out.append(f"share={steps(text / page if page else 0, (0.02, 0.1, 0.3, 0.6, 0.85))}")
+        out += [f"has={tag}" for tag in {c.tag for c in node.children}]
+    for w in names(node):
+        out += [f"name={w}", f"name={w}.{node.tag}"]
     return out
 
 
@@ -183,8 +283,14 @@ def totals(blocks: list[Node]) -> dict[int, tuple[int, int]]:
     return out
 
 
+#: Kinds of children with a potential of their own; all others share one.
+EDGE_KINDS = frozenset(
+    "p li ul ol dl dt dd div section article main h1 h2 h3 h4 h5 h6 blockquote pre table thead tbody tfoot tr td th caption figure figcaption details summary address header footer aside nav form".split()
+)
+
+
 def edge_kind(node: Node) -> str:
-    return node.tag if node.tag in ("p", "li", "ul", "ol", "div", "section", "h1", "h2", "h3", "blockquote", "td", "tr", "table") else "other"
+    return node.tag if node.tag in EDGE_KINDS else "other"
 
 
 class Model:
@@ -196,7 +302,7 @@ class Model:
     def marginals(self, blocks: list[Node]) -> list[float]:
         """Probability that each block is content."""
         total, w = totals(blocks), self.weights
-        shown = (features(b, total[id(b)], len(b.children)) for b in blocks)
+        shown = (features(b, total[id(b)], total[id(blocks[0])][0]) for b in blocks)
         return propagate(blocks, [w["bias"] + sum(w.get(f, 0.0) for f in x) for x in shown], self.edges)
 
 
@@ -233,56 +339,70 @@ def extract(html: str | None, model: Model) -> str:
     return "\n".join(x for x in kept if x)
 
 
-def train(pages: list[str], rounds: int = 600, decay: float = 2e-5, pair_decay: float = 2e-3, tuning: int = 80) -> Model:
-    """Potentials from labelled pages: first by pseudo-likelihood, each block's label given its features and its neighbours'
-    labels; then the features' weights by the likelihood itself, whose gradient is the model's marginals less the labels.
+def train(pages: list[str], rounds: int = 600, decay: float = 2e-6, speed: float = 0.1, rare: int = 5) -> Model:
+    """Potentials that make the labels of the given pages likeliest.
 
-    A pair of parent and child weighs ``pair`` when the parent is content and ``both`` more when both are. These two are
-    held small, for neighbours' true labels explain more than the labels that messages can infer.
+    The gradient of the likelihood is what the labels show less what the messages expect: of each feature on content
+    blocks, of each kind of child under content (``one``), and of each kind of content child under content (``both``).
+    All trees pass their messages together, level by level.
     """
-    index: dict[str, int] = {"bias": 0}
-    rows, labels, trees = [], [], []
+    rows, labels, parents, depths, kinds = [], [], [], [], []
     for page in pages:
         _, blocks, _ = parse(page)
-        trees.append(blocks)
-        total = totals(blocks)
+        total, number = totals(blocks), {}
         for b in blocks:
             mark = re.search(r'data-content="([01])"', b.attributes)
             b.label = int(mark[1]) if mark else b.parent.label if b.parent is not None else 0
-        for b in blocks:
-            shown = ["bias", *features(b, total[id(b)], len(b.children))]
-            shown += [f"both:{edge_kind(b)}"] if b.parent is not None and b.parent.label else []
-            for c in b.children:
-                shown += [f"pair:{edge_kind(c)}", *([f"both:{edge_kind(c)}"] if c.label else [])]
-            rows.append([index.setdefault(f, len(index)) for f in shown])
+            number[id(b)] = len(rows)
+            rows.append(["bias", *features(b, total[id(b)], total[id(blocks[0])][0])])
             labels.append(b.label)
-    y = np.array(labels, float)
+            parents.append(-1 if b.parent is None else number[id(b.parent)])
+            depths.append(0 if b.parent is None else depths[parents[-1]] + 1)
+            kinds.append(edge_kind(b))
+    seen = Counter(f for row in rows for f in row)
+    index = {f: i for i, f in enumerate(f for f, n in seen.items() if n >= rare)}  # a rarer name says nothing
+    rows = [[index[f] for f in row if f in index] for row in rows]
+    kind_names, kind = np.unique(kinds, return_inverse=True)
+    y, parent, depth = np.array(labels, float), np.array(parents), np.array(depths)
     flat, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    w, speed = np.zeros(len(index)), np.zeros(len(index))
-    shrink = np.array([pair_decay if f.startswith(("pair:", "both:")) else decay for f in index])
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(of, w[flat], len(rows)), -30, 30)))
-        speed = 0.95 * speed - 0.5 * (np.bincount(flat, (p - y)[of], len(index)) / len(rows) + shrink * w)
-        w = w + speed
-    by_name = lambda: {f: float(w[i]) for f, i in index.items()}
-    kinds = {"other", *(f.partition(":")[2] for f in index if f.startswith(("pair:", "both:")))}
-    pair = {k: (by_name().get(f"pair:{k}", 0.0), by_name().get(f"both:{k}", 0.0)) for k in kinds}
-    edges = {k: [[0.0, 0.0], [one, one + both]] for k, (one, both) in pair.items()}
-    mine = np.array([not f.startswith(("pair:", "both:")) for f in index])
-    flat, of = flat[mine[flat]], of[mine[flat]]
-    speed = np.zeros(len(index))
-    for _ in range(tuning):
-        z = np.bincount(of, w[flat], len(rows)).tolist()
-        at, p = 0, []
-        for blocks in trees:
-            p += propagate(blocks, z[at : at + len(blocks)], edges)
-            at += len(blocks)
-        speed = 0.9 * speed - 2 * (np.bincount(flat, (np.array(p) - y)[of], len(index)) / len(rows) + decay * w * mine)
-        w = w + speed
-    return Model(by_name(), edges)
-
-
-def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
+    levels = [np.flatnonzero(depth == d) for d in range(1, depth.max(initial=0) + 1)]
+    sizes = [len(index), len(kind_names), len(kind_names)]
+    theta, mean, square = np.zeros(sum(sizes)), np.zeros(sum(sizes)), np.zeros(sum(sizes))
+    inner = np.flatnonzero(parent >= 0)
+    shown = np.concatenate([
+        np.bincount(flat, y[of], sizes[0]),
+        np.bincount(kind[inner], y[parent[inner]], sizes[1]),
+        np.bincount(kind[inner], y[parent[inner]] * y[inner], sizes[1]),
+    ])
+    for step in range(1, rounds + 1):
+        w, one, both = np.split(theta, np.cumsum(sizes)[:-1])
+        one, both = one[kind], both[kind]
+        low, high = np.zeros(len(rows)), np.bincount(of, w[flat], len(rows))
+        up0, up1 = np.zeros(len(rows)), np.zeros(len(rows))
+        for i in reversed(levels):
+            up0[i] = np.logaddexp(low[i], high[i])
+            up1[i] = np.logaddexp(one[i] + low[i], one[i] + both[i] + high[i])
+            np.add.at(low, parent[i], up0[i])
+            np.add.at(high, parent[i], up1[i])
+        pair = np.zeros(len(rows))
+        for i in levels:
+            p0, p1 = low[parent[i]] - up0[i], high[parent[i]] - up1[i]
+            four = np.stack([p0 + low[i], p0 + high[i], p1 + one[i] + low[i], p1 + one[i] + both[i] + high[i]])
+            pair[i] = np.exp(four[3] - np.logaddexp.reduce(four))
+            low[i] += np.logaddexp(p0, one[i] + p1)
+            high[i] += np.logaddexp(p0, one[i] + both[i] + p1)
+        p = 1 / (1 + np.exp(np.clip(low - high, -700, 700)))
+        expected = [np.bincount(flat, p[of], sizes[0]), np.bincount(kind[inner], p[parent[inner]], sizes[1]), np.bincount(kind[inner], pair[inner], sizes[1])]
+        slope = (shown - np.concatenate(expected)) / len(rows) - decay * theta
+        mean, square = 0.9 * mean + 0.1 * slope, 0.99 * square + 0.01 * slope**2
+        theta = theta + speed * (1 - step / (rounds + 1)) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-7)
+    w, one, both = np.split(theta, np.cumsum(sizes)[:-1])
+    edges = {k: [[0.0, 0.0], [float(a), float(a + b)]] for k, a, b in zip(kind_names.tolist(), one, both, strict=True)}
+    edges.setdefault("other", [[0.0, 0.0], [0.0, 0.0]])
+    return Model({f: float(w[i]) for f, i in index.items()}, edges)
+
+
+def labelled_pages(number: int = 1500, seed: int = 11) -> list[str]:
     """Training pages from templates: articles with menus, headers, footers, sidebars, notices, adverts, forms and comments.
 
     Some articles have no element of their own: their blocks stand in ``body`` or in unnamed ``div``s, which are then content."""
@@ -292,7 +412,7 @@ def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
     def words(lo: int, hi: int) -> str:
         return " ".join("".join(r.choices(syllables, k=r.randint(1, 4))) for _ in range(r.randint(lo, hi))).capitalize() + r.choice([".", ".", "!", "?", ""])
 
-    def pick(*options: str) -> str:
+    def pick(*options):
         return r.choice(options)
 
     def links(lo: int, hi: int) -> str:
@@ -305,8 +425,8 @@ def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
     def comment() -> str:
         return plain("div", "comment", f"<p>{words(1, 2)}</p><p>{words(5, 60)}</p>")
 
-    def junk() -> str:
-        kind = r.randrange(12)
+    def junk(kind: int | None = None) -> str:
+        kind = r.randrange(12) if kind is None else kind
         if kind == 0:
             return f'<nav{pick("", " class=menu", " role=navigation")} data-content="0"><ul>{links(2, 9)}</ul></nav>'
         if kind == 1:
@@ -331,42 +451,101 @@ def labelled_pages(number: int = 600, seed: int = 11) -> list[str]:
             return plain("div", pick("footer", "copyright", "legal", "bottom"), pick(words(3, 30), f"<p>{words(3, 30)}</p><ul>{links(1, 4)}</ul>"))
         return plain("div", pick("header", "masthead", "topbar", "logo", "search", "login", "top"), pick(words(1, 8), f"<p>{words(1, 8)}</p>", f"<h1>{words(1, 4)}</h1>", f"<h1>{words(1, 4)}</h1><p>{words(1, 8)}</p>"))
 
-    def block() -> str:
-        kind = r.randrange(15)
-        if kind == 14:
-            return f"<p>{words(100, 400)}</p>"
-        if kind < 7:
-            return f"<p>{words(1, 5) if r.random() < 0.2 else words(4, 90)}</p>" if r.random() < 0.7 else f'<p><b>{words(3, 60)}<br><p>{words(1, 40)}</p>'
-        if kind == 7:
-            return f"<h{r.randint(2, 4)}>{words(1, 8)}</h{r.randint(2, 2)}>"
-        if kind == 8:
-            return "<ul>" + "".join(f"<li>{words(2, 20)}</li>" for _ in range(r.randint(1, 6))) + "</ul>"
+    def odd() -> str:
+        """An attribute that says nothing: none, or a name never seen elsewhere."""
+        made = "".join(r.choices("bcdfgklmnpqrstvwxz", k=r.randint(3, 9)))
+        return pick("", "", f' class="{made}"', f' id="{made}"', f' class="{made}-{r.randint(1, 99)} {made[::-1]}"', f' data-x="{made}"')
+
+    terse = False  # a page of few words
+
+    def paragraph() -> str:
+        kind = r.randrange(12)
+        if terse:
+            return f"<p{odd()}>{words(1, 8)}</p>"
+        if kind == 0:
+            return f"<p{odd()}><a href='/x'>{words(1, 12)}</a></p>"
+        if kind == 1:
+            return f"<p>{words(3, 20)} <a href='/x'>{words(1, 4)}</a> {words(3, 30)}</p>"
+        if kind == 2:
+            return f"<p><b>{words(3, 60)}<br><p>{words(1, 40)}</p>"
+        if kind == 3:
+            return f"<p{odd()}>{words(100, 400)}</p>"
+        if kind == 4 or r.random() < 0.05:
+            return f'<p class="{pick("author", "author", "lead", "intro", "author", "summary", "caption", "first", "dropcap", "note")}">{words(1, 30)}</p>'
+        return f"<p{odd()}>{words(1, 5) if r.random() < 0.3 else words(4, 90)}</p>"
+
+    def items(tag: str) -> str:
+        lo, hi = pick((1, 3), (2, 20), (15, 60))
+        inner = lambda: pick(words(lo, hi), words(lo, hi), f"<p>{words(lo, hi)}</p>", f'<a href="/x">{words(1, 4)}</a> {words(lo, hi)}')
+        nested = f"<ul><li>{words(1, 9)}</li></ul>" if r.random() < 0.1 else ""
+        return f"<{tag}{odd()}>" + "".join(f"<li>{inner()}{nested}</li>" for _ in range(r.randint(1, 6))) + f"</{tag}>"
+
+    def rows() -> str:
+        line = lambda tag, n: "<tr>" + "".join(f"<{tag}>{words(1, r.choice([2, 5, 15]))}</{tag}>" for _ in range(n)) + "</tr>"
+        n = r.randint(1, 4)
+        head, body = line("th", n) if r.random() < 0.6 else "", "".join(line("td", n) for _ in range(r.randint(1, 4)))
+        if r.random() < 0.4:
+            head, body = f"<thead>{head}</thead>" if head else "", f"<tbody>{body}</tbody>"
+            body += f"<tfoot>{line('td', n)}</tfoot>" if r.random() < 0.2 else ""
+        if r.random() < 0.2:
+            body = "".join(f"<tr><th>{words(1, 3)}</th><td>{words(1, 8)}</td></tr>" for _ in range(r.randint(1, 4)))
+        return f"<table{odd()}>{f'<caption>{words(1, 9)}</caption>' if r.random() < 0.3 else ''}{head}{body}</table>"
+
+    def block(depth: int = 0) -> str:
+        """Any block that may stand in an article."""
+        kind = r.randrange(24 if depth < 3 else 18)
+        if kind < 6:
+            return paragraph()
+        if kind == 6:
+            n = r.randint(2, 6)
+            return f"<h{n}{odd()}>{words(1, 8)}</h{n}>"
+        if kind in (7, 8):
+            return items(pick("ul", "ol"))
         if kind == 9:
-            return f"<blockquote><p>{words(5, 40)}</p></blockquote>"
+            return f"<dl{odd()}>" + "".join(f"<dt>{words(1, 4)}</dt><dd>{pick(words(1, 30), f'<p>{words(2, 30)}</p>')}</dd>" for _ in range(r.randint(1, 4))) + "</dl>"
         if kind == 10:
-            return f"<p>{words(3, 20)} <a href='/x'>{words(1, 4)}</a> {words(3, 30)}</p>"
-        if kind == 11:
-            return "<table>" + "".join(f"<tr><td>{words(1, 3)}</td><td>{words(1, 5)}</td></tr>" for _ in range(r.randint(1, 4))) + "</table>"
-        if kind == 12:
-            return f"<pre>{words(2, 20)}</pre>" if r.random() < 0.5 else f"<figure><figcaption>{words(2, 12)}</figcaption></figure>"
-        return f"<div>{words(3, 50)}</div>"
-
+            return f"<blockquote{odd()}>{pick(words(3, 40), f'<p>{words(5, 40)}</p>')}</blockquote>"
+        if kind in (11, 12):
+            return rows()
+        if kind == 13:
+            return f"<pre{odd()}>{pick('', '<code>')}{words(2, 20)}</pre>"
+        if kind == 14:
+            return f'<figure{odd()}><img src="x.png">{f"<figcaption>{words(2, 20)}</figcaption>" if r.random() < 0.8 else ""}</figure>'
+        if kind == 15:
+            return f"<details{odd()}><summary>{words(1, 8)}</summary>{pick(words(3, 30), paragraph())}</details>"
+        if kind == 16:
+            return pick(f"<address{odd()}>{words(2, 20)}</address>", f"<header{odd()}>{pick('', f'<h2>{words(1, 8)}</h2>')}<p>{words(2, 40)}</p></header>")
+        if kind == 17:
+            tag = pick("div", "div", "center", "x-text")
+            return f"<{tag}{odd()}>{words(1, 50)}</{tag}>"
+        tag = pick("div", "div", "section")
+        head = f"<h{r.randint(2, 5)}>{words(1, 8)}</h2>" if r.random() < 0.5 else ""
+        return f"<{tag}{odd()}>{head}{''.join(block(depth + 1) for _ in range(r.choice([1, 1, 2, 3])))}</{tag}>"
+
+    content_names = (
+        "content article post entry story main body text page-content wysiwyg rte richtext prose markdown article-body post-content story-text "
+        "beitrag artikel inhalt contenido articulo cuerpo noticia contenu corps texte contenuto articolo testo conteudo treść innehåll".split()
+    )
     out = []
     for _ in range(number):
-        body = "".join(block() + (junk() if r.random() < 0.08 else "") for _ in range(r.choice([0, 1, 1, 2, 3, 4, 8, 16])))
-        title = f"<h1>{words(1, 10)}</h1>" if r.random() < 0.8 else ""
-        if r.random() < 0.1 and title:
-            title = f"<header data-content=\"1\">{title}</header>"
-        named = pick("content", "article", "post", "entry", "story", "main", "body", "text")
-        opened = pick("<article{}>", "<article{}>", "<main{}><article>", "<main{}>", f'<div class="{named}"{{}}>', f'<div id="{named}"{{}}>', f'<section class="{named}-{pick("body", "text", "content")}"{{}}>')
-        closed = "".join(f"</{t}>" for t in re.findall(r"<(\w+)", opened)[::-1])
-        article = opened.format(' data-content="1"') + title + body + closed
-        depth = r.choice([0, 0, 1, 2]) if r.random() < 0.2 else None
+        terse = r.random() < 0.08
+        length = r.choice([1, 2, 3, 4] if terse else [0, 1, 1, 2, 3, 4, 8, 16])
+        sectioned = r.random() < 0.15
+        parts = [f"<section{odd()}>{''.join(block(1) for _ in range(r.randint(1, 3)))}</section>" if sectioned else paragraph() if terse and r.random() < 0.6 else block() for _ in range(length)]
+        body = "".join(x + (junk(pick(4, 4, 4, 0, 1, 3, 5, 6, 7, 8, 9, 10)) if r.random() < 0.2 else "") for x in parts)
+        title = f"<h1{odd()}>{words(1, 10)}</h1>" if r.random() < 0.8 else ""
+        if r.random() < 0.2 and title:
+            title = f'<header data-content="1">{title}{pick("", f"<p>{words(2, 40)}</p>", f"<div>{words(1, 20)}</div>")}</header>'
+        name = pick(f' class="{r.choice(content_names)}"', f' id="{r.choice(content_names)}"', odd())
+        tags = pick(("article",), ("article",), ("main", "article"), ("main",), ("div",), ("div",), ("div",), ("div",), ("div", "div"), ("section",), ("article", "div"), ("main", "div", "div"))
+        named = "".join(f'<{t}{name if k == len(tags) - 1 and (t in ("div", "section") or r.random() < 0.3) else ""} data-content="1">' for k, t in enumerate(tags))
+        article = named + title + body + "".join(f"</{t}>" for t in tags[::-1])
+        depth = r.choice([0, 0, 0, 1, 2]) if r.random() < 0.3 else None
         if depth is not None:
             article = '<div data-content="1">' * depth + title + body + "</div>" * depth
         before = "".join(junk() for _ in range(r.randint(0, 4)))
         after = "".join(junk() for _ in range(r.randint(0, 4)))
-        foot = f'<footer data-content="0">{pick(words(2, 30), "<p>" + words(2, 30) + "</p>", "<ul>" + links(2, 6) + "</ul>")}</footer>' if r.random() < 0.8 else ""
+        foot = f'<footer data-content="0">{pick(words(2, 30), f"<p>{words(2, 30)}</p>", f"<ul>{links(2, 6)}</ul>", f"<address>{words(2, 12)}</address>", f"<div><p>{words(2, 20)}</p></div>")}</footer>' if r.random() < 0.8 else ""
         if depth != 0 and r.random() < 0.3:
             article = f'<div class="{pick("container", "wrapper", "page", "row", "layout")}" data-content="0">{article}{junk()}</div>'
         out.append(f"<html><head><title>x</title></head><body{' data-content="1"' if depth == 0 else ""}>{before}{article}{after}{foot}</body></html>")

@@ -631,3 +631,112 @@ def test_search_passes_over_most_documents(spark):
 def test_search_of_no_rows(spark):
     docs, items = documents(spark, ["a b"]), spark.createDataFrame([(1, "a")], "item_id int, text string")
     assert search.search(docs.limit(0), items).count() == 0 and search.search(docs, items.limit(0)).count() == 0
+
+
+# main text: every kind of block, plain walk, hostile pages
+
+LONG = "This is a long opening paragraph which says a number of things about the matter at hand, in the usual manner of such openings, and then goes on for a while."
+CLOSING = "Another long closing paragraph follows after the block, with further remarks about the matter, and a conclusion that is as long as it needs to be for a test."
+KINDS_OF_BLOCKS = {
+    "ol long": "<ol><li>K one is a somewhat longer item of a list with text</li><li>K two is another longer item of it</li></ol>",
+    "ol": "<ol><li>K one</li><li>K two</li></ol>",
+    "ul": "<ul><li>K one<ul><li>K two</li></ul></li></ul>",
+    "dl": "<dl><dt>K term</dt><dd>K meaning of the term</dd></dl>",
+    "section": "<section><h2>K head</h2><p>K some paragraph of text here</p></section>",
+    "section id": "<section id=s2><h2>K head</h2><p>K some paragraph of text here</p></section>",
+    "div p": "<div><p>K a paragraph in a div</p></div>",
+    "odd divs": "<div class=qwx77><div><p>K deep</p></div></div>",
+    "h5": "<h5>K small heading</h5>",
+    "h6": "<h6>K tiny</h6>",
+    "details": "<details><summary>K sum</summary><p>K folded part of the text</p></details>",
+    "address": "<address>K street 5, some town</address>",
+    "header": "<header><p>K lead paragraph of the article goes here</p></header>",
+    "link": "<p><a href=/k>K a paragraph that is a link</a></p>",
+    "th": "<table><tr><th>K head</th><th>K other</th></tr><tr><td>K one</td><td>K two</td></tr></table>",
+    "thead": "<table><caption>K cap</caption><thead><tr><th>K head</th></tr></thead><tbody><tr><td>K one</td></tr></tbody></table>",
+    "quote": "<blockquote>K quote of someone</blockquote>",
+    "pre": "<pre>K code</pre>",
+    "p": "<p>K yes.</p>",
+    "author": "<p class=author>K By someone</p>",
+    "figure": "<figure><img src=x><figcaption>K caption</figcaption></figure>",
+}
+CONTAINERS = ["<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>", "<div class=wysiwyg>{}</div>", "<div class=beitrag>{}</div>", "<div class=zzxq>{}</div>", "<article><div class=fooz>{}</div></article>", "<main><section class=kk>{}</section></main>", "<div>{}</div>", "{}"]
+JUNK = [
+    "<div class=share><p>JJ Share this</p></div>", "<aside><p>JJ see also</p></aside>", "<div class=ad>JJ buy now</div>", "<form><p>JJ Subscribe</p><input></form>",
+    "<section class=comments><div class=comment><p>JJ nice one, thanks for this post which I liked</p></div></section>", "<nav><ol><li><a href=/>JJ x</a></li></ol></nav>",
+    "<div class=related><ul><li><a href=/>JJ one</a></li><li><a href=/>JJ two</a></li></ul></div>", "<div id=cookie-notice><p>JJ we use cookies</p></div>", "<footer><p>JJ filed under x</p></footer>",
+]
+
+
+def in_page(inner, container):
+    nav = "<nav><ul><li><a href=/>Home</a></li><li><a href=/x>News</a></li></ul></nav>"
+    return f"<html><head><title>x</title></head><body>{nav}{container.format(inner)}<footer><p>Copyright somebody, all rights reserved</p></footer></body></html>"
+
+
+@pytest.mark.parametrize("container", CONTAINERS)
+def test_html_keeps_every_kind_of_block(page_model, container):
+    for kind, block in KINDS_OF_BLOCKS.items():
+        if kind == "header" and container == "{}":
+            continue  # directly in body it is the header of the site
+        for inner in (f"<h1>Title here</h1><p>{LONG}</p>{block}<p>{CLOSING}</p>", f"<p>{LONG}</p><p>{CLOSING}</p>{block}", f"<h1>Title here</h1>{block}<p>{LONG}</p>"):
+            got = html.extract(in_page(inner, container), page_model)
+            assert got.count("K ") == block.count("K "), (kind, inner[:20])
+            assert LONG in got and ("Title here" in got) == ("Title" in inner) and "Home" not in got and "Copyright" not in got
+
+
+@pytest.mark.parametrize("container", CONTAINERS)
+def test_html_drops_what_is_not_the_article(page_model, container):
+    for junk in JUNK:
+        for inner in (f"<h1>Title here</h1><p>{LONG}</p>{junk}<p>{CLOSING}</p>", f"<h1>Title here</h1><p>Short one.</p><p>{LONG}</p>{junk}"):
+            got = html.extract(in_page(inner, container), page_model)
+            assert "JJ" not in got and LONG in got and got.startswith("Title here")
+
+
+def test_html_equals_a_plain_walk(page_model):
+    """Articles of random nested blocks; the expected text is written down while they are built."""
+    r, count = random.Random(8), Counter()
+
+    def words(lo, hi):
+        return prose(r.randint(lo, hi), r).capitalize() + "."
+
+    def leaf(tag, lo, hi, out):
+        out.append(words(lo, hi))
+        return f"<{tag}>{out[-1]}</{tag}>"
+
+    def block(out, depth=0):
+        kind = r.randrange(9 if depth < 2 else 6)
+        count[kind] += 1
+        if kind < 3:
+            return leaf("p", 8, 60, out)
+        if kind == 3:
+            return leaf(r.choice(["h2", "h3", "h4", "pre", "blockquote"]), 2, 9, out)
+        if kind == 4:
+            tag = r.choice(["ul", "ol"])
+            return f"<{tag}>" + "".join(leaf("li", 2, 20, out) for _ in range(r.randint(1, 4))) + f"</{tag}>"
+        if kind == 5:
+            return "<table>" + "".join("<tr>" + "".join(leaf(r.choice(["th", "td"]), 1, 5, out) for _ in range(2)) + "</tr>" for _ in range(2)) + "</table>"
+        if kind == 6:
+            return "<dl>" + "".join(leaf("dt", 1, 3, out) + leaf("dd", 2, 12, out) for _ in range(2)) + "</dl>"
+        tag = r.choice(["div", "section"])
+        return f"<{tag}>" + "".join(block(out, depth + 1) for _ in range(r.randint(1, 3))) + f"</{tag}>"
+
+    for _ in range(60):
+        out = [words(2, 6)]
+        inner = f"<h1>{out[0]}</h1>" + "".join(block(out) for _ in range(r.randint(2, 8)))
+        for container in ("<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>"):
+            assert html.extract(in_page(inner, container), page_model) == "\n".join(out)
+    assert len(count) == 9
+
+
+def test_html_of_hostile_pages_is_linear(page_model):
+    import time
+
+    n = 5_000_000
+    pages = ['<a "', "<a '\">", "<a ", "<", "<!-", "<script>"]
+    pages = [x * (n // len(x)) for x in pages] + ["<i>" * (n // 7) + "</b>" * (n // 7), "<b><div>" + "<i>" * (n // 7) + "</b>" * (n // 7), "<i>" * (n // 8) + "<h1>" * (n // 8), "<ul>" + "<div>" * (n // 15) + "<li></li>" * (n // 15)]
+    for page in pages:
+        start = time.process_time()
+        html.parse(page)
+        assert time.process_time() - start < 20, page[:20]
+    _, blocks, runs = html.parse('<p>one <a "two</p><p>three</p>')
+    assert [b.tag for b in blocks] == ["html", "p", "p"] and ["".join(t) for _, t in runs] == ["one ", "three"]
