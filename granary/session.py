@@ -50,7 +50,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the plan, survives lost executors."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(*written: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once nothing that is still to run reads it."""
+    for df in written:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
