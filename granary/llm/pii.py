@@ -40,8 +40,11 @@ QUAD = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"[0-9]{2}(?: ?[A-Z0-9]){11,30}")
-KEY = re.compile(r"[A-Za-z0-9_-]+")
-VALUE = re.compile(r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}([\"']?)([^\s\"'<>]{8,})")
+KEY = re.compile(r"[A-Za-z0-9_-]*")
+KEY_MARK = re.compile(r"[A-Z0-9]")
+ASSIGNED = re.compile(r"[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?")
+VALUE = re.compile(r"[^\s\"'<>]*")
+DIGIT = re.compile(r"[0-9]")
 USER = re.compile(r"[^\s/@:]+:[^\s/@]+(?=@)")
 
 
@@ -67,6 +70,23 @@ def iban_length(text: str, at: int) -> int:
     return end - at if int("".join(str(int(c, 36)) for c in taken[4:] + taken[:4])) % 97 == 1 else 0
 
 
+class Runs:
+    """Runs of one kind of characters, each walked once however many anchors stand in it."""
+
+    def __init__(self, text: str, run: re.Pattern, mark: re.Pattern):
+        self.text, self.run, self.mark = text, run, mark
+        self.end = self.next_mark = -1
+
+    def at(self, place: int) -> tuple[int, int]:
+        """Where the run around ``place`` ends, and the first mark from ``place`` on (the end if there is none). Places must not decrease."""
+        if place >= self.end:
+            self.end, self.next_mark = self.run.match(self.text, place).end(), -1
+        if self.next_mark < place:
+            m = self.mark.search(self.text, place, self.end)
+            self.next_mark = m.start() if m else self.end
+        return self.end, self.next_mark
+
+
 def anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
     for s in "0123456789@+":
@@ -87,6 +107,7 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
     out: list[tuple[int, int, int]] = []
     end = [0] * len(KINDS)  # where the last match of each kind ended, counted whether or not it was valid
     run_end = 0
+    keys, values = Runs(text, KEY, KEY_MARK), Runs(text, VALUE, DIGIT)
 
     def take(kind: int, start: int, stop: int, valid: bool) -> None:
         end[kind] = stop
@@ -116,13 +137,16 @@ def find_spans(text: str, automaton: ahocorasick.Automaton) -> list[tuple[int, i
             if at >= end[4] and not (at and text[at - 1] in WORD) and (n := iban_length(text, at)):
                 take(4, at, at + n, True)
         elif what == "key":
-            m = KEY.match(text, at)
-            if at >= end[5] and not (at and text[at - 1] in WORD) and len(m.group()) >= 16 and any("0" <= c <= "9" or "A" <= c <= "Z" for c in m.group()[length:]):
-                take(5, at, m.end(), True)
+            if at >= end[5] and not (at and text[at - 1] in WORD):
+                stop, mark = keys.at(at + length)
+                if stop - at >= 16 and mark < stop:
+                    take(5, at, stop, True)
         elif what == "secret":
-            m = VALUE.match(text, last + 1)
-            if m and m.start(2) >= end[6] and any("0" <= c <= "9" for c in m.group(2)):
-                take(6, m.start(2), m.end(2), True)
+            m = ASSIGNED.match(text, last + 1)
+            if m and m.end() >= end[6]:
+                stop, digit = values.at(m.end())
+                if stop - m.end() >= 8 and digit < stop:
+                    take(6, m.end(), stop, True)
         elif at and (m := USER.match(text, last + 1)) and m.start() >= end[7]:
             take(7, m.start(), m.end(), True)
     return sorted(out)

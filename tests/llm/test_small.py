@@ -740,3 +740,21 @@ def test_html_of_hostile_pages_is_linear(page_model):
         assert time.process_time() - start < 20, page[:20]
     _, blocks, runs = html.parse('<p>one <a "two</p><p>three</p>')
     assert [b.tag for b in blocks] == ["html", "p", "p"] and ["".join(t) for _, t in runs] == ["one ", "three"]
+
+
+@pytest.mark.parametrize("piece", ["token=a1b2c3d4", "token=abcdefgh", "AKIA", "xoxb-", "-ghp_", "password:'", "1.", "1 ", "a@b.", "://a:b", "secret=="])
+def test_pii_of_hostile_texts_is_linear(piece):
+    import time
+
+    text, found = piece * (5_000_000 // len(piece)), pii.anchors()
+    start = time.process_time()
+    pii.find_spans(text, found)
+    assert time.process_time() - start < 20
+
+
+def test_pii_cues_in_one_run():
+    found = pii.anchors()
+    kinds = lambda t: [(pii.KINDS[k], t[a:b]) for a, k, b in pii.find_spans(t, found) if k > 3]
+    assert kinds("token=abcdefgh,secret=x1y2z3w4 password=nodigits") == [("secret", "abcdefgh,secret=x1y2z3w4")]
+    assert kinds("token=abcdefgh secret='x1y2z3w4'") == [("secret", "x1y2z3w4")]
+    assert kinds("xoxb-xoxb-abcdefghijkl AKIAABCDEFGHIJKL -ghp_abcdefghijk1") == [("access_key", "AKIAABCDEFGHIJKL"), ("access_key", "ghp_abcdefghijk1")]
