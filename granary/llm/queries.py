@@ -142,7 +142,7 @@ FROM d JOIN l USING (hex) JOIN digits USING (hex)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.archive_pages(table(spark, folder, "pages"))
     number = lambda c: F.substring_index(c, ":", -1).cast("long")
-    return spark.read.format("warc").load(archives).select(
+    return warc.read_split(spark, archives).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
     )
 

@@ -4,7 +4,12 @@
 and record type to the readers, parses each record's headers first and neither decompresses nor decodes payloads of
 records that are filtered out or whose payload column is not asked for (option ``payload`` = false).
 ``df.write.format("warc").mode("append").save(folder)`` writes them: one gzip member per record, so that records can be
-skipped by their compressed length, which the reader learns from the ``sl`` extra field of the member.
+skipped by their compressed length, which the reader learns from the ``sl`` extra field of the member. Paths without a
+scheme belong to the session's default file system, as ``register`` finds it, on the driver and in the tasks alike.
+
+Tasks write files under their final names, which carry the write's id; the commit is one manifest file that lists those of
+the tasks that succeeded, so nothing is moved. Readers leave out files of a write that has no manifest, or that are not in
+it (tasks that failed or ran twice), and read archives of other makers as they are.
 
 Defined cases: null payloads are empty; a null record id, uri or date leaves its header out and is read back as null;
 an unreadable file, or a payload that differs from its digest, fails the query; a folder without archives gives no rows; columns that are not of the schema are
@@ -17,6 +22,7 @@ import base64
 import hashlib
 import os
 import posixpath
+import re
 import struct
 import uuid
 import zlib
@@ -40,18 +46,27 @@ HEADERS = {
     "refers_to": "WARC-Refers-To",
     "payload_digest": "WARC-Payload-Digest",
 }
+#: Record types of the format (fixed values).
+KINDS = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A file is closed when it grows beyond this; files are planned into partitions of this size.
 FILE_BYTES = 64 << 20
+#: A write's list of its files, and what these are called.
+MANIFEST = "_manifest-"
+OWN_FILE = re.compile(r"[0-9a-f]{32}-[0-9a-f]{32}\.warc\.gz")
 
 
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The store of a path or URI."""
-    return pyarrow.fs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pyarrow.fs.LocalFileSystem(), os.path.abspath(path))
+def filesystem(path: str, default: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The store of a path or URI, and the path in it; ``default`` is the file system of paths without a scheme."""
+    if ":" not in path.split("/")[0]:
+        if default.startswith("file:"):
+            return pyarrow.fs.LocalFileSystem(), os.path.abspath(path)
+        path = f"{default.rstrip('/')}/{path.lstrip('/')}"
+    return pyarrow.fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
 
 
 def clean(value: str) -> str:
@@ -166,8 +181,8 @@ class Files(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, folder: str, payload: bool):
-        self.folder, self.payload, self.wanted = folder, payload, []
+    def __init__(self, folder: str, default: str, payload: bool):
+        self.folder, self.default, self.payload, self.wanted = folder, default, payload, []
 
     def pushFilters(self, filters: list[Filter]):
         for f in filters:
@@ -180,8 +195,13 @@ class WarcReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[Files]:
-        store, root = filesystem(self.folder)
-        files = [x for x in store.get_file_info(pyarrow.fs.FileSelector(root)) if x.is_file and x.base_name.endswith(".warc.gz") and x.base_name[0] not in "._"]
+        store, root = filesystem(self.folder, self.default)
+        listed = {posixpath.basename(x.path): x for x in store.get_file_info(pyarrow.fs.FileSelector(root)) if x.is_file}
+        committed: set[str] = set()
+        for name in (n for n in listed if n.startswith(MANIFEST) and not n.endswith(".tmp")):
+            with store.open_input_file(posixpath.join(root, name)) as f:
+                committed.update(f.read().decode().split("\n"))
+        files = [x for n, x in listed.items() if n.endswith(".warc.gz") and n[0] not in "._" and (n in committed or not OWN_FILE.fullmatch(n))]
         out: list[Files] = []
         held = FILE_BYTES
         for x in sorted(files, key=lambda x: x.path):
@@ -193,7 +213,7 @@ class WarcReader(DataSourceReader):
         return out or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        store, _ = filesystem(self.folder)
+        store, _ = filesystem(self.folder, self.default)
         kinds = pa.schema([(c, pa.string()) for c in HEADERS] + [("payload_bytes", pa.int64()), ("payload", pa.binary())])
         rows, held = [], 0
         for path in partition.paths:
@@ -209,25 +229,23 @@ class WarcReader(DataSourceReader):
 
 @dataclass
 class Written(WriterCommitMessage):
-    paths: list[str]
+    names: list[str]
 
 
 class WarcWriter(DataSourceArrowWriter):
-    """Tasks write below a hidden folder; the commit moves the files of the tasks that succeeded."""
-
-    def __init__(self, folder: str, overwrite: bool):
-        self.folder, self.overwrite, self.id = folder, overwrite, uuid.uuid4().hex
+    def __init__(self, folder: str, default: str, overwrite: bool):
+        self.folder, self.default, self.overwrite, self.id = folder, default, overwrite, uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        store, root = filesystem(self.folder)
-        hidden, paths, out, size = posixpath.join(root, f"_{self.id}"), [], None, 0
-        store.create_dir(hidden)
+        store, root = filesystem(self.folder, self.default)
+        names, out, size = [], None, 0
+        store.create_dir(root)
         for batch in iterator:
             columns = [c for c in batch.schema.names if c in HEADERS or c == "payload"]
             for values in zip(*(batch.column(batch.schema.get_field_index(c)) for c in columns), strict=True):
                 if out is None:
-                    paths.append(posixpath.join(hidden, f"{uuid.uuid4().hex}.warc.gz"))
-                    out, size = store.open_output_stream(paths[-1], compression=None), 0
+                    names.append(f"{self.id}-{uuid.uuid4().hex}.warc.gz")
+                    out, size = store.open_output_stream(posixpath.join(root, names[-1]), compression=None), 0
                 data = member(record({c: v.as_py() for c, v in zip(columns, values, strict=True)}))
                 out.write(data)
                 size += len(data)
@@ -236,27 +254,30 @@ class WarcWriter(DataSourceArrowWriter):
                     out = None
         if out is not None:
             out.close()
-        return Written(paths)
+        return Written(names)
 
     def commit(self, messages: list[Written | None]) -> None:
-        store, root = filesystem(self.folder)
+        store, root = filesystem(self.folder, self.default)
         store.create_dir(root)
         if self.overwrite:
             for x in store.get_file_info(pyarrow.fs.FileSelector(root)):
-                if x.is_file and x.base_name.endswith(".warc.gz"):
+                old = x.base_name.endswith(".warc.gz") and not x.base_name.startswith(self.id) or x.base_name.startswith(MANIFEST)
+                if x.is_file and old:
                     store.delete_file(x.path)
-        for path in (p for m in messages if m for p in m.paths):
-            store.move(path, posixpath.join(root, posixpath.basename(path)))
-        self.abort(messages)
+        manifest = posixpath.join(root, f"{MANIFEST}{self.id}")
+        with store.open_output_stream(f"{manifest}.tmp", compression=None) as out:
+            out.write("\n".join(n for m in messages if m for n in m.names).encode())
+        store.move(f"{manifest}.tmp", manifest)
 
     def abort(self, messages: list[Written | None]) -> None:
-        store, root = filesystem(self.folder)
-        hidden = posixpath.join(root, f"_{self.id}")
-        if store.get_file_info(hidden).type != pyarrow.fs.FileType.NotFound:
-            store.delete_dir(hidden)
+        store, root = filesystem(self.folder, self.default)
+        for name in (n for m in messages if m for n in m.names):
+            store.delete_file(posixpath.join(root, name))
 
 
 class WarcSource(DataSource):
+    default = "file:///"  # file system of paths without a scheme; ``register`` sets the session's
+
     @classmethod
     def name(cls) -> str:
         return "warc"
@@ -265,17 +286,28 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.options["path"], self.options.get("payload", "true").lower() != "false")
+        return WarcReader(self.options["path"], self.default, self.options.get("payload", "true").lower() != "false")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], overwrite)
+        return WarcWriter(self.options["path"], self.default, overwrite)
 
 
 def register(spark) -> None:
-    spark.dataSource.register(WarcSource)
+    """Make the source known to the session, with the file system that the session takes paths without a scheme from."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    spark.dataSource.register(type("WarcSource", (WarcSource,), {"default": default}))
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
+def read_split(spark, folder: str) -> DataFrame:
+    """All records: responses with their payloads, other kinds by their headers alone, each read by a pushed-down filter."""
+    register(spark)
+    whole = spark.read.format("warc").load(folder).where(F.col("record_type") == "response")
+    rest = spark.read.format("warc").option("payload", "false").load(folder)
+    kinds = [k for k in KINDS if k != "response"]
+    return whole.unionByName(rest.where(F.col("record_type").isin(kinds)))
+
+
 def with_revisits(records: DataFrame, least: int = 0) -> DataFrame:
     """``records`` (record_id, order, target_uri, payload, ...) with record_type and refers_to: of equal payloads of at
     least ``least`` bytes the one with the largest ``order`` is the response, the others revisit it."""

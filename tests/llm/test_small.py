@@ -758,3 +758,49 @@ def test_pii_cues_in_one_run():
     assert kinds("token=abcdefgh,secret=x1y2z3w4 password=nodigits") == [("secret", "abcdefgh,secret=x1y2z3w4")]
     assert kinds("token=abcdefgh secret='x1y2z3w4'") == [("secret", "x1y2z3w4")]
     assert kinds("xoxb-xoxb-abcdefghijkl AKIAABCDEFGHIJKL -ghp_abcdefghijk1") == [("access_key", "AKIAABCDEFGHIJKL"), ("access_key", "ghp_abcdefghijk1")]
+
+
+def test_warc_paths_without_a_scheme_belong_to_the_default_store(spark, tmp_path):
+    (tmp_path / "root").mkdir()
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS", "file:///")
+    conf.set("fs.defaultFS", "mock:///")  # a store of pyarrow in memory, so no local disk
+    try:
+        warc.register(spark)
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert warc.filesystem("/a/b", "hdfs-like:///".replace("hdfs-like", "mock"))[0].type_name == "mock"
+    assert warc.filesystem("/a/b", "file:///")[0].type_name == "local" and warc.filesystem("file:/a/b", "mock:///")[1] == "/a/b"
+    with pytest.raises(Exception):  # noqa: B017 - the tasks' stores are not the driver's, and nothing lands on the disk
+        spark.createDataFrame([("a", b"x")], "record_id string, payload binary").write.format("warc").mode("append").save(str(tmp_path / "root" / "w"))
+    assert not (tmp_path / "root" / "w").exists()
+    warc.register(spark)
+
+
+def test_warc_reads_committed_files_only(spark, tmp_path):
+    import shutil
+
+    folder = tmp_path / "w"
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(6)], "page_id long, url string, html string")
+    warc.archive_pages(df, str(folder))
+    names = sorted(p.name for p in folder.glob("*.warc.gz"))
+    manifest = next(folder.glob("_manifest-*"))
+    assert sorted(manifest.read_text().split("\n")) == names and not list(folder.glob("*/*"))
+    stray = f"{names[0][:33]}{'0' * 32}.warc.gz"
+    shutil.copy(folder / names[0], folder / stray)  # of a task that ran twice
+    load = lambda: spark.read.format("warc").load(str(folder))
+    assert load().count() == 6
+    shutil.copy(folder / names[0], folder / "other-maker.warc.gz")
+    assert load().count() > 6
+    warc.with_revisits(spark.createDataFrame([("n", 1, "u", b"new")], "record_id string, order int, target_uri string, payload binary")).drop("order").write.format("warc").mode("overwrite").save(str(folder))
+    assert [r.record_id for r in load().collect()] == ["n"]
+
+
+def test_warc_query_pushes_its_filters(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", "same") for i in range(3)] + [(9, "u", "own")], "page_id long, url string, html string")
+    got = warc.read_split(spark, warc.archive_pages(df, str(tmp_path / "w")))
+    rows = got.collect()
+    assert sorted((r.record_type, r.payload is None) for r in rows) == [("response", False)] * 2 + [("revisit", True)] * 2
+    assert all(r.payload_bytes == (3 if r.record_id.endswith(":9") else 4) for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "= response" not in plan and " IN (" not in plan  # Spark leaves the kinds to the readers
