@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from granary.functions.text import first_match, word_set
+from granary.operators import vectors
+from granary.operators.postings import best_by_overlap, word_blocks
 from granary.session import materialize
 
 # Key words per query type (first match wins), chunk types per query type in search order.
@@ -68,23 +69,17 @@ def candidates(queries: DataFrame, chunks: DataFrame) -> DataFrame:
     return routed.join(F.broadcast(per_type), "chunk_type")
 
 
-def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, block: int = QUERY_BLOCK) -> DataFrame:
+def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, block: int = 4 * QUERY_BLOCK) -> DataFrame:
     """Best ``k`` chunks per query by shared words / query words, ties in search order.
 
-    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Up to ``block`` queries with
-    a million words are broadcast as an index of their words; each task scores its chunks and passes on at most ``k`` rows
-    per query. More queries are matched by an equi-join on words. Chunks without a shared word only
+    Inputs: ``(query_id, query)`` and ``(chunk_id, chunk_type, content)``. Shared words are found on posting lists
+    (``operators/postings.py``), by groups of about ``block`` routed queries. Chunks without a shared word only
     fill up short lists: as fewer than ``k`` chunks matched, the first ``2k`` of a type hold enough.
     """
     routed = route_queries(queries).withColumn("_words", word_set("query"))
     asked = routed.select("query_id", "chunk_type", "position", F.size("_words").alias("query_words"), "_words")
-    offered = chunks.select("chunk_id", "chunk_type", word_set("content").alias("_words"))
-    widest = max(len(types) for types in ROUTES.values())
-    size = asked.agg(F.count(F.lit(1)).alias("rows"), F.sum("query_words").alias("words")).first()
-    if size["rows"] <= block * widest and (size["words"] or 0) <= BROADCAST_ROWS:
-        local = _match_in_tasks(asked.collect(), offered, k)  # bounded by both limits
-    else:
-        local = _match_by_join(asked, offered)
+    blocks = word_blocks(chunks, word_set("content"))
+    local = best_by_overlap(blocks, asked.select("query_id", "chunk_type", "position", F.col("_words").alias("words")), k, block)
     order = Window.partitionBy("query_id").orderBy(F.desc("overlap"), "position", "chunk_id")
     best = local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).drop("rank")
     best = materialize(best, "matched-chunks")  # at most k rows per query; the texts are read once
@@ -112,87 +107,6 @@ def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, blo
     )
 
 
-def _match_by_join(asked: DataFrame, offered: DataFrame) -> DataFrame:
-    """Shared-word counts of all pairs with a common word, counted on the map side first."""
-    words = asked.select("query_id", "chunk_type", "position", F.explode("_words").alias("word"))
-    pairs = offered.select("chunk_id", "chunk_type", F.explode("_words").alias("word"))
-    return (
-        pairs.join(small_side(words), ["chunk_type", "word"])
-        .groupBy("query_id", "chunk_id", "position")
-        .agg(F.count(F.lit(1)).alias("overlap"))
-    )
-
-
-class _WordIndex:
-    """Words of the broadcast queries with the queries that hold them, for one chunk type."""
-
-    def __init__(self, words: pd.Series, asked: pd.Series):
-        order = np.argsort(words.to_numpy(), kind="stable")
-        unique, self.starts, self.counts = np.unique(
-            words.to_numpy()[order].astype(str), return_index=True, return_counts=True
-        )
-        self.words, self.asked = pd.Index(unique), asked.to_numpy()[order]
-
-    def overlaps(self, word_lists: pd.Series, n_asked: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(chunk row, query row, shared words) in pieces of bounded size."""
-        lengths = word_lists.str.len().to_numpy().astype("int64")
-        if not lengths.sum():
-            return
-        code = self.words.get_indexer(np.concatenate(word_lists.to_numpy()).astype(str))
-        row = np.repeat(np.arange(len(lengths)), lengths)[code >= 0]
-        code = code[code >= 0]
-        hits = np.bincount(row, weights=self.counts[code], minlength=len(lengths))
-        piece = (np.cumsum(hits) // PIECE_ROWS)[row]  # a chunk is never split, pieces follow row order
-        for part in np.split(np.arange(len(row)), np.flatnonzero(np.diff(piece)) + 1):
-            if not len(part):
-                continue
-            n, starts = self.counts[code[part]], self.starts[code[part]]
-            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            asked = self.asked[np.repeat(starts, n) + offset]
-            pair, overlap = np.unique(np.repeat(row[part], n) * n_asked + asked, return_counts=True)
-            yield pair // n_asked, pair % n_asked, overlap
-
-
-def _match_in_tasks(asked: list[Row], offered: DataFrame, k: int) -> DataFrame:
-    """Shared-word counts, reduced to the best ``k`` per query inside each task."""
-    schema = "query_id bigint, chunk_id bigint, position int, overlap bigint"
-    spark = offered.sparkSession
-    postings = pd.DataFrame(
-        [(r["chunk_type"], w, j) for j, r in enumerate(asked) for w in r["_words"]], columns=["type", "word", "asked"]
-    )
-    if not len(postings):
-        return spark.createDataFrame([], schema)
-    index = {t: _WordIndex(g["word"], g["asked"]) for t, g in postings.groupby("type")}
-    ids = np.array([r["query_id"] for r in asked])
-    position = np.array([r["position"] for r in asked])
-    shared = spark.sparkContext.broadcast((index, ids, position))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        by_type, query_ids, positions = shared.value
-        best = []
-        for batch in batches:
-            for kind, same in batch.groupby("chunk_type"):
-                if kind not in by_type:
-                    continue
-                chunk_ids = same["chunk_id"].to_numpy()
-                for chunk, query, overlap in by_type[kind].overlaps(same["_words"], len(query_ids)):
-                    rows = pd.DataFrame(
-                        {
-                            "query_id": query_ids[query],
-                            "chunk_id": chunk_ids[chunk],
-                            "position": positions[query],
-                            "overlap": overlap,
-                        }
-                    )
-                    ranked = pd.concat([*best, rows]).sort_values(
-                        ["overlap", "position", "chunk_id"], ascending=[False, True, True]
-                    )
-                    best = [ranked.groupby("query_id", sort=False).head(k)]
-        yield from best
-
-    return offered.mapInPandas(scan, schema)
-
-
 def _unit(rows: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
@@ -222,8 +136,8 @@ def rank_embedding(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, b
     """Best ``k`` chunks per query by cosine similarity.
 
     Inputs: ``(query_id, embedding)`` and ``(chunk_id, embedding)``. Up to ``block`` queries are
-    broadcast and each task keeps its best ``k`` per query. More queries are compared in a grid of
-    query blocks and chunk blocks, so that no task ever holds more than one block of each.
+    broadcast and each task keeps its best ``k`` per query, in one pass over the chunks. For more queries an exact index is
+    built (``operators/vectors.py``), so that a query meets only the cells that can hold its best.
     """
     schema = "query_id bigint, chunk_id bigint, similarity double"
     queries = queries.select(F.col("query_id").cast("long"), "embedding")
@@ -248,32 +162,11 @@ def rank_embedding(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, b
 
         local = chunks.mapInPandas(scan, schema)
     else:
-        local = _grid(queries, chunks, k, block, schema)
+        return vectors.search(vectors.build(chunks), queries, k)
     order = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "chunk_id")
     return local.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _grid(queries: DataFrame, chunks: DataFrame, k: int, block: int, schema: str) -> DataFrame:
-    n_query_blocks = math.ceil(queries.count() / block)
-    n_chunk_blocks = max(1, math.ceil(chunks.count() / (block * 16)))
-
-    def spread(df: DataFrame, own: str, own_blocks: int, other: str, other_blocks: int, key: str) -> DataFrame:
-        mine = F.pmod(F.xxhash64(key), F.lit(own_blocks)).alias(own)
-        others = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_blocks - 1).cast("long"))).alias(other)
-        return df.select("*", mine).select("*", others)
-
-    q = spread(queries, "_qb", n_query_blocks, "_cb", n_chunk_blocks, "query_id")
-    c = spread(chunks, "_cb", n_chunk_blocks, "_qb", n_query_blocks, "chunk_id")
-
-    def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "chunk_id": [], "similarity": []})
-        unit_queries = _unit(np.stack(left["embedding"].to_numpy()).astype("float64"))
-        return _score_batch(left["query_id"].to_numpy(), unit_queries, right, k)
-
-    return q.groupBy("_qb", "_cb").cogroup(c.groupBy("_qb", "_cb")).applyInPandas(cell, schema)
-
-
 def build_context(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
     """Prompt text and token estimate per query; lists have at most ``k`` chunks each.
 

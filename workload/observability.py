@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import privacy
 from granary.functions.text import cosine, word_set
-from granary.operators import bronze, drift, lineage, metrics, quality, retrieval, triage
+from granary.operators import bronze, drift, lineage, metrics, quality, retrieval, triage, vectors
 from granary.plans import gold, silver
 from granary.sources import calls as call_files
 from granary.sources import catalog
@@ -804,20 +804,28 @@ def rag_rank_embedding(s, d):
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
-@register(
-    "rag_rank_vectors",
-    """with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+VECTORS_SQL = """with v as (select vec_id, cast(embedding as double[]) as e from embeddings),
       q as (select vec_id as query_id, e as c from v where vec_id % 100 = 0)
     select query_id, vec_id as chunk_id, round(sim, 6) as similarity, cast(rank as integer) as rank
     from (select query_id, vec_id, list_dot_product(e, c) / (sqrt(list_dot_product(e, e)) * sqrt(list_dot_product(c, c))) as sim,
-        row_number() over (partition by query_id order by sim desc, vec_id) as rank from q, v) where rank <= 5""",
-)
+        row_number() over (partition by query_id order by sim desc, vec_id) as rank from q, v) where rank <= 5"""
+
+
+@register("rag_rank_vectors", VECTORS_SQL)
 def rag_rank_vectors(s, d):
     vecs = i.vectors(s, d).select("chunk_id", "embedding")
     asked = vecs.where("chunk_id % 100 = 0").withColumnRenamed("chunk_id", "query_id")
     return retrieval.rank_embedding(asked, vecs).withColumn("similarity", F.round("similarity", 6))
 
 
+@register("rag_index_vectors", VECTORS_SQL)
+def rag_index_vectors(s, d):
+    """The same answers from the index."""
+    vecs = i.vectors(s, d).select("chunk_id", "embedding")
+    asked = vecs.where("chunk_id % 100 = 0").withColumnRenamed("chunk_id", "query_id")
+    return vectors.search(vectors.build(vecs), asked, retrieval.MAX_CHUNKS).withColumn("similarity", F.round("similarity", 6))
+
+
 @register(
     "fn_cosine",
     """with v as (select vec_id, label, cast(embedding as double[]) as e from embeddings),
