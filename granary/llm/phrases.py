@@ -7,8 +7,8 @@ corpus; groups below the least count are removed by a semi-join before the next
 A row per occurrence would move every word of the corpus through several shuffles. So the relation is kept by blocks of about
 ``BLOCK`` words: a block's occurrences stand in one row as two sorted columns (position and group; a piece ends where a
 position is left out), groups numbered within the block. The merge join is a comparison of neighbours there. What Spark
-shuffles are the groups of each block with their counts, once per length: the same exchange serves the count over the corpus
-and the join back to the blocks. A group is known across blocks by its parts (the two overlapping phrases that make it; at
+shuffles are the groups of each block with their counts, once per length: one window over equal groups gives the count over
+the corpus to every block. A group is known across blocks by its parts (the two overlapping phrases that make it; at
 the start language and word) and is named by the least (block, number) that holds it. No hashes stand for words.
 
 Hot groups: a word or phrase has one row per block, however often it occurs; a language may hold all rows, since nothing is
@@ -30,17 +30,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.session import materialize
+from granary.session import discard, materialize
 
 #: Words of a block.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: Parts of a language whose best rows are found apart.
 TOP_PARTS = 16
 #: Pieces end at these; the mark that stands for them is no part of UTF-8.
 ENDS, MARK = b".,;:!?\n\v\f\r", b"\xff"
 BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS, b"abcdefghijklmnopqrstuvwxyz" + MARK * len(ENDS))
 
-RELATION = "block long, at binary, grp binary"
+RELATION = "block long, size int, at binary, grp binary"
 
 
 class Numbers(dict):
@@ -105,19 +105,19 @@ def _row(block: int, at: np.ndarray, grp: np.ndarray, left, right, n: np.ndarray
     def one(values) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    gaps = np.diff(at, prepend=0).astype(np.int32)  # positions as steps: nearly all 1, so they take little room
-    columns = [pa.array([block], pa.int64()), pa.array([gaps.tobytes()], pa.binary()), pa.array([grp.astype(np.int32).tobytes()], pa.binary())]
+    # positions as steps: nearly all are 1 and take no room once packed
+    packed = (pa.compress(np.ascontiguousarray(x, np.int32).tobytes(), "zstd", asbytes=True) for x in (np.diff(at, prepend=0), grp))
+    columns = [pa.array([block], pa.int64()), pa.array([len(at)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)]
     columns += [one(left), one(right), one(pa.array(n, pa.int64()))]
-    return pa.RecordBatch.from_arrays(columns, names=["block", "at", "grp", "left", "right", "n"])
+    return pa.RecordBatch.from_arrays(columns, names=["block", "size", "at", "grp", "left", "right", "n"])
 
 
 def frequent_groups(relation: DataFrame, least: int) -> DataFrame:
-    """block, local, left, right, n, gid, f: the groups of each block that the whole corpus holds ``least`` times or more."""
+    """block, local, left, right, gid, f: the groups of each block that the whole corpus holds ``least`` times or more."""
     each = relation.select("block", F.posexplode(F.arrays_zip("left", "right", "n")).alias("local", "g"))
-    each = each.select("block", "local", "g.left", "g.right", "g.n").repartition("left", "right")
-    own = F.col("block") + F.col("local")
-    total = each.groupBy("left", "right").agg(F.sum("n").alias("f"), F.min(own).alias("gid")).filter(F.col("f") >= least)
-    return each.join(total, ["left", "right"]).select("block", "local", "left", "right", "n", "gid", "f")
+    alike = Window.partitionBy("g.left", "g.right")  # a row per block at most
+    counted = each.select("block", "local", "g.left", "g.right", F.sum("g.n").over(alike).alias("f"), F.min(F.col("block") + F.col("local")).over(alike).alias("gid"))
+    return counted.filter(F.col("f") >= least)
 
 
 def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
@@ -127,24 +127,24 @@ def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                block, at, grp = (batch.column(c)[k] for c in range(3))
-                local, gid = (x.to_numpy(zero_copy_only=False) for x in batch.column(3)[k].values.flatten())
-                at, grp = (np.frombuffer(x.as_buffer(), np.int32) for x in (at, grp))
-                at = np.cumsum(at, dtype=np.int64)
+                block, size = (batch.column(c)[k].as_py() for c in (0, 1))
+                local, gid = (x.to_numpy(zero_copy_only=False) for x in batch.column(4)[k].values.flatten())
+                at, grp = (np.frombuffer(pa.decompress(batch.column(c)[k].as_buffer(), 4 * size, "zstd"), np.int32) for c in (2, 3))
+                at = np.cumsum(at, dtype=np.int32)
                 # semi-join: occurrences of frequent groups stay, numbered by their place among these
-                place = np.full(max(int(grp.max(initial=-1)), int(local.max())) + 1, -1, np.int64)
-                place[local] = np.arange(len(local))
+                place = np.full(max(int(grp.max(initial=-1)), int(local.max())) + 1, -1, np.int32)
+                place[local] = np.arange(len(local), dtype=np.int32)
                 grp = place[grp]
                 at, grp = at[grp >= 0], grp[grp >= 0]
                 # merge join on the next position of the piece
                 meet = np.flatnonzero(at[1:] == at[:-1] + 1)
                 if not len(meet):
                     continue
-                both, number, n = np.unique(grp[meet] * len(local) + grp[meet + 1], return_inverse=True, return_counts=True)
+                both, number, n = np.unique(grp[meet].astype(np.int64) * len(local) + grp[meet + 1], return_inverse=True, return_counts=True)
                 left, right = np.divmod(both, len(local))
-                yield _row(block.as_py(), at[meet], number, pa.array(gid[left]), pa.array(gid[right]), n)
+                yield _row(block, at[meet], number, pa.array(gid[left]), pa.array(gid[right]), n)
 
-    source = relation.select("block", "at", "grp").join(known, "block")
+    source = relation.select("block", "size", "at", "grp").join(known, "block")
     return source.mapInArrow(run, f"{RELATION}, left array<long>, right array<long>, n array<long>")
 
 
@@ -169,8 +169,9 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, block_words: int =
     shorter = materialize(one, "phrases")
     found: list[DataFrame] = []
     for length in range(2, longest + 1):
-        relation = materialize(longer_relation(relation, groups), "relation")
-        groups = materialize(frequent_groups(relation, least), "groups")
+        longer = materialize(longer_relation(relation, groups), "relation")
+        discard(relation, groups)
+        relation, groups = longer, materialize(frequent_groups(longer, least), "groups")
         a = shorter.select(F.col("gid").alias("left"), "lang", F.col("words").alias("begin"), "fronts")
         b = shorter.select(F.col("gid").alias("right"), F.element_at("words", -1).alias("last"), "backs")
         joined = named(groups).join(a, "left").join(b, "right")
@@ -184,6 +185,7 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, block_words: int =
         if length > 2:
             found[-1] = found[-1].join(_taken_up(shorter, length - 1), "gid", "left_anti")
         found.append(shorter)
+    discard(relation, groups)
     rest = found[0]
     for more in found[1:]:
         rest = rest.unionByName(more)
