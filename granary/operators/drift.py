@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from granary.session import materialize
 
 # Change kinds.
 ADDED, REMOVED = "COLUMN_ADDED", "COLUMN_REMOVED"
 TYPE_CHANGED, NULLABLE_CHANGED = "TYPE_CHANGED", "NULLABLE_CHANGED"
+RENAMED = "RENAMED"
+#: Least hashes kept of a column's values, and the share of common values from which two columns are one.
+SKETCH, SAME = 1024, 0.8
 BREAKING_ACTIONS = [
     "Hold loads that read the table until its readers fit again",
     "Change the contract and every model that names the column",
@@ -72,11 +78,61 @@ def compare(expected: DataFrame, actual: DataFrame) -> DataFrame:
     return joined.select("table_name", "column_name", F.inline(changes))
 
 
+def value_sketches(df: DataFrame, size: int = SKETCH) -> DataFrame:
+    """``(column_name, h)``: the ``size`` least hashes of each column's different values (nulls left out).
+
+    Two columns with at most ``size`` different values are compared exactly. Ranks are cut within each task before the
+    shuffle, so the shuffle does not grow with the values' number.
+    """
+    cells = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.when(F.col(f"`{f.name}`").isNotNull(), F.xxhash64(F.col(f"`{f.name}`").cast("string"))).alias("h")) for f in df.schema])
+    rows = df.select(F.inline(cells)).filter(F.col("h").isNotNull())
+    place = F.dense_rank().over(Window.partitionBy("column_name").orderBy("h"))
+    return rows.withColumn("_place", place).filter(F.col("_place") <= size).select("column_name", "h").distinct()
+
+
+def renamed(changes: DataFrame, old_values: DataFrame, new_values: DataFrame, size: int = SKETCH, same: float = SAME) -> DataFrame:
+    """``(table_name, old_name, new_name, similarity)``: removed columns that came back under another name.
+
+    ``changes`` as ``compare`` gives them; ``old_values`` and ``new_values`` are ``value_sketches`` with a ``table_name``. The
+    similarity of a removed and an added column of one type is the share of common hashes among the ``size`` least of both.
+    Pairs of ``same`` or more are matched one to one: a pair holds if neither column has a better partner (higher
+    similarity, then name) that is not itself better served elsewhere; few rows per table, settled round by round.
+    """
+    gone = changes.filter(F.col("change_type") == REMOVED).select("table_name", F.col("column_name").alias("old_name"), F.col("old_value").alias("kind"))
+    new = changes.filter(F.col("change_type") == ADDED).select("table_name", F.col("column_name").alias("new_name"), F.col("new_value").alias("kind"))
+    pairs = gone.join(new, ["table_name", "kind"]).select("table_name", "old_name", "new_name")
+    left = pairs.join(old_values.withColumnRenamed("column_name", "old_name"), ["table_name", "old_name"]).withColumn("_old", F.lit(1))
+    right = pairs.join(new_values.withColumnRenamed("column_name", "new_name"), ["table_name", "new_name"]).withColumn("_new", F.lit(1))
+    key = ["table_name", "old_name", "new_name"]
+    both = left.unionByName(right, allowMissingColumns=True).groupBy(*key, "h").agg(F.count("_old").alias("_old"), F.count("_new").alias("_new"))
+    least = both.withColumn("_place", F.row_number().over(Window.partitionBy(*key).orderBy("h"))).filter(F.col("_place") <= size)
+    scored = least.groupBy(*key).agg((F.count_if((F.col("_old") > 0) & (F.col("_new") > 0)) / F.count(F.lit(1))).alias("similarity"))
+    open_ = materialize(scored.filter(F.col("similarity") >= same), "renames")
+    found = None
+    while True:
+        by = lambda c, other: Window.partitionBy("table_name", c).orderBy(F.desc("similarity"), other)
+        first = (F.row_number().over(by("old_name", "new_name")) == 1) & (F.row_number().over(by("new_name", "old_name")) == 1)
+        settled = materialize(open_.withColumn("_first", first).filter("_first").drop("_first"), "renames")
+        found = settled if found is None else found.unionByName(settled)
+        rest = open_.join(settled.select("table_name", "old_name"), ["table_name", "old_name"], "left_anti").join(settled.select("table_name", "new_name"), ["table_name", "new_name"], "left_anti")
+        open_ = materialize(rest, "renames")
+        if open_.isEmpty():
+            return found
+
+
+def with_renames(changes: DataFrame, renames: DataFrame) -> DataFrame:
+    """``changes`` with one ``RENAMED`` row in the place of the removal and the addition of each renamed column."""
+    old, new = renames.select("table_name", F.col("old_name").alias("column_name")), renames.select("table_name", F.col("new_name").alias("column_name"))
+    rest = changes.join(old.unionByName(new), ["table_name", "column_name"], "left_anti")
+    rows = renames.select("table_name", F.col("new_name").alias("column_name"), F.lit(RENAMED).alias("change_type"), F.col("old_name").alias("old_value"), F.col("new_name").alias("new_value"))
+    return rest.unionByName(rows)
+
+
 def is_breaking() -> Column:
     tightened = (
         (F.col("change_type") == NULLABLE_CHANGED) & (F.col("old_value") == "True") & (F.col("new_value") == "False")
     )
-    return F.col("change_type").isin(REMOVED, TYPE_CHANGED) | tightened
+    return F.col("change_type").isin(REMOVED, TYPE_CHANGED, RENAMED) | tightened
 
 
 def assess(changes: DataFrame, tables: DataFrame) -> DataFrame:
@@ -101,23 +157,26 @@ def assess(changes: DataFrame, tables: DataFrame) -> DataFrame:
     return out.withColumns({"severity": severity, "confidence_score": confidence})
 
 
-def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None = None) -> DataFrame:
+def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None = None, names: int = 20) -> DataFrame:
     """One row per table with its change list, severity, downstream tables and actions.
 
-    The lists have at most two entries per column of a table and one per dependent table.
-    ``downstream`` has ``(table_name, dependent)`` rows, such as a lineage closure.
+    The lists have at most two entries per column of a table, and at most ``names`` dependent tables, the first by name;
+    ``downstream_count`` counts them all. ``downstream`` has ``(table_name, dependent)`` rows, such as a lineage closure,
+    which also names the rest. Lists are cut within each task, so a table with any number of dependents is one short row.
     """
     listed = changes.groupBy("table_name").agg(
         F.sort_array(F.collect_list(F.struct("column_name", "change_type", "old_value", "new_value"))).alias("changes")
     )
     out = assess(changes, tables).join(listed, "table_name", "left")
     if downstream is not None:
-        dependents = downstream.groupBy("table_name").agg(
-            F.sort_array(F.collect_set("dependent")).alias("affected_downstream")
-        )
-        out = out.join(dependents, "table_name", "left")
+        each = downstream.select("table_name", "dependent").distinct()
+        place = F.row_number().over(Window.partitionBy("table_name").orderBy("dependent"))
+        first = each.withColumn("_place", place).filter(F.col("_place") <= names)
+        first = first.groupBy("table_name").agg(F.sort_array(F.collect_list("dependent")).alias("affected_downstream"))
+        out = out.join(each.groupBy("table_name").agg(F.count(F.lit(1)).alias("downstream_count")), "table_name", "left")
+        out = out.join(first, "table_name", "left")
     else:
-        out = out.withColumn("affected_downstream", F.array().cast("array<string>"))
+        out = out.withColumns({"affected_downstream": F.array().cast("array<string>"), "downstream_count": F.lit(0).cast("long")})
 
     def words(values: list[str]) -> Column:
         return F.array(*[F.lit(v) for v in values])
@@ -139,6 +198,7 @@ def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None =
     empty = F.array().cast("array<string>")
     return out.withColumns(
         {
+            "downstream_count": F.when(none, F.lit(0).cast("long")).otherwise(F.coalesce("downstream_count", F.lit(0).cast("long"))),
             "affected_downstream": F.when(none, empty).otherwise(F.coalesce("affected_downstream", empty)),
             "business_impact": impact,
             "recommended_actions": actions,

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from granary.operators.skew import join_unique
-from granary.session import fresh_path
+from granary.session import discard, materialize
 
 # The flow of the retail platform.
 PLATFORM_EDGES = [
@@ -42,29 +39,27 @@ def platform_edges(spark: SparkSession) -> DataFrame:
 def closure(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """``(root, node, depth)``: every node reachable from a root with its shortest distance.
 
-    Breadth-first: one join per level, until a level finds nothing new. Each level is written to a folder of its own below
-    one table, so the plan has the same size at any depth and a lost executor does not replay the search. Cycles end, as
-    known nodes drop out.
+    Path doubling: after ``t`` rounds all nodes less than ``2**t`` steps away are known, and ``steps`` holds the pairs that a
+    walk of ``2**t`` steps joins; one join takes what is known that much further, another doubles the walks. So the rounds grow with
+    the logarithm of the depth, and a chain has as many walks of a length as nodes. Every round is written to the shared
+    folder and replaces the one before. Cycles end, as a node keeps its least distance.
     """
-    spark = edges.sparkSession
-    base = fresh_path(spark, "lineage")
-    steps = edges.select("src", "dst").distinct()
-    first = roots.select(F.col("root"), F.col("root").alias("node")).distinct()
-    schema = first.schema
-
-    def level(depth: int) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{base}/depth={depth}")
-
-    def reached() -> DataFrame:
-        return spark.read.schema(T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])).parquet(base)
-
-    first.write.parquet(f"{base}/depth=0")
-    for depth in count(1):
-        ahead = level(depth - 1).join(steps, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
-        fresh, seen = ahead.join(reached().select("root", "node"), ["root", "node"], "left_anti"), Observation()
-        fresh.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{base}/depth={depth}")
-        if not seen.get["rows"]:
-            return reached().filter("depth > 0")
+    steps, hop = materialize(edges.select("src", "dst").distinct(), "lineage-steps"), 1
+    reached = materialize(roots.select(F.col("root"), F.col("root").alias("node"), F.lit(0).alias("depth")).distinct(), "lineage")
+    known = reached.count()
+    while True:
+        ahead = reached.join(steps, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node"), (F.col("depth") + hop).alias("depth"))
+        further, seen = reached.unionByName(ahead).groupBy("root", "node").agg(F.min("depth").alias("depth")), Observation()
+        now = materialize(further.observe(seen, F.count(F.lit(1)).alias("rows")), "lineage")
+        discard(reached)
+        if seen.get["rows"] == known:
+            discard(steps)
+            return now.filter("depth > 0")
+        reached, known = now, seen.get["rows"]
+        twice = steps.alias("a").join(steps.alias("b"), F.col("a.dst") == F.col("b.src")).select("a.src", "b.dst").distinct()
+        longer = materialize(twice, "lineage-steps")
+        discard(steps)
+        steps, hop = longer, 2 * hop
 
 
 def downstream(edges: DataFrame, roots: DataFrame) -> DataFrame:

@@ -83,6 +83,29 @@ def error_groups(df: DataFrame, text: str = "text", id_column: str = "log_id") -
     return groups.withColumn("_a", analysis(F.col("error_type"))).select("*", "_a.*").drop("_a")
 
 
+def error_templates(df: DataFrame, text: str = "text", id_column: str = "log_id", depth: int = 2, variants: int = 8) -> DataFrame:
+    """Groups of errors with one wording, found from the logs: a template has ``<*>`` where its errors differ.
+
+    A parse tree of fixed depth leads each text to a leaf by its number of tokens and its first ``depth`` tokens (those
+    with digits count as ``<*>``). In a leaf, a position with more than ``variants`` different tokens, or with digits in any
+    of them, varies. The rule looks at a whole leaf at once, so the order of the logs does not matter. Null texts have no
+    tokens. Tokens are counted before they are shuffled: a leaf that holds a third of all logs sends a row per task,
+    position and different token.
+    """
+    tokens = F.filter(F.split(F.coalesce(text, F.lit("")), r"\s+"), lambda w: w != "")
+    masked = F.transform(F.slice(tokens, 1, depth), lambda w: F.when(w.rlike("[0-9]"), "<*>").otherwise(w))
+    leaf = ["_length", "_lead"]
+    rows = df.select(F.col(id_column).alias("_id"), tokens.alias("_tokens"), F.size(tokens).alias("_length"), F.array_join(masked, " ").alias("_lead"))
+    words = rows.select(*leaf, F.posexplode("_tokens").alias("_at", "_word")).groupBy(*leaf, "_at", "_word").agg(F.lit(1))
+    spots = words.groupBy(*leaf, "_at").agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_word").rlike("[0-9]")).alias("_digits"))
+    varying = spots.filter((F.col("_n") > variants) | F.col("_digits")).groupBy(*leaf).agg(F.collect_set("_at").alias("_varying"))
+    # a leaf's list is no longer than its texts
+    kept = join_unique(rows, varying, leaf, "left")
+    shown = F.transform("_tokens", lambda w, k: F.when(F.array_contains(F.coalesce("_varying", F.array().cast("array<int>")), k), "<*>").otherwise(w))
+    named = kept.select("_id", F.array_join(shown, " ").alias("template"))
+    return named.groupBy("template").agg(F.count(F.lit(1)).alias("occurrences"), F.min("_id").alias("first_id"), F.max("_id").alias("last_id"))
+
+
 def triage_batch(df: DataFrame, text: str = "text", id_column: str = "log_id") -> DataFrame:
     """Every log with the analysis of its group and the group's size; very large groups stay spread."""
     groups = error_groups(df, text, id_column).drop("first_id", "last_id")

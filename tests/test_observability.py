@@ -247,3 +247,50 @@ def test_vector_queries_grow_with_the_table(spark):
     asked = {r.vec_id for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect() if r.vec_id % 100 == 0}
     got = entry_points.queries()["rag_rank_vectors"](spark, folder).collect()
     assert {r.query_id for r in got} == asked and len(got) == 5 * len(asked)
+
+
+def test_chain_of_4096_tables_in_few_rounds(spark, monkeypatch):
+    rounds, real = [], lineage.materialize
+    monkeypatch.setattr(lineage, "materialize", lambda df, name: rounds.append(name) or real(df, name))
+    edges = spark.range(4095).selectExpr("concat('t', id) as src", "concat('t', id + 1) as dst")
+    out = lineage.closure(edges, spark.createDataFrame([("t0",)], "root string"))
+    assert out.count() == 4095 and out.filter("node <> concat('t', depth)").count() == 0
+    assert rounds.count("lineage") - 1 <= 14
+
+
+def test_lineage_takes_the_shortest_of_many_ways(spark):
+    rng = random.Random(6)
+    pairs = {(rng.randrange(40), rng.randrange(40)) for _ in range(70)}
+    out = lineage.closure(spark.createDataFrame([(f"n{a}", f"n{b}") for a, b in pairs], "src string, dst string"), spark.createDataFrame([("n1",), ("n2",), ("n99",)], "root string"))
+    want = set()
+    for root in (1, 2, 99):
+        depth, level = {root: 0}, [root]
+        while level:
+            level = [b for b in {b for a, b in pairs if a in level} if b not in depth and not depth.update({b: max(depth[x] for x in level) + 1})]
+        want |= {(f"n{root}", f"n{n}", d) for n, d in depth.items() if d}
+    assert {tuple(r) for r in out.collect()} == want
+
+
+def test_templates_of_errors(spark):
+    texts = [f"Connection to host{n} refused after {n} ms by peer p{n % 3}" for n in range(40)] + [f"Disk full on {w}" for w in "a b c d e f g h i j".split()]
+    texts += ["Table missing now", "Table empty now", None, "", "  "]
+    df = spark.createDataFrame(list(enumerate(texts)), "log_id long, text string").repartition(3)
+    got = {r.template: (r.occurrences, r.first_id, r.last_id) for r in triage.error_templates(df).collect()}
+    assert got == {
+        "Connection to <*> refused after <*> ms by peer <*>": (40, 0, 39), "Disk full on <*>": (10, 40, 49),
+        "Table missing now": (1, 50, 50), "Table empty now": (1, 51, 51), "": (3, 52, 54),
+    }
+
+
+def test_renamed_columns_are_matched_one_to_one(spark):
+    old = spark.range(5000).selectExpr("id as key", "cast(id % 7 as int) as small", "concat('n', id) as name", "concat('n', id + 100) as other", "cast(null as string) as empty")
+    new = old.selectExpr("key", "small as tiny", "name as title", "other as label", "cast(null as string) as blank")
+    rows = [[(c, t) for c, t in df.dtypes] for df in (old, new)]
+    sides = [spark.createDataFrame([("t", c, t, True) for c, t in x], "table_name string, column_name string, data_type string, nullable boolean") for x in rows]
+    changes = drift.compare(*sides)
+    values = [drift.value_sketches(df).withColumn("table_name", F.lit("t")) for df in (old, new)]
+    found = {(r.old_name, r.new_name) for r in drift.renamed(changes, *values).collect()}
+    assert found == {("small", "tiny"), ("name", "title"), ("other", "label")}
+    out = drift.with_renames(changes, drift.renamed(changes, *values))
+    assert sorted((r.change_type, r.column_name) for r in out.collect()) == [("COLUMN_ADDED", "blank"), ("COLUMN_REMOVED", "empty"), ("RENAMED", "label"), ("RENAMED", "tiny"), ("RENAMED", "title")]
+    assert drift.assess(out, sides[0]).first().severity == "ERROR"

@@ -342,13 +342,15 @@ def drift_breaking(s, d):
     "drift_report",
     query(
         """select a.*, coalesce(l.changes, '') as changes, case when change_count = 0 then '' else coalesce(o.deps, '') end as affected,
+          case when change_count = 0 then 0 else coalesce(o.n, 0) end as downstream_count,
           true as requires_human_approval,
           case when change_count = 0 then 'Nothing to do' when breaking_change then 'Hold loads that read the table until its readers fit again'
             else 'Decide whether the contract takes the new column' end as first_action
         from assessed a
         left join (select table_name, string_agg(column_name || ':' || change_type, ',' order by column_name, change_type) as changes
           from changes group by 1) l on l.table_name = a.table_name
-        left join (select 't' || o_custkey as table_name, string_agg('order:' || o_orderkey, ',' order by 'order:' || o_orderkey) as deps
+        left join (select 't' || o_custkey as table_name, count(distinct o_orderkey) as n,
+            array_to_string(list_sort(list_distinct(list('order:' || o_orderkey)))[:20], ',') as deps
           from orders group by 1) o on o.table_name = a.table_name""",
         "assessed",
     ),
@@ -364,11 +366,39 @@ def drift_report(s, d):
         "table_name", "change_count", "breaking_change", "severity", "confidence_score",
         F.coalesce(F.array_join(listed, ","), F.lit("")).alias("changes"),
         F.array_join("affected_downstream", ",").alias("affected"),
+        "downstream_count",
         "requires_human_approval",
         F.element_at("recommended_actions", 1).alias("first_action"),
     )
 
 
+@register(
+    "drift_renamed",
+    """with v as (select 'c_acctbal' as old_name, 'balance' as new_name, cast(c_acctbal as varchar) as x, cast(c_acctbal as varchar) as y from customer
+        union all select 'c_name', 'full_name', cast(c_name as varchar), cast(c_name as varchar) from customer
+        union all select 'c_mktsegment', 'label', cast(c_mktsegment as varchar), cast(c_name as varchar) from customer),
+      o as (select distinct old_name, x from v where x is not null), n as (select distinct new_name, y from v where y is not null),
+      shared as (select old_name, new_name, count(*) as k from o join n on x = y group by 1, 2),
+      rated as (select s.old_name, s.new_name, k / (a.n + b.n - k) as similarity from shared s
+        join (select old_name, count(*) as n from o group by 1) a using (old_name) join (select new_name, count(*) as n from n group by 1) b using (new_name))
+    select 'customer' as table_name, new_name as column_name, 'RENAMED' as change_type, old_name as old_value, new_name as new_value
+    from (select *, row_number() over (partition by old_name order by similarity desc, new_name) as i from rated where similarity >= 0.8) where i = 1
+      and new_name <> 'label'
+    union all select 'customer', 'c_mktsegment', 'COLUMN_REMOVED', 'string', null
+    union all select 'customer', 'label', 'COLUMN_ADDED', null, 'string'
+    union all select 'customer', 'c_nationkey', 'TYPE_CHANGED', 'int', 'bigint'""",
+)
+def drift_renamed(s, d):
+    """The customer table against a copy in which columns have new names, or another column's values."""
+    old = i.table(s, d, "customer").withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
+    new = old.withColumn("c_nationkey", F.col("c_nationkey").cast("long")).withColumnsRenamed({"c_acctbal": "balance", "c_name": "full_name"})
+    new = new.withColumn("label", F.col("full_name")).drop("c_mktsegment")
+    sides = [catalog.snapshot_of(s, {"customer": df}).select("table_name", "column_name", "data_type", F.lit(True).alias("nullable")) for df in (old, new)]
+    values = [drift.value_sketches(df).withColumn("table_name", F.lit("customer")) for df in (old, new)]
+    changes = drift.compare(*sides)
+    return drift.with_renames(changes, drift.renamed(changes, *values))
+
+
 @register("join_lineage_closure", query("select * from reached", "reached"))
 def join_lineage_closure(s, d):
     return lineage.downstream(i.edges(s, d), i.roots(s, d))
@@ -693,6 +723,28 @@ def agg_error_groups(s, d):
     return triage.error_groups(i.logs(s, d)).select("signature", "error_type", "occurrences", "first_id", "last_id")
 
 
+def _templates_sql(source: str, text: str, key: str) -> str:
+    """Length and two lead tokens make a leaf; positions with digits or more than eight tokens vary."""
+    return rf"""select * from (with t as (select {key} as id, list_filter(regexp_split_to_array(coalesce({text}, ''), '\s+'), lambda w: w <> '') as w from {source}),
+      l as (select *, len(w) as n, array_to_string(list_transform(w[:2], lambda x: case when regexp_matches(x, '[0-9]') then '<*>' else x end), ' ') as lead from t),
+      p as (select n, lead, unnest(range(1, n + 1)) as i, unnest(w) as x from l),
+      v as (select n, lead, list(i) as vary from (select n, lead, i from p group by 1, 2, 3 having count(distinct x) > 8 or bool_or(regexp_matches(x, '[0-9]'))) group by 1, 2),
+      s as (select id, array_to_string(list_transform(w, lambda x, i: case when list_contains(coalesce(vary, []), i) then '<*>' else x end), ' ') as template
+        from l left join v using (n, lead))
+      select template, count(*) as occurrences, min(id) as first_id, max(id) as last_id from s group by 1)"""
+
+
+@register("error_templates", query(_templates_sql("logs", "text", "log_id"), "logs"))
+def error_templates(s, d):
+    return triage.error_templates(i.logs(s, d))
+
+
+@register("text_templates", _templates_sql("conversations", "text", "conv_id"))
+def text_templates(s, d):
+    """The same over free text, where most leaves are small."""
+    return triage.error_templates(i.table(s, d, "conversations"), "text", "conv_id")
+
+
 @register(
     "triage_batch",
     query(
