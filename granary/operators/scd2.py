@@ -108,7 +108,7 @@ def rebuild_touched(
 ) -> DataFrame:
     """All versions of the keys in ``batch``, from every row that ``feed`` (which holds the batch too) has of them.
 
-    ``LakeTable.replace`` puts them in the place of the old versions in one commit: exact for late, repeated and
+    ``LakeTable.replace`` puts them in the place of the old versions in one write: exact for late, repeated and
     corrected rows.
     """
     keys = batch.select(key).distinct()

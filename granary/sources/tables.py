@@ -1,25 +1,30 @@
-"""Versioned Parquet tables: overwrite, append and keyed merge with an atomic switch of versions.
+"""Tables of plain Parquet: overwrite, append, keyed merge and replacement, written by Spark's own modes.
 
-A table folder holds immutable data folders ``_table_version=<n>-<id>/<partition>=<value>/`` and one small commit file
-per version in ``_commits``, which lists the live data folders. Readers take the newest commit, so a
-failed or repeated write never shows half a result. A merge rewrites only partitions that hold a
-matching key, and without partitions only earlier writes that hold one; all other data folders are carried over by name.
-The list grows with the number of partitions and, for appends, of writes, never with the rows.
+A table is a folder that any Parquet reader can read. Its partitions are the columns asked for, or else ``buckets`` hash
+buckets of the keys (column ``_bucket``), so that a merge need not look for the partitions that hold its keys. A merge is a
+join of the touched partitions with the batch, written with dynamic partition overwrite: Spark writes to a staging folder
+and swaps in whole partitions when the job has succeeded, the others are neither read nor written. Repeating a merge, or an
+append with keys, gives the same rows, which is all that a replayed micro-batch needs.
+
+Beside the table, ``<path>_operations`` is a small Parquet log for people (``info``, ``history``) and keeps the schema; no
+read depends on it for rows. One writer at a time.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from datetime import datetime, timezone
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from granary.session import discard, materialize
 
-VERSION_COLUMN = "_table_version"
+BUCKET = "_bucket"
+#: Rows that were appended without keys.
+NO_BUCKET = -1
+OPERATIONS = "version int, operation string, timestamp string, rows bigint, batch_id string, schema string, keys string"
 
 
 class DuplicateSourceKeys(ValueError):
@@ -27,79 +32,63 @@ class DuplicateSourceKeys(ValueError):
 
 
 class LakeTable:
-    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.partition_by = partition_by or []
+    def __init__(self, spark: SparkSession, path: str, partition_by: list[str] | None = None, buckets: int = 16):
+        """``buckets`` is used without ``partition_by`` and must stay the same; choose it so that one bucket is about a GB."""
+        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+        self.bucketed = not partition_by
+        self.partition_by = list(partition_by or [BUCKET])
 
-    # -- commit files ------------------------------------------------------------------------
+    # -- what is there -----------------------------------------------------------------------
 
-    def _fs_path(self, *parts: str):
+    def _files(self, *below: str):
         jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path("/".join((self.path, *parts)))
+        path = jvm.org.apache.hadoop.fs.Path("/".join((self.path, *below)))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def _versions(self) -> list[int]:
-        fs, path = self._fs_path("_commits")
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
-
-    def _commit(self, version: int) -> dict:
-        fs, path = self._fs_path("_commits", f"{version:010d}.json")
-        stream = fs.open(path)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def _write_commit(self, version: int, body: dict) -> None:
-        fs, path = self._fs_path("_commits", f"{version:010d}.json")
-        _, draft = self._fs_path("_commits", f"_{version:010d}-{uuid.uuid4().hex}")  # readers take only *.json
-        stream = fs.create(draft, False)
-        try:
-            stream.write(bytearray(json.dumps(body, sort_keys=True).encode("utf-8")))
-        finally:
-            stream.close()
-        gateway = self.spark.sparkContext._gateway
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        no_overwrite = gateway.new_array(hadoop.Options.Rename, 0)
-        context = hadoop.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
-        try:
-            # a whole file appears under the name, or the call fails if another writer committed this version first
-            context.rename(draft, path, no_overwrite)
-        except Exception:
-            fs.delete(draft, False)
-            raise
-
     def exists(self) -> bool:
-        return bool(self._versions())
+        fs, path = self._files()
+        return fs.exists(path.suffix("_operations"))
 
-    def history(self, limit: int = 10) -> list[dict]:
-        return [self._commit(v) for v in reversed(self._versions()[-limit:])]
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(OPERATIONS).parquet(f"{self.path}_operations")
 
-    # -- reading -----------------------------------------------------------------------------
-
-    def read(self, version: int | None = None) -> DataFrame:
-        versions = self._versions()
-        if not versions:
+    def history(self, limit: int = 10) -> list[dict]:
+        if not self.exists():
+            return []
+        return [r.asDict() for r in self._log().orderBy(F.desc("version")).limit(limit).collect()]
+
+    def _record(self, operation: str, schema: T.StructType, rows: int, batch_id: str | None, keys: list[str] | None) -> dict:
+        last = self.history(1)
+        row = {
+            "version": last[0]["version"] + 1 if last else 1, "operation": operation, "timestamp": datetime.now(timezone.utc).isoformat(),
+            "rows": rows, "batch_id": batch_id, "schema": schema.json(), "keys": json.dumps(keys) if keys else None,
+        }
+        self.spark.createDataFrame([row], OPERATIONS).coalesce(1).write.mode("append").parquet(f"{self.path}_operations")
+        return row
+
+    def _state(self) -> tuple[T.StructType | None, list[str] | None]:
+        """Schema, and the keys whose hash is a row's bucket."""
+        last = self.history(1)
+        return (T.StructType.fromJson(json.loads(last[0]["schema"])), json.loads(last[0]["keys"] or "null")) if last else (None, None)
+
+    def _load(self, schema: T.StructType) -> DataFrame:
+        """All rows, with the bucket where there is one."""
+        fs, path = self._files()
+        whole = T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())]) if self.bucketed else schema
+        return self.spark.read.schema(whole).parquet(self.path) if fs.exists(path) else self.spark.createDataFrame([], whole)
+
+    def read(self) -> DataFrame:
+        schema, _ = self._state()
+        if schema is None:
             raise FileNotFoundError(self.path)
-        return self._load(self._commit(versions[-1] if version is None else version))
-
-    def _load(self, commit: dict, folders: list[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(commit["schema"])
-        live = commit["folders"] if folders is None else folders
-        if not live:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", self.path)
-        return reader.parquet(*[f"{self.path}/{f}" for f in live]).select(*schema.fieldNames())
+        return self._load(schema).select(*schema.fieldNames())
 
     def info(self) -> dict:
         """Row and column counts, columns, latest version and the last five operations."""
-        if not self.exists():
+        recent = self.history(5)
+        if not recent:
             return {"exists": False, "path": self.path}
-        df, recent = self.read(), self.history(5)
+        df = self.read()
         return {
             "exists": True,
             "path": self.path,
@@ -107,244 +96,137 @@ class LakeTable:
             "column_count": len(df.columns),
             "columns": df.columns,
             "latest_version": recent[0]["version"],
-            "recent_operations": [{k: c[k] for k in ("version", "operation", "timestamp")} for c in recent],
+            "recent_operations": [{k: r[k] for k in ("version", "operation", "timestamp")} for r in recent],
         }
 
     # -- writing -----------------------------------------------------------------------------
 
-    def _write_data(self, df: DataFrame, version: int, rebalance: bool = False) -> tuple[list[str], int]:
-        """Write one data folder; the row count is observed during the write, not by a second job.
-
-        ``rebalance`` gathers rows by partition value before a write that spans many of them, so that
-        each folder gets few files; AQE splits the partitions that are too large for one task.
-        """
-        if VERSION_COLUMN in df.columns:
-            raise ValueError(f"{VERSION_COLUMN} is reserved for the table's folders")
-        seen = Observation()
-        if rebalance and self.partition_by:
-            df = df.hint("rebalance", *self.partition_by)
-        out = df.observe(seen, F.count(F.lit(1)).alias("rows")).write
-        if self.partition_by:
-            out = out.partitionBy(*self.partition_by)
-        folder = f"{VERSION_COLUMN}={version}-{uuid.uuid4().hex[:8]}"  # two writers never share a folder
-        out.parquet(f"{self.path}/{folder}")
-        return self._leaf_folders(folder), int(seen.get["rows"])
-
-    def _leaf_folders(self, folder: str) -> list[str]:
-        if not self.partition_by:
-            return [folder]
-        level = [folder]
-        for _ in self.partition_by:
-            below = []
-            for name in level:
-                fs, path = self._fs_path(name)
-                below += [f"{name}/{s.getPath().getName()}" for s in fs.listStatus(path) if s.isDirectory()]
-            level = [n for n in below if "=" in n.rsplit("/", 1)[-1]]
-        return level
-
-    def _next(self) -> tuple[int, dict | None]:
-        versions = self._versions()
-        return (versions[-1] + 1, self._commit(versions[-1])) if versions else (1, None)
-
-    def stream_epoch(self, stream: str) -> int:
-        """Last micro-batch of a stream that is part of the table, -1 before the first."""
-        versions = self._versions()
-        return self._commit(versions[-1]).get("streams", {}).get(stream, -1) if versions else -1
-
-    def _finish(self, version: int, operation: str, schema: T.StructType, folders: list[str], **more) -> dict:
-        if version > 1:  # progress of all streams is carried from commit to commit
-            more["streams"] = self._commit(version - 1).get("streams", {}) | more.get("streams", {})
-        body = {
-            "version": version,
-            "operation": operation,
-            "timestamp": datetime.now(timezone.utc).isoformat(),
-            "schema": json.loads(schema.json()),
-            "folders": sorted(folders),
-            **more,
-        }
-        self._write_commit(version, body)
-        return body
-
-    def _ordered(self, df: DataFrame) -> DataFrame:
-        data = [c for c in df.columns if c not in self.partition_by]
-        return df.select(*data, *self.partition_by)
+    def _with_bucket(self, df: DataFrame, keys: list[str] | None) -> DataFrame:
+        if not self.bucketed:
+            return df
+        number = F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int") if keys else F.lit(NO_BUCKET)
+        return df.withColumn(BUCKET, number)
 
     def _widen(self, df: DataFrame, old: T.StructType | None) -> DataFrame:
         """Fit a batch to the table: add its missing columns as NULL, cast the shared ones, keep new ones."""
         if old is None:
-            return self._ordered(df)
+            return df
         have = set(df.columns)
-        shared = [
-            (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in old
-        ]
-        return self._ordered(df.select(*shared, *[c for c in df.columns if c not in old.fieldNames()]))
-
-    def overwrite(self, df: DataFrame, rebalance: bool = False, **more) -> dict:
-        """Full refresh; the schema may change. Older versions stay readable by number."""
-        return self._overwrite(self._next()[0], df, rebalance, more)
-
-    def _overwrite(self, version: int, df: DataFrame, rebalance: bool, more: dict) -> dict:
-        out = self._ordered(df)
-        folders, rows = self._write_data(out, version, rebalance)
-        return self._finish(version, "overwrite", _nullable(out.schema), folders, rows=rows, **more)
-
-    def append(self, df: DataFrame, idempotency_keys: list[str] | None = None, **more) -> dict:
+        shared = [(F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in old]
+        return df.select(*shared, *[c for c in df.columns if c not in old.fieldNames()])
+
+    def _write(self, df: DataFrame, mode: str, dynamic: bool = False) -> int:
+        """Write and count in one job; each partition's rows are gathered first, and split again where they are many."""
+        seen = Observation()
+        out = df.hint("rebalance", *self.partition_by).observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy(*self.partition_by).parquet(self.path)
+        return int(seen.get["rows"])
+
+    def _plain(self, df: DataFrame) -> T.StructType:
+        return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in df.schema if f.name != BUCKET])
+
+    def overwrite(self, df: DataFrame, keys: list[str] | None = None, batch_id: str | None = None) -> dict:
+        """Full refresh; the schema may change."""
+        out = self._with_bucket(df, keys)
+        return self._record("overwrite", self._plain(out), self._write(out, "overwrite"), batch_id, keys)
+
+    def append(self, df: DataFrame, idempotency_keys: list[str] | None = None, batch_id: str | None = None) -> dict:
         """Add rows. With ``idempotency_keys`` rows already present under these columns are skipped; NULLs count as equal."""
-        version, old = self._next()
+        old, own = self._state()
         if old is None:
-            return self._overwrite(version, df, False, more)
-        out = self._widen(df, T.StructType.fromJson(old["schema"]))
+            return self.overwrite(df, idempotency_keys, batch_id)
+        own = own or idempotency_keys
+        out = self._with_bucket(self._widen(df, old), own)
         if idempotency_keys:
-            there = self._load(old).filter(_range(out, idempotency_keys[0], null_safe=True))
-            out = out.join(*_matching(out, there, idempotency_keys, null_safe=True), "left_anti")
-        folders, rows = self._write_data(out, version)
-        return self._finish(
-            version, "append", _nullable(out.schema), old["folders"] + folders, rows=rows, **more
-        )
+            out = out.join(*_matching(out, self._load(old), idempotency_keys, null_safe=True), "left_anti")
+        rows = self._write(out, "append")
+        return self._record("append", self._plain(out), rows, batch_id, own) if rows else self.history(1)[0] | {"rows": 0}
 
     def merge(
-        self,
-        df: DataFrame,
-        keys: list[str],
-        update_columns: list[str] | None = None,
-        null_safe: bool = False,
-        **more,
+        self, df: DataFrame, keys: list[str], update_columns: list[str] | None = None, null_safe: bool = False, batch_id: str | None = None
     ) -> dict:
         """Upsert on ``keys``: update all (or the given) columns where matched, insert otherwise.
 
-        NULL keys never match unless ``null_safe``. The batch is written once before it is used, so
-        its source is read a single time; a key that occurs twice in it is an error.
+        NULL keys never match unless ``null_safe``. The batch is written once, so its source is read a single time; a key
+        that occurs twice in it is an error.
         """
-        version, old = self._next()
-        staging = f"_staging/{version}-{uuid.uuid4().hex[:8]}"
-        staged, rows = self._stage(df, staging)
-        try:
-            self._reject_duplicates(staged, keys)
-            if old is None:
-                return self._overwrite(version, staged, True, more)
-            return self._merge_staged(staged, rows, version, old, keys, update_columns, null_safe, more)
-        finally:
-            fs, path = self._fs_path(staging)
-            fs.delete(path, True)
+        return self._change("merge", df, keys, update_columns, null_safe, batch_id)
 
-    def replace(self, df: DataFrame, keys: list[str], **more) -> dict:
-        """Put the rows of ``df`` in the place of all rows that share one of their ``keys``, in one commit.
+    def replace(self, df: DataFrame, keys: list[str], batch_id: str | None = None) -> dict:
+        """Put the rows of ``df`` in the place of all rows that share one of their ``keys``.
 
         Keys may repeat in ``df``: a history rebuilt for some keys replaces all of their versions, also those that the
         rebuild no longer has. NULL keys count as equal.
         """
-        version, old = self._next()
-        staging = f"_staging/{version}-{uuid.uuid4().hex[:8]}"
-        staged, rows = self._stage(df, staging)
+        return self._change("replace", df, keys, None, True, batch_id)
+
+    def _change(self, operation: str, df: DataFrame, keys: list[str], update_columns: list[str] | None, null_safe: bool, batch_id: str | None) -> dict:
+        (old, own), seen = self._state(), Observation()
+        own = own or keys
+        shaped = self._with_bucket(self._widen(df, old), own)
+        batch = materialize(shaped.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(F.col(BUCKET) if self.bucketed else F.lit(None)).alias("buckets")), "batch")
         try:
+            if operation == "merge":
+                self._reject_duplicates(batch, keys)
             if old is None:
-                return self._overwrite(version, staged, True, more)
-            schema = T.StructType.fromJson(old["schema"])
-            source = self._widen(staged, schema)
-            touched = self._touched(old, self._load(old), source, keys, null_safe=True)
-            rewritten = self._load(old, touched)
-            added = [f for f in source.schema if f.name not in schema.fieldNames()]
-            rewritten = rewritten.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-            kept = rewritten.join(*_matching(rewritten, source, keys, null_safe=True), "left_anti")
-            out = kept.select(*source.columns).unionByName(source)
-            folders, _ = self._write_data(out, version, rebalance=True)
-            live = [f for f in old["folders"] if f not in set(touched)]
-            return self._finish(version, "replace", _nullable(out.schema), live + folders, rows=rows, **more)
+                self._write(batch, "overwrite")
+            else:
+                buckets = seen.get["buckets"] if set(own) <= set(keys) else range(self.buckets)  # equal keys share a bucket
+                self._rewrite(batch, old, keys, update_columns, null_safe, list(buckets))
+            return self._record("overwrite" if old is None else operation, self._plain(batch), int(seen.get["rows"]), batch_id, own)
         finally:
-            fs, path = self._fs_path(staging)
-            fs.delete(path, True)
-
-    def _merge_staged(
-        self,
-        staged: DataFrame,
-        rows: int,
-        version: int,
-        old: dict,
-        keys: list[str],
-        update_columns: list[str] | None,
-        null_safe: bool,
-        more: dict,
-    ) -> dict:
-        schema = T.StructType.fromJson(old["schema"])
-        source = self._widen(staged, schema)
+            discard(batch)
+
+    def _rewrite(self, batch: DataFrame, old: T.StructType, keys: list[str], update_columns: list[str] | None, null_safe: bool, buckets: list[int]) -> None:
         target = self._load(old)
-        touched = self._touched(old, target, source, keys, null_safe)
-        rewritten = self._load(old, touched)
-        added = [f for f in source.schema if f.name not in schema.fieldNames()]
-        rewritten = rewritten.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
-
-        kept = rewritten.join(*_matching(rewritten, source, keys, null_safe), "left_anti")
-        arriving = source
-        if update_columns is not None:
-            arriving = self._partial_update(rewritten, source, keys, update_columns, null_safe)
-        out = kept.select(*source.columns).unionByName(arriving.select(*source.columns))
-        folders, _ = self._write_data(out, version, rebalance=True)
-        live = [f for f in old["folders"] if f not in set(touched)]
-        return self._finish(version, "merge", _nullable(out.schema), live + folders, rows=rows, **more)
-
-    def _stage(self, df: DataFrame, folder: str) -> tuple[DataFrame, int]:
-        seen = Observation()
-        path = f"{self.path}/{folder}"
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
+        if self.bucketed:
+            touched = [{BUCKET: b} for b in (*buckets, NO_BUCKET)]
+        else:  # the partitions that hold a key of the batch, from the key and partition columns alone
+            slim = target.select(*dict.fromkeys([*keys, *self.partition_by]))
+            hit = slim.join(*_matching(slim, batch, keys, null_safe), "left_semi").unionByName(batch, allowMissingColumns=True)
+            touched = [r.asDict() for r in hit.select(*self.partition_by).distinct().collect()]  # one row per partition
+        if not touched:
+            return
+        before = {self._folder(p): self._names(self._folder(p)) for p in touched}
+        rewritten = target.filter(_within(touched))
+        rewritten = rewritten.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema if f.name not in rewritten.columns])
+        kept = rewritten.join(*_matching(rewritten, batch, keys, null_safe), "left_anti")
+        arriving = batch if update_columns is None else _partial_update(rewritten, batch, keys, update_columns, null_safe)
+        self._write(kept.select(*batch.columns).unionByName(arriving.select(*batch.columns)), "overwrite", dynamic=True)
+        for folder, names in before.items():  # a partition that has lost all of its rows was not overwritten
+            if names and self._names(folder) == names:
+                fs, path = self._files(folder)
+                fs.delete(path, True)
+
+    def _folder(self, partition: dict) -> str:
+        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        return "/".join(escape(c, None if partition[c] is None else str(partition[c])) for c in self.partition_by)
+
+    def _names(self, folder: str) -> set[str]:
+        fs, path = self._files(folder)
+        return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
 
     @staticmethod
     def _reject_duplicates(df: DataFrame, keys: list[str]) -> None:
-        present = F.lit(True)
-        for k in keys:
-            present = present & F.col(k).isNotNull()
-        twice = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        if not twice.isEmpty():
+        present = df.select(*keys).dropna(subset=keys)
+        if not present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").isEmpty():
             raise DuplicateSourceKeys(f"the batch repeats values of {keys}")
 
-    def _touched(
-        self, commit: dict, target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool
-    ) -> list[str]:
-        """Live folders that hold a key of the batch, those of earlier writes in a table without partitions.
-
-        Only key and partition columns are read, and of those only what lies within the batch's range of the first key.
-        """
-        if not commit["folders"]:
-            return []
-        slim = target.select(*dict.fromkeys([*keys, *self.partition_by]), F.col("_metadata.file_path").alias("_file"))
-        slim = slim.filter(_range(source, keys[0], null_safe))
-        hits = slim.join(*_matching(slim, source, keys, null_safe), "left_semi")
-        folder = F.regexp_extract("_file", rf"({VERSION_COLUMN}=.*)/[^/]+$", 1)
-        names = {r[0] for r in hits.select(folder.alias("f")).distinct().collect()}  # one row per folder
-        found = {n if n in commit["folders"] else unquote(n) for n in names}
-        if not found <= set(commit["folders"]):
-            raise RuntimeError(f"data folders outside the commit: {sorted(found - set(commit['folders']))}")
-        return sorted(found)
 
-    @staticmethod
-    def _partial_update(
-        target: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str], null_safe: bool
-    ) -> DataFrame:
-        """Source rows; where a target row matches, it keeps its columns outside ``update_columns``."""
-        old = target.select(*[F.col(c).alias(f"_old_{c}") for c in target.columns], F.lit(True).alias("_matched"))
-        on = F.lit(True)
-        for k in keys:
-            on = on & (F.col(k).eqNullSafe(F.col(f"_old_{k}")) if null_safe else F.col(k) == F.col(f"_old_{k}"))
-        joined = source.join(old, on, "left")
-        fixed = [c for c in source.columns if c not in update_columns and c not in keys]
-        return joined.select(
-            *[
-                (F.when(F.col("_matched"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in fixed else F.col(c))
-                for c in source.columns
-            ]
-        )
-
-
-def _nullable(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema])
-
-
-def _range(source: DataFrame, key: str, null_safe: bool) -> Column:
-    """Filter on ``key`` that every match of ``source`` passes; files outside it are not read."""
-    ends = source.agg(F.min(key), F.max(key)).first()
-    missing = F.col(key).isNull() if null_safe else F.lit(False)
-    return missing if ends[0] is None else F.col(key).between(F.lit(ends[0]), F.lit(ends[1])) | missing
+def _within(partitions: list[dict]) -> Column:
+    """Filter on partition columns, which Spark answers from the folders' names."""
+    if len(partitions[0]) == 1:
+        (name,) = partitions[0]
+        values = [p[name] for p in partitions if p[name] is not None]
+        some = F.col(name).isin(values) if values else F.lit(False)
+        return some | F.col(name).isNull() if len(values) < len(partitions) else some
+    out = F.lit(False)
+    for p in partitions:
+        one = F.lit(True)
+        for c, v in p.items():
+            one = one & F.col(c).eqNullSafe(F.lit(v))
+        out = out | one
+    return out
 
 
 def _matching(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> tuple[DataFrame, Column]:
@@ -354,3 +236,15 @@ def _matching(left: DataFrame, right: DataFrame, keys: list[str], null_safe: boo
     for k in keys:
         on = on & (left[k].eqNullSafe(F.col(f"_m_{k}")) if null_safe else left[k] == F.col(f"_m_{k}"))
     return slim, on
+
+
+def _partial_update(target: DataFrame, source: DataFrame, keys: list[str], update_columns: list[str], null_safe: bool) -> DataFrame:
+    """Source rows; where a target row matches, it keeps its columns outside ``update_columns``."""
+    old = target.select(*[F.col(c).alias(f"_old_{c}") for c in target.columns], F.lit(True).alias("_matched"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k).eqNullSafe(F.col(f"_old_{k}")) if null_safe else F.col(k) == F.col(f"_old_{k}"))
+    joined = source.join(old, on, "left")
+    fixed = [c for c in source.columns if c not in update_columns and c not in keys and c != BUCKET]
+    kept = [F.when(F.col("_matched"), F.col(f"_old_{c}")).otherwise(F.col(c)).alias(c) if c in fixed else F.col(c) for c in source.columns]
+    return joined.select(*kept)

@@ -1,14 +1,11 @@
 """Structured Streaming: raw ingestion, idempotent append, windowed metrics, freshness.
 
-Every sink is safe to replay: each commit of a table records how far every stream has come, and a
-micro-batch that is already part of the table is skipped.
+Every sink is safe to replay: Spark's checkpoint holds how far a stream has come, and a micro-batch that Spark repeats after
+a failure is merged, or appended by key, a second time without effect.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,22 +30,6 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str, schema: T.Struct
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("m")).select("m.*")
 
 
-def _stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """Id of the query, which Spark keeps in its checkpoint: equal after a restart, new after a reset."""
-    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-
-
-def _once(table: LakeTable, checkpoint: str, write: Callable[[DataFrame, str, dict], None]) -> Callable:
-    """A batch function that skips micro-batches already part of the table."""
-
-    def one(batch: DataFrame, epoch: int) -> None:
-        stream = _stream_id(table.spark, checkpoint)
-        if table.stream_epoch(stream) < epoch:
-            write(batch, f"stream-{epoch}", {stream: epoch})
-
-    return one
-
-
 def _start(writer, checkpoint: str, available_now: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -69,11 +50,12 @@ def ingest_merge(
     ``ingested_at`` names the event column used as ingestion time, so a replay writes the same rows.
     """
 
-    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch_id = f"stream-{epoch}"
         stamped = stamp_metadata(batch, source_system, batch_id, F.col(ingested_at).cast("timestamp"))
-        table.merge(dedup_latest(stamped, keys, order), keys, batch_id=batch_id, streams=progress)
+        table.merge(dedup_latest(stamped, keys, order), keys, batch_id=batch_id)
 
-    return _start(stream.writeStream.foreachBatch(_once(table, checkpoint, write)), checkpoint, available_now)
+    return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now)
 
 
 def append_once(
@@ -90,11 +72,10 @@ def append_once(
     batch reads the key columns of the table; ``drop_repeats`` bounds that by a time limit instead.
     """
 
-    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
-        single = dedup_latest(batch, keys, order)
-        table.append(single, idempotency_keys=keys, batch_id=batch_id, streams=progress)
+    def write(batch: DataFrame, epoch: int) -> None:
+        table.append(dedup_latest(batch, keys, order), idempotency_keys=keys, batch_id=f"stream-{epoch}")
 
-    return _start(stream.writeStream.foreachBatch(_once(table, checkpoint, write)), checkpoint, available_now)
+    return _start(stream.writeStream.foreachBatch(write), checkpoint, available_now)
 
 
 def drop_repeats(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
@@ -125,10 +106,10 @@ def newest_per_table(
     """Keep the newest event time and row count per monitored table. State: one row per table."""
     newest = stream.groupBy(table_column).agg(F.max(event_time).alias("newest"), F.count(F.lit(1)).alias("rows"))
 
-    def write(batch: DataFrame, batch_id: str, progress: dict) -> None:
-        table.merge(batch, [table_column], batch_id=batch_id, streams=progress)
+    def write(batch: DataFrame, epoch: int) -> None:
+        table.merge(batch, [table_column], batch_id=f"stream-{epoch}")
 
-    writer = newest.writeStream.outputMode("update").foreachBatch(_once(table, checkpoint, write))
+    writer = newest.writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, checkpoint, available_now)
 
 

@@ -1,5 +1,6 @@
-"""Versioned tables: overwrite, append, merge, and what a reader sees."""
+"""Tables of plain Parquet: overwrite, append, merge, replacement, and what any reader sees."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -32,7 +33,8 @@ def test_merge_updates_inserts_and_repeats(spark, new_path, partition_by):
     assert rows(t.read()) == want and first["rows"] == 2
     t.merge(update, ["id"])
     assert rows(t.read()) == want
-    assert rows(t.read(version=1)) == [("a", 1, "x"), ("b", 1, "y"), ("c", 1, "y")]
+    plain = spark.read.parquet(t.path).select("id", "v", "d")
+    assert rows(plain) == want and not list(os.listdir(t.path)).count("_commits")
 
 
 def test_merge_moves_a_row_between_partitions(spark, new_path):
@@ -42,16 +44,37 @@ def test_merge_moves_a_row_between_partitions(spark, new_path):
     assert rows(t.read()) == [("a", 2, "y"), ("b", 1, "x")]
 
 
+def files(path):
+    return {os.path.relpath(os.path.join(d, n), path) for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
 def test_merge_rewrites_touched_partitions_only(spark, new_path):
     t = LakeTable(spark, new_path(), ["d"])
     t.merge(batch(spark, *[(f"k{j}", j, f"p {j % 5}") for j in range(50)]), ["id"])
-    before = set(t.history(1)[0]["folders"])
+    before = files(t.path)
     t.merge(batch(spark, ("k3", 99, "p 3")), ["id"])
-    after = set(t.history(1)[0]["folders"])
-    assert len(before & after) == 4 and len(after) == 5
+    assert {f.split("/")[0] for f in before ^ files(t.path)} == {"d=p 3"}
     assert t.read().count() == 50 and t.read().filter("v = 99").count() == 1
 
 
+def test_odd_partition_values(spark, new_path):
+    t = LakeTable(spark, new_path(), ["d"])
+    values = ["a/b", "c:d", "e=f", "%", " ", None, "é", "x'y"]
+    t.merge(batch(spark, *[(f"k{j}", j, v) for j, v in enumerate(values)]), ["id"])
+    t.merge(batch(spark, *[(f"k{j}", j + 100, "new") for j in range(len(values))]), ["id"])
+    assert rows(t.read()) == [(f"k{j}", j + 100, "new") for j in range(len(values))]
+    assert {f.split("/")[0] for f in files(t.path)} == {"d=new"}
+
+
+def test_merges_by_other_keys_than_the_buckets(spark, new_path):
+    t = LakeTable(spark, new_path())
+    t.append(batch(spark, ("a", 1, "x"), ("b", 1, "y")))
+    t.merge(batch(spark, ("c", 3, "z")), ["id"])
+    t.merge(batch(spark, ("q", 3, "w")), ["v"])
+    t.merge(batch(spark, ("a", 9, "x")), ["id", "d"])
+    assert rows(t.read()) == [("a", 9, "x"), ("b", 1, "y"), ("q", 3, "w")]
+
+
 def test_repeated_keys_in_a_batch_fail_and_leave_the_table(spark, new_path):
     t = LakeTable(spark, new_path())
     t.merge(batch(spark, ("a", 1, "x")), ["id"])
@@ -105,13 +128,6 @@ def test_overwrite_may_change_the_schema(spark, new_path):
     assert [o["operation"] for o in info["recent_operations"]] == ["overwrite", "overwrite"]
 
 
-def test_a_version_is_committed_once(spark, new_path):
-    t = LakeTable(spark, new_path())
-    t.overwrite(batch(spark, ("a", 1, "x")))
-    with pytest.raises(Exception, match="exist"):
-        t._write_commit(1, {"version": 1})
-
-
 def test_empty_batches(spark, new_path):
     t = LakeTable(spark, new_path(), ["d"])
     empty = batch(spark, ("a", 1, "x")).filter("false")
@@ -178,43 +194,19 @@ def test_replace_takes_all_rows_of_the_touched_keys(spark, new_path):
     assert t.history(1)[0]["operation"] == "replace"
 
 
-@pytest.mark.parametrize("write", ["append", "merge"])
-def test_a_first_write_does_not_undo_another_writers(spark, new_path, write, monkeypatch):
-    path = new_path()
-    late, other = LakeTable(spark, path), LakeTable(spark, path)
-    rows = spark.createDataFrame([(1, "a")], "k int, v string")
-    data = late._write_data
-
-    def slow(*args, **more):
-        other.overwrite(spark.createDataFrame([(2, "b")], "k int, v string"))
-        return data(*args, **more)
-
-    monkeypatch.setattr(late, "_write_data", slow)
-    with pytest.raises(Exception, match="(?i)exist"):
-        late.append(rows) if write == "append" else late.merge(rows, ["k"])
-    assert [r["v"] for r in other.read().collect()] == ["b"]
-
-
-def test_readers_never_see_an_unfinished_commit(spark, new_path):
-    import os
-
-    path = new_path()
-    t = LakeTable(spark, path)
-    t.overwrite(spark.createDataFrame([(1,)], "k int"))
-    with open(os.path.join(path, "_commits", "_0000000002-draft"), "w") as f:
-        f.write('{"vers')
-    assert t.read().count() == 1
-    t.append(spark.createDataFrame([(2,)], "k int"))
-    assert sorted(r[0] for r in t.read().collect()) == [1, 2]
-
-
-def test_merges_of_new_keys_leave_earlier_writes_alone(spark, new_path):
+def test_merges_of_few_keys_leave_other_buckets_alone(spark, new_path):
     t = LakeTable(spark, new_path())
-    for j in range(6):
-        t.merge(spark.range(j * 10, j * 10 + 10).selectExpr("id as k", f"{j} as v"), ["k"])
-    before = set(t.history(1)[0]["folders"])
-    assert len(before) == 6
+    t.merge(spark.range(1000).selectExpr("id as k", "0 as v"), ["k"])
+    before = files(t.path)
     t.merge(spark.range(25, 27).selectExpr("id as k", "9 as v"), ["k"])
-    after = set(t.history(1)[0]["folders"])
-    assert len(before & after) == 5 and t.read().count() == 60
+    assert len({f.split("/")[0] for f in before ^ files(t.path)}) <= 2 and t.read().count() == 1000
     assert sorted(r["k"] for r in t.read().filter("v = 9").collect()) == [25, 26]
+
+
+def test_a_failed_write_leaves_the_rows(spark, new_path):
+    t = LakeTable(spark, new_path())
+    t.merge(batch(spark, ("a", 1, "x"), ("b", 1, "x")), ["id"])
+    broken = batch(spark, ("a", 2, "x")).withColumn("v", F.expr("cast(raise_error('no') as int)"))
+    with pytest.raises(Exception, match="no"):
+        t.merge(broken, ["id"])
+    assert rows(t.read()) == [("a", 1, "x"), ("b", 1, "x")] and len(t.history()) == 1
