@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from granary.session import discard, materialize
 
 #: Words of a block.
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: Parts of a language whose best rows are found apart.
 TOP_PARTS = 16
 #: Pieces end at these; the mark that stands for them is no part of UTF-8.
@@ -115,9 +115,11 @@ def _row(block: int, at: np.ndarray, grp: np.ndarray, left, right, n: np.ndarray
 def frequent_groups(relation: DataFrame, least: int) -> DataFrame:
     """block, local, left, right, gid, f: the groups of each block that the whole corpus holds ``least`` times or more."""
     each = relation.select("block", F.posexplode(F.arrays_zip("left", "right", "n")).alias("local", "g"))
-    alike = Window.partitionBy("g.left", "g.right")  # a row per block at most
-    counted = each.select("block", "local", "g.left", "g.right", F.sum("g.n").over(alike).alias("f"), F.min(F.col("block") + F.col("local")).over(alike).alias("gid"))
-    return counted.filter(F.col("f") >= least)
+    # plain columns, so that the exchange carries nothing twice
+    plain = each.select("block", (F.col("block") + F.col("local")).alias("own"), F.col("g.left").alias("left"), F.col("g.right").alias("right"), F.col("g.n").alias("n"))
+    alike = Window.partitionBy("left", "right")  # a row per block at most
+    counted = plain.withColumn("f", F.sum("n").over(alike)).withColumn("gid", F.min("own").over(alike)).filter(F.col("f") >= least)
+    return counted.select("block", (F.col("own") - F.col("block")).cast("int").alias("local"), "left", "right", "gid", "f")
 
 
 def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
