@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from granary.llm.graph import components
 from granary.llm.text import BASE, NONSPACE, Words, mix, slabs
 from granary.operators.skew import join_unique
-from granary.session import materialize
+from granary.session import discard, materialize
 
-#: Parts of the key space by which keys are shuffled, and members of a key that one task compares with each other.
-SPLITS, BLOCK = 4096, 8192
+#: Keys that a task of the key stage holds, and members of a key that one task compares with each other.
+TASK_KEYS, BLOCK = 1 << 22, 8192
 #: Lower bounds of the size bands, a factor of 1.5 apart.
 BANDS = [1]
 while BANDS[-1] < 1 << 40:
@@ -123,7 +123,7 @@ def fold(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, set (id of the set), other (its second digest), keys and sketch of every row with an id."""
+    """doc_id, text_hash, n_shingles, set (id of the set), other (its second digest), keys and sketch of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,20 +134,25 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(first, len(texts)),
+                        batch.column("text_hash").slice(first, len(texts)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([t[0] for t in told], pa.int64()),
                         pa.array([t[1] for t in told], pa.int64()),
                         pa.array([keys(s, percent).tobytes() if len(s) else None for s in sets], pa.binary()),
                         pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set", "other", "keys", "sketch"],
+                    names=["doc_id", "text_hash", "n_shingles", "set", "other", "keys", "sketch"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, set long, other long, keys binary, sketch binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(run, f"doc_id {kind}, text_hash long, n_shingles long, set long, other long, keys binary, sketch binary")
 
 
-def shared_keys(sets: DataFrame) -> DataFrame:
-    """(key, set) for keys that several sets have. Keys travel packed by part of the key space."""
+def shared_keys(sets: DataFrame, task_keys: int = TASK_KEYS) -> DataFrame:
+    """(key, set) for keys that several sets have. Keys travel packed by part of the key space; there are as many tasks, and
+    four parts for each, as the number of keys asks for."""
+    total = sets.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
+    tasks = max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (KEY_BYTES * task_keys)))
+    splits = np.uint32(4 * tasks)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,7 +162,7 @@ def shared_keys(sets: DataFrame) -> DataFrame:
             both = np.empty((sum(map(len, each)), KEY_BYTES + 8), np.uint8)
             both[:, :KEY_BYTES] = np.concatenate(each)
             both[:, KEY_BYTES:] = np.repeat(batch.column("set").to_numpy(), [len(x) for x in each]).view(np.uint8).reshape(-1, 8)
-            split = both[:, :2].copy().view("<u2").ravel() % SPLITS
+            split = both[:, :4].copy().view("<u4").ravel() % splits
             order = split.argsort(kind="stable")
             both, split = both[order], split[order]
             there, start = np.unique(split, return_index=True)
@@ -172,10 +177,9 @@ def shared_keys(sets: DataFrame) -> DataFrame:
             return
         raw = np.concatenate(held)
         held.clear()
-        top = raw[:, :2].copy().view("<u2").ravel() % SPLITS
-        step = SPLITS if len(raw) < 1 << 20 else 64  # a slice of the key space at a time
-        for low in range(0, SPLITS, step):
-            some = raw[(top >= low) & (top < low + step)]
+        step = 256 if len(raw) < 1 << 20 else 16  # a slice of the keys at a time, by a byte that says nothing about the part
+        for low in range(0, 256, step):
+            some = raw[(raw[:, KEY_BYTES - 1] >= low) & (raw[:, KEY_BYTES - 1] < low + step)]
             if not len(some):
                 continue
             wide = np.zeros((len(some), 16), np.uint8)
@@ -190,7 +194,7 @@ def shared_keys(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(part[:, 0].copy()), pa.array(part[:, 1].copy())], names=["key", "set"])
 
     packed = sets.select("set", "keys").mapInArrow(pack, "split int, pairs binary")
-    return packed.repartition("split").mapInArrow(meet, "key long, set long")
+    return packed.repartition(tasks, "split").mapInArrow(meet, "key long, set long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -289,13 +293,14 @@ def close_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> DataFra
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id that links lead to, for every row of ``docs``."""
+def _linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n_shingles and component (named by one of its sets) of every row of ``docs``."""
     rows = materialize(describe(docs, n, percent), "sets")
     some = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # equal sets are one row from here on; copies meet before the shuffle
     sets = some.groupBy("set", "other").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
-    held = some.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+    # written, so that joins to it deal both sides anew and a centre of many pairs can be split
+    held = materialize(some.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sketches")
     shared = materialize(shared_keys(sets), "keys")
     degree = shared.groupBy("set").agg(F.count("*").alias("degree"))
     members = shared.join(degree, "set")
@@ -311,7 +316,14 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     more = materialize(close_pairs(open_, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
     more = materialize(verify(more, sets_texts(docs, some, more), n, percent), "links")
     final = components(links.union(more)).withColumnRenamed("node", "set")
-    of = rows.select("doc_id", "n_shingles", "set").join(final, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    discard(shared, stars, held)
+    named = join_unique(rows.select("doc_id", "text_hash", "n_shingles", "set"), final, ["set"], "left")
+    return named.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "set").alias("component"))
+
+
+def link_documents(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id``, ``n_shingles`` and ``component_id``, the least doc_id that links lead to, for every row of ``docs``."""
+    of = _linked(docs, n, percent)
     least = of.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     joined = join_unique(of, least, ["component"], "left")
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
@@ -326,8 +338,13 @@ def sets_texts(docs: DataFrame, some: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component: the one with the least id. Rows without id or shingles stay; of rows that repeat
-    the least id, all stay that have its text."""
-    kept = link_documents(docs, n, percent).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where(F.col("doc_id").isNull()))
+    """One row of each component: of the least id and, where rows repeat this id, of the text that hashes lowest. Rows
+    without id or words stay, as they are linked with nothing."""
+    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    linked = _linked(docs, n, percent).where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    kept = linked.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash")).alias("one")).select(F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"))
+    rows = docs.where(~alone).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").alias("_own"), F.xxhash64("text").alias("_own_hash"))
+    found = rows.join(kept, (F.col("_own") == F.col("_id")) & (F.col("_own_hash") == F.col("_hash")))
+    # equal rows of the kept id have met in one task by now
+    single = found.groupBy("_id", "_hash").agg(F.first("_row").alias("_row")).select("_row.*")
+    return docs.where(alone).unionByName(single)

@@ -17,6 +17,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.session import materialize
+
 SPACE = " \t\n\u000b\f\r"
 SPACES = "[\\x20\\x09-\\x0D]+"
 WINDOW = 8
@@ -119,12 +121,6 @@ def chances(pattern: str, shares: list[float], rates: list[list[dict[str, float]
     return [x / sum(out) for x in out]
 
 
-def posterior(pattern: str, share: float, accuracy: list[tuple[float, float]]) -> float:
-    """Of good documents against one kind of bad ones, where abstaining tells nothing."""
-    rates = [[{"+": a, "-": 1 - a, "0": 1.0} for a, _ in accuracy], [{"+": 1 - b, "-": b, "0": 1.0} for _, b in accuracy]]
-    return chances(pattern, [share, 1 - share], rates)[0]
-
-
 def estimate(
     counts: dict[str, int], share: float = 0.85, rare: float = 0.001, often: float = 0.5, seldom: float = 0.05, abstain: float = 0.02, rounds: int = 100
 ) -> dict[str, float]:
@@ -174,10 +170,8 @@ def add_quality(voted: DataFrame, model: dict[str, float], least: float = 0.5) -
 def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged, whatever their columns are called.
 
-    The texts are read twice, for the model and for the verdicts, and nothing is written. The id keeps the filter above
-    the counts that it reads: moved below them, it would run their loops again for each place that names them.
+    The texts are counted once: rows and votes are written, and both the model and the verdicts read them.
     """
     voted = add_votes(add_features(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"))))
-    model = fit(voted)
-    held = voted.select("_row", "base_failed", "votes", F.monotonically_increasing_id().alias("_id"))
-    return add_quality(held, model, least).where(F.col("kept") & (F.col("_id") >= 0)).select("_row.*")
+    held = materialize(voted.select("_row", "base_failed", "votes"), "votes")
+    return add_quality(held, fit(held), least).where("kept").select("_row.*")

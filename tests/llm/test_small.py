@@ -464,7 +464,8 @@ def test_estimate_against_plain_em():
 
 
 def test_posterior_by_hand():
-    assert abs(quality_rules.posterior("+-0", 0.8, [(0.9, 0.6), (0.99, 0.3), (0.5, 0.5)]) - 0.8 * 0.9 * 0.01 / (0.8 * 0.9 * 0.01 + 0.2 * 0.4 * 0.3)) < 1e-12
+    rates = [[{"+": a, "-": 1 - a, "0": 1.0} for a in (0.9, 0.99, 0.5)], [{"+": 1 - b, "-": b, "0": 1.0} for b in (0.6, 0.3, 0.5)]]
+    assert abs(quality_rules.chances("+-0", [0.8, 0.2], rates)[0] - 0.8 * 0.9 * 0.01 / (0.8 * 0.9 * 0.01 + 0.2 * 0.4 * 0.3)) < 1e-12
 
 
 def test_rank_learns_and_defines_edge_cases(spark):
@@ -804,3 +805,24 @@ def test_warc_query_pushes_its_filters(spark, tmp_path):
     assert all(r.payload_bytes == (3 if r.record_id.endswith(":9") else 4) for r in rows)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "= response" not in plan and " IN (" not in plan  # Spark leaves the kinds to the readers
+
+
+def test_keep_one_of_rows_that_repeat_ids(spark):
+    a, b, c = prose(40), prose(50), prose(60)
+    rows = [(0, b), (1, a), (1, b), (3, c), (3, c), (4, None), (4, None), (5, " "), (None, a), (6, "one"), (7, "one")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOC)
+    for x in "_row _id _hash _own set component".split():
+        df = df.withColumn(x, F.lit("x"))
+    got = jaccard.keep_one(df.repartition(3))
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(0, b), (1, a), (3, c), (4, None), (4, None), (5, " "), (None, a), (6, "one")], key=str)
+
+
+def test_key_stage_in_many_small_tasks(spark, monkeypatch):
+    texts = [prose(30) for _ in range(40)]
+    texts += texts[:20]
+    df = documents(spark, texts)
+    want = sorted(map(tuple, jaccard.link_documents(df).collect()))
+    real = jaccard.shared_keys
+    monkeypatch.setattr(jaccard, "shared_keys", lambda sets: real(sets, 50))
+    assert sorted(map(tuple, jaccard.link_documents(df).collect())) == want
