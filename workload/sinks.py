@@ -6,14 +6,16 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from granary.operators import bronze, quality
+from granary.operators import bronze, cleaning, quality, quality_states, sketches
 from granary.operators.dedup import dedup_latest
 from granary.plans import gold, silver
 from granary.session import fresh_path
 from granary.sources import calls as call_files
+from granary.sources import nested
 from granary.sources.contracts import ORDERS
 from granary.sources.tables import LakeTable
 from granary.sources.writer import BronzeWriter
+from granary.streaming import audit, freshness
 from granary.streaming import runs as streams
 from workload import inputs as i
 from workload.registry import register
@@ -338,3 +340,92 @@ def stream_freshness(s, d):
     )
     streams.newest_per_table(stream, "table_name", "ts", table, fresh_path(s, "checkpoint")).awaitTermination()
     return streams.freshness_of(table.read(), i.EVENTS_NOW, 0.5)
+
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@register(
+    "stream_freshness_changes",
+    f"""with e as (select event_type, ts, lead(ts) over (partition by event_type order by ts) as nxt, max(ts) over () as newest from events)
+    select event_type as table_name, 'STALE' as status, {ts("ts + interval 1 hour")} as at from e
+      where nxt > ts + interval 1 hour or (nxt is null and ts + interval 1 hour <= date_trunc('millisecond', newest) - interval 10 minutes)
+    union all select event_type, 'FRESH', {ts("nxt")} from e where nxt > ts + interval 1 hour""",
+)
+def stream_freshness_changes(s, d):
+    """Every silence of more than an hour per event type, found by event-time timers."""
+    path, before = fresh_path(s, "stream-gaps"), s.conf.get("spark.sql.streaming.stateStore.providerClass")
+    s.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    try:
+        out = freshness.changes(_stream(s, d, "events"), "event_type", "ts", "1 hour", "10 minutes")
+        streams.to_parquet(out, path, fresh_path(s, "checkpoint")).awaitTermination()
+    finally:
+        s.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return s.read.schema(out.schema).parquet(path)
+
+
+@register("run_audit_stream", "select 'items' as query, 'SUCCESS' as status, count(*) as input_rows, cast(null as varchar) as error from lineitem")
+def run_audit_stream(s, d):
+    """Run rows that a listener takes from a stream over all order items; its batches sum to the input."""
+    listener, path = audit.RunAudit(), fresh_path(s, "runs")
+    s.streams.addListener(listener)
+    try:
+        writer = _stream(s, d, "lineitem").writeStream.format("parquet").queryName("items").option("path", fresh_path(s, "stream-copy"))
+        query_ = writer.option("checkpointLocation", fresh_path(s, "checkpoint")).trigger(availableNow=True).start()
+        query_.awaitTermination()
+        listener.wait(query_)
+    finally:
+        s.streams.removeListener(listener)
+    listener.flush(s, path)
+    runs = s.read.schema(audit.RUNS).parquet(path)
+    return runs.groupBy("query", "status", "error").agg(F.sum("input_rows").alias("input_rows"))
+
+
+@register(
+    "agg_distinct_sketches",
+    """select event_type, count(*) as rows, count(distinct user_id) as users, count(distinct event_id) as events, true as users_close, true as events_close
+    from events group by 1""",
+)
+def agg_distinct_sketches(s, d):
+    """Distinct keys per event type from stored daily sketches alone, held against exact counts: within 3 %."""
+    keys, table = ["user_id", "event_id"], LakeTable(s, fresh_path(s, "sketches"), ["day"])
+    events = i.table(s, d, "events")
+    half = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    for part in (events.filter(half), events.filter(~half)):  # two loads; the second leaves the first one's days alone
+        table.replace(sketches.daily_sketches(part, F.to_date("ts"), ["event_type"], keys), ["day", "event_type"])
+    found = sketches.distinct_counts(table.read(), ["event_type"], keys)
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.countDistinct("event_id").alias("events"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.03 * F.col(b)
+    return found.join(exact, "event_type").select(
+        "event_type", "rows", "users", "events", close("user_id_count", "users").alias("users_close"), close("event_id_count", "events").alias("events_close")
+    )
+
+
+@register(
+    "src_nested_schema",
+    """select distinct 'events' as table_name, 'props.' || unnest(json_keys(props)) as column_name, 'bigint' as data_type, true as nullable from events""",
+)
+def src_nested_schema(s, d):
+    """Fields below the JSON column as snapshot rows; all their values here are whole numbers."""
+    return nested.nested_snapshot(nested.with_variant(i.table(s, d, "events"), "props"), "events", "props")
+
+
+@register(
+    "fn_variant_fields",
+    """select event_type, count(*) as rows, count(json_extract(props, '$.k')) as k_filled, min(cast(json_extract(props, '$.k') as bigint)) as k_min,
+      max(cast(json_extract(props, '$.k') as bigint)) as k_max from events group by 1""",
+)
+def fn_variant_fields(s, d):
+    return nested.field_profile(nested.with_variant(i.table(s, d, "events"), "props"), "props", {"k": "bigint"}, ["event_type"])
+
+
+def _state_table(s, d):
+    """Daily quality states of both layers, loaded in two parts; the second reads and writes its own days only."""
+    table = LakeTable(s, fresh_path(s, "quality-states"), ["day"])
+    columns = ["order_id", "customer_id", "total_amount"]
+    for part in (_before(i.orders(s, d), "_ingestion_timestamp"), _after(i.orders(s, d), "_ingestion_timestamp")):
+        flagged = cleaning.validate_orders(cleaning.clean_orders(part))
+        quality_states.save(table, quality_states.day_states(flagged, "bronze", "_ingestion_timestamp", F.col("is_total_valid"), columns))
+        staged = silver.stg_orders(part)
+        quality_states.save(table, quality_states.day_states(staged, "silver", "_ingestion_timestamp", F.col("validation_status") == "VALID", columns))
+    return table, columns
