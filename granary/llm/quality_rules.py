@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from granary.operators.skew import join_unique
 from granary.session import materialize
 
 SPACE = " \t\n\u000b\f\r"
@@ -170,8 +171,12 @@ def add_quality(voted: DataFrame, model: dict[str, float], least: float = 0.5) -
 def keep_good(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged, whatever their columns are called.
 
-    The texts are counted once: rows and votes are written, and both the model and the verdicts read them.
+    Texts are counted once: votes are written under 96 bits of hash of the text, for they depend on the text alone, and
+    both the model and the verdicts read them. Rows find their verdict by a join in which a text of many copies is split.
     """
-    voted = add_votes(add_features(docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"))))
-    held = materialize(voted.select("_row", "base_failed", "votes"), "votes")
-    return add_quality(held, fit(held), least).where("kept").select("_row.*")
+    name = [F.xxhash64(text).alias("_text"), F.hash(text).alias("_more")]
+    voted = add_votes(add_features(docs.select(*name, F.col(text).alias("text"))))
+    held = materialize(voted.select("_text", "_more", "base_failed", "votes"), "votes")
+    verdicts = add_quality(held, fit(held), least).groupBy("_text", "_more").agg(F.first("kept").alias("kept")).where("kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *name)
+    return join_unique(rows, verdicts, ["_text", "_more"]).select("_row.*")
