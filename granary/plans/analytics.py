@@ -66,14 +66,21 @@ def semi_additive(df: DataFrame, dimensions: list[str]) -> DataFrame:
 
 
 def basket(df: DataFrame, dimensions: list[str]) -> DataFrame:
-    """Basket value, items per order and how much of the gross value the discounts took."""
+    """Basket value, items per order and how much of the gross value the discounts took, from the fact's lines."""
     per_order = df.groupBy("order_id", *dimensions).agg(
-        F.sum("net_revenue").alias("net"),
-        F.sum("gross_revenue").alias("gross"),
-        F.sum("units_sold").alias("units"),
+        F.sum("net_revenue").alias("net_revenue"),
+        F.sum("gross_revenue").alias("gross_revenue"),
+        F.sum("units_sold").alias("units_sold"),
         F.count(F.lit(1)).alias("lines"),
-        F.sum(F.when(F.col("discount_percentage") > 0, F.col("net_revenue"))).alias("discounted_net"),
+        F.sum(F.when(F.col("discount_percentage") > 0, F.col("net_revenue"))).alias("discounted_revenue"),
     )
+    return basket_of_orders(per_order, dimensions)
+
+
+def basket_of_orders(order_facts: DataFrame, dimensions: list[str]) -> DataFrame:
+    """The same from one row per order."""
+    named = {"net_revenue": "net", "gross_revenue": "gross", "units_sold": "units", "discounted_revenue": "discounted_net"}
+    per_order = order_facts.select(*dimensions, "lines", *[F.col(a).alias(b) for a, b in named.items()])
     orders = F.count(F.lit(1))
     return per_order.groupBy(*dimensions).agg(
         orders.alias("orders"),

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -214,19 +215,18 @@ class LakeTable:
 
 
 def _within(partitions: list[dict]) -> Column:
-    """Filter on partition columns, which Spark answers from the folders' names."""
-    if len(partitions[0]) == 1:
-        (name,) = partitions[0]
-        values = [p[name] for p in partitions if p[name] is not None]
-        some = F.col(name).isin(values) if values else F.lit(False)
-        return some | F.col(name).isNull() if len(values) < len(partitions) else some
-    out = F.lit(False)
-    for p in partitions:
-        one = F.lit(True)
-        for c, v in p.items():
-            one = one & F.col(c).eqNullSafe(F.lit(v))
-        out = out | one
-    return out
+    """Filter on partition columns, which Spark answers from the folders' names. Of several columns and many partitions it
+    asks for each column alone; what that adds is rewritten as it is."""
+
+    def among(name: str) -> Column:
+        values = {p[name] for p in partitions}
+        some = F.col(name).isin([v for v in values if v is not None]) if values - {None} else F.lit(False)
+        return some | F.col(name).isNull() if None in values else some
+
+    names = list(partitions[0])
+    if len(names) == 1 or len(partitions) > 50:
+        return reduce(Column.__and__, map(among, names))
+    return reduce(Column.__or__, (reduce(Column.__and__, (F.col(c).eqNullSafe(F.lit(v)) for c, v in p.items())) for p in partitions))
 
 
 def _matching(left: DataFrame, right: DataFrame, keys: list[str], null_safe: bool) -> tuple[DataFrame, Column]:

@@ -210,3 +210,12 @@ def test_a_failed_write_leaves_the_rows(spark, new_path):
     with pytest.raises(Exception, match="no"):
         t.merge(broken, ["id"])
     assert rows(t.read()) == [("a", 1, "x"), ("b", 1, "x")] and len(t.history()) == 1
+
+
+def test_merge_across_many_partitions_of_two_columns(spark, new_path):
+    t = LakeTable(spark, new_path(), ["d", "e"])
+    row = lambda j, v: (f"k{j}", v, f"d{j % 9}", j % 8)
+    make = lambda rows: spark.createDataFrame(rows, "id string, v int, d string, e int")
+    t.merge(make([row(j, 0) for j in range(200)]), ["id"])
+    t.merge(make([row(j, 1) for j in range(150)]), ["id"])
+    assert sorted((r.id, r.v) for r in t.read().collect()) == sorted((f"k{j}", int(j < 150)) for j in range(200))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.keys import surrogate_key
 from granary.operators import bronze, cleaning, dedup, quality, scd2
+from granary.session import materialize
 from granary.plans import analytics, gold, silver
 from granary.sources.contracts import CUSTOMERS, ORDERS
 from workload import inputs as i
@@ -61,6 +62,16 @@ def _fact(s, d, cost="current"):
     return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), cost)
 
 
+def _written(df, name):
+    """A dimension as a table of its own: later joins know its size before they run, and broadcast it if it is small."""
+    return materialize(df, name)
+
+
+def _order_facts(s, d, cost=False):
+    products = _written(scd2.current_only(_products(s, d)), "products") if cost else None
+    return gold.order_facts(_items(s, d), _orders(s, d), products)
+
+
 # -- sources, row steps ------------------------------------------------------------------------
 
 
@@ -407,7 +418,10 @@ STAR_SQL = """select f.order_item_id, c.customer_segment, c.region, p.price_tier
 
 @register("join_star", query(STAR_SQL, "fact_sales", "dim_customer", "dim_product", "dim_date"))
 def join_star(s, d):
-    out = analytics.star(_fact(s, d), _dim_customer(s, d), _dim_product(s, d), _dim_date(s, d))
+    products = _written(_products(s, d), "products")
+    fact = gold.fact_sales(_items(s, d), _orders(s, d), products)
+    dimensions = (_written(x, "dimension") for x in (_dim_customer(s, d), gold.dim_product(products, TODAY), _dim_date(s, d)))
+    out = analytics.star(fact, *dimensions)
     return out.select(
         "order_item_id", "customer_segment", "region", "price_tier", "margin_band", "year", "quarter", "net_revenue"
     )
@@ -629,7 +643,7 @@ SUMS_SQL = f"cast(sum(units_sold) as bigint) as units_sold, {SUMS_SQL}"
     ),
 )
 def agg_revenue_by_segment(s, d):
-    return analytics.revenue_by_segment(_fact(s, d), _dim_customer(s, d))
+    return analytics.revenue_by_segment(_order_facts(s, d), _dim_customer(s, d))
 
 
 @register(
@@ -644,7 +658,7 @@ def agg_revenue_by_segment(s, d):
     ),
 )
 def sort_revenue_desc(s, d):
-    return analytics.revenue_by_segment(_fact(s, d), _dim_customer(s, d), _dim_date(s, d))
+    return analytics.revenue_by_segment(_order_facts(s, d), _dim_customer(s, d), _dim_date(s, d))
 
 
 @register(
@@ -703,7 +717,7 @@ def agg_semi_additive(s, d):
     ),
 )
 def agg_basket(s, d):
-    return analytics.basket(_fact(s, d), ["payment_method"])
+    return analytics.basket_of_orders(_order_facts(s, d), ["payment_method"])
 
 
 @register(
@@ -758,7 +772,7 @@ def agg_inventory(s, d):
     ),
 )
 def agg_customer_ltv(s, d):
-    return analytics.customer_ltv(_fact(s, d), _dim_customer(s, d))
+    return analytics.customer_ltv(_order_facts(s, d, cost=True), _dim_customer(s, d))
 
 
 @register(
@@ -1386,9 +1400,7 @@ def agg_layer_quality(s, d):
     return quality.layer_quality(_scorecards(s, d))
 
 
-@register(
-    "agg_quality_trend",
-    query(
+QUALITY_TREND_SQL = query(
         f"""select cast(day as varchar) as day, {ratio("sum(p) filter (where layer = 'bronze')", "sum(c) filter (where layer = 'bronze')", 100)}
             as bronze, {ratio("sum(p) filter (where layer = 'silver')", "sum(c) filter (where layer = 'silver')", 100)} as silver
         from (select 'bronze' as layer, cast(_ingestion_timestamp as date) as day, 1 as c,
@@ -1397,8 +1409,10 @@ def agg_layer_quality(s, d):
               from stg_orders) group by 1""",
         "valid_orders",
         "stg_orders",
-    ),
-)
+)
+
+
+@register("agg_quality_trend", QUALITY_TREND_SQL)
 def agg_quality_trend(s, d):
     flagged = cleaning.validate_orders(cleaning.clean_orders(i.orders(s, d)))
     day = F.to_date("_ingestion_timestamp").alias("day")

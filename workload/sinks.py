@@ -26,6 +26,7 @@ from workload.retail import (
     HISTORY_SQL,
     ORDER_RAW_SQL,
     PRODUCT_SQL,
+    QUALITY_TREND_SQL,
     STRAY_ITEMS,
     _dim_customer,
     _stray_items,
@@ -419,13 +420,38 @@ def fn_variant_fields(s, d):
     return nested.field_profile(nested.with_variant(i.table(s, d, "events"), "props"), "props", {"k": "bigint"}, ["event_type"])
 
 
+STATE_COLUMNS = ["order_id", "customer_id", "total_amount"]
+
+
 def _state_table(s, d):
-    """Daily quality states of both layers, loaded in two parts; the second reads and writes its own days only."""
-    table = LakeTable(s, fresh_path(s, "quality-states"), ["day"])
-    columns = ["order_id", "customer_id", "total_amount"]
-    for part in (_before(i.orders(s, d), "_ingestion_timestamp"), _after(i.orders(s, d), "_ingestion_timestamp")):
+    """Daily quality states of both layers. Bronze comes in two loads; the second reads and writes its own days only."""
+    table = LakeTable(s, fresh_path(s, "quality-states"))
+    raw = i.orders(s, d)
+    for part in (_before(raw, "_ingestion_timestamp"), _after(raw, "_ingestion_timestamp")):
         flagged = cleaning.validate_orders(cleaning.clean_orders(part))
-        quality_states.save(table, quality_states.day_states(flagged, "bronze", "_ingestion_timestamp", F.col("is_total_valid"), columns))
-        staged = silver.stg_orders(part)
-        quality_states.save(table, quality_states.day_states(staged, "silver", "_ingestion_timestamp", F.col("validation_status") == "VALID", columns))
-    return table, columns
+        quality_states.save(table, quality_states.day_states(flagged, "bronze", "_ingestion_timestamp", F.col("is_total_valid"), STATE_COLUMNS))
+    staged = silver.stg_orders(raw)
+    quality_states.save(table, quality_states.day_states(staged, "silver", "_ingestion_timestamp", F.col("validation_status") == "VALID", STATE_COLUMNS))
+    return table
+
+
+@register("quality_states_trend", QUALITY_TREND_SQL)
+def quality_states_trend(s, d):
+    return quality_states.trend(_state_table(s, d), ["bronze", "silver"])
+
+
+def _totals_sql(layer: str, source: str, ok: str) -> str:
+    parts = ", ".join(f"count({c}) as {c}_filled, {_end('min', c)} as {c}_min, {_end('max', c)} as {c}_max" for c in STATE_COLUMNS)
+    return f"select '{layer}' as layer, count(*) as checks, cast(sum(coalesce(cast({ok} as integer), 0)) as bigint) as passed, {parts} from {source}"
+
+
+def _end(f: str, c: str) -> str:
+    return f"cast({f}({c}) as double)" if c == "total_amount" else f"{f}({c})"
+
+
+@register(
+    "quality_states_totals",
+    query(_totals_sql("bronze", "valid_orders", "is_total_valid") + " union all " + _totals_sql("silver", "stg_orders", "(validation_status = 'VALID')"), "valid_orders", "stg_orders"),
+)
+def quality_states_totals(s, d):
+    return quality_states.totals(_state_table(s, d), STATE_COLUMNS)
