@@ -40,8 +40,9 @@ def price_table(spark: SparkSession) -> DataFrame:
 
 def call_cost(calls: DataFrame, prices: DataFrame | None = None) -> DataFrame:
     """Add ``cost_usd``, exact in decimals; an unknown model costs nothing."""
-    prices = price_table(calls.sparkSession) if prices is None else prices
-    joined = calls.join(F.broadcast(prices), "model", "left")  # one row per model
+    # the fixed table has four rows; a caller's is joined as its size allows
+    prices = F.broadcast(price_table(calls.sparkSession)) if prices is None else prices
+    joined = calls.join(prices, "model", "left")  # one row per model
     zero = F.lit(0).cast("decimal(6,4)")
     per_thousand = F.col("input_tokens").cast("decimal(12,0)") * F.coalesce("input_price", zero) + F.col(
         "output_tokens"

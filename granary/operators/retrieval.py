@@ -34,7 +34,6 @@ MAX_CHUNKS = 5
 CHARS_PER_TOKEN = 4
 NO_CONTEXT = "No relevant context found."
 
-BROADCAST_ROWS = 1_000_000
 QUERY_BLOCK = 4096
 PIECE_ROWS = 4_000_000
 
@@ -48,12 +47,6 @@ def routes(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "query_type string, chunk_type string, position int")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, unchanged otherwise."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def route_queries(queries: DataFrame) -> DataFrame:
     """``(query_id, query, query_type, chunk_type, position)``: where each query has to look."""
     typed = queries.withColumn("query_type", classify("query"))
@@ -66,7 +59,7 @@ def candidates(queries: DataFrame, chunks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("candidates"), F.sum(F.length("content")).alias("characters")
     )
     routed = route_queries(queries).select("query_id", "query_type", "chunk_type", "position")
-    return routed.join(F.broadcast(per_type), "chunk_type")
+    return routed.join(per_type, "chunk_type")
 
 
 def rank_keyword(queries: DataFrame, chunks: DataFrame, k: int = MAX_CHUNKS, block: int = 4 * QUERY_BLOCK) -> DataFrame:
@@ -175,8 +168,9 @@ def build_context(ranked: DataFrame, chunks: DataFrame) -> DataFrame:
     body = F.format_string(
         "[%d] Source: %s\nType: %s\nContent:\n%s\n", "rank", "source", "chunk_type", "content"
     )
-    # the ranked side is small; a semi join picks the few chunks whose text has to move
-    joined = chunks.join(small_side(ranked.select("query_id", "query_type", "chunk_id", "rank")), "chunk_id")
+    # written, the ranks are joined by their size on disk: broadcast if small
+    ranks = materialize(ranked.select("query_id", "query_type", "chunk_id", "rank"), "ranks")
+    joined = chunks.join(ranks, "chunk_id")
     listed = joined.groupBy("query_id", "query_type").agg(
         F.sort_array(F.collect_list(F.struct("rank", body.alias("part")))).alias("_parts"),
         F.count(F.lit(1)).alias("chunks"),

@@ -68,7 +68,10 @@ def split_hot(
     quota = max(1, split_rows // _SLICES_PER_QUOTA)
     ranges = -(-hot.agg(F.sum("_n")).first()[0] // quota)
     tasks = min(ranges, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.join(hot, on).select(*df.columns).repartitionByRange(tasks, *keys, *order).sortWithinPartitions(*keys, *order)
+    # rows of one key and one order value are told apart by their other columns, so a burst is many ranges, too
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    ranged = [*keys, *order, tie]
+    rows = df.join(hot, on).select(*df.columns).repartitionByRange(tasks, *ranged).sortWithinPartitions(*ranged)
     # ids count the sorted rows of each range, so a slice is the next ``quota`` of them
     sliced = materialize(rows.withColumn(SLICE, F.floor(F.monotonically_increasing_id() / quota)), "hot-rows")
     return df.join(hot, on, "left_anti"), sliced
