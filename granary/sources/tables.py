@@ -41,14 +41,12 @@ class LakeTable:
 
     # -- what is there -----------------------------------------------------------------------
 
-    def _files(self, *below: str):
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path("/".join((self.path, *below)))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+    def _is_there(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
     def exists(self) -> bool:
-        fs, path = self._files()
-        return fs.exists(path.suffix("_operations"))
+        return self._is_there(f"{self.path}_operations")
 
     def _log(self) -> DataFrame:
         return self.spark.read.schema(OPERATIONS).parquet(f"{self.path}_operations")
@@ -74,9 +72,8 @@ class LakeTable:
 
     def _load(self, schema: T.StructType) -> DataFrame:
         """All rows, with the bucket where there is one."""
-        fs, path = self._files()
         whole = T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())]) if self.bucketed else schema
-        return self.spark.read.schema(whole).parquet(self.path) if fs.exists(path) else self.spark.createDataFrame([], whole)
+        return self.spark.read.schema(whole).parquet(self.path) if self._is_there(self.path) else self.spark.createDataFrame([], whole)
 
     def read(self) -> DataFrame:
         schema, _ = self._state()
@@ -173,12 +170,12 @@ class LakeTable:
                 self._write(batch, "overwrite")
             else:
                 buckets = seen.get["buckets"] if set(own) <= set(keys) else range(self.buckets)  # equal keys share a bucket
-                self._rewrite(batch, old, keys, update_columns, null_safe, list(buckets))
+                self._rewrite(batch, old, keys, update_columns, null_safe, list(buckets), own)
             return self._record("overwrite" if old is None else operation, self._plain(batch), int(seen.get["rows"]), batch_id, own)
         finally:
             discard(batch)
 
-    def _rewrite(self, batch: DataFrame, old: T.StructType, keys: list[str], update_columns: list[str] | None, null_safe: bool, buckets: list[int]) -> None:
+    def _rewrite(self, batch: DataFrame, old: T.StructType, keys: list[str], update_columns: list[str] | None, null_safe: bool, buckets: list[int], own: list[str]) -> None:
         target = self._load(old)
         if self.bucketed:
             touched = [{BUCKET: b} for b in (*buckets, NO_BUCKET)]
@@ -188,24 +185,22 @@ class LakeTable:
             touched = [r.asDict() for r in hit.select(*self.partition_by).distinct().collect()]  # one row per partition
         if not touched:
             return
-        before = {self._folder(p): self._names(self._folder(p)) for p in touched}
+        # a key keeps its bucket, but may change its partition, and other keys may lie in any bucket
+        may_empty = [{BUCKET: NO_BUCKET}] if self.bucketed and set(own) <= set(keys) else touched
+        before = self._file_names(target, may_empty)
         rewritten = target.filter(_within(touched))
         rewritten = rewritten.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema if f.name not in rewritten.columns])
         kept = rewritten.join(*_matching(rewritten, batch, keys, null_safe), "left_anti")
         arriving = batch if update_columns is None else _partial_update(rewritten, batch, keys, update_columns, null_safe)
         self._write(kept.select(*batch.columns).unionByName(arriving.select(*batch.columns)), "overwrite", dynamic=True)
-        for folder, names in before.items():  # a partition that has lost all of its rows was not overwritten
-            if names and self._names(folder) == names:
-                fs, path = self._files(folder)
-                fs.delete(path, True)
-
-    def _folder(self, partition: dict) -> str:
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-        return "/".join(escape(c, None if partition[c] is None else str(partition[c])) for c in self.partition_by)
-
-    def _names(self, folder: str) -> set[str]:
-        fs, path = self._files(folder)
-        return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+        for name in before & self._file_names(self._load(old), may_empty):  # its partition has lost all rows, so nothing took its place
+            file = self.spark._jvm.org.apache.hadoop.fs.Path(self.spark._jvm.java.net.URI(name))
+            file.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(file, False)
+
+    @staticmethod
+    def _file_names(table: DataFrame, partitions: list[dict]) -> set[str]:
+        """The files of some partitions, a few per partition."""
+        return {r[0] for r in table.filter(_within(partitions)).select("_metadata.file_path").distinct().collect()}
 
     @staticmethod
     def _reject_duplicates(df: DataFrame, keys: list[str]) -> None:
