@@ -296,28 +296,31 @@ def close_pairs(members: DataFrame, percent: int, block: int = BLOCK) -> DataFra
 def _linked(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, text_hash, n_shingles and component (named by one of its sets) of every row of ``docs``."""
     rows = materialize(describe(docs, n, percent), "sets")
+    slim = materialize(rows.select("doc_id", "text_hash", "n_shingles", "set"), "ids")
     some = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # equal sets are one row from here on; copies meet before the shuffle
     sets = some.groupBy("set", "other").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"))
     # written, so that joins to it deal both sides anew and a centre of many pairs can be split
     held = materialize(some.groupBy("set").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "sketches")
     shared = materialize(shared_keys(sets), "keys")
+    discard(rows)
+    some = slim.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     degree = shared.groupBy("set").agg(F.count("*").alias("degree"))
     members = shared.join(degree, "set")
     centre = members.groupBy("key").agg(F.max(F.struct("degree", "set")).alias("top")).select("key", F.col("top.set").alias("centre"))
     stars = members.join(centre, "key").where("set <> centre").select(F.least("set", "centre").alias("a"), F.greatest("set", "centre").alias("b")).distinct()
     stars = materialize(plausible(stars, held, percent), "stars")
-    links = materialize(verify(stars, sets_texts(docs, some, stars), n, percent), "links")
+    links = _verified(docs, some, stars, n, percent)
     known = components(links)
     named = shared.join(known.withColumnRenamed("node", "set"), "set", "left").withColumn("component", F.coalesce("component", "set"))
     several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
     several = several.where("lo < hi and n > 2").select("key")  # the one pair of two members has been compared
     open_ = named.join(several, "key").join(held, "set")
     more = materialize(close_pairs(open_, percent).join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = materialize(verify(more, sets_texts(docs, some, more), n, percent), "links")
+    more = _verified(docs, some, more, n, percent)
     final = components(links.union(more)).withColumnRenamed("node", "set")
     discard(shared, stars, held)
-    named = join_unique(rows.select("doc_id", "text_hash", "n_shingles", "set"), final, ["set"], "left")
+    named = join_unique(slim, final, ["set"], "left")
     return named.select("doc_id", "text_hash", "n_shingles", F.coalesce("component", "set").alias("component"))
 
 
@@ -334,7 +337,17 @@ def sets_texts(docs: DataFrame, some: DataFrame, pairs: DataFrame) -> DataFrame:
     """(set, text) for all sets in ``pairs``, from the document with the least id that has the set, written once."""
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct()
     who = materialize(some.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("doc_id").alias("doc_id")), "ids")
-    return materialize(docs.select("doc_id", "text").join(who, "doc_id").select("set", "text"), "texts")
+    texts = materialize(docs.select("doc_id", "text").join(who, "doc_id").select("set", "text"), "texts")
+    discard(who)
+    return texts
+
+
+def _verified(docs: DataFrame, some: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``verify`` on texts that are written for it and deleted after it."""
+    texts = sets_texts(docs, some, pairs)
+    links = materialize(verify(pairs, texts, n, percent), "links")
+    discard(texts)
+    return links
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
