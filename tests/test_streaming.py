@@ -2,8 +2,11 @@
 
 from datetime import datetime, timedelta
 
+import pytest
+
 from granary.sources.tables import LakeTable
 from granary.streaming import runs
+from workload import sinks
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "id string, v int, at timestamp"
@@ -107,3 +110,17 @@ def test_freshness(spark, tmp_path):
         "orders": (T0 + timedelta(minutes=20), 3, "STALE"),
         "items": (T0 + timedelta(minutes=30), 1, "FRESH"),
     }
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_table_of_one_file_or_a_folder_is_streamed_whole(spark, tmp_path, parts):
+    rows = [(c, t, "user", f"{c} {t}") for c in range(20) for t in range(3)]
+    talk = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    folder = str(tmp_path / "conversations.parquet")
+    if parts == 1:
+        talk.toPandas().to_parquet(folder)
+    else:
+        talk.repartition(parts).write.parquet(folder)
+        spark.createDataFrame([(99, 0, "user", "another table")], talk.schema).write.parquet(str(tmp_path / "conversations.parquet_old"))
+    out = sinks.stream_bronze_ingest(spark, str(tmp_path))
+    assert sorted((r["conv_id"], r["turn"]) for r in out.collect()) == [r[:2] for r in rows]

@@ -256,8 +256,9 @@ def src_metrics_json(s, d):
 
 
 def _stream(s, d, name):
+    """A test table as a stream, whether it is one file or a folder of files; a stream takes a single file by a pattern only."""
     schema = i.table(s, d, name).schema
-    return streams.file_stream(s, d, schema, f"{name}.parquet")
+    return streams.file_stream(s, f"{d}/{{{name}}}.parquet", schema, "*")
 
 
 @register(
