@@ -157,12 +157,11 @@ def assess(changes: DataFrame, tables: DataFrame) -> DataFrame:
     return out.withColumns({"severity": severity, "confidence_score": confidence})
 
 
-def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None = None, names: int = 20) -> DataFrame:
+def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None = None) -> DataFrame:
     """One row per table with its change list, severity, downstream tables and actions.
 
-    The lists have at most two entries per column of a table, and at most ``names`` dependent tables, the first by name;
-    ``downstream_count`` counts them all. ``downstream`` has ``(table_name, dependent)`` rows, such as a lineage closure,
-    which also names the rest. Lists are cut within each task, so a table with any number of dependents is one short row.
+    The lists have at most two entries per column of a table, and one per dependent table, in order of name;
+    ``downstream_count`` counts those. ``downstream`` has ``(table_name, dependent)`` rows, such as a lineage closure.
     """
     listed = changes.groupBy("table_name").agg(
         F.sort_array(F.collect_list(F.struct("column_name", "change_type", "old_value", "new_value"))).alias("changes")
@@ -170,11 +169,10 @@ def report(changes: DataFrame, tables: DataFrame, downstream: DataFrame | None =
     out = assess(changes, tables).join(listed, "table_name", "left")
     if downstream is not None:
         each = downstream.select("table_name", "dependent").distinct()
-        place = F.row_number().over(Window.partitionBy("table_name").orderBy("dependent"))
-        first = each.withColumn("_place", place).filter(F.col("_place") <= names)
-        first = first.groupBy("table_name").agg(F.sort_array(F.collect_list("dependent")).alias("affected_downstream"))
-        out = out.join(each.groupBy("table_name").agg(F.count(F.lit(1)).alias("downstream_count")), "table_name", "left")
-        out = out.join(first, "table_name", "left")
+        dependents = each.groupBy("table_name").agg(
+            F.count(F.lit(1)).alias("downstream_count"), F.sort_array(F.collect_list("dependent")).alias("affected_downstream")
+        )
+        out = out.join(dependents, "table_name", "left")
     else:
         out = out.withColumns({"affected_downstream": F.array().cast("array<string>"), "downstream_count": F.lit(0).cast("long")})
 

@@ -40,6 +40,13 @@ def test_drift(spark, actual, kinds, severity):
     assert row["breaking_change"] == (severity == "ERROR")
 
 
+def test_report_names_every_dependent(spark):
+    names = [f"order:{n}" for n in range(3000)]
+    down = spark.createDataFrame([("t", n) for n in [*names, *names[:50]]], "table_name string, dependent string")
+    row = drift.report(drifted(spark, BASE[:2]), spark.createDataFrame([("t",)], "table_name string"), down).first()
+    assert row["affected_downstream"] == sorted(names) and row["downstream_count"] == 3000
+
+
 def test_snapshots_of_frames(spark):
     a = catalog.snapshot_of(spark, {"t": spark.range(1)})
     assert [tuple(r) for r in a.collect()] == [("t", "id", "bigint", False)]

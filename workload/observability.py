@@ -350,7 +350,7 @@ def drift_breaking(s, d):
         left join (select table_name, string_agg(column_name || ':' || change_type, ',' order by column_name, change_type) as changes
           from changes group by 1) l on l.table_name = a.table_name
         left join (select 't' || o_custkey as table_name, count(distinct o_orderkey) as n,
-            array_to_string(list_sort(list_distinct(list('order:' || o_orderkey)))[:20], ',') as deps
+            array_to_string(list_sort(list_distinct(list('order:' || o_orderkey))), ',') as deps
           from orders group by 1) o on o.table_name = a.table_name""",
         "assessed",
     ),
