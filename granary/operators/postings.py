@@ -33,32 +33,58 @@ def build_postings(chunks: DataFrame, block_words: int = BLOCK_WORDS) -> DataFra
     """Blocks of ``(chunk_id, chunk_type, words)``; ``words`` are the distinct words of a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[int, list[str]]]] = {}
-        size: dict[str, int] = {}
-        for batch in batches:
-            for chunk, kind, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if not words:
-                    continue
-                held.setdefault(kind, []).append((chunk, words))
-                size[kind] = size.get(kind, 0) + len(words)
+        return in_blocks(batches, block_words)
+
+    return chunks.select(F.col("chunk_id").cast("long"), "chunk_type", "words").mapInArrow(run, BLOCK)
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
+    """Words stay in Arrow's buffers, some ten bytes each, so a task holds a batch and a block per type, whatever its input."""
+    held: dict[str, list[pa.RecordBatch]] = {}
+    size: dict[str, int] = {}
+    for batch in batches:
+        kinds = batch.column(1).dictionary_encode("encode")
+        number = kinds.indices.to_numpy()
+        length = _lengths(batch.column(2))
+        for n, kind in enumerate(kinds.dictionary.to_pylist()):
+            mine = np.flatnonzero((number == n) & (length > 0))
+            total = np.cumsum(length[mine], dtype=np.int64) + size.get(kind, 0)
+            while len(mine):
+                end = int(np.searchsorted(total, block_words)) + 1  # the chunk that fills the block is its last
+                held.setdefault(kind, []).append(batch.take(pa.array(mine[:end])))
+                size[kind] = int(total[:end][-1])
                 if size[kind] >= block_words:
                     yield _block(kind, held.pop(kind))
                     size[kind] = 0
-        for kind, rows in held.items():
-            yield _block(kind, rows)
+                    total = total - total[end - 1]
+                mine, total = mine[end:], total[end:]
+    while held:
+        yield _block(*held.popitem())
 
-    return chunks.select(F.col("chunk_id").cast("long"), "chunk_type", "words").mapInArrow(run, BLOCK)
+
+def _lengths(lists: pa.Array) -> np.ndarray:
+    import pyarrow.compute as pc
+
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
 
 
-def _block(kind: str, chunks: list[tuple[int, list[str]]]) -> pa.RecordBatch:
-    chunks.sort(key=lambda c: c[0])  # a smaller number in the block is a smaller id
-    words = pa.array([w for _, ws in chunks for w in ws], pa.string()).dictionary_encode()
-    row = np.repeat(np.arange(len(chunks), dtype=np.int32), [len(ws) for _, ws in chunks])
+def _block(kind: str, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    chunks = pa.Table.from_batches(parts).select([0, 2]).combine_chunks().to_batches()[0]
+    parts.clear()
+    order = np.argsort(chunks.column(0).to_numpy(), kind="stable")  # a smaller number in the block is a smaller id
+    if (order[1:] < order[:-1]).any():
+        chunks = chunks.take(pa.array(order))
+    words = chunks.column(1).flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(chunks), dtype=np.int32), _lengths(chunks.column(1)))
     code = words.indices.to_numpy()
     order = np.argsort(code, kind="stable")
     ends = np.cumsum(np.bincount(code, minlength=len(words.dictionary)))
-    columns = [pa.array([kind], pa.string()), pa.array([[c for c, _ in chunks]], pa.list_(pa.int64())), pa.ListArray.from_arrays(pa.array([0, len(ends)], pa.int32()), words.dictionary)]
-    columns += [pa.array([ends], pa.list_(pa.int64())), pa.array([row[order].tobytes()], pa.binary())]
+
+    def one(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    columns = [pa.array([kind], pa.string()), one(chunks.column(0)), one(words.dictionary), one(pa.array(ends, pa.int64()))]
+    columns += [pa.array([row[order].tobytes()], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, names=["chunk_type", "ids", "words", "ends", "rows"])
 
 

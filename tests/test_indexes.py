@@ -1,9 +1,11 @@
 """Posting lists and the vector index against plain comparison of all pairs."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from granary.operators import postings, retrieval, vectors
@@ -29,6 +31,21 @@ def test_common_lists_bring_in_no_new_chunks(monkeypatch):
     assert met.tolist() == [0, 1, 2, 3, 4] and set(found) == {5} and max(sizes) <= 10
 
 
+def test_postings_hold_no_python_object_per_word():
+    def batches():
+        for b in range(10):
+            words = [[f"word{(31 * j + i) % 5000}" for i in range(200)] for j in range(100)]
+            yield pa.RecordBatch.from_pydict({"chunk_id": list(range(100 * b, 100 * b + 100)), "chunk_type": ["a", None] * 50, "words": words})
+
+    ready = list(batches())
+    tracemalloc.start()
+    blocks = list(postings.in_blocks(iter(ready), 60_000))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted((b.column(0)[0].as_py() or "", len(b.column(1)[0])) for b in blocks) == [("", 200), ("", 300), ("a", 200), ("a", 300)]
+    assert peak < 30 * 200_000  # a word as a Python object takes some 60 bytes
+
+
 @pytest.mark.parametrize("block_words", [1, 200, 2_000_000])
 def test_many_queries_equal_their_groups(spark, block_words):
     rng = random.Random(3)
