@@ -745,7 +745,7 @@ def agg_category_brand(s, d):
     ),
 )
 def agg_regional(s, d):
-    return analytics.regional_performance(_fact(s, d), _dim_customer(s, d))
+    return analytics.regional_performance(_order_facts(s, d, cost=True), _dim_customer(s, d))
 
 
 @register(
