@@ -7,8 +7,8 @@ corpus; groups below the least count are removed by a semi-join before the next
 A row per occurrence would move every word of the corpus through several shuffles. So the relation is kept by blocks of about
 ``BLOCK`` words: a block's occurrences stand in one row as two sorted columns (position and group; a piece ends where a
 position is left out), groups numbered within the block. The merge join is a comparison of neighbours there. What Spark
-shuffles are the groups of each block with their counts, once per length: one window over equal groups gives the count over
-the corpus to every block. A group is known across blocks by its parts (the two overlapping phrases that make it; at
+shuffles are the groups of each block with their counts, once per length: equal groups meet in one window (words) or one part
+(pairs, which travel packed), and every block gets the count over the corpus. A group is known across blocks by its parts (the two overlapping phrases that make it; at
 the start language and word) and is named by the least (block, number) that holds it. No hashes stand for words.
 
 Hot groups: a word or phrase has one row per block, however often it occurs; a language may hold all rows, since nothing is
@@ -40,7 +40,11 @@ TOP_PARTS = 16
 ENDS, MARK = b".,;:!?\n\v\f\r", b"\xff"
 BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS, b"abcdefghijklmnopqrstuvwxyz" + MARK * len(ENDS))
 
+#: Groups that one task counts at a time.
+PART = 1 << 20
+
 RELATION = "block long, size int, at binary, grp binary"
+GROUPS = "block long, local int, left long, right long, gid long, f long"
 
 
 class Numbers(dict):
@@ -101,17 +105,31 @@ def word_relation(docs: DataFrame, block_words: int = BLOCK) -> DataFrame:
     return source.mapInArrow(run, f"{RELATION}, left array<string>, right array<string>, n array<long>")
 
 
+def _places(block: int, at: np.ndarray, grp: np.ndarray) -> list[pa.Array]:
+    # positions as steps: nearly all are 1 and take no room once packed
+    packed = (pa.compress(np.ascontiguousarray(x, np.int32).tobytes(), "zstd", asbytes=True) for x in (np.diff(at, prepend=0), grp))
+    return [pa.array([block], pa.int64()), pa.array([len(at)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)]
+
+
 def _row(block: int, at: np.ndarray, grp: np.ndarray, left, right, n: np.ndarray) -> pa.RecordBatch:
     def one(values) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    # positions as steps: nearly all are 1 and take no room once packed
-    packed = (pa.compress(np.ascontiguousarray(x, np.int32).tobytes(), "zstd", asbytes=True) for x in (np.diff(at, prepend=0), grp))
-    columns = [pa.array([block], pa.int64()), pa.array([len(at)], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)]
-    columns += [one(left), one(right), one(pa.array(n, pa.int64()))]
+    columns = [*_places(block, at, grp), one(left), one(right), one(pa.array(n, pa.int64()))]
     return pa.RecordBatch.from_arrays(columns, names=["block", "size", "at", "grp", "left", "right", "n"])
 
 
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers, byte by byte: the high bytes are alike and take no room."""
+    planes = (np.ascontiguousarray(c, np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes, size: int, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(packed, 8 * size * columns, "zstd", asbytes=True), np.uint8).reshape(columns, 8, size)
+    return [np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes]
+
+
 def frequent_groups(relation: DataFrame, least: int) -> DataFrame:
     """block, local, left, right, gid, f: the groups of each block that the whole corpus holds ``least`` times or more."""
     each = relation.select("block", F.posexplode(F.arrays_zip("left", "right", "n")).alias("local", "g"))
@@ -122,6 +140,52 @@ def frequent_groups(relation: DataFrame, least: int) -> DataFrame:
     return counted.select("block", (F.col("own") - F.col("block")).cast("int").alias("local"), "left", "right", "gid", "f")
 
 
+def frequent_pairs(relation: DataFrame, least: int, part_groups: int = PART) -> DataFrame:
+    """``frequent_groups`` of ``longer_relation``: groups are known by two numbers, so they are shuffled packed.
+
+    A block's groups are dealt out to parts by a hash of their numbers, a row per block and part; equal groups of all blocks
+    meet in one part. There are as many parts as hold ``part_groups`` groups each, whatever the corpus.
+    """
+    total = relation.agg(F.sum("groups").alias("n")).first()["n"] or 0
+    parts = max(1, -(-total // part_groups))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, size, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                left, right, n = _unpack(packed, size, 3)
+                left = np.cumsum(left)
+                mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ right.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+                part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+                local = np.argsort(part, kind="stable")  # ascending in each part, as are the left numbers
+                ends = np.cumsum(np.bincount(part, minlength=parts))
+                rows = []
+                for p, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
+                    if a < b:
+                        mine = local[a:b]
+                        rows.append((p, block, int(b - a), _pack(np.diff(mine, prepend=0), np.diff(left[mine], prepend=0), right[mine], n[mine])))
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "block", "size", "packed"])
+
+    def count(part: pa.Table) -> pa.Table:
+        size = part.column("size").to_numpy()
+        columns = zip(*(_unpack(x, n, 4) for x, n in zip(part.column("packed").to_pylist(), size.tolist(), strict=True)), strict=True)
+        steps, left, right, n = map(list, columns)
+        local = np.concatenate([np.cumsum(x) for x in steps])
+        left, right, n = np.concatenate([np.cumsum(x) for x in left]), np.concatenate(right), np.concatenate(n)
+        block = np.repeat(part.column("block").to_numpy(), size)
+        order = np.lexsort((right, left))
+        left, right, n, block, local = (x[order] for x in (left, right, n, block, local))
+        first = np.flatnonzero(np.concatenate([[True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])]))
+        alike = np.diff(first, append=len(left))  # a row per block at most
+        f, gid = np.add.reduceat(n, first), np.minimum.reduceat(block + local, first)
+        kept = np.repeat(f >= least, alike)
+        out = [x[kept] for x in (block, local.astype(np.int32), left, right, np.repeat(gid, alike), np.repeat(f, alike))]
+        return pa.Table.from_arrays([pa.array(x) for x in out], names=["block", "local", "left", "right", "gid", "f"])
+
+    dealt = relation.select("block", "groups", "pairs").mapInArrow(deal, "part int, block long, size int, packed binary")
+    return dealt.groupBy("part").applyInArrow(count, GROUPS)
+
+
 def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
     """Merge join of the frequent occurrences on adjacent positions: the occurrences of phrases one word longer."""
     known = groups.groupBy("block").agg(F.collect_list(F.struct("local", "gid")).alias("known"))
@@ -131,6 +195,8 @@ def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 block, size = (batch.column(c)[k].as_py() for c in (0, 1))
                 local, gid = (x.to_numpy(zero_copy_only=False) for x in batch.column(4)[k].values.flatten())
+                by = np.argsort(gid)  # sorted numbers pack well
+                local, gid = local[by], gid[by]
                 at, grp = (np.frombuffer(pa.decompress(batch.column(c)[k].as_buffer(), 4 * size, "zstd"), np.int32) for c in (2, 3))
                 at = np.cumsum(at, dtype=np.int32)
                 # semi-join: occurrences of frequent groups stay, numbered by their place among these
@@ -144,10 +210,13 @@ def longer_relation(relation: DataFrame, groups: DataFrame) -> DataFrame:
                     continue
                 both, number, n = np.unique(grp[meet].astype(np.int64) * len(local) + grp[meet + 1], return_inverse=True, return_counts=True)
                 left, right = np.divmod(both, len(local))
-                yield _row(block, at[meet], number, pa.array(gid[left]), pa.array(gid[right]), n)
+                # a group's number is its place in these lists
+                left, right = gid[left], gid[right]
+                columns = [*_places(block, at[meet], number), pa.array([len(n)], pa.int32()), pa.array([_pack(np.diff(left, prepend=0), right, n)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "size", "at", "grp", "groups", "pairs"])
 
     source = relation.select("block", "size", "at", "grp").join(known, "block")
-    return source.mapInArrow(run, f"{RELATION}, left array<long>, right array<long>, n array<long>")
+    return source.mapInArrow(run, f"{RELATION}, groups int, pairs binary")
 
 
 def named(groups: DataFrame) -> DataFrame:
@@ -173,7 +242,7 @@ def mine(docs: DataFrame, least: int = 100, longest: int = 5, block_words: int =
     for length in range(2, longest + 1):
         longer = materialize(longer_relation(relation, groups), "relation")
         discard(relation, groups)
-        relation, groups = longer, materialize(frequent_groups(longer, least), "groups")
+        relation, groups = longer, materialize(frequent_pairs(longer, least), "groups")
         a = shorter.select(F.col("gid").alias("left"), "lang", F.col("words").alias("begin"), "fronts")
         b = shorter.select(F.col("gid").alias("right"), F.element_at("words", -1).alias("last"), "backs")
         joined = named(groups).join(a, "left").join(b, "right")

@@ -826,3 +826,25 @@ def test_key_stage_in_many_small_tasks(spark, monkeypatch):
     real = jaccard.shared_keys
     monkeypatch.setattr(jaccard, "shared_keys", lambda sets: real(sets, 50))
     assert sorted(map(tuple, jaccard.link_documents(df).collect())) == want
+
+
+@pytest.mark.parametrize("part_groups", [3, 1 << 20])
+def test_packed_pairs_are_counted_over_all_blocks(spark, part_groups):
+    rng = random.Random(part_groups)
+    rows, held = [], {}
+    for block in (0, 1 << 20, 5 << 41):
+        pairs = sorted({(rng.choice([3, 1 << 42, 7 << 45]), rng.randrange(40)) for _ in range(60)})
+        n = [rng.randrange(1, 5) for _ in pairs]
+        left, right = np.array(pairs).T
+        rows.append((block, len(pairs), bytearray(phrases._pack(np.diff(left, prepend=0), right, np.array(n)))))
+        for k, (pair, c) in enumerate(zip(pairs, n, strict=True)):
+            held.setdefault(pair, []).append((block, k, c))
+    relation = spark.createDataFrame(rows, "block long, groups int, pairs binary").repartition(3)
+    want = [(b, k, *p, min(x + y for x, y, _ in at), sum(c for *_, c in at)) for p, at in held.items() if sum(c for *_, c in at) >= 6 for b, k, _ in at]
+    got = phrases.frequent_pairs(relation, 6, part_groups)
+    assert got.columns == phrases.frequent_groups(spark.createDataFrame([], "block long, left array<long>, right array<long>, n array<long>"), 6).columns
+    assert want and sorted(map(tuple, got.collect())) == sorted(want)
+    # less than eight bytes a pair: two numbers of 20 bits and a count
+    left, right = np.sort(np.random.default_rng(1).integers(1 << 20, size=(2, 100_000)) + (3 << 41), axis=1)
+    right = np.random.default_rng(2).permutation(right)
+    assert len(phrases._pack(np.diff(left, prepend=0), right, np.ones(100_000))) < 500_000
