@@ -848,3 +848,22 @@ def test_packed_pairs_are_counted_over_all_blocks(spark, part_groups):
     left, right = np.sort(np.random.default_rng(1).integers(1 << 20, size=(2, 100_000)) + (3 << 41), axis=1)
     right = np.random.default_rng(2).permutation(right)
     assert len(phrases._pack(np.diff(left, prepend=0), right, np.ones(100_000))) < 500_000
+
+
+def test_phrase_counts_answer_blocks_in_packed_rows(spark, monkeypatch):
+    r = random.Random(5)
+    texts = [" ".join(r.choice("abcdefghij") for _ in range(200)) for _ in range(40)]
+    rows, real = [], phrases.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        if name in ("words", "relation", "groups"):
+            rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(phrases, "materialize", counted)
+    got = phrases.best(phrases.mine(documents(spark, texts).repartition(3), least=5, block_words=500))
+    assert got.count() > 100
+    blocks = max(n for name, n in rows if name == "words")
+    # a row per block, and one of the part, however many groups the blocks hold
+    assert blocks >= 15 and all(n <= blocks + 1 for _, n in rows)
