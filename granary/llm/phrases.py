@@ -153,9 +153,8 @@ def frequent_groups(relation: DataFrame, least: int) -> DataFrame:
     return counted.select("block", (F.col("own") - F.col("block")).cast("int").alias("local"), "left", "right", "gid", "f")
 
 
-def _parts(relation: DataFrame, part_groups: int) -> int:
-    total = relation.agg(F.sum("groups").alias("n")).first()["n"] or 0
-    return max(1, -(-total // min(max(part_groups, total // PARTS), 4 * part_groups)))
+def _part_size(total: int, part_groups: int) -> int:
+    return min(max(part_groups, total // PARTS), 4 * part_groups)
 
 
 def _dealt(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -165,6 +164,30 @@ def _dealt(part: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     return ((p, local[a:b]) for p, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if a < b)
 
 
+def _bounds(relation: DataFrame, part_groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs at which all parts but the first begin, so that each part holds about as many groups of all blocks.
+
+    They are quantiles of every ``step``-th pair of each block. No pair has more than a row per block, so no part is large
+    for one pair's sake.
+    """
+    step = max(1, part_groups >> 6)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, size, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                left, right, _ = _unpack(packed, size, 3)
+                # blocks begin anywhere within a step, so that small ones have their share
+                begin = (block * 0x9E3779B97F4A7C15 % (1 << 64) >> 32) % step
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(left)[begin::step]), pa.array(right[begin::step])], names=["left", "right"])
+
+    found = relation.select("block", "groups", "pairs").mapInArrow(some, "left long, right long").toArrow()
+    left, right = (found.column(c).to_numpy() for c in ("left", "right"))
+    order = np.lexsort((right, left))
+    parts = max(1, -(-len(order) * step // _part_size(len(order) * step, part_groups)))
+    cuts = order[np.arange(1, parts) * len(order) // parts]
+    return left[cuts], right[cuts]
+
+
 def _answers(block: np.ndarray, local: np.ndarray, n: np.ndarray, order: np.ndarray, first: np.ndarray, least: int):
     """Rows for the blocks of a part, and of each frequent group its place, name and count. ``order`` puts equal groups
     together, which begin at the places ``first`` of it."""
@@ -195,7 +218,8 @@ def packed_words(relation: DataFrame, least: int, part_groups: int = PART) -> Da
 
     There are as many parts as hold ``part_groups`` groups each, whatever the corpus.
     """
-    parts = _parts(relation, part_groups)
+    total = relation.agg(F.sum("groups").alias("n")).first()["n"] or 0
+    parts = max(1, -(-total // _part_size(total, part_groups)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,26 +251,30 @@ def packed_words(relation: DataFrame, least: int, part_groups: int = PART) -> Da
 
 
 def packed_pairs(relation: DataFrame, least: int, part_groups: int = PART) -> DataFrame:
-    """``packed_words`` for ``longer_relation``, whose groups are known by two numbers."""
-    parts = _parts(relation, part_groups)
+    """``packed_words`` for ``longer_relation``, whose groups are known by two numbers.
+
+    A block's groups are sorted by these, and a part is a range of them, so that neighbours travel together as small steps.
+    """
+    lefts, rights = _bounds(relation, part_groups)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, size, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 left, right, n = _unpack(packed, size, 3)
                 left = np.cumsum(left)
-                mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ right.astype(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
-                part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
-                # ascending in each part, as are the left numbers
-                rows = [(p, block, len(mine), _pack(np.diff(mine, prepend=0), np.diff(left[mine], prepend=0), right[mine], n[mine])) for p, mine in _dealt(part, parts)]
-                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "block", "size", "packed"])
+                low, high = np.searchsorted(left, lefts, "left"), np.searchsorted(left, lefts, "right")
+                ends = [0, *(a + int(np.searchsorted(right[a:b], r)) for a, b, r in zip(low.tolist(), high.tolist(), rights.tolist(), strict=True)), size]
+                rows = [(p, block, b - a, a, _pack(np.diff(left[a:b], prepend=0), right[a:b], n[a:b])) for p, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if a < b]
+                if not rows:
+                    continue
+                kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["part", "block", "size", "begin", "packed"])
 
     def count(part: pa.Table) -> pa.Table:
         size = part.column("size").to_numpy()
-        columns = zip(*(_unpack(x, n, 4) for x, n in zip(part.column("packed").to_pylist(), size.tolist(), strict=True)), strict=True)
-        steps, left, right, n = map(list, columns)
-        local = np.concatenate([np.cumsum(x) for x in steps])
+        columns = zip(*(_unpack(x, n, 3) for x, n in zip(part.column("packed").to_pylist(), size.tolist(), strict=True)), strict=True)
+        left, right, n = map(list, columns)
+        local = np.concatenate([np.arange(a, a + k) for a, k in zip(part.column("begin").to_pylist(), size.tolist(), strict=True)])
         left, right, n = np.concatenate([np.cumsum(x) for x in left]), np.concatenate(right), np.concatenate(n)
         block = np.repeat(part.column("block").to_numpy(), size)
         order = np.lexsort((right, left))
@@ -255,7 +283,7 @@ def packed_pairs(relation: DataFrame, least: int, part_groups: int = PART) -> Da
         rows, place, gid, f = _answers(block, local, n, order, first, least)
         return _answer_table(rows, pa.array(left[place]), pa.array(right[place]), gid, f)
 
-    dealt = relation.select("block", "groups", "pairs").mapInArrow(deal, "part int, block long, size int, packed binary")
+    dealt = relation.select("block", "groups", "pairs").mapInArrow(deal, "part int, block long, size int, begin int, packed binary")
     return dealt.groupBy("part").applyInArrow(count, ANSWERS.format("long"))
 
 

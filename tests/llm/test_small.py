@@ -1,5 +1,6 @@
 """Every operator on small made cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 
+import bisect
 import random
 from collections import Counter, defaultdict
 
@@ -867,3 +868,22 @@ def test_phrase_counts_answer_blocks_in_packed_rows(spark, monkeypatch):
     blocks = max(n for name, n in rows if name == "words")
     # a row per block, and one of the part, however many groups the blocks hold
     assert blocks >= 15 and all(n <= blocks + 1 for _, n in rows)
+
+
+def test_parts_of_pairs_are_even_ranges(spark):
+    rng = np.random.default_rng(7)
+    rows, sizes = [], [3000] * 6 + [40] * 150 + [0, 1]
+    for block, size in enumerate(sizes):
+        # one left number holds most of the pairs
+        left, right = np.unique(np.stack([np.where(rng.random(size) < 0.7, 5 << 41, rng.integers(1 << 43, size=size)), rng.integers(1 << 43, size=size)]), axis=1)
+        rows.append((block << 20, len(left), bytearray(phrases._pack(np.diff(left, prepend=0), right, np.ones(len(left))))))
+    relation = spark.createDataFrame(rows, "block long, groups int, pairs binary").repartition(4)
+    bounds = list(zip(*(x.tolist() for x in phrases._bounds(relation, 1000)), strict=True))
+    held = [0] * (len(bounds) + 1)
+    for _, size, packed in rows:
+        left, right, _ = phrases._unpack(packed, size, 3)
+        for pair in zip(np.cumsum(left).tolist(), right.tolist(), strict=True):
+            held[bisect.bisect(bounds, pair)] += 1
+    assert bounds == sorted(bounds) and 22 <= len(held) <= 27 and max(held) < 1500 and min(held) > 500
+    none = spark.createDataFrame([], "block long, groups int, pairs binary")
+    assert [len(x) for x in phrases._bounds(none, 1000)] == [0, 0] and phrases.frequent_pairs(none, 1).count() == 0
