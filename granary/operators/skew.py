@@ -48,8 +48,9 @@ def join_unique(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     named = right.filter(_both([F.col(k).isNotNull() for k in keys]))
     rest = [c for c in right.columns if c not in keys]
     named = named.select(F.struct(*keys).alias("_right_key"), *rest)
-    out = left.withColumn("_left_key", F.struct(*keys)).join(named, F.col("_left_key") == F.col("_right_key"), how)
-    mine = [*keys, *[c for c in left.columns if c not in keys]]
+    others = [c for c in left.columns if c not in keys]
+    out = left.select(F.struct(*keys).alias("_left_key"), *others).join(named, F.col("_left_key") == F.col("_right_key"), how)
+    mine = [*[F.col("_left_key")[k].alias(k) for k in keys], *others]  # the keys are shuffled once, in the struct
     return out.select(*mine, *([] if how in ("left_semi", "left_anti") else rest))
 
 

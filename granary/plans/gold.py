@@ -13,6 +13,7 @@ from granary.functions.numbers import ladder, ratio
 from granary.operators.scd2 import current_only, join_as_of
 from granary.operators.bronze import Run, audited
 from granary.operators.skew import SPLIT_ROWS, join_unique
+from granary.session import discard, stage
 
 # Regions of the states, segment ranks and label ladders.
 REGION_STATES = {
@@ -225,6 +226,15 @@ def order_facts(items: DataFrame, orders: DataFrame, products: DataFrame | None
     return per_order.join(head, "order_id")
 
 
+def _staged_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """``order_lines``, with both sides written before they meet, so the disk never holds the shuffles of two steps."""
+    heads = stage(orders.select("order_id", "customer_id", "order_date", "order_date_key", "order_status", "payment_method", "shipping_cost", "total_amount", "validation_status"), "orders")
+    single = stage(items.select("order_item_id", "order_id", "product_id", "quantity", "unit_price", "discount_percent", "line_total"), "items")
+    lines = stage(order_lines(single, heads).drop("shipping_cost", "order_total"), "lines")
+    discard(heads, single)
+    return lines
+
+
 def fact_sales(
     items: DataFrame,
     orders: DataFrame,
@@ -233,9 +243,17 @@ def fact_sales(
     split_rows: int | None = SPLIT_ROWS,
     sizes: DataFrame | None = None,
     run: Run | None = None,
+    staged: bool = False,
 ) -> DataFrame:
-    """Sales fact at order-line grain; with dated costs hot products are counted in ``sizes``, by default the items."""
-    lines = order_lines(items, orders)
+    """Sales fact at order-line grain; with dated costs hot products are counted in ``sizes``, by default the items.
+
+    ``staged`` writes what each join reads, for large tables whose shuffles would not fit the disk side by side. What the
+    last join reads is listed in the result's ``staged``, to be discarded by a caller who has written the fact.
+    """
+    current = staged and cost == "current"
+    if current:
+        products = stage(current_only(products).select("product_id", "unit_cost", "category_name", "subcategory_name", "brand", "is_current"), "products")
+    lines = _staged_lines(items, orders) if staged else order_lines(items, orders)
     out = enrich_fact(with_product(lines, products, cost, split_rows, items if sizes is None else sizes))
     out = out.select(
         surrogate_key("order_item_id").alias("fact_sales_key"),
@@ -266,4 +284,6 @@ def fact_sales(
         "customer_id",
         "validation_status",
     )
-    return audited(out, "gold.fact_sales", run)
+    out = audited(out, "gold.fact_sales", run)
+    out.staged = [lines, *([products] if current else [])] if staged else []
+    return out

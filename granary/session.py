@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,8 +57,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+#: Whether the shuffle files of a query are deleted when it ends; for one that is written and read back, none is read again.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files; else those stay until the driver happens to collect its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` for large steps: packed tighter, and the disk holds either the step's shuffles or what comes of them."""
+    path = fresh_path(df.sparkSession, name)
+    with shuffles_deleted(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
 def discard(*written: DataFrame) -> None:
-    """Delete what ``materialize`` wrote, once nothing that is still to run reads it."""
+    """Delete what ``materialize`` or ``stage`` wrote, once nothing that is still to run reads it."""
     for df in written:
         context = df.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(df.written_to)

@@ -603,7 +603,7 @@ FACT_SQL = f"""select * replace (cast(gross_revenue as double) as gross_revenue,
 
 @register("fact_sales", query(_audited_sql(FACT_SQL, "gold.fact_sales"), "fact_sales"))
 def fact_sales(s, d):
-    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), run=_run())
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), run=_run(), staged=True)
 
 
 @register("fact_sales_hot_keys", query(FACT_SQL, "fact_sales"))
