@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from granary.functions.numbers import ratio
 from granary.operators.skew import SPLIT_ROWS, join_unique, with_neighbours
+from granary.session import stage
 
 ADDITIVE = [
     "units_sold", "gross_revenue", "net_revenue", "discount_amount", "cost_of_goods_sold", "gross_profit",
@@ -23,15 +24,14 @@ def star(
     customer: DataFrame,
     product: DataFrame,
     date: DataFrame,
+    staged: bool = False,
 ) -> DataFrame:
-    """Fact with its dimensions."""
+    """Fact with its dimensions. ``staged`` writes what the last join reads, so that the fact is not read after the call."""
     c = customer.select("dim_customer_key", "customer_segment", "region", "state", "tenure_segment")
     p = product.select("dim_product_key", "price_tier", "margin_band", "category_path")
     d = date.select(F.col("date_key").alias("dim_date_key"), "year", "quarter", "month", "is_current_year")
-    out = fact.join(d, "dim_date_key")
-    for key, side in (("dim_customer_key", c), ("dim_product_key", p)):
-        out = join_unique(out, side, [key])
-    return out
+    out = join_unique(fact.join(d, "dim_date_key"), c, ["dim_customer_key"])
+    return join_unique(stage(out, "star") if staged else out, p, ["dim_product_key"])
 
 
 def revenue_by_segment(fact: DataFrame, customer: DataFrame, date: DataFrame | None = None) -> DataFrame:

@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from granary.operators import skew
+from granary.operators import scd2, skew
 from granary.plans import gold
 from granary.session import CLEANUP, shuffles_deleted, stage
+from granary.sources.tables import LakeTable
 from tests.test_cleaning_gold import small_star
 from workload import inputs
 
@@ -74,8 +75,65 @@ def test_staged_fact(spark):
     assert sorted(out.collect()) == sorted(gold.fact_sales(lines, head, product).collect())
 
 
-@pytest.mark.parametrize("name", ["fact_sales"])
+@pytest.mark.parametrize("name", ["fact_sales", "fact_sales_hot_keys", "join_star"])
 def test_facts_run_one_join_at_a_time(spark, folder, name):
     out = entry_points.queries()[name](spark, folder)
     assert steps(out, "Join ") == 1 and steps(out, "Aggregate ") == 0
     assert out.count() == 300  # 400 lines, of which 100 come again
+
+
+def test_sliced_neighbours_move_each_row_once(spark):
+    df = spark.range(90).selectExpr("'k' as k", "id as at", "id * 2 as v", f"id div 10 as {skew.SLICE}")
+    out = skew.neighbours(df, ["k"], ["at"], {"pv": "v"}, {"nv": "v"})
+    assert sorted((r["at"], r["pv"], r["nv"]) for r in out.collect()) == [(j, 2 * j - 2 if j else None, 2 * j + 2 if j < 89 else None) for j in range(90)]
+    assert steps(out, "Join ") == 0
+
+
+def test_histories_read_their_feed_once(spark, folder):
+    for name in ("scd2_hot_keys", "scd2_incremental", "sink_model_incremental"):
+        out = entry_points.queries()[name](spark, folder)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan and "p_partkey" not in plan, name
+        assert out.count() == entry_points.queries()["scd2_products"](spark, folder).count(), name
+
+
+def test_hot_history_leaves_no_shuffles(spark):
+    rows = spark.range(300).selectExpr("concat('k', id % 2) as k", "id % 5 div 3 as v", "timestamp_seconds(id * 60) as at")
+    before = shuffle_files(spark)
+    out = scd2.build_history(rows, "k", ["v"], "at", split_rows=20)
+    assert len({n.split("_")[1] for n in left_over(spark, before)}) <= 1  # of the sum over the hot keys
+    columns = ["k", "at", "valid_to", "_row_hash", "surrogate_key", "is_current"]
+    plain = scd2.build_history(rows, "k", ["v"], "at", split_rows=None)
+    assert out.columns == plain.columns and sorted(out.select(columns).collect()) == sorted(plain.select(columns).collect())
+
+
+def test_many_hot_keys_leave_the_others_written(spark, monkeypatch):
+    monkeypatch.setattr(skew, "MANY_KEYS", 1)
+    df = spark.range(100).selectExpr("id % 3 + int(id > 89) * 5 as k", "id as at")
+    cold, hot = skew.split_hot(df, ["k"], ["at"], split_rows=20)
+    assert steps(cold, "Join ") == 0 and cold.count() == 10 and hot.count() == 90
+
+
+def test_a_large_merge_goes_group_by_group(spark, tmp_path):
+    make = lambda lo, hi, v: spark.range(lo, hi).selectExpr("id as k", f"{v} as v")
+    seen, t = [], LakeTable(spark, str(tmp_path / "t"), group_bytes=2000)
+    t.merge(make(0, 500, 0), ["k"])
+    write = t._write
+    t._write = lambda df, mode, dynamic=False: seen.append(write(df, mode, dynamic)) or seen[-1]
+    gone = stage(spark.range(1), "t")
+    t.merge(make(400, 600, 1), ["k"], sources=[gone])
+    assert len(seen) > 4 and sum(seen) == 600
+    assert sorted((r["k"], r["v"]) for r in t.read().collect()) == [(k, int(k >= 400)) for k in range(600)]
+    assert not t._is_there(gone.written_to)
+    n = len(seen)
+    t.append(make(900, 901, 2))
+    t.merge(make(900, 901, 3), ["k"], ["v"])
+    t.replace(make(0, 3, 4), ["k"])
+    assert t.read().count() == 601 and t.read().filter("v = 4").count() == 3 and t.read().filter("v = 3").count() == 1
+    assert len(seen) == n + 3
+
+
+def test_facts_in_two_runs(spark, folder):
+    found = entry_points.queries()
+    once = found["fact_sales"](spark, folder).select("order_item_id", "order_status", "net_revenue", "gross_profit")
+    assert sorted(found["sink_fact_incremental"](spark, folder).collect()) == sorted(once.collect())

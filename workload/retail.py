@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from granary.functions.keys import surrogate_key
 from granary.operators import bronze, cleaning, dedup, quality, scd2
-from granary.session import materialize
+from granary.session import discard, materialize, stage
 from granary.plans import analytics, gold, silver
 from granary.sources.contracts import CUSTOMERS, ORDERS
 from workload import inputs as i
@@ -418,10 +418,13 @@ STAR_SQL = """select f.order_item_id, c.customer_segment, c.region, p.price_tier
 
 @register("join_star", query(STAR_SQL, "fact_sales", "dim_customer", "dim_product", "dim_date"))
 def join_star(s, d):
-    products = _written(_products(s, d), "products")
-    fact = gold.fact_sales(_items(s, d), _orders(s, d), products)
-    dimensions = (_written(x, "dimension") for x in (_dim_customer(s, d), gold.dim_product(products, TODAY), _dim_date(s, d)))
-    out = analytics.star(fact, *dimensions)
+    products = stage(scd2.current_only(_products(s, d)), "products")
+    dimensions = [stage(x, "dimension") for x in (_dim_customer(s, d), gold.dim_product(products, TODAY), _dim_date(s, d))]
+    lines = gold.fact_sales(_items(s, d), _orders(s, d), products, staged=True)
+    fact = stage(lines.select("order_item_id", "dim_customer_key", "dim_product_key", "dim_date_key", "net_revenue"), "fact")
+    discard(products, *lines.staged)
+    out = analytics.star(fact, *dimensions, staged=True)
+    discard(fact)
     return out.select(
         "order_item_id", "customer_segment", "region", "price_tier", "margin_band", "year", "quarter", "net_revenue"
     )
@@ -500,7 +503,7 @@ def scd2_products(s, d):
 )
 def scd2_hot_keys(s, d):
     """The same history with a low limit, so that most products take the time-sliced path."""
-    return silver.stg_products(i.products(s, d), split_rows=20).drop("_ingestion_timestamp")
+    return silver.stg_products(stage(i.products(s, d), "feed"), split_rows=20).drop("_ingestion_timestamp")
 
 
 @register(
@@ -527,11 +530,13 @@ def asof_hot_keys(s, d):
 )
 def scd2_incremental(s, d):
     """History built in two batches; the second one also brings late and repeated rows."""
-    raw = i.products(s, d)
+    raw = stage(i.products(s, d), "feed")
     cut = F.lit("1999-01-01").cast("timestamp")
     overlap = F.lit("1998-01-01").cast("timestamp")
-    history = silver.stg_products(raw.filter(F.col("updated_at") < cut))
-    return silver.stg_products(raw.filter(F.col("updated_at") >= overlap), history).drop("_ingestion_timestamp")
+    history = stage(silver.stg_products(raw.filter(F.col("updated_at") < cut)), "history")
+    out = silver.stg_products(raw.filter(F.col("updated_at") >= overlap), history, staged=True)
+    discard(raw, history)
+    return out.drop("_ingestion_timestamp")
 
 
 @register(
@@ -609,7 +614,7 @@ def fact_sales(s, d):
 @register("fact_sales_hot_keys", query(FACT_SQL, "fact_sales"))
 def fact_sales_hot_keys(s, d):
     """The same fact while adaptive execution splits nearly every partition of its joins."""
-    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), split_rows=3, sizes=i.items(s, d))
+    return gold.fact_sales(_items(s, d), _orders(s, d), _products(s, d), split_rows=3, sizes=i.items(s, d), staged=True)
 
 
 @register(
